@@ -1,0 +1,92 @@
+"""Shared batch derivations of the medallion layers from the given tables.
+
+raw topic rows -> silver -> gold -> training frame / alerts.  Every function
+is lazy (a DataFrame) and reads the whole ``events`` table.  In batch form the
+record time of the topic row stands in for the ingestion / evaluation stamps,
+which keeps results repeatable; the streaming jobs use ``current_timestamp``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clinsignal.functions.numeric import coerce_bigint
+from clinsignal.operators.enrich import standardize
+from clinsignal.operators.features import add_label, indicator_features, training_frame
+from clinsignal.operators.ingest import parse_events, sanitize
+from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard, score
+from clinsignal.schemas import CODE_FEATURES, FEATURES
+from clinsignal.sources.fixtures import clinical_raw as derive_clinical_raw
+from clinsignal.sources.tables import given_table
+from clinsignal.sources.topics import topic_frame
+
+RECORD_TS = "record_ts"
+
+
+def clinical_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return derive_clinical_raw(given_table(spark, sf_dir, "events"))
+
+
+def raw_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-shaped rows (binary JSON value + record timestamp)."""
+    return topic_frame(clinical_raw(spark, sf_dir))
+
+
+def parsed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_topic(spark, sf_dir).withColumnRenamed("timestamp", RECORD_TS)
+    return parse_events(raw, carry=[RECORD_TS])
+
+
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = parsed_events(spark, sf_dir)
+    return sanitize(parsed, ingested_at=F.col(RECORD_TS)).drop(RECORD_TS)
+
+
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return standardize(silver(spark, sf_dir))
+
+
+def labelled_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold with a confirmed-outcome column: kidney finding -> 1, no finding
+    -> unknown (null), other findings -> 0.  Exercises the existing-label path."""
+    g = gold(spark, sf_dir)
+    return g.withColumn(
+        "adverse_event_signal",
+        F.when(F.col("snomed_code") == "709044004", F.lit(1))
+        .when(F.col("snomed_code") == "000000000", F.lit(None).cast("int"))
+        .otherwise(F.lit(0)),
+    )
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_id + 4 int64 features + int label (threshold fallback)."""
+    frame, _ = training_frame(gold(spark, sf_dir))
+    return frame
+
+
+def v1_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = gold(spark, sf_dir).select("event_id", *FEATURES)
+    return add_label(indicator_features(g))
+
+
+def alerts(spark: SparkSession, sf_dir: str, model: Scorecard = DEFAULT_SCORECARD) -> DataFrame:
+    """Scored alerts table: int64 contract features, score, decision, time."""
+    g = gold(spark, sf_dir)
+    aligned = g.select(
+        "event_id",
+        F.coalesce(F.col("systolic_bp").cast("bigint"), F.lit(0).cast("bigint")).alias("systolic_bp"),
+        F.coalesce(F.col("diastolic_bp").cast("bigint"), F.lit(0).cast("bigint")).alias("diastolic_bp"),
+        *[coerce_bigint(c).alias(c) for c in CODE_FEATURES],
+        F.col("ingested_at").alias("evaluated_at"),
+    )
+    return score(aligned, model).select(
+        "event_id",
+        "systolic_bp",
+        "diastolic_bp",
+        "rxnorm_id",
+        "snomed_code",
+        "adverse_event_risk_score",
+        "risk_probability",
+        "evaluated_at",
+    )
