@@ -1 +1,342 @@
-"""Queries (filled in below)."""
+"""Queries over features, labels, split, contracts, scoring, metrics and audit."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from clinsignal.functions.numeric import percent_text
+from clinsignal.operators import attribution, contract
+from clinsignal.operators.auc import roc_auc
+from clinsignal.operators.features import (
+    add_label,
+    align_features,
+    pack_features,
+    select_features,
+    split,
+    training_frame,
+)
+from clinsignal.operators.ingest import parse_payload
+from clinsignal.operators.ledger import record_run
+from clinsignal.operators.scoring import DEFAULT_SCORECARD, log_odds, score, train_gbt, triage
+from clinsignal.plans import pipeline as P
+from clinsignal.plans.registry import query
+from clinsignal.plans.sql_base import margin_sql, sigmoid_sql, test_side_sql, with_base
+from clinsignal.schemas import FEATURE_CONTRACT_V4, FEATURES
+from clinsignal.session import scratch_path
+from clinsignal.sources.tables import literal_vector
+
+FEAT_COLS = ", ".join(FEATURES)
+ROUND = 9
+
+# Small ensembles for registered queries (the full 100-round setting is a
+# parameter of ``train_gbt``).
+QUERY_GBT = {"max_depth": 4, "max_iter": 10}
+
+
+def _r(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, ROUND)
+
+
+# -- feature tables ----------------------------------------------------------------
+
+
+@query("feature_select", with_base(f"SELECT {FEAT_COLS} FROM gold"))
+def feature_select_q(spark: SparkSession, sf_dir: str):
+    selected, _ = select_features(P.gold(spark, sf_dir))
+    return selected
+
+
+@query("coerce_features", with_base(f"SELECT event_id, {FEAT_COLS} FROM feats"))
+def coerce_features_q(spark: SparkSession, sf_dir: str):
+    return P.features(spark, sf_dir).drop("label")
+
+
+@query("label_threshold", with_base("SELECT event_id, systolic_bp, label FROM feats"))
+def label_threshold_q(spark: SparkSession, sf_dir: str):
+    return P.features(spark, sf_dir).select("event_id", "systolic_bp", "label")
+
+
+@query(
+    "label_existing",
+    with_base(
+        "SELECT event_id, snomed_code, COALESCE(CASE WHEN snomed_code = 709044004 THEN 1 WHEN snomed_code = 0 "
+        "THEN NULL ELSE 0 END, 0) AS label FROM feats"
+    ),
+)
+def label_existing_q(spark: SparkSession, sf_dir: str):
+    frame, _ = training_frame(P.labelled_gold(spark, sf_dir))
+    return frame.select("event_id", "snomed_code", "label")
+
+
+@query(
+    "label_random",
+    with_base("SELECT event_id, CAST(md5('42:' || event_id) < '8' AS INTEGER) AS label FROM gold"),
+)
+def label_random_q(spark: SparkSession, sf_dir: str):
+    """No target and no threshold column: the seeded hash coin."""
+    return add_label(P.gold(spark, sf_dir).select("event_id")).select("event_id", "label")
+
+
+@query(
+    "align_features",
+    with_base(
+        "SELECT event_id, CAST(0 AS BIGINT) AS rxnorm_id, CAST(0 AS BIGINT) AS snomed_code, "
+        "CAST(systolic_bp AS BIGINT) AS systolic_bp, CAST(diastolic_bp AS BIGINT) AS diastolic_bp FROM clinical_raw"
+    ),
+)
+def align_features_q(spark: SparkSession, sf_dir: str):
+    """Serving alignment of the raw payload (codes absent -> 0, BPs double -> int64)."""
+    return align_features(parse_payload(P.raw_topic(spark, sf_dir)))
+
+
+@query(
+    "pack_features",
+    with_base(
+        "SELECT event_id, to_json({'rxnorm_id': rxnorm_id, 'snomed_code': snomed_code, "
+        "'systolic_bp': systolic_bp, 'diastolic_bp': diastolic_bp})::VARCHAR AS features_json FROM feats"
+    ),
+)
+def pack_features_q(spark: SparkSession, sf_dir: str):
+    f = P.features(spark, sf_dir)
+    return f.select("event_id", F.to_json(pack_features()).alias("features_json"))
+
+
+@query(
+    "indicator_features",
+    with_base(
+        "SELECT event_id, CAST(systolic_bp AS DOUBLE) AS systolic_bp, CAST(diastolic_bp AS DOUBLE) AS diastolic_bp, "
+        "CAST(rxnorm_id = '17767' AS INTEGER) AS rxnorm_17767_amlodipine, "
+        "CAST(snomed_code = '709044004' AS INTEGER) AS snomed_709044004_kidney_injury FROM gold"
+    ),
+)
+def indicator_features_q(spark: SparkSession, sf_dir: str):
+    return P.v1_features(spark, sf_dir).drop("label")
+
+
+# -- split / contract ----------------------------------------------------------------
+
+
+@query("split_train", with_base(f"SELECT event_id, {FEAT_COLS}, label FROM feats WHERE NOT {test_side_sql()}"))
+def split_train_q(spark: SparkSession, sf_dir: str):
+    train, _ = split(P.features(spark, sf_dir))
+    return train
+
+
+@query("split_test", with_base(f"SELECT event_id, {FEAT_COLS}, label FROM feats WHERE {test_side_sql()}"))
+def split_test_q(spark: SparkSession, sf_dir: str):
+    _, test = split(P.features(spark, sf_dir))
+    return test
+
+
+def _profile_sql() -> str:
+    parts = []
+    for i, f in enumerate(FEATURES):
+        parts.append(
+            f"SELECT '{f}' AS field, CAST({i} AS INTEGER) AS position, 'bigint' AS dtype, "
+            f"CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) - count({f}) AS BIGINT) AS n_nulls, "
+            f"CAST(min({f}) AS DOUBLE) AS min_value, CAST(max({f}) AS DOUBLE) AS max_value "
+            f"FROM feats WHERE NOT {test_side_sql()}"
+        )
+    return with_base(" UNION ALL ".join(parts))
+
+
+@query("contract_schema", _profile_sql())
+def contract_schema_q(spark: SparkSession, sf_dir: str):
+    """Contract inferred from the training side: field types plus observed ranges."""
+    train, _ = split(P.features(spark, sf_dir))
+    return contract.contract_profile(train, FEATURES)
+
+
+@query(
+    "contract_example",
+    with_base(f"SELECT event_id, {FEAT_COLS}, label FROM feats WHERE NOT {test_side_sql()} ORDER BY event_id LIMIT 3"),
+)
+def contract_example_q(spark: SparkSession, sf_dir: str):
+    train, _ = split(P.features(spark, sf_dir))
+    return train.orderBy("event_id").limit(3)
+
+
+@query("contract_enforce", with_base(f"SELECT {FEAT_COLS} FROM feats"))
+def contract_enforce_q(spark: SparkSession, sf_dir: str):
+    """Columns arrive in another order with extras; the contract reorders and projects."""
+    f = P.features(spark, sf_dir).select("label", "diastolic_bp", "event_id", "systolic_bp", "snomed_code", "rxnorm_id")
+    return contract.enforce(f, FEATURE_CONTRACT_V4)
+
+
+# -- scorecard scoring, metrics, audit ------------------------------------------------
+
+
+@query(
+    "sigmoid_margin",
+    with_base(
+        f"SELECT event_id, round({margin_sql()}, {ROUND}) AS margin, "
+        f"round({sigmoid_sql(margin_sql())}, {ROUND}) AS risk_probability FROM feats"
+    ),
+)
+def sigmoid_margin_q(spark: SparkSession, sf_dir: str):
+    scored = attribution.linear_attribution(P.features(spark, sf_dir), DEFAULT_SCORECARD)
+    return scored.select("event_id", _r("margin").alias("margin"), _r("risk_probability").alias("risk_probability"))
+
+
+def _auc_sql(source: str) -> str:
+    return f"""
+, s AS ({source}),
+g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM s WHERE score IS NOT NULL GROUP BY score),
+r AS (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
+SELECT round(CAST(sum(pos * (below + neg / 2.0)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), {ROUND}) AS roc_auc,
+  CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM r"""
+
+
+# AUC ranks by the log-odds margin: the same ranking as the probability in
+# exact arithmetic, without ties that the sigmoid's rounding introduces.
+_TEST_SCORES = f"SELECT {margin_sql()} AS score, label FROM feats WHERE {test_side_sql()}"
+
+
+@query("roc_auc", with_base(_auc_sql(_TEST_SCORES)))
+def roc_auc_q(spark: SparkSession, sf_dir: str):
+    """Exact AUC of the scorecard on the test side (label = systolic > 140)."""
+    _, test = split(P.features(spark, sf_dir))
+    scored = log_odds(test, DEFAULT_SCORECARD)
+    auc = roc_auc(scored, "margin", "label")
+    return auc.select(_r("roc_auc").alias("roc_auc"), "n_pos", "n_neg")
+
+
+def _phi_sql() -> str:
+    cols = []
+    for t in DEFAULT_SCORECARD.terms:
+        if t.equals is not None:
+            value = f"CAST(CAST({t.feature} AS BIGINT) = {t.equals} AS DOUBLE)"
+        else:
+            value = f"CAST({t.feature} AS DOUBLE)"
+        cols.append(f"round(CAST({t.weight!r} AS DOUBLE) * ({value} - CAST({t.center!r} AS DOUBLE)), {ROUND}) AS phi_{t.feature}")
+    return ", ".join(cols)
+
+
+@query(
+    "audit_delta_p",
+    with_base(
+        f"SELECT event_id, {_phi_sql()}, CAST({DEFAULT_SCORECARD.intercept!r} AS DOUBLE) AS base_value, "
+        f"round({margin_sql()}, {ROUND}) AS margin, "
+        f"round({sigmoid_sql(margin_sql())} - {sigmoid_sql(repr(DEFAULT_SCORECARD.intercept))}, {ROUND}) AS delta_p "
+        f"FROM feats WHERE {test_side_sql()}"
+    ),
+)
+def audit_delta_p_q(spark: SparkSession, sf_dir: str):
+    """Per-feature attribution and delta-P for every test row (scorecard)."""
+    _, test = split(P.features(spark, sf_dir))
+    a = attribution.linear_attribution(test, DEFAULT_SCORECARD)
+    phis = [f"phi_{t.feature}" for t in DEFAULT_SCORECARD.terms]
+    return a.select(
+        "event_id",
+        *[_r(c).alias(c) for c in phis],
+        "base_value",
+        _r("margin").alias("margin"),
+        _r("delta_p").alias("delta_p"),
+    )
+
+
+_RUN_LEDGER_SQL = with_base(
+    f"""
+, s AS ({_TEST_SCORES}),
+g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM s WHERE score IS NOT NULL GROUP BY score),
+r AS (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
+tr AS (SELECT CAST(count(*) AS DOUBLE) AS n_train, round(avg(label), {ROUND}) AS positive_rate FROM feats WHERE NOT {test_side_sql()})
+SELECT 'scorecard' AS name, CAST(1 AS INTEGER) AS version,
+  round(CAST(sum(pos * (below + neg / 2.0)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), {ROUND}) AS roc_auc,
+  (SELECT n_train FROM tr) AS n_train, CAST(sum(pos) + sum(neg) AS DOUBLE) AS n_test,
+  (SELECT positive_rate FROM tr) AS positive_rate
+FROM r"""
+)
+
+
+@query("run_ledger", _RUN_LEDGER_SQL)
+def run_ledger_q(spark: SparkSession, sf_dir: str):
+    """Evaluate the scorecard, append the run to a fresh ledger, read the row back."""
+    train, test = split(P.features(spark, sf_dir))
+    auc = roc_auc(log_odds(test, DEFAULT_SCORECARD), "margin", "label")
+    train_stats = train.agg(F.count(F.lit(1)).alias("n_train"), F.avg("label").alias("positive_rate"))
+    # train statistics enter as scalar subqueries of the one-row AUC frame
+    metrics = auc.select(
+        F.col("roc_auc"),
+        (F.col("n_pos") + F.col("n_neg")).alias("n_test"),
+        train_stats.select("n_train").scalar().alias("n_train"),
+        train_stats.select("positive_rate").scalar().alias("positive_rate"),
+    )
+    root = scratch_path(spark, "registry")
+    params = {t.feature: f"{t.weight}*(x-{t.center})" for t in DEFAULT_SCORECARD.terms}
+    params["intercept"] = DEFAULT_SCORECARD.intercept
+    row = record_run(spark, root, "scorecard", params, metrics, contract.contract_json(FEATURE_CONTRACT_V4))
+    m = F.col("metrics")
+    return row.select(
+        "name",
+        "version",
+        _r(m["roc_auc"]).alias("roc_auc"),
+        m["n_train"].alias("n_train"),
+        m["n_test"].alias("n_test"),
+        _r(m["positive_rate"]).alias("positive_rate"),
+    )
+
+
+# -- gradient-boosted trees (rows-only: scores differ by engine) ----------------------
+
+_MODELS: dict[tuple, object] = {}
+
+
+def _gbt_for(spark: SparkSession, sf_dir: str, v1: bool = False):
+    key = (spark.sparkContext.applicationId, sf_dir, v1)
+    if key not in _MODELS:
+        if v1:
+            frame = P.v1_features(spark, sf_dir)
+            feats = ["systolic_bp", "diastolic_bp", "rxnorm_17767_amlodipine", "snomed_709044004_kidney_injury"]
+            _MODELS[key] = (train_gbt(frame, feats, **QUERY_GBT), feats)
+        else:
+            train, _ = split(P.features(spark, sf_dir))
+            _MODELS[key] = (train_gbt(train, FEATURES, **QUERY_GBT), FEATURES)
+    return _MODELS[key]
+
+
+@query("train_gbt")
+def train_gbt_q(spark: SparkSession, sf_dir: str):
+    """Fit boosted trees on the train side, evaluate on test, register in a ledger."""
+    model, feats = _gbt_for(spark, sf_dir)
+    _, test = split(P.features(spark, sf_dir))
+    auc = roc_auc(log_odds(test, model), "margin", "label")
+    root = scratch_path(spark, "registry")
+    params = {"max_depth": QUERY_GBT["max_depth"], "max_iter": QUERY_GBT["max_iter"], "step_size": 0.1, "seed": 42}
+    row = record_run(spark, root, "gbt_signal", params, auc, contract.contract_json(FEATURE_CONTRACT_V4), model)
+    return row.select("name", "version", F.col("metrics")["roc_auc"].alias("roc_auc"), "path")
+
+
+@query("score_batch")
+def score_batch_q(spark: SparkSession, sf_dir: str):
+    model, _ = _gbt_for(spark, sf_dir)
+    _, test = split(P.features(spark, sf_dir))
+    return score(test, model).select("event_id", "risk_probability", "adverse_event_risk_score")
+
+
+@query("audit_attribution")
+def audit_attribution_q(spark: SparkSession, sf_dir: str):
+    """Exact path-dependent Tree SHAP + delta-P for every test row."""
+    model, feats = _gbt_for(spark, sf_dir)
+    _, test = split(P.features(spark, sf_dir))
+    return attribution.tree_attribution(test, model, feats).select(
+        "event_id", *[f"phi_{f}" for f in feats], "base_value", "margin", "risk_probability", "delta_p"
+    )
+
+
+@query("score_literal")
+def score_literal_q(spark: SparkSession, sf_dir: str):
+    """Triage the inline v1 vector with a v1 model fitted on the whole table."""
+    model, _ = _gbt_for(spark, sf_dir, v1=True)
+    scored = score(literal_vector(spark), model)
+    return triage(scored, alerts_only=False).select(
+        "systolic_bp",
+        "diastolic_bp",
+        "rxnorm_17767_amlodipine",
+        "snomed_709044004_kidney_injury",
+        "risk_probability",
+        percent_text(F.col("risk_probability") * 100, 2).alias("risk_pct"),
+        "status",
+    )
+
