@@ -1 +1,91 @@
-"""Queries (filled in below)."""
+"""Streaming queries: each runs a Structured Streaming job over a file-backed
+topic derived from ``events`` (``availableNow``, several micro-batches), then
+returns the batch read of its sink.  Processing-time stamps are left out of
+the outputs so that results are comparable with the batch SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+from clinsignal.operators.scoring import DEFAULT_SCORECARD
+from clinsignal.plans import pipeline as P
+from clinsignal.plans.q_ingest import SILVER_COLS, SILVER_COLS_SQL
+from clinsignal.plans.q_monitor import alerts_out, alerts_out_sql
+from clinsignal.plans.registry import query
+from clinsignal.plans.sql_base import with_base
+from clinsignal.schemas import ALERTS_SCHEMA
+from clinsignal.session import scratch_path
+from clinsignal.sources.topics import read_events, write_time_ordered_files
+from clinsignal.streaming import jobs
+
+TOPIC_FILES = 4
+AVAILABLE_NOW = {"availableNow": True}
+ONE_FILE_PER_BATCH = {"maxFilesPerTrigger": "1"}
+
+
+def _topic(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "topic")
+    return write_time_ordered_files(P.raw_topic(spark, sf_dir), path, TOPIC_FILES)
+
+
+def _raw_stream(spark: SparkSession, sf_dir: str):
+    return read_events(spark, fmt="parquet", options=ONE_FILE_PER_BATCH, path=_topic(spark, sf_dir))
+
+
+@query("stream_ingest", with_base(f"SELECT {SILVER_COLS_SQL} FROM silver"))
+def stream_ingest_q(spark: SparkSession, sf_dir: str):
+    """Topic -> parse -> sanitize -> silver file sink (append, checkpointed)."""
+    sink = scratch_path(spark, "silver-stream")
+    q = jobs.start_ingest(
+        _raw_stream(spark, sf_dir), sink, scratch_path(spark, "ckpt-ingest"), trigger=AVAILABLE_NOW
+    )
+    jobs.run_to_completion(q)
+    return spark.read.parquet(sink).select(*SILVER_COLS)
+
+
+@query("stream_score", with_base(alerts_out_sql(with_time=False)))
+def stream_score_q(spark: SparkSession, sf_dir: str):
+    """Topic -> payload -> inline codes -> aligned features -> score -> alerts sink."""
+    sink = scratch_path(spark, "alerts-stream")
+    q = jobs.start_scoring(
+        _raw_stream(spark, sf_dir), DEFAULT_SCORECARD, sink, scratch_path(spark, "ckpt-score"), trigger=AVAILABLE_NOW
+    )
+    jobs.run_to_completion(q)
+    return alerts_out(spark.read.schema(ALERTS_SCHEMA).parquet(sink), with_time=False)
+
+
+@query("stream_fanout", with_base(alerts_out_sql(with_time=False)))
+def stream_fanout_q(spark: SparkSession, sf_dir: str):
+    """One scoring query, two sinks via foreachBatch (alerts + mirror table)."""
+    alerts_path = scratch_path(spark, "alerts-fanout")
+    mirror_path = scratch_path(spark, "alerts-mirror")
+    q = jobs.start_fanout(
+        _raw_stream(spark, sf_dir),
+        DEFAULT_SCORECARD,
+        alerts_path,
+        scratch_path(spark, "ckpt-fanout"),
+        mirror=mirror_path,
+        trigger=AVAILABLE_NOW,
+    )
+    jobs.run_to_completion(q)
+    return alerts_out(spark.read.parquet(alerts_path).drop("batch_id"), with_time=False)
+
+
+@query(
+    "velocity_stream",
+    with_base(
+        "SELECT strftime(date_trunc('second', evaluated_at), '%Y-%m-%d %H:%M:%S') AS window_start, "
+        "CAST(count(*) AS BIGINT) AS message_count FROM alerts WHERE evaluated_at IS NOT NULL GROUP BY 1"
+    ),
+)
+def velocity_stream_q(spark: SparkSession, sf_dir: str):
+    """Alerts table as a stream -> watermark -> 1-second tumbling counts (update mode)."""
+    src = write_time_ordered_files(P.alerts(spark, sf_dir), scratch_path(spark, "alerts-src"), TOPIC_FILES, "evaluated_at")
+    events = spark.readStream.schema(ALERTS_SCHEMA).options(**ONE_FILE_PER_BATCH).parquet(src)
+    sink = scratch_path(spark, "velocity")
+    q = jobs.start_velocity(events, sink, scratch_path(spark, "ckpt-velocity"), trigger=AVAILABLE_NOW)
+    jobs.run_to_completion(q)
+    counts = jobs.read_velocity(spark, sink)
+    return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "message_count")
+

@@ -37,13 +37,30 @@ def topic_frame(clinical: DataFrame, topic: str = RAW_TOPIC, time_col: str = "ts
     )
 
 
-def write_topic_files(rows: DataFrame, path: str, n_files: int) -> str:
-    """Persist Kafka-shaped rows as ``n_files`` parquet files (a file-backed topic).
+def write_time_ordered_files(rows: DataFrame, path: str, n_files: int, time_col: str = "timestamp") -> str:
+    """Persist rows as ``n_files`` parquet files, one per time range, written in
+    time order (a file-backed topic for tests and replays).
 
-    Rows are range-partitioned on the record time, so file order follows
-    arrival order the way topic offsets would.
+    File modification order then follows event time, the order a file stream
+    source picks files in, so a watermark never sees a later file as late.
+    Range bounds are ``n_files - 1`` approximate quantiles (a bounded fetch).
     """
-    rows.repartitionByRange(n_files, "timestamp").write.mode("errorifexists").parquet(path)
+    t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    bounds: list[float] = []
+    if n_files > 1:
+        probs = [i / n_files for i in range(1, n_files)]
+        row = rows.agg(F.percentile_approx(t, probs, 10_000).alias("b")).first()
+        bounds = sorted(set(b for b in (row["b"] or []) if b is not None))
+    edges = [None, *bounds, None]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t >= lo)
+        if hi is not None:
+            cond = cond & (t < hi)
+        if lo is None:
+            cond = cond | t.isNull()
+        rows.where(cond).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
