@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -132,9 +133,19 @@ def gbt_pipeline(
 
 
 def train_gbt(train: DataFrame, features: list[str] = FEATURES, label_col: str = "label", **params) -> PipelineModel:
-    """Distributed fit; the label column is cast to double for Spark ML."""
-    data = train.withColumn(label_col, F.col(label_col).cast("double"))
-    return gbt_pipeline(features, label_col, **params).fit(data)
+    """Distributed fit on the projected (features, label) frame.
+
+    Boosting makes several passes over its input (split finding, binning, one
+    per round until its own cache is built); the narrow projection is persisted
+    (memory, spilling to disk) so upstream parsing runs once, and released after.
+    """
+    data = train.select(*features, F.col(label_col).cast("double").alias(label_col)).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    try:
+        return gbt_pipeline(features, label_col, **params).fit(data)
+    finally:
+        data.unpersist()
 
 
 def triage(scored: DataFrame, prob_col: str = "risk_probability", alerts_only: bool = True) -> DataFrame:

@@ -1,9 +1,16 @@
 """Shared batch derivations of the medallion layers from the given tables.
 
-raw topic rows -> silver -> gold -> training frame / alerts.  Every function
-is lazy (a DataFrame) and reads the whole ``events`` table.  In batch form the
-record time of the topic row stands in for the ingestion / evaluation stamps,
-which keeps results repeatable; the streaming jobs use ``current_timestamp``.
+raw topic rows -> silver -> gold -> training frame / alerts.  The derivations
+are lazy DataFrames over the whole ``events`` table.  As in a production
+medallion pipeline, each layer is also *materialized once* (per application
+and input directory) in the shared work folder -- silver and alerts as
+tables, gold as a published snapshot -- and downstream jobs scan those
+tables: column pruning and filter push-down reach the parquet scan, and the
+lineage of every downstream job starts at a written table.
+
+In batch form the record time of the topic row stands in for the ingestion /
+evaluation stamps, which keeps results repeatable; the streaming jobs use
+``current_timestamp``.
 """
 
 from __future__ import annotations
@@ -16,13 +23,27 @@ from clinsignal.operators.enrich import standardize
 from clinsignal.operators.features import add_label, indicator_features, training_frame
 from clinsignal.operators.ingest import parse_events, sanitize
 from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard, score
-from clinsignal.schemas import CODE_FEATURES, FEATURES
+from clinsignal.schemas import ALERTS_SCHEMA, CODE_FEATURES, FEATURES
 from clinsignal.sources.fixtures import clinical_raw as derive_clinical_raw
+from clinsignal.session import scratch_path
+from clinsignal.sources.sinks import read_snapshot, write_snapshot
 from clinsignal.sources.tables import given_table
 from clinsignal.sources.topics import topic_frame
 
 RECORD_TS = "record_ts"
 
+# (application id, input dir, layer) -> path of the materialized layer
+_TABLES: dict[tuple[str, str, str], str] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str, layer: str) -> tuple[str, str, str]:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), layer
+
+
+def reset_tables() -> None:
+    """Forget materialized layers (the next access rebuilds them)."""
+    _TABLES.clear()
+
 
 def clinical_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_clinical_raw(given_table(spark, sf_dir, "events"))
@@ -50,7 +71,7 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold with a confirmed-outcome column: kidney finding -> 1, no finding
     -> unknown (null), other findings -> 0.  Exercises the existing-label path."""
-    g = gold(spark, sf_dir)
+    g = gold_table(spark, sf_dir)
     return g.withColumn(
         "adverse_event_signal",
         F.when(F.col("snomed_code") == "709044004", F.lit(1))
@@ -59,20 +80,50 @@ def labelled_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver layer as a table (written once, then scanned)."""
+    key = _key(spark, sf_dir, "silver")
+    if key not in _TABLES:
+        path = scratch_path(spark, "silver")
+        silver(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        _TABLES[key] = path
+    return spark.read.parquet(_TABLES[key])
+
+
+def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold layer: published snapshot of ``standardize(silver table)``."""
+    key = _key(spark, sf_dir, "gold")
+    if key not in _TABLES:
+        root = scratch_path(spark, "gold")
+        write_snapshot(standardize(silver_table(spark, sf_dir)), root)
+        _TABLES[key] = root
+    return read_snapshot(spark, _TABLES[key])
+
+
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event_id + 4 int64 features + int label (threshold fallback)."""
-    frame, _ = training_frame(gold(spark, sf_dir))
+    """event_id + 4 int64 features + int label (threshold fallback), from the gold table."""
+    frame, _ = training_frame(gold_table(spark, sf_dir))
     return frame
 
 
 def v1_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = gold(spark, sf_dir).select("event_id", *FEATURES)
+    g = gold_table(spark, sf_dir).select("event_id", *FEATURES)
     return add_label(indicator_features(g))
 
 
+def alerts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored alerts as a table (what the scoring job appends and reports read)."""
+    key = _key(spark, sf_dir, "alerts")
+    if key not in _TABLES:
+        path = scratch_path(spark, "alerts")
+        alerts(spark, sf_dir).write.mode("errorifexists").parquet(path)
+        _TABLES[key] = path
+    return spark.read.schema(ALERTS_SCHEMA).parquet(_TABLES[key])
+
+
 def alerts(spark: SparkSession, sf_dir: str, model: Scorecard = DEFAULT_SCORECARD) -> DataFrame:
-    """Scored alerts table: int64 contract features, score, decision, time."""
-    g = gold(spark, sf_dir)
+    """Scored alerts: int64 contract features, score, decision, time (from the gold table)."""
+    g = gold_table(spark, sf_dir)
     aligned = g.select(
         "event_id",
         F.coalesce(F.col("systolic_bp").cast("bigint"), F.lit(0).cast("bigint")).alias("systolic_bp"),

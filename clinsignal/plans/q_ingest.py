@@ -111,7 +111,7 @@ def code_notes_q(spark: SparkSession, sf_dir: str):
 @query("code_by_rule_table", with_base("SELECT event_id, rxnorm_id, snomed_code FROM gold"))
 def code_by_rule_table_q(spark: SparkSession, sf_dir: str):
     """Table-driven coder (broadcast rule table over distinct texts), same codes."""
-    return standardize_by_table(P.silver(spark, sf_dir)).select("event_id", "rxnorm_id", "snomed_code")
+    return standardize_by_table(P.silver_table(spark, sf_dir)).select("event_id", "rxnorm_id", "snomed_code")
 
 
 @query(
@@ -138,7 +138,7 @@ def silver_scan_q(spark: SparkSession, sf_dir: str):
 
 @query("silver_count", with_base("SELECT CAST(count(*) AS BIGINT) AS n_records FROM silver"))
 def silver_count_q(spark: SparkSession, sf_dir: str):
-    return P.silver(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_records"))
+    return P.silver_table(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_records"))
 
 
 @query(
@@ -150,7 +150,7 @@ def silver_count_q(spark: SparkSession, sf_dir: str):
 )
 def silver_latest_q(spark: SparkSession, sf_dir: str):
     """Newest 20 records (top-k: each task keeps 20, the final merge sees 20 x tasks)."""
-    s = P.silver(spark, sf_dir)
+    s = P.silver_table(spark, sf_dir)
     newest = s.orderBy(F.col("ingested_at").desc_nulls_last(), F.col("event_id")).limit(20)
     return _silver_out(newest)
 
@@ -182,7 +182,7 @@ def gold_snapshot_q(spark: SparkSession, sf_dir: str):
 )
 def gold_preview_q(spark: SparkSession, sf_dir: str):
     return (
-        P.gold(spark, sf_dir)
+        P.gold_table(spark, sf_dir)
         .select("event_id", "medication_prescribed", "rxnorm_id", "snomed_code")
         .orderBy("event_id")
         .limit(5)

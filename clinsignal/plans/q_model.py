@@ -43,7 +43,7 @@ def _r(c):
 
 @query("feature_select", with_base(f"SELECT {FEAT_COLS} FROM gold"))
 def feature_select_q(spark: SparkSession, sf_dir: str):
-    selected, _ = select_features(P.gold(spark, sf_dir))
+    selected, _ = select_features(P.gold_table(spark, sf_dir))
     return selected
 
 
@@ -75,7 +75,7 @@ def label_existing_q(spark: SparkSession, sf_dir: str):
 )
 def label_random_q(spark: SparkSession, sf_dir: str):
     """No target and no threshold column: the seeded hash coin."""
-    return add_label(P.gold(spark, sf_dir).select("event_id")).select("event_id", "label")
+    return add_label(P.gold_table(spark, sf_dir).select("event_id")).select("event_id", "label")
 
 
 @query(

@@ -52,7 +52,7 @@ def alerts_scan_q(spark: SparkSession, sf_dir: str):
     ),
 )
 def kpi_summary_q(spark: SparkSession, sf_dir: str):
-    return monitor.kpi_summary(P.alerts(spark, sf_dir))
+    return monitor.kpi_summary(P.alerts_table(spark, sf_dir))
 
 
 @query(
@@ -64,7 +64,7 @@ SELECT format('{:,}', n) || ' records' AS total_text, format('{:,}', h) || ' eve
     ),
 )
 def kpi_text_q(spark: SparkSession, sf_dir: str):
-    return monitor.kpi_text(monitor.kpi_summary(P.alerts(spark, sf_dir)))
+    return monitor.kpi_text(monitor.kpi_summary(P.alerts_table(spark, sf_dir)))
 
 
 @query(
@@ -75,12 +75,12 @@ def kpi_text_q(spark: SparkSession, sf_dir: str):
     ),
 )
 def velocity_by_clock_q(spark: SparkSession, sf_dir: str):
-    return monitor.velocity_by_clock(P.alerts(spark, sf_dir))
+    return monitor.velocity_by_clock(P.alerts_table(spark, sf_dir))
 
 
 @query("alerts_latest", with_base(alerts_out_sql(tail="ORDER BY alerts.evaluated_at DESC NULLS LAST, event_id")))
 def alerts_latest_q(spark: SparkSession, sf_dir: str):
-    return alerts_out(monitor.latest_first(P.alerts(spark, sf_dir)))
+    return alerts_out(monitor.latest_first(P.alerts_table(spark, sf_dir)))
 
 
 def _audit_sql() -> str:
@@ -94,7 +94,7 @@ def _audit_sql() -> str:
 
 @query("audit_ledger", _audit_sql())
 def audit_ledger_q(spark: SparkSession, sf_dir: str):
-    return monitor.audit_ledger(P.alerts(spark, sf_dir))
+    return monitor.audit_ledger(P.alerts_table(spark, sf_dir))
 
 
 @query(
@@ -105,7 +105,7 @@ def audit_ledger_q(spark: SparkSession, sf_dir: str):
     ),
 )
 def risk_by_bp_q(spark: SparkSession, sf_dir: str):
-    return monitor.risk_by_bp(P.alerts(spark, sf_dir))
+    return monitor.risk_by_bp(P.alerts_table(spark, sf_dir))
 
 
 @query(
@@ -116,7 +116,7 @@ def risk_by_bp_q(spark: SparkSession, sf_dir: str):
     ),
 )
 def triage_alerts_q(spark: SparkSession, sf_dir: str):
-    t = triage(P.alerts(spark, sf_dir))
+    t = triage(P.alerts_table(spark, sf_dir))
     return t.select(
         "event_id",
         F.round("risk_probability", ROUND).alias("risk_probability"),
@@ -141,7 +141,7 @@ SLICE_CUT = "2024-01-15 00:00:00"
 def union_slices_q(spark: SparkSession, sf_dir: str):
     """Bag union of file slices with different schemas (missing columns -> null)."""
     path = scratch_path(spark, "alerts-slices")
-    a = P.alerts(spark, sf_dir)
+    a = P.alerts_table(spark, sf_dir)
     old = F.col("evaluated_at") < F.lit(SLICE_CUT).cast("timestamp")
     append(a.where(old).drop("risk_probability"), path)
     append(a.where(~old | F.col("evaluated_at").isNull()), path)

@@ -81,7 +81,7 @@ def stream_fanout_q(spark: SparkSession, sf_dir: str):
 )
 def velocity_stream_q(spark: SparkSession, sf_dir: str):
     """Alerts table as a stream -> watermark -> 1-second tumbling counts (update mode)."""
-    src = write_time_ordered_files(P.alerts(spark, sf_dir), scratch_path(spark, "alerts-src"), TOPIC_FILES, "evaluated_at")
+    src = write_time_ordered_files(P.alerts_table(spark, sf_dir), scratch_path(spark, "alerts-src"), TOPIC_FILES, "evaluated_at")
     events = spark.readStream.schema(ALERTS_SCHEMA).options(**ONE_FILE_PER_BATCH).parquet(src)
     sink = scratch_path(spark, "velocity")
     q = jobs.start_velocity(events, sink, scratch_path(spark, "ckpt-velocity"), trigger=AVAILABLE_NOW)

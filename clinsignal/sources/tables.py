@@ -10,7 +10,21 @@ from clinsignal.schemas import FEATURE_CONTRACT_V1
 
 def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the provided parquet tables (``<sf_dir>/<name>.parquet``)."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure a scan feeds every core.
+
+    A large table already scans as many splits (one per file / row group) and is
+    returned unchanged -- no shuffle.  A small table stored as one row group
+    scans as a single task; it is redistributed round-robin to the cluster's
+    default parallelism (a by-number repartition, which AQE does not coalesce).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ Both give rows with a binary ``value`` (UTF-8 JSON) and a record
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +47,7 @@ def write_time_ordered_files(rows: DataFrame, path: str, n_files: int, time_col:
     Range bounds are ``n_files - 1`` approximate quantiles (a bounded fetch).
     """
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by n_files + 1 passes
     bounds: list[float] = []
     if n_files > 1:
         probs = [i / n_files for i in range(1, n_files)]
@@ -61,6 +63,7 @@ def write_time_ordered_files(rows: DataFrame, path: str, n_files: int, time_col:
         if lo is None:
             cond = cond | t.isNull()
         rows.where(cond).coalesce(1).write.mode("append").parquet(path)
+    rows.unpersist()
     return path
 
 
