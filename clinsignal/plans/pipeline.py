@@ -28,7 +28,7 @@ from clinsignal.sources.fixtures import clinical_raw as derive_clinical_raw
 from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import read_snapshot, write_snapshot
 from clinsignal.sources.tables import given_table
-from clinsignal.sources.topics import topic_frame
+from clinsignal.sources.topics import topic_frame, write_time_ordered_files
 
 RECORD_TS = "record_ts"
 
@@ -80,6 +80,18 @@ def labelled_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOPIC_FILES = 4
+
+
+def topic_files(spark: SparkSession, sf_dir: str) -> str:
+    """The raw topic as time-ordered Kafka-shaped files, written once; every
+    streaming consumer subscribes to it with its own checkpoint."""
+    key = _key(spark, sf_dir, "topic")
+    if key not in _TABLES:
+        _TABLES[key] = write_time_ordered_files(raw_topic(spark, sf_dir), scratch_path(spark, "topic"), TOPIC_FILES)
+    return _TABLES[key]
+
+
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver layer as a table (written once, then scanned)."""
     key = _key(spark, sf_dir, "silver")

@@ -19,18 +19,14 @@ from clinsignal.session import scratch_path
 from clinsignal.sources.topics import read_events, write_time_ordered_files
 from clinsignal.streaming import jobs
 
-TOPIC_FILES = 4
+TOPIC_FILES = P.TOPIC_FILES
 AVAILABLE_NOW = {"availableNow": True}
 ONE_FILE_PER_BATCH = {"maxFilesPerTrigger": "1"}
 
 
-def _topic(spark: SparkSession, sf_dir: str) -> str:
-    path = scratch_path(spark, "topic")
-    return write_time_ordered_files(P.raw_topic(spark, sf_dir), path, TOPIC_FILES)
-
-
 def _raw_stream(spark: SparkSession, sf_dir: str):
-    return read_events(spark, fmt="parquet", options=ONE_FILE_PER_BATCH, path=_topic(spark, sf_dir))
+    """Subscribe to the shared file-backed topic (one file per micro-batch)."""
+    return read_events(spark, fmt="parquet", options=ONE_FILE_PER_BATCH, path=P.topic_files(spark, sf_dir))
 
 
 @query("stream_ingest", with_base(f"SELECT {SILVER_COLS_SQL} FROM silver"))
