@@ -214,3 +214,24 @@ def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) ->
         raise query.exception()
     return query
 
+
+
+def run_until_stopped(spark, queries: list[StreamingQuery]) -> None:
+    """Block until any query ends or the process is interrupted, then stop all.
+
+    A failure of *any* query surfaces here (waiting on one query alone would
+    hide a failure of the others).  Earlier terminations in the session are
+    cleared first; otherwise the wait would return at once.
+    """
+    spark.streams.resetTerminated()
+    try:
+        spark.streams.awaitAnyTermination()
+    except KeyboardInterrupt:
+        pass
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()
