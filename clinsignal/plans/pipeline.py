@@ -28,7 +28,7 @@ from clinsignal.sources.fixtures import clinical_raw as derive_clinical_raw
 from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import read_snapshot, write_snapshot
 from clinsignal.sources.tables import given_table
-from clinsignal.sources.topics import topic_frame, write_time_ordered_files
+from clinsignal.sources.topics import FileTopic, topic_frame, write_time_ordered_files
 
 RECORD_TS = "record_ts"
 
@@ -43,6 +43,7 @@ def _key(spark: SparkSession, sf_dir: str, layer: str) -> tuple[str, str, str]:
 def reset_tables() -> None:
     """Forget materialized layers (the next access rebuilds them)."""
     _TABLES.clear()
+    _TOPICS.clear()
 
 
 def clinical_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,13 +84,16 @@ def labelled_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOPIC_FILES = 4
 
 
-def topic_files(spark: SparkSession, sf_dir: str) -> str:
+_TOPICS: dict[tuple[str, str, str], FileTopic] = {}
+
+
+def topic_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     """The raw topic as time-ordered Kafka-shaped files, written once; every
     streaming consumer subscribes to it with its own checkpoint."""
     key = _key(spark, sf_dir, "topic")
-    if key not in _TABLES:
-        _TABLES[key] = write_time_ordered_files(raw_topic(spark, sf_dir), scratch_path(spark, "topic"), TOPIC_FILES)
-    return _TABLES[key]
+    if key not in _TOPICS:
+        _TOPICS[key] = write_time_ordered_files(raw_topic(spark, sf_dir), scratch_path(spark, "topic"), TOPIC_FILES)
+    return _TOPICS[key]
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:

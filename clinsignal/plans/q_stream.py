@@ -21,12 +21,12 @@ from clinsignal.streaming import jobs
 
 TOPIC_FILES = P.TOPIC_FILES
 AVAILABLE_NOW = {"availableNow": True}
-ONE_FILE_PER_BATCH = {"maxFilesPerTrigger": "1"}
 
 
 def _raw_stream(spark: SparkSession, sf_dir: str):
-    """Subscribe to the shared file-backed topic (one file per micro-batch)."""
-    return read_events(spark, fmt="parquet", options=ONE_FILE_PER_BATCH, path=P.topic_files(spark, sf_dir))
+    """Subscribe to the shared file-backed topic (one time slice per micro-batch)."""
+    topic = P.topic_files(spark, sf_dir)
+    return read_events(spark, fmt="parquet", options=topic.stream_options(), path=topic.path)
 
 
 @query("stream_ingest", with_base(f"SELECT {SILVER_COLS_SQL} FROM silver"))
@@ -78,7 +78,7 @@ def stream_fanout_q(spark: SparkSession, sf_dir: str):
 def velocity_stream_q(spark: SparkSession, sf_dir: str):
     """Alerts table as a stream -> watermark -> 1-second tumbling counts (update mode)."""
     src = write_time_ordered_files(P.alerts_table(spark, sf_dir), scratch_path(spark, "alerts-src"), TOPIC_FILES, "evaluated_at")
-    events = spark.readStream.schema(ALERTS_SCHEMA).options(**ONE_FILE_PER_BATCH).parquet(src)
+    events = spark.readStream.schema(ALERTS_SCHEMA).options(**src.stream_options()).parquet(src.path)
     sink = scratch_path(spark, "velocity")
     q = jobs.start_velocity(events, sink, scratch_path(spark, "ckpt-velocity"), trigger=AVAILABLE_NOW)
     jobs.run_to_completion(q)

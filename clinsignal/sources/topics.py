@@ -6,7 +6,8 @@ Both give rows with a binary ``value`` (UTF-8 JSON) and a record
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,20 +39,41 @@ def topic_frame(clinical: DataFrame, topic: str = RAW_TOPIC, time_col: str = "ts
     )
 
 
-def write_time_ordered_files(rows: DataFrame, path: str, n_files: int, time_col: str = "timestamp") -> str:
-    """Persist rows as ``n_files`` parquet files, one per time range, written in
+@dataclass(frozen=True)
+class FileTopic:
+    """A file-backed topic: ``path`` holds ``n_slices`` time slices written in
+    time order, each of ``files_per_slice`` files."""
+
+    path: str
+    n_slices: int
+    files_per_slice: int
+
+    def stream_options(self) -> dict[str, str]:
+        """One time slice per micro-batch."""
+        return {"maxFilesPerTrigger": str(self.files_per_slice)}
+
+
+def write_time_ordered_files(rows: DataFrame, path: str, n_slices: int, time_col: str = "timestamp") -> FileTopic:
+    """Persist rows as ``n_slices`` time slices written one after another in
     time order (a file-backed topic for tests and replays).
 
-    File modification order then follows event time, the order a file stream
-    source picks files in, so a watermark never sees a later file as late.
-    Range bounds are ``n_files - 1`` approximate quantiles (a bounded fetch).
+    A file stream source picks files by modification time, so later slices are
+    never seen before earlier ones and a watermark never drops them.  Each
+    slice is range-partitioned on time into its share of the input partitions
+    (no single-file funnel); rows are staged once in the shared folder and
+    every slice is a pruned scan of that staging table.  Slice bounds are
+    ``n_slices - 1`` approximate quantiles (a bounded fetch).
     """
+    spark = rows.sparkSession
+    staging = f"{path.rstrip('/')}-staging"
+    rows.write.mode("errorifexists").parquet(staging)
+    staged = spark.read.parquet(staging)
+    files_per_slice = max(1, -(-staged.rdd.getNumPartitions() // n_slices))
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # read by n_files + 1 passes
-    bounds: list[float] = []
-    if n_files > 1:
-        probs = [i / n_files for i in range(1, n_files)]
-        row = rows.agg(F.percentile_approx(t, probs, 10_000).alias("b")).first()
+    bounds: list[int] = []
+    if n_slices > 1:
+        probs = [i / n_slices for i in range(1, n_slices)]
+        row = staged.agg(F.percentile_approx(t, probs, 10_000).alias("b")).first()
         bounds = sorted(set(b for b in (row["b"] or []) if b is not None))
     edges = [None, *bounds, None]
     for lo, hi in zip(edges[:-1], edges[1:]):
@@ -62,9 +84,8 @@ def write_time_ordered_files(rows: DataFrame, path: str, n_files: int, time_col:
             cond = cond & (t < hi)
         if lo is None:
             cond = cond | t.isNull()
-        rows.where(cond).coalesce(1).write.mode("append").parquet(path)
-    rows.unpersist()
-    return path
+        staged.where(cond).repartitionByRange(files_per_slice, time_col).write.mode("append").parquet(path)
+    return FileTopic(path, len(edges) - 1, files_per_slice)
 
 
 def read_events(

@@ -13,7 +13,7 @@ from clinsignal.sources.topics import write_time_ordered_files
 def test_stages_end_to_end(spark, sf_small, capsys):
     topic = write_time_ordered_files(P.raw_topic(spark, sf_small), scratch_path(spark, "cli-topic"), 2)
     silver, gold, registry, alerts = (scratch_path(spark, n) for n in ("cli-silver", "cli-gold", "cli-reg", "cli-alerts"))
-    src = ["--source", "parquet", "--topic-path", topic, "--available-now"]
+    src = ["--source", "parquet", "--topic-path", topic.path, "--max-files", str(topic.files_per_slice), "--available-now"]
     main(["ingest", *src, "--checkpoint", scratch_path(spark, "cli-c1"), "--silver", silver])
     assert spark.read.parquet(silver).count() == 1000
     main(["standardize", "--silver", silver, "--gold", gold])
