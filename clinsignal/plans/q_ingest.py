@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from clinsignal.functions.text import normalize_text, ts_text
+from clinsignal.functions.text import SSN_MASK, SSN_PATTERN, mask_ssn, normalize_text, ts_text
+from clinsignal.functions.vocab import RXNORM_DEFAULT, RXNORM_RULES, SNOMED_DEFAULT, SNOMED_RULES, rxnorm_code, snomed_code
 from clinsignal.operators.enrich import standardize_by_table
 from clinsignal.operators.ingest import parse_payload
 from clinsignal.plans import pipeline as P
 from clinsignal.plans.registry import query
-from clinsignal.plans.sql_base import ts_text_sql, with_base
+from clinsignal.plans.sql_base import code_sql, lit, ts_text_sql, with_base
 from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import read_snapshot, write_snapshot
-from clinsignal.sources.tables import read_table
+from clinsignal.sources.tables import given_table, read_table
 
 SILVER_COLS = [
     "event_id",
@@ -187,3 +188,24 @@ def gold_preview_q(spark: SparkSession, sf_dir: str):
         .orderBy("event_id")
         .limit(5)
     )
+
+
+@query(
+    "code_documents",
+    f"""SELECT doc_id,
+  {code_sql('text', RXNORM_RULES, RXNORM_DEFAULT)} AS rxnorm_id,
+  {code_sql('text', SNOMED_RULES, SNOMED_DEFAULT)} AS snomed_code,
+  CAST(length(text) AS BIGINT) AS n_chars,
+  CAST(length(regexp_replace(text, {lit(SSN_PATTERN)}, {lit(SSN_MASK)}, 'g')) AS BIGINT) AS masked_chars
+FROM documents""",
+)
+def code_documents_q(spark: SparkSession, sf_dir: str):
+    """Coders and identifier mask over whole free-text documents (any length)."""
+    docs = given_table(spark, sf_dir, "documents")
+    return docs.select(
+        "doc_id",
+        rxnorm_code("text").alias("rxnorm_id"),
+        snomed_code("text").alias("snomed_code"),
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.length(mask_ssn("text")).cast("bigint").alias("masked_chars"),
+    )
