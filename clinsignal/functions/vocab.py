@@ -8,7 +8,7 @@ Two equivalent forms:
 * ``code_join``  table-driven form for long vocabularies: distinct normalized
   texts (map-side pre-aggregated) are matched against a size-checked broadcast
   rule table, the best rule per text is kept with ``min_by(code, priority)``,
-  and the result is joined back.
+  and the result is joined back (``operators.joins.lookup_join``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinsignal.functions.text import normalize_text
+from clinsignal.operators.joins import lookup_join
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the source pipeline's vocabularies): pattern, code,
@@ -114,8 +115,9 @@ def code_join(
         .groupBy(key)
         .agg(F.min_by("code", "priority").alias(f"__{out_col}_code"))
     )
+    # one row per distinct text: size-checked broadcast, else a salted join
     return (
-        keyed.join(best, key, "left")
+        lookup_join(keyed, best, [key])
         .withColumn(out_col, F.coalesce(F.col(f"__{out_col}_code"), F.lit(default)))
         .drop(key, f"__{out_col}_code")
     )

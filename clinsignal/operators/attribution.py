@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinsignal.functions.numeric import sigmoid
+from clinsignal.operators.joins import lookup_join
 from clinsignal.operators.scoring import Scorecard
 from clinsignal.session import scratch_path
 
@@ -212,9 +213,8 @@ def tree_attribution(
 
     explained = vectors.mapInPandas(explain, out_schema)
     keyed = df.select("*", *[F.col(f).cast("double").alias(c) for f, c in zip(features, vec_cols)])
-    # the explained side has one row per distinct vector; AQE splits a skewed
-    # key of the row side (spark.sql.adaptive.skewJoin.enabled)
-    joined = keyed.join(explained, vec_cols, "left").drop(*vec_cols)
+    # one row per distinct vector: size-checked broadcast, else a salted join
+    joined = lookup_join(keyed, explained, vec_cols).drop(*vec_cols)
     return joined.withColumn("risk_probability", sigmoid("margin")).withColumn(
         "delta_p", sigmoid("margin") - sigmoid(F.lit(float(baseline)))
     )

@@ -1,0 +1,45 @@
+"""Joining a per-key result table back to the rows it was computed from.
+
+Expensive per-row work (regex coding, tree attribution) runs once per
+*distinct* key; the result has one row per key and is joined back.  The row
+side may be huge and skewed (one key can hold a third of all rows).
+
+``lookup_join``:
+
+1. checkpoints the per-key table to the shared folder (lineage cut, computed
+   once, exact size known);
+2. broadcasts it when it has at most ``max_broadcast_rows`` rows -- the row
+   side is then never shuffled;
+3. otherwise joins with a salt: each row side record gets one of ``salts``
+   buckets (hash of the row, deterministic), and the key table is replicated
+   once per bucket, so a hot key is spread over ``salts`` tasks.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clinsignal.session import work_dir
+
+MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_SALTS = 16
+
+
+def lookup_join(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    salts: int = DEFAULT_SALTS,
+) -> DataFrame:
+    """``rows`` joined with ``table`` (unique on ``keys``); see module doc."""
+    work_dir(rows.sparkSession)  # reliable checkpoint folder
+    table = table.checkpoint(eager=True)
+    if table.count() <= max_broadcast_rows:
+        return rows.join(F.broadcast(table), keys, how)
+    salt = "__salt"
+    salted_rows = rows.withColumn(salt, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    salted_table = table.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    return salted_rows.join(salted_table, [*keys, salt], how).drop(salt)
