@@ -15,6 +15,8 @@ evaluation stamps, which keeps results repeatable; the streaming jobs use
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ RECORD_TS = "record_ts"
 
 # (application id, input dir, layer) -> path of the materialized layer
 _TABLES: dict[tuple[str, str, str], str] = {}
+BUILD_LOCK = threading.RLock()  # concurrent queries build each layer once
 
 
 def _key(spark: SparkSession, sf_dir: str, layer: str) -> tuple[str, str, str]:
@@ -91,28 +94,31 @@ def topic_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     """The raw topic as time-ordered Kafka-shaped files, written once; every
     streaming consumer subscribes to it with its own checkpoint."""
     key = _key(spark, sf_dir, "topic")
-    if key not in _TOPICS:
-        _TOPICS[key] = write_time_ordered_files(raw_topic(spark, sf_dir), scratch_path(spark, "topic"), TOPIC_FILES)
+    with BUILD_LOCK:
+        if key not in _TOPICS:
+            _TOPICS[key] = write_time_ordered_files(raw_topic(spark, sf_dir), scratch_path(spark, "topic"), TOPIC_FILES)
     return _TOPICS[key]
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver layer as a table (written once, then scanned)."""
     key = _key(spark, sf_dir, "silver")
-    if key not in _TABLES:
-        path = scratch_path(spark, "silver")
-        silver(spark, sf_dir).write.mode("errorifexists").parquet(path)
-        _TABLES[key] = path
+    with BUILD_LOCK:
+        if key not in _TABLES:
+            path = scratch_path(spark, "silver")
+            silver(spark, sf_dir).write.mode("errorifexists").parquet(path)
+            _TABLES[key] = path
     return spark.read.parquet(_TABLES[key])
 
 
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold layer: published snapshot of ``standardize(silver table)``."""
     key = _key(spark, sf_dir, "gold")
-    if key not in _TABLES:
-        root = scratch_path(spark, "gold")
-        write_snapshot(standardize(silver_table(spark, sf_dir)), root)
-        _TABLES[key] = root
+    with BUILD_LOCK:
+        if key not in _TABLES:
+            root = scratch_path(spark, "gold")
+            write_snapshot(standardize(silver_table(spark, sf_dir)), root)
+            _TABLES[key] = root
     return read_snapshot(spark, _TABLES[key])
 
 
@@ -130,10 +136,11 @@ def v1_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alerts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored alerts as a table (what the scoring job appends and reports read)."""
     key = _key(spark, sf_dir, "alerts")
-    if key not in _TABLES:
-        path = scratch_path(spark, "alerts")
-        alerts(spark, sf_dir).write.mode("errorifexists").parquet(path)
-        _TABLES[key] = path
+    with BUILD_LOCK:
+        if key not in _TABLES:
+            path = scratch_path(spark, "alerts")
+            alerts(spark, sf_dir).write.mode("errorifexists").parquet(path)
+            _TABLES[key] = path
     return spark.read.schema(ALERTS_SCHEMA).parquet(_TABLES[key])
 
 

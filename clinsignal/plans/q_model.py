@@ -285,6 +285,11 @@ _MODELS: dict[tuple, object] = {}
 
 def _gbt_for(spark: SparkSession, sf_dir: str, v1: bool = False):
     key = (spark.sparkContext.applicationId, sf_dir, v1)
+    with P.BUILD_LOCK:
+        return _fit_once(spark, sf_dir, v1, key)
+
+
+def _fit_once(spark: SparkSession, sf_dir: str, v1: bool, key: tuple):
     if key not in _MODELS:
         if v1:
             frame = P.v1_features(spark, sf_dir)
