@@ -28,7 +28,7 @@ from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard, score
 from clinsignal.schemas import ALERTS_SCHEMA, CODE_FEATURES, FEATURES
 from clinsignal.sources.fixtures import clinical_raw as derive_clinical_raw
 from clinsignal.session import scratch_path
-from clinsignal.sources.sinks import read_snapshot, write_snapshot
+from clinsignal.sources.sinks import write_snapshot
 from clinsignal.sources.tables import given_table
 from clinsignal.sources.topics import FileTopic, topic_frame, write_time_ordered_files
 
@@ -112,14 +112,17 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gold layer: published snapshot of ``standardize(silver table)``."""
+    """The gold layer: published snapshot of ``standardize(silver table)``.
+
+    The build publishes a versioned snapshot; its path is kept, so readers scan
+    it directly without resolving the pointer table again.
+    """
     key = _key(spark, sf_dir, "gold")
     with BUILD_LOCK:
         if key not in _TABLES:
             root = scratch_path(spark, "gold")
-            write_snapshot(standardize(silver_table(spark, sf_dir)), root)
-            _TABLES[key] = root
-    return read_snapshot(spark, _TABLES[key])
+            _TABLES[key] = write_snapshot(standardize(silver_table(spark, sf_dir)), root)
+    return spark.read.parquet(_TABLES[key])
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
