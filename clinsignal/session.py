@@ -22,8 +22,6 @@ RUNTIME_CONFS = {
     # a second start of a query on a live checkpoint must fail, not
     # silently stop the running one
     "spark.sql.streaming.stopActiveRunOnRestart": "false",
-    # streaming state (window counts) off the JVM heap; recorded per new checkpoint
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

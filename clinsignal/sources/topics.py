@@ -59,9 +59,9 @@ def write_time_ordered_files(rows: DataFrame, path: str, n_slices: int, time_col
 
     A file stream source picks files by modification time, so later slices are
     never seen before earlier ones and a watermark never drops them.  Each
-    slice is range-partitioned on time into its share of the input partitions
-    (no single-file funnel); rows are staged once in the shared folder and
-    every slice is a pruned scan of that staging table.  Slice bounds are
+    slice is written as its share of the input partitions (no single-file
+    funnel); rows are staged once in the shared folder and every slice is a
+    filtered scan of that staging table.  Slice bounds are
     ``n_slices - 1`` approximate quantiles (a bounded fetch).
     """
     spark = rows.sparkSession
@@ -84,7 +84,9 @@ def write_time_ordered_files(rows: DataFrame, path: str, n_slices: int, time_col
             cond = cond & (t < hi)
         if lo is None:
             cond = cond | t.isNull()
-        staged.where(cond).repartitionByRange(files_per_slice, time_col).write.mode("append").parquet(path)
+        # files of one slice are read by the same micro-batch, so their order is
+        # irrelevant: merge partitions without a shuffle
+        staged.where(cond).coalesce(files_per_slice).write.mode("append").parquet(path)
     return FileTopic(path, len(edges) - 1, files_per_slice)
 
 

@@ -160,7 +160,13 @@ def start_fanout(
 
 
 def windowed_counts(events: DataFrame, ts_col: str = "evaluated_at", window: str = "1 second", watermark: str = "10 minutes") -> DataFrame:
-    """Event-time tumbling-window counts; the watermark bounds the state."""
+    """Event-time tumbling-window counts.
+
+    The watermark bounds the state to watermark / window open windows (600 for
+    the defaults) however much data flows, so the default state store fits;
+    switch ``spark.sql.streaming.stateStore.providerClass`` to RocksDB for
+    long watermarks with fine windows.
+    """
     return (
         events.withWatermark(ts_col, watermark)
         .groupBy(F.window(ts_col, window).alias("w"))
