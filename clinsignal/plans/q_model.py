@@ -18,7 +18,7 @@ from clinsignal.operators.features import (
 )
 from clinsignal.operators.ingest import parse_payload
 from clinsignal.operators.ledger import record_run
-from clinsignal.operators.scoring import DEFAULT_SCORECARD, log_odds, score, train_gbt, triage
+from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard, log_odds, score, train_gbt, triage
 from clinsignal.plans import pipeline as P
 from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import margin_sql, sigmoid_sql, test_side_sql, with_base
@@ -179,19 +179,38 @@ def sigmoid_margin_q(spark: SparkSession, sf_dir: str):
     return scored.select("event_id", _r("margin").alias("margin"), _r("risk_probability").alias("risk_probability"))
 
 
-def _auc_sql(source: str) -> str:
+def _auc_ctes(source: str) -> str:
+    """CTEs s (score, label) -> g (counts per distinct score) -> r (negatives below)."""
     return f"""
 , s AS ({source}),
 g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM s WHERE score IS NOT NULL GROUP BY score),
-r AS (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)
-SELECT round(CAST(sum(pos * (below + neg / 2.0)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), {ROUND}) AS roc_auc,
-  CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM r"""
+r AS (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g)"""
+
+
+_AUC_VALUE = (
+    "round(CAST(sum(pos * (below + neg / 2.0)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), "
+    f"{ROUND})"
+)
+
+
+def _auc_sql(source: str) -> str:
+    return _auc_ctes(source) + f"""
+SELECT {_AUC_VALUE} AS roc_auc, CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM r"""
 
 
 # AUC ranks by the log-odds margin: the same ranking as the probability in
 # exact arithmetic, without ties that the sigmoid's rounding introduces.
 _TEST_SCORES = f"SELECT {margin_sql()} AS score, label FROM feats WHERE {test_side_sql()}"
 
+# The fallback label is ``systolic_bp > 140`` and systolic pressure is itself a
+# feature (label leakage); the check scores without the label-defining term.
+NO_LEAK_SCORECARD = Scorecard(
+    terms=tuple(t for t in DEFAULT_SCORECARD.terms if t.feature != "systolic_bp"),
+    intercept=DEFAULT_SCORECARD.intercept,
+    name="scorecard_without_label_feature",
+)
+_TEST_SCORES_NO_LEAK = f"SELECT {margin_sql(NO_LEAK_SCORECARD)} AS score, label FROM feats WHERE {test_side_sql()}"
+
 
 @query("roc_auc", with_base(_auc_sql(_TEST_SCORES)))
 def roc_auc_q(spark: SparkSession, sf_dir: str):
@@ -202,6 +221,14 @@ def roc_auc_q(spark: SparkSession, sf_dir: str):
     return auc.select(_r("roc_auc").alias("roc_auc"), "n_pos", "n_neg")
 
 
+@query("roc_auc_without_label_feature", with_base(_auc_sql(_TEST_SCORES_NO_LEAK)))
+def roc_auc_no_leak_q(spark: SparkSession, sf_dir: str):
+    """Leakage check: AUC of the scorecard without the feature that defines the label."""
+    _, test = split(P.features(spark, sf_dir))
+    auc = roc_auc(log_odds(test, NO_LEAK_SCORECARD), "margin", "label")
+    return auc.select(_r("roc_auc").alias("roc_auc"), "n_pos", "n_neg")
+
+
 def _phi_sql() -> str:
     cols = []
     for t in DEFAULT_SCORECARD.terms:
@@ -237,13 +264,10 @@ def audit_delta_p_q(spark: SparkSession, sf_dir: str):
 
 
 _RUN_LEDGER_SQL = with_base(
-    f"""
-, s AS ({_TEST_SCORES}),
-g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM s WHERE score IS NOT NULL GROUP BY score),
-r AS (SELECT pos, neg, COALESCE(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
+    _auc_ctes(_TEST_SCORES)
+    + f""",
 tr AS (SELECT CAST(count(*) AS DOUBLE) AS n_train, round(avg(label), {ROUND}) AS positive_rate FROM feats WHERE NOT {test_side_sql()})
-SELECT 'scorecard' AS name, CAST(1 AS INTEGER) AS version,
-  round(CAST(sum(pos * (below + neg / 2.0)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), {ROUND}) AS roc_auc,
+SELECT 'scorecard' AS name, CAST(1 AS INTEGER) AS version, {_AUC_VALUE} AS roc_auc,
   (SELECT n_train FROM tr) AS n_train, CAST(sum(pos) + sum(neg) AS DOUBLE) AS n_test,
   (SELECT positive_rate FROM tr) AS positive_rate
 FROM r"""
