@@ -67,3 +67,16 @@ def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[st
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
+
+
+def compact(spark: SparkSession, source_path: str, root: str, n_files: int, fmt: str = "parquet", schema=None) -> str:
+    """Rewrite a many-small-files table (one file set per micro-batch) as
+    ``n_files`` files, published as a new snapshot version under ``root``.
+
+    The source is scanned through its commit log (file sink) when it has one;
+    readers of ``root`` switch to the compacted version atomically.
+    """
+    reader = spark.read.format(fmt)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return write_snapshot(reader.load(source_path).repartition(n_files), root, fmt)

@@ -45,3 +45,14 @@ def test_snapshot_versions(spark, sf_small):
     version, _ = current_version(spark, root)
     assert version == 2
     assert read_snapshot(spark, root).count() == 10
+
+
+def test_compaction_keeps_rows(spark, sf_small):
+    from clinsignal.sources.sinks import compact
+
+    src = scratch_path(spark, "many-files")
+    P.alerts(spark, sf_small).repartition(20).write.parquet(src)
+    root = scratch_path(spark, "compacted")
+    path = compact(spark, src, root, 2)
+    assert spark.read.parquet(path).count() == 1000
+    assert len([f for f in spark.read.parquet(path).inputFiles()]) <= 2
