@@ -100,6 +100,18 @@ def topic_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     return _TOPICS[key]
 
 
+def alerts_files(spark: SparkSession, sf_dir: str) -> FileTopic:
+    """The alerts table replayed as time-ordered files (the scoring sink's
+    shape), written once for the monitoring streams."""
+    key = _key(spark, sf_dir, "alerts-files")
+    with BUILD_LOCK:
+        if key not in _TOPICS:
+            _TOPICS[key] = write_time_ordered_files(
+                alerts_table(spark, sf_dir), scratch_path(spark, "alerts-files"), TOPIC_FILES, "evaluated_at"
+            )
+    return _TOPICS[key]
+
+
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver layer as a table (written once, then scanned)."""
     key = _key(spark, sf_dir, "silver")

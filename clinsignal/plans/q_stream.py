@@ -12,14 +12,14 @@ from clinsignal.operators.scoring import DEFAULT_SCORECARD
 from clinsignal.plans import pipeline as P
 from clinsignal.plans.q_ingest import SILVER_COLS, SILVER_COLS_SQL
 from clinsignal.plans.q_monitor import alerts_out, alerts_out_sql
-from clinsignal.plans.registry import query
+from clinsignal.plans import q_monitor  # noqa: F401 - registers kpi_summary's oracle first
+from clinsignal.plans.registry import ORACLES, query
 from clinsignal.plans.sql_base import with_base
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
-from clinsignal.sources.topics import read_events, write_time_ordered_files
+from clinsignal.sources.topics import read_events
 from clinsignal.streaming import jobs
 
-TOPIC_FILES = P.TOPIC_FILES
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -77,7 +77,7 @@ def stream_fanout_q(spark: SparkSession, sf_dir: str):
 )
 def velocity_stream_q(spark: SparkSession, sf_dir: str):
     """Alerts table as a stream -> watermark -> 1-second tumbling counts (update mode)."""
-    src = write_time_ordered_files(P.alerts_table(spark, sf_dir), scratch_path(spark, "alerts-src"), TOPIC_FILES, "evaluated_at")
+    src = P.alerts_files(spark, sf_dir)
     events = spark.readStream.schema(ALERTS_SCHEMA).options(**src.stream_options()).parquet(src.path)
     sink = scratch_path(spark, "velocity")
     q = jobs.start_velocity(events, sink, scratch_path(spark, "ckpt-velocity"), trigger=AVAILABLE_NOW)
@@ -85,3 +85,13 @@ def velocity_stream_q(spark: SparkSession, sf_dir: str):
     counts = jobs.read_velocity(spark, sink)
     return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "message_count")
 
+
+
+@query("kpi_stream", ORACLES["kpi_summary"])
+def kpi_stream_q(spark: SparkSession, sf_dir: str):
+    """KPIs maintained incrementally over the alerts stream (one-row state)."""
+    src = P.alerts_files(spark, sf_dir)
+    events = spark.readStream.schema(ALERTS_SCHEMA).options(**src.stream_options()).parquet(src.path)
+    sink = scratch_path(spark, "kpis")
+    jobs.run_to_completion(jobs.start_kpis(events, sink, scratch_path(spark, "ckpt-kpis"), trigger=AVAILABLE_NOW))
+    return jobs.read_kpis(spark, sink)

@@ -213,6 +213,47 @@ def read_velocity(spark, sink_path: str) -> DataFrame:
     )
 
 
+def start_kpis(
+    alerts: DataFrame,
+    sink_path: str,
+    checkpoint: str,
+    score_col: str = "adverse_event_risk_score",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Running totals (evaluations, sum of decisions) over the alerts stream.
+
+    A global streaming aggregate: its state is one row however much data
+    flows, so a monitor never rescans the table.  Complete mode re-emits the
+    totals each micro-batch into that batch's partition; ``read_kpis`` turns
+    the latest totals into the KPI row.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(sink_path)
+        )
+
+    totals = alerts.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(score_col)).alias("s"))
+    writer = totals.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+def read_kpis(spark, sink_path: str) -> DataFrame:
+    """KPI row from the latest running totals (same columns as ``monitor.kpi_summary``)."""
+    latest = spark.read.parquet(sink_path).agg(F.max_by("n", "batch_id").alias("n"), F.max_by("s", "batch_id").alias("s"))
+    n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
+    high = F.coalesce(F.col("s").try_cast("bigint"), F.lit(0).cast("bigint"))
+    return latest.select(
+        n.alias("total_evaluations"),
+        high.alias("high_risk_alerts"),
+        F.when(n > 0, F.lit(100.0) * high.cast("double") / n.cast("double")).otherwise(F.lit(0.0)).alias("high_risk_ratio"),
+    )
+
+
 def run_to_completion(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     """Block until an ``availableNow`` query drains its input; re-raise failures."""
     query.awaitTermination(timeout_s)
