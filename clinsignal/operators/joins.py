@@ -40,6 +40,10 @@ def lookup_join(
     if table.count() <= max_broadcast_rows:
         return rows.join(F.broadcast(table), keys, how)
     salt = "__salt"
-    salted_rows = rows.withColumn(salt, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
+    # every salt bucket holds a full replica of the key table, so the salt only
+    # spreads load and any value is correct; hash the atomic-typed columns
+    atomic = [c for c, t in rows.dtypes if not t.startswith(("map", "array", "struct", "vector"))]
+    spread = F.xxhash64(*atomic) if atomic else F.monotonically_increasing_id()
+    salted_rows = rows.withColumn(salt, F.pmod(spread, F.lit(salts)))
     salted_table = table.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return salted_rows.join(salted_table, [*keys, salt], how).drop(salt)
