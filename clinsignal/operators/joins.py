@@ -8,8 +8,8 @@ side may be huge and skewed (one key can hold a third of all rows).
 
 1. checkpoints the per-key table to the shared folder (lineage cut, computed
    once, exact size known);
-2. broadcasts it when it has at most ``max_broadcast_rows`` rows -- the row
-   side is then never shuffled;
+2. broadcasts it when it has at most ``max_broadcast_rows`` rows and an
+   estimated ``max_broadcast_bytes`` -- the row side is then never shuffled;
 3. otherwise joins with a salt: each row side record gets one of ``salts``
    buckets (hash of the row, deterministic), and the key table is replicated
    once per bucket, so a hot key is spread over ``salts`` tasks.
@@ -23,9 +23,23 @@ from pyspark.sql import functions as F
 from clinsignal.session import work_dir
 
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_SALTS = 16
 
 
+def estimated_size(table: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) in one pass: string / binary octets plus 8 bytes for every
+    other field -- a bound on what a broadcast of the table would hold."""
+    text_cols = [c for c, t in table.dtypes if t in ("string", "binary")]
+    fixed = 8 * (len(table.columns) - len(text_cols))
+    row = table.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.coalesce(F.sum(F.octet_length(c)), F.lit(0)).alias(f"b{i}") for i, c in enumerate(text_cols)],
+    ).first()
+    n = int(row["n"])
+    return n, n * fixed + sum(int(row[f"b{i}"]) for i in range(len(text_cols)))
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
@@ -33,11 +47,13 @@ def lookup_join(
     how: str = "left",
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     salts: int = DEFAULT_SALTS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """``rows`` joined with ``table`` (unique on ``keys``); see module doc."""
     work_dir(rows.sparkSession)  # reliable checkpoint folder
     table = table.checkpoint(eager=True)
-    if table.count() <= max_broadcast_rows:
+    n_rows, n_bytes = estimated_size(table)
+    if n_rows <= max_broadcast_rows and n_bytes <= max_broadcast_bytes:
         return rows.join(F.broadcast(table), keys, how)
     salt = "__salt"
     # every salt bucket holds a full replica of the key table, so the salt only
