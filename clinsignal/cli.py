@@ -52,6 +52,13 @@ def cmd_ingest(args) -> None:
 
 def cmd_standardize(args) -> None:
     spark = _session("clinsignal-standardize")
+    if args.incremental:
+        schema = read_table(spark, args.silver, args.format).schema
+        stream = spark.readStream.format(args.format).schema(schema).load(args.silver)
+        q = jobs.start_standardize(stream, args.gold, args.checkpoint, args.format, {"availableNow": True})
+        jobs.run_to_completion(q)
+        print(f"gold (incremental): {args.gold}")
+        return
     silver = read_table(spark, args.silver, args.format)
     path = write_snapshot(standardize(silver), args.gold, args.format)
     preview = read_snapshot(spark, args.gold, args.format).select(
@@ -138,6 +145,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--silver", required=True)
     p.add_argument("--gold", required=True)
     p.add_argument("--format", default="parquet")
+    p.add_argument("--incremental", action="store_true", help="append only rows new since the last run (needs --checkpoint)")
+    p.add_argument("--checkpoint")
     p.set_defaults(fn=cmd_standardize)
 
     p = sub.add_parser("inspect-silver")

@@ -40,6 +40,18 @@ def stream_ingest_q(spark: SparkSession, sf_dir: str):
     return spark.read.parquet(sink).select(*SILVER_COLS)
 
 
+@query("gold_incremental", with_base(f"SELECT {SILVER_COLS_SQL}, rxnorm_id, snomed_code FROM gold"))
+def gold_incremental_q(spark: SparkSession, sf_dir: str):
+    """Topic -> silver stream, then silver (as a stream) -> gold, appending only new rows."""
+    silver_path, gold_path = scratch_path(spark, "silver-inc"), scratch_path(spark, "gold-inc")
+    q = jobs.start_ingest(_raw_stream(spark, sf_dir), silver_path, scratch_path(spark, "ckpt-silver-inc"), trigger=AVAILABLE_NOW)
+    jobs.run_to_completion(q)
+    silver_stream = spark.readStream.schema(spark.read.parquet(silver_path).schema).parquet(silver_path)
+    q = jobs.start_standardize(silver_stream, gold_path, scratch_path(spark, "ckpt-gold-inc"), trigger=AVAILABLE_NOW)
+    jobs.run_to_completion(q)
+    return spark.read.parquet(gold_path).select(*SILVER_COLS, "rxnorm_id", "snomed_code")
+
+
 @query("stream_score", with_base(alerts_out_sql(with_time=False)))
 def stream_score_q(spark: SparkSession, sf_dir: str):
     """Topic -> payload -> inline codes -> aligned features -> score -> alerts sink."""

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clinsignal.functions.numeric import coerce_bigint
 from clinsignal.functions.vocab import rxnorm_code, snomed_code
+from clinsignal.operators.enrich import standardize
 from clinsignal.operators.features import align_features
 from clinsignal.operators.ingest import parse_events, parse_payload, sanitize
 from clinsignal.operators.scoring import Scorecard, score
@@ -56,6 +57,28 @@ def start_ingest(
     return _trigger(writer, trigger).start(sink_path)
 
 
+def start_standardize(
+    silver: DataFrame,
+    gold_path: str,
+    checkpoint: str,
+    sink_fmt: str = "parquet",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Incremental gold: code only the silver files added since the last run.
+
+    ``silver`` is the silver table read as a stream (its file-sink commit log
+    lists what is new); with ``availableNow`` this is a batch job that never
+    re-codes old rows, in place of rewriting gold from all of silver.
+    """
+    writer = (
+        standardize(silver)
+        .writeStream.format(sink_fmt)
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+    )
+    return _trigger(writer, trigger).start(gold_path)
+
+
 # -- scoring ----------------------------------------------------------------------
 
 

@@ -79,3 +79,15 @@ def test_velocity_stream_counts(spark, sf_small):
     jobs.run_to_completion(jobs.start_velocity(events, sink, scratch_path(spark, "ckpt-v"), trigger=NOW))
     counts = jobs.read_velocity(spark, sink)
     assert counts.agg(F.sum("message_count")).first()[0] == 1000
+
+
+def test_incremental_gold_codes_only_new_rows(spark, topic):
+    silver, gold = scratch_path(spark, "silver-i"), scratch_path(spark, "gold-i")
+    ckpt_gold = scratch_path(spark, "ckpt-gi")
+    jobs.run_to_completion(jobs.start_ingest(_stream(spark, topic), silver, scratch_path(spark, "ckpt-si"), trigger=NOW))
+    schema = spark.read.parquet(silver).schema
+    jobs.run_to_completion(jobs.start_standardize(spark.readStream.schema(schema).parquet(silver), gold, ckpt_gold, trigger=NOW))
+    assert spark.read.parquet(gold).count() == 1000
+    # nothing new in silver: a second run appends nothing
+    jobs.run_to_completion(jobs.start_standardize(spark.readStream.schema(schema).parquet(silver), gold, ckpt_gold, trigger=NOW))
+    assert spark.read.parquet(gold).count() == 1000
