@@ -17,6 +17,9 @@ def test_stages_end_to_end(spark, sf_small, capsys):
     main(["ingest", *src, "--checkpoint", scratch_path(spark, "cli-c1"), "--silver", silver])
     assert spark.read.parquet(silver).count() == 1000
     main(["standardize", "--silver", silver, "--gold", gold])
+    gold_inc = scratch_path(spark, "cli-gold-inc")
+    main(["standardize", "--silver", silver, "--gold", gold_inc, "--incremental", "--checkpoint", scratch_path(spark, "cli-c0")])
+    assert spark.read.parquet(gold_inc).count() == 1000
     main(["inspect-silver", "--silver", silver])
     main(["train", "--gold", gold, "--registry", registry, "--max-iter", "3", "--max-depth", "3"])
     main(["train", "--gold", gold, "--registry", registry, "--name", "signal_detector_v1", "--contract", "v1",
