@@ -19,6 +19,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clinsignal.functions.numeric import coerce_bigint
 from clinsignal.operators.enrich import standardize
@@ -148,15 +149,21 @@ def v1_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_label(indicator_features(g))
 
 
+ALERTS_DATE = "evaluated_date"
+ALERTS_TABLE_SCHEMA = T.StructType(ALERTS_SCHEMA.fields + [T.StructField(ALERTS_DATE, T.DateType(), True)])
+
+
 def alerts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored alerts as a table (what the scoring job appends and reports read)."""
+    """Scored alerts as a table (what the scoring job appends and reports read),
+    partitioned by evaluation date so recent-window reports prune old partitions."""
     key = _key(spark, sf_dir, "alerts")
     with BUILD_LOCK:
         if key not in _TABLES:
             path = scratch_path(spark, "alerts")
-            alerts(spark, sf_dir).write.mode("errorifexists").parquet(path)
+            dated = alerts(spark, sf_dir).withColumn(ALERTS_DATE, F.to_date("evaluated_at"))
+            dated.write.mode("errorifexists").partitionBy(ALERTS_DATE).parquet(path)
             _TABLES[key] = path
-    return spark.read.schema(ALERTS_SCHEMA).parquet(_TABLES[key])
+    return spark.read.schema(ALERTS_TABLE_SCHEMA).parquet(_TABLES[key])
 
 
 def alerts(spark: SparkSession, sf_dir: str, model: Scorecard = DEFAULT_SCORECARD) -> DataFrame:

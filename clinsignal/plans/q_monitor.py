@@ -94,7 +94,7 @@ def _audit_sql() -> str:
 
 @query("audit_ledger", _audit_sql())
 def audit_ledger_q(spark: SparkSession, sf_dir: str):
-    return monitor.audit_ledger(P.alerts_table(spark, sf_dir))
+    return monitor.audit_ledger(P.alerts_table(spark, sf_dir), date_col=P.ALERTS_DATE)
 
 
 @query(

@@ -49,8 +49,10 @@ def test_kpis_read_one_column_with_partial_aggregation(spark, qs):
     assert "partial_sum" in plan
 
 
-def test_audit_ledger_is_a_top_k(spark, qs):
-    assert "TakeOrderedAndProject" in _plan(qs["audit_ledger"](spark, SF))
+def test_audit_ledger_is_a_top_k_over_the_newest_partitions(spark, qs):
+    plan = _plan(qs["audit_ledger"](spark, SF))
+    assert "TakeOrderedAndProject" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*evaluated_date", plan)
 
 
 def test_rule_table_codes_join_back_by_broadcast(spark, qs):
