@@ -113,15 +113,21 @@ def alerts_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     return _TOPICS[key]
 
 
-def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver layer as a table (written once, then scanned)."""
+SILVER_DATE = "ingested_date"
+
+
+def silver_table(spark: SparkSession, sf_dir: str, with_date: bool = False) -> DataFrame:
+    """The silver layer as a table (written once, then scanned), partitioned by
+    ingestion date; the partition column is returned only when asked for."""
     key = _key(spark, sf_dir, "silver")
     with BUILD_LOCK:
         if key not in _TABLES:
             path = scratch_path(spark, "silver")
-            silver(spark, sf_dir).write.mode("errorifexists").parquet(path)
+            dated = silver(spark, sf_dir).withColumn(SILVER_DATE, F.to_date("ingested_at"))
+            dated.write.mode("errorifexists").partitionBy(SILVER_DATE).parquet(path)
             _TABLES[key] = path
-    return spark.read.parquet(_TABLES[key])
+    table = spark.read.parquet(_TABLES[key])
+    return table if with_date else table.drop(SILVER_DATE)
 
 
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from clinsignal.functions.text import SSN_MASK, SSN_PATTERN, mask_ssn, normalize
 from clinsignal.functions.vocab import RXNORM_DEFAULT, RXNORM_RULES, SNOMED_DEFAULT, SNOMED_RULES, rxnorm_code, snomed_code
 from clinsignal.operators.enrich import standardize_by_table
 from clinsignal.operators.ingest import parse_payload
+from clinsignal.operators.monitor import newest_partitions
 from clinsignal.plans import pipeline as P
 from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import code_sql, lit, ts_text_sql, with_base
@@ -150,8 +151,8 @@ def silver_count_q(spark: SparkSession, sf_dir: str):
     ),
 )
 def silver_latest_q(spark: SparkSession, sf_dir: str):
-    """Newest 20 records (top-k: each task keeps 20, the final merge sees 20 x tasks)."""
-    s = P.silver_table(spark, sf_dir)
+    """Newest 20 records: a top-k over only the newest date partitions that hold 20 rows."""
+    s = newest_partitions(P.silver_table(spark, sf_dir, with_date=True), 20, P.SILVER_DATE)
     newest = s.orderBy(F.col("ingested_at").desc_nulls_last(), F.col("event_id")).limit(20)
     return _silver_out(newest)
 

@@ -61,3 +61,9 @@ def test_rule_table_codes_join_back_by_broadcast(spark, qs):
     plan = _plan(qs["code_by_rule_table"](spark, SF))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert "CartesianProduct" not in plan
+
+
+def test_silver_latest_scans_only_the_newest_partitions(spark, qs):
+    plan = _plan(qs["silver_latest"](spark, SF))
+    assert "TakeOrderedAndProject" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*ingested_date", plan)
