@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clinsignal.functions.numeric import percent_text, thousands
 from clinsignal.functions.text import clock_text, ts_text
+from clinsignal.sources.tables import newest_partitions
 
 # Display headings of the audit ledger, in column order.
 AUDIT_HEADINGS = [
@@ -63,25 +64,6 @@ def latest_first(alerts: DataFrame, ts_col: str = "evaluated_at", limit: int | N
     return ordered.limit(limit) if limit is not None else ordered
 
 
-def newest_partitions(alerts: DataFrame, rows: int, date_col: str) -> DataFrame:
-    """Restrict a date-partitioned table to the newest partitions that hold at
-    least ``rows`` rows (exact for a newest-first top-k).
-
-    Counting rows per partition value reads no column data (empty read
-    schema: row counts come from parquet metadata); the driver sees one row
-    per date, then the filter on the partition column prunes every older
-    partition from the scan.
-    """
-    counts = alerts.groupBy(date_col).agg(F.count(F.lit(1)).alias("n")).collect()
-    dated = sorted(((r[date_col], r["n"]) for r in counts if r[date_col] is not None), reverse=True)
-    total = 0
-    for day, n in dated:
-        total += n
-        if total >= rows:
-            return alerts.where(F.col(date_col) >= F.lit(day))
-    return alerts  # fewer than ``rows`` dated rows: undated ones are needed too
-
-
 def audit_ledger(alerts: DataFrame, rows: int = AUDIT_ROWS, date_col: str | None = None) -> DataFrame:
     """Latest ``rows`` evaluations with display headings.
 

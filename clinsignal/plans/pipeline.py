@@ -32,6 +32,7 @@ from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import write_snapshot
 from clinsignal.sources.tables import given_table
 from clinsignal.sources.topics import FileTopic, topic_frame, write_time_ordered_files
+from clinsignal.streaming import jobs
 
 RECORD_TS = "record_ts"
 
@@ -113,7 +114,7 @@ def alerts_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     return _TOPICS[key]
 
 
-SILVER_DATE = "ingested_date"
+SILVER_DATE = jobs.SILVER_DATE
 
 
 def silver_table(spark: SparkSession, sf_dir: str, with_date: bool = False) -> DataFrame:
@@ -155,7 +156,7 @@ def v1_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_label(indicator_features(g))
 
 
-ALERTS_DATE = "evaluated_date"
+ALERTS_DATE = jobs.ALERTS_DATE
 ALERTS_TABLE_SCHEMA = T.StructType(ALERTS_SCHEMA.fields + [T.StructField(ALERTS_DATE, T.DateType(), True)])
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinsignal.schemas import FEATURE_CONTRACT_V1
@@ -62,3 +63,22 @@ def literal_vector(spark: SparkSession, rows: list[tuple] | None = None) -> Data
     # The triage sample vector.
     default_rows = [(145.0, 92.0, 1, 1)]
     return spark.createDataFrame(rows or default_rows, FEATURE_CONTRACT_V1)
+
+
+def newest_partitions(table: DataFrame, rows: int, date_col: str) -> DataFrame:
+    """Restrict a date-partitioned table to the newest partitions that hold at
+    least ``rows`` rows (exact for a newest-first top-k).
+
+    Counting rows per partition value reads no column data (empty read
+    schema: row counts come from parquet metadata); the driver sees one row
+    per date, then the filter on the partition column prunes every older
+    partition from the scan.
+    """
+    counts = table.groupBy(date_col).agg(F.count(F.lit(1)).alias("n")).collect()
+    dated = sorted(((r[date_col], r["n"]) for r in counts if r[date_col] is not None), reverse=True)
+    total = 0
+    for day, n in dated:
+        total += n
+        if total >= rows:
+            return table.where(F.col(date_col) >= F.lit(day))
+    return table  # fewer than ``rows`` dated rows: undated ones are needed too

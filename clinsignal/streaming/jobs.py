@@ -22,6 +22,9 @@ from clinsignal.operators.scoring import Scorecard, score
 from clinsignal.schemas import ALERTS_SCHEMA, INFERENCE_PAYLOAD_SCHEMA, SCORING_PAYLOAD_SCHEMA
 
 ALERT_COLUMNS = [f.name for f in ALERTS_SCHEMA.fields]
+# date partition columns of the silver and alerts tables
+SILVER_DATE = "ingested_date"
+ALERTS_DATE = "evaluated_date"
 
 
 def _trigger(writer, trigger: dict | None):
@@ -45,11 +48,13 @@ def start_ingest(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Append the sanitized stream to the silver table (exactly-once via the
-    sink's commit log and the checkpoint)."""
+    sink's commit log and the checkpoint), partitioned by ingestion date."""
     writer = (
         sanitized_stream(raw)
+        .withColumn(SILVER_DATE, F.to_date("ingested_at"))
         .writeStream.format(sink_fmt)
         .outputMode("append")
+        .partitionBy(SILVER_DATE)
         .option("checkpointLocation", checkpoint)
     )
     if query_name:
@@ -118,8 +123,10 @@ def start_scoring(
 ) -> StreamingQuery:
     writer = (
         scored_stream(raw, model, enrich_inline)
+        .withColumn(ALERTS_DATE, F.to_date("evaluated_at"))
         .writeStream.format(sink_fmt)
         .outputMode("append")
+        .partitionBy(ALERTS_DATE)
         .option("checkpointLocation", checkpoint)
     )
     return _trigger(writer, trigger).start(sink_path)
