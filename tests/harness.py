@@ -33,13 +33,17 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# decimal digits doubles are rounded to before comparing (None: exact)
+FLOAT_DIGITS: int | None = 6
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6)
+        return v if FLOAT_DIGITS is None else round(v, FLOAT_DIGITS)
     if hasattr(v, "item"):
         return _norm(v.item())
     return v
@@ -83,6 +87,9 @@ def main(argv: list[str]) -> int:
 
     from clinsignal.session import local_session
 
+    global FLOAT_DIGITS
+    if argv and argv[0] == "--exact":
+        FLOAT_DIGITS, argv = None, argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     keys = argv[1:]
     spark = local_session()
