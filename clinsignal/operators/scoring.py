@@ -12,9 +12,12 @@ the 0/1 class decision as double.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -157,3 +160,52 @@ def triage(scored: DataFrame, prob_col: str = "risk_probability", alerts_only: b
     p = F.col(prob_col)
     out = scored.withColumn("status", F.when(p > ALERT_THRESHOLD, F.lit("ALERT")).otherwise(F.lit("NORMAL")))
     return out.where(p > ALERT_THRESHOLD) if alerts_only else out
+
+
+def score_python_model(df: DataFrame, model, features: list[str] = FEATURES) -> DataFrame:
+    """Score with a model that only exists in Python (e.g. a foreign booster).
+
+    An Arrow-batched ``pandas_udf`` over the struct of feature columns.  The
+    model travels once as cloudpickled bytes in a broadcast variable and is
+    unpickled once per task.  ``model`` has ``predict_proba(X) -> (n, 2)`` or is
+    a callable ``X -> P(positive)``, where ``X`` is a pandas frame with
+    ``features`` as columns.  Spark ML models do not need this path (``score``
+    runs them in the JVM).
+    """
+    payload = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    loaded: dict[str, object] = {}
+
+    @F.pandas_udf("double")
+    def predict(x: pd.DataFrame) -> pd.Series:
+        if "model" not in loaded:
+            loaded["model"] = cloudpickle.loads(payload.value)
+        m = loaded["model"]
+        out = m.predict_proba(x)[:, 1] if hasattr(m, "predict_proba") else m(x)
+        return pd.Series(out, index=x.index, dtype="float64")
+
+    return df.withColumn("risk_probability", predict(F.struct(*features))).withColumn(
+        "adverse_event_risk_score", decision(F.col("risk_probability"))
+    )
+
+
+class NumpyScorecard:
+    """A scorecard as a plain Python model object (for the Python-model path)."""
+
+    def __init__(self, card: Scorecard):
+        self.terms = [(t.feature, t.weight, t.center, t.equals) for t in card.terms]
+        self.intercept = card.intercept
+
+    def __call__(self, x):
+        margin = np.full(len(x), self.intercept, dtype="float64")
+        for feature, weight, center, equals in self.terms:
+            v = x[feature].to_numpy(dtype="float64")
+            if equals is not None:
+                v = (v == equals).astype("float64")
+            margin = margin + weight * (v - center)
+        return 1.0 / (1.0 + np.exp(-margin))
+
+
+# Helpers defined here (e.g. ``NumpyScorecard``) travel to executors by value,
+# so workers need only numpy / pandas; installed foreign model classes still
+# pickle by reference.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -18,7 +18,16 @@ from clinsignal.operators.features import (
 )
 from clinsignal.operators.ingest import parse_payload
 from clinsignal.operators.ledger import record_run
-from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard, log_odds, score, train_gbt, triage
+from clinsignal.operators.scoring import (
+    DEFAULT_SCORECARD,
+    NumpyScorecard,
+    Scorecard,
+    log_odds,
+    score,
+    score_python_model,
+    train_gbt,
+    triage,
+)
 from clinsignal.plans import pipeline as P
 from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import margin_sql, sigmoid_sql, test_side_sql, with_base
@@ -302,6 +311,21 @@ def run_ledger_q(spark: SparkSession, sf_dir: str):
     )
 
 
+@query(
+    "score_python_model",
+    with_base(
+        f"SELECT event_id, round({sigmoid_sql(margin_sql())}, {ROUND}) AS risk_probability, "
+        f"CASE WHEN {sigmoid_sql(margin_sql())} > 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END "
+        "AS adverse_event_risk_score FROM feats"
+    ),
+)
+def score_python_model_q(spark: SparkSession, sf_dir: str):
+    """A Python-only model applied through an Arrow-batched pandas UDF (here a
+    NumPy form of the scorecard, so the result is SQL-checkable)."""
+    scored = score_python_model(P.features(spark, sf_dir), NumpyScorecard(DEFAULT_SCORECARD))
+    return scored.select("event_id", _r("risk_probability").alias("risk_probability"), "adverse_event_risk_score")
+
+
 # -- gradient-boosted trees (rows-only: scores differ by engine) ----------------------
 
 _MODELS: dict[tuple, object] = {}

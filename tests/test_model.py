@@ -177,3 +177,23 @@ def test_lookup_join_size_estimate(spark):
 
     t = spark.createDataFrame([("abc", 1), ("de", 2)], "k string, v long")
     assert estimated_size(t) == (2, 2 * 8 + 5)
+
+
+class _ProbaModel:
+    """A foreign-style model object with predict_proba (as sklearn / boosters have)."""
+
+    def predict_proba(self, x):
+        p = (x["systolic_bp"].to_numpy() > 140).astype("float64") * 0.8 + 0.1
+        return np.column_stack([1 - p, p])
+
+
+def test_python_model_path_matches_native_scorecard(spark, sf_small):
+    from clinsignal.operators.scoring import NumpyScorecard, score_python_model
+
+    f = P.features(spark, sf_small)
+    native = score(f, DEFAULT_SCORECARD).select("event_id", F.col("risk_probability").alias("a"))
+    foreign = score_python_model(f, NumpyScorecard(DEFAULT_SCORECARD)).select("event_id", F.col("risk_probability").alias("b"))
+    gap = native.join(foreign, "event_id").select(F.max(F.abs(F.col("a") - F.col("b")))).first()[0]
+    assert gap < 1e-12
+    proba = score_python_model(f, _ProbaModel())
+    assert proba.where((F.col("risk_probability") > 0.5) != (F.col("systolic_bp") > 140)).count() == 0
