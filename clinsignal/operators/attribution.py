@@ -147,10 +147,21 @@ def shapley_weights(m: int) -> list[tuple[int, tuple[int, ...], float]]:
     return out
 
 
-def coalition_values(x: np.ndarray, leaves: dict[str, np.ndarray], chunk: int = 256) -> np.ndarray:
-    """v(S) for every coalition S (bit mask) and row: shape (rows, 2^M)."""
+# Working memory per chunk of vectors: (chunk x leaves) float64 matrices.
+CHUNK_BYTES = 128 * 1024 * 1024
+
+
+def coalition_values(x: np.ndarray, leaves: dict[str, np.ndarray], chunk: int | None = None) -> np.ndarray:
+    """v(S) for every coalition S (bit mask) and row: shape (rows, 2^M).
+
+    Vectors are processed in chunks sized so that the (chunk x leaves)
+    intermediates stay near ``CHUNK_BYTES`` whatever the model size.
+    """
     n, m = x.shape
     value, lo, hi, cover = leaves["value"], leaves["lo"], leaves["hi"], leaves["cover"]
+    if chunk is None:
+        per_vector = max(1, lo.shape[0]) * (8 + m)  # one float64 factor + m booleans per leaf
+        chunk = int(max(1, min(4096, CHUNK_BYTES // per_vector)))
     out = np.empty((n, 2**m), dtype=np.float64)
     for start in range(0, n, chunk):
         xb = x[start : start + chunk]
