@@ -82,3 +82,19 @@ def test_json_roundtrip_keeps_nulls(spark, sf_small):
     payload = P.raw_topic(spark, sf_small).select(F.col("value").cast("string").alias("v"))
     with_null = payload.where(F.col("v").contains('"patient_ssn":null')).count()
     assert with_null > 0  # null fields are written as JSON nulls, not dropped
+
+
+def test_fixture_goldens_across_scales(spark):
+    """Golden counts of FIXTURES.md: high-risk alerts and threshold-label positives per scale."""
+    from clinsignal.operators.features import split
+
+    expected = {
+        "/root/testdata/sf0.001": (407, 393),
+        "/root/testdata/sf0.01": (4158, 3921),
+        "/root/testdata/sf0.1": (41460, 39216),
+    }
+    for sf, (high_risk, positives) in expected.items():
+        assert P.alerts(spark, sf).where(F.col("adverse_event_risk_score") == 1.0).count() == high_risk
+        assert P.features(spark, sf).where(F.col("label") == 1).count() == positives
+    _, test = split(P.features(spark, "/root/testdata/sf0.01"))
+    assert test.count() == 1986
