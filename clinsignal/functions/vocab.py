@@ -56,12 +56,59 @@ def java_pattern(pattern: str) -> str:
     return JAVA_PREFIX + pattern
 
 
+_QUANTIFIERS = set("?*+{")
+_METACHARS = set("[](){}?*+.\\^$|") | _QUANTIFIERS
+
+
+def required_words(pattern: str) -> list[str] | None:
+    """Literal words one of which must occur in any text the pattern matches.
+
+    For patterns shaped ``\\b(alt|alt|...)...`` (all shipped rules), each
+    alternative cut before its first regex metacharacter (one character
+    earlier when that is a quantifier).  ``None`` for any other shape: no
+    pre-check is used then.
+    """
+    if not pattern.startswith("\\b("):
+        return None
+    close = pattern.find(")", 3)
+    group = pattern[3:close] if close > 0 else ""
+    if not group or "(" in group or "\\" in group:
+        return None
+    words = []
+    for alt in group.split("|"):
+        cut = next((i for i, ch in enumerate(alt) if ch in _METACHARS), len(alt))
+        if cut < len(alt) and alt[cut] in _QUANTIFIERS:
+            cut -= 1
+        if cut <= 0:
+            return None
+        words.append(alt[:cut])
+    return words
+
+
+def rule_hit(normalized: Column, pattern: str) -> Column:
+    """``normalized RLIKE pattern``, behind a literal pre-check when one exists.
+
+    A byte search for the rule's required words is far cheaper than a regex
+    scan of a long text; ``AND`` short-circuits, so the regex only runs on
+    texts that contain one of them.  The result is the same either way.
+    """
+    regex = normalized.rlike(java_pattern(pattern))
+    words = required_words(pattern)
+    if not words:
+        return regex
+    present = None
+    for w in words:
+        c = normalized.contains(w)
+        present = c if present is None else present | c
+    return present & regex
+
+
 def code_expr(text: Column | str, rules: list[tuple[str, str]], default: str) -> Column:
     """Native first-match coder: null / empty / no match -> ``default``."""
     normalized = normalize_text(text)
     expr = None
     for pattern, code in rules:
-        hit = normalized.rlike(java_pattern(pattern))
+        hit = rule_hit(normalized, pattern)
         expr = F.when(hit, F.lit(code)) if expr is None else expr.when(hit, F.lit(code))
     if expr is None:
         return F.lit(default)

@@ -115,6 +115,17 @@ def test_rule_table_coder_matches_case_coder(spark):
     assert a == b
 
 
+def test_required_words():
+    from clinsignal.functions.vocab import required_words
+
+    assert required_words(r"\b(amlodipin[e]?|norvasc)\b") == ["amlodipin", "norvasc"]
+    assert required_words(r"\b(kidney|renal)\b.*(injury|failure)\b") == ["kidney", "renal"]
+    assert required_words(r"\b(colou?r|x)\b") == ["colo", "x"]  # quantifier drops the char before it
+    assert required_words(r"\b(a*b)\b") is None
+    assert required_words(r"(a|b)") is None
+    assert required_words(r"\b(a(b|c))\b") is None
+
+
 def test_coder_plan_is_native(spark):
     df = _one_col(spark, ["x"]).select(snomed_code("x").alias("c"), rxnorm_code("x").alias("r"))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -122,10 +133,15 @@ def test_coder_plan_is_native(spark):
 
 
 WORDS = ["kidney", "renal", "injury", "failure", "rash", "dizzy", "cough", "muscle pain", "zocor", "advil",
-         "norvasc", "amlodipine", "x", "lightheaded", "lightheadedness", "-", ".", " ", "\n"]
+         "norvasc", "amlodipine", "x", "lightheaded", "lightheadedness", "-", ".", " ", "\n",
+         # every rule word, plus near misses around word boundaries
+         "amlodipin", "amlodipinee", "norvascs", "lisinopril", "lisinosyn", "prinivil", "zestril", "simvastatin",
+         "metformin", "glucophage", "ibuprofen", "motrin", "creatinine", "nephro", "nephrology", "elevated",
+         "damage", "myalgia", "rhabdo", "muscle ache", "swelling", "urticaria", "injection site", "dizziness",
+         "vertigo", "dry cough", "persistent cough", "xrash", "coughs", "\r"]
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=40, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(WORDS), max_size=8).map(" ".join), min_size=1, max_size=20))
 def test_native_coder_equals_python_restatement(spark, texts):
     got_rx = _apply(spark, texts, rxnorm_code("x"))
