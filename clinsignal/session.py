@@ -31,9 +31,14 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "clinsignal") -> SparkSession:
+def local_session(
+    cores: int | str = "*",
+    shuffle_partitions: int = 8,
+    app: str = "clinsignal",
+    extra_conf: dict[str, str] | None = None,
+) -> SparkSession:
     """Session for tests, bench and the smoke entry point (never used on a cluster)."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -41,8 +46,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in (extra_conf or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
