@@ -5,20 +5,16 @@ Two equivalent forms:
 * ``code_expr``  folds the ordered rules into one native ``CASE WHEN ... RLIKE``
   expression.  No Python at run time; it stays inside whole-stage codegen and
   needs no shuffle.  Right for short rule lists (the shipped ones have 5).
-* ``code_join``  table-driven form for long vocabularies: distinct normalized
-  texts (map-side pre-aggregated) are matched against a size-checked broadcast
-  rule table, the best rule per text is kept with ``min_by(code, priority)``,
-  and the result is joined back (``operators.joins.lookup_join``).
+* the table-driven form for long vocabularies is an operator
+  (``operators.enrich.code_join``): it needs a join, not just an expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clinsignal.functions.text import normalize_text
-from clinsignal.operators.joins import lookup_join
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the source pipeline's vocabularies): pattern, code,
@@ -47,11 +43,6 @@ SNOMED_DEFAULT = "000000000"
 # \n only, like the regex engines the rules were written for.
 JAVA_PREFIX = "(?d)"
 
-# A rule table above this many rows is not broadcast (the rule table is the
-# only broadcast side of ``code_join``).
-MAX_BROADCAST_RULES = 100_000
-
-
 def java_pattern(pattern: str) -> str:
     return JAVA_PREFIX + pattern
 
@@ -121,50 +112,3 @@ def rxnorm_code(text: Column | str) -> Column:
 
 def snomed_code(text: Column | str) -> Column:
     return code_expr(text, SNOMED_RULES, SNOMED_DEFAULT)
-
-
-_RULE_TABLE_SCHEMA = T.StructType(
-    [
-        T.StructField("priority", T.IntegerType(), False),
-        T.StructField("pattern", T.StringType(), False),
-        T.StructField("code", T.StringType(), False),
-    ]
-)
-
-
-def rules_frame(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """Rule list as a (priority, pattern, code) table, Java-dialect patterns."""
-    rows = [(i, java_pattern(p), c) for i, (p, c) in enumerate(rules)]
-    return spark.createDataFrame(rows, _RULE_TABLE_SCHEMA)
-
-
-def code_join(
-    df: DataFrame,
-    text_col: str,
-    rules: DataFrame,
-    out_col: str,
-    default: str,
-    rule_count: int | None = None,
-) -> DataFrame:
-    """Table-driven coder, same result as ``code_expr``.
-
-    ``rules`` has columns (priority, pattern, code).  Its row count is checked
-    before it is broadcast (pass ``rule_count`` when it is already known).
-    """
-    n_rules = rule_count if rule_count is not None else rules.count()
-    if n_rules > MAX_BROADCAST_RULES:
-        raise ValueError(f"rule table has {n_rules} rows; above {MAX_BROADCAST_RULES} it is not broadcast")
-    key = f"__{out_col}_text"
-    keyed = df.withColumn(key, normalize_text(F.col(text_col)))
-    texts = keyed.select(key).where(F.col(key).isNotNull()).distinct()
-    best = (
-        texts.join(F.broadcast(rules), F.expr(f"`{key}` RLIKE pattern"))
-        .groupBy(key)
-        .agg(F.min_by("code", "priority").alias(f"__{out_col}_code"))
-    )
-    # one row per distinct text: size-checked broadcast, else a salted join
-    return (
-        lookup_join(keyed, best, [key])
-        .withColumn(out_col, F.coalesce(F.col(f"__{out_col}_code"), F.lit(default)))
-        .drop(key, f"__{out_col}_code")
-    )

@@ -16,11 +16,10 @@ from clinsignal.functions.vocab import (
     RXNORM_RULES,
     SNOMED_DEFAULT,
     SNOMED_RULES,
-    code_join,
-    rules_frame,
     rxnorm_code,
     snomed_code,
 )
+from clinsignal.operators.enrich import code_join, rules_frame
 
 
 def _one_col(spark, values, dtype=T.StringType()):
