@@ -53,7 +53,9 @@ def main(argv: list[str]) -> None:
     print("# Plan census\n")
     print(f"Executed physical plans of every registered query at `{sf_dir}` (local, AQE initial plans).")
     print("Round-robin exchanges come from spreading single-row-group test inputs over the cores; a large")
-    print("table scans as many splits and skips them. Scans: columns read / pushed filters / partition pruning.\n")
+    print("table scans as many splits and skips them. Scans: columns in the read schema (date partition columns")
+    print("included; they are not read from files) / pushed filters / partition pruning. Work a query did while")
+    print("it was built (checkpointed per-key tables, model fits, stream runs) is not in its final plan.\n")
     print("| query | hash | range | round-robin | single | broadcast | joins | python | top-k | scans |")
     print("|---|---|---|---|---|---|---|---|---|---|")
     for name, fn in queries().items():
