@@ -115,9 +115,10 @@ def cmd_triage(args) -> None:
 def cmd_report(args) -> None:
     spark = _session("clinsignal-report")
     alerts = read_table_or_empty(spark, args.alerts, ALERTS_SCHEMA)
+    dated = jobs.ALERTS_DATE in alerts.columns  # date-partitioned tables prune old partitions
     monitor.kpi_text(monitor.kpi_summary(alerts)).show(truncate=False)
     monitor.velocity_by_clock(alerts).show(args.rows, truncate=False)
-    monitor.audit_ledger(alerts).show(truncate=False)
+    monitor.audit_ledger(alerts, date_col=jobs.ALERTS_DATE if dated else None).show(truncate=False)
 
 
 def _topic_args(p: argparse.ArgumentParser) -> None:

@@ -135,8 +135,9 @@ def start_scoring(
 def fanout_writer(alerts_path: str, mirror: str | None = "console", mirror_rows: int = 20, fmt: str = "parquet"):
     """foreachBatch function: score once, write alerts and a mirror.
 
-    The batch is persisted so both sinks reuse one computation.  Each sink
-    overwrites only its ``batch_id=<id>`` partition, so a retried batch
+    The batch is persisted so both sinks reuse one computation.  Output is
+    partitioned by evaluation date (like every alerts table) and batch id; each
+    sink overwrites only its own ``batch_id=<id>`` partitions, so a retried batch
     (foreachBatch is at-least-once) replaces its own output instead of
     duplicating it.  ``mirror`` is "console", None, or a table path.
     """
@@ -144,12 +145,14 @@ def fanout_writer(alerts_path: str, mirror: str | None = "console", mirror_rows:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            tagged = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            tagged = batch.withColumn(ALERTS_DATE, F.to_date("evaluated_at")).withColumn(
+                "batch_id", F.lit(batch_id).cast("bigint")
+            )
             (
                 tagged.write.format(fmt)
                 .mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
+                .partitionBy(ALERTS_DATE, "batch_id")
                 .save(alerts_path)
             )
             if mirror == "console":
@@ -159,7 +162,7 @@ def fanout_writer(alerts_path: str, mirror: str | None = "console", mirror_rows:
                     tagged.write.format(fmt)
                     .mode("overwrite")
                     .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy("batch_id")
+                    .partitionBy(ALERTS_DATE, "batch_id")
                     .save(mirror)
                 )
         finally:
