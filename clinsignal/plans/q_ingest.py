@@ -14,7 +14,7 @@ from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import code_sql, lit, ts_text_sql, with_base
 from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import read_snapshot, write_snapshot
-from clinsignal.sources.tables import given_table, newest_partitions, read_table
+from clinsignal.sources.tables import given_table, newest_partitions
 
 SILVER_COLS = [
     "event_id",
@@ -131,10 +131,8 @@ def encode_payload_q(spark: SparkSession, sf_dir: str):
 
 @query("silver_scan", with_base(SILVER_OUT_SQL))
 def silver_scan_q(spark: SparkSession, sf_dir: str):
-    """Write the silver table, then scan it back (the batch reader's view)."""
-    path = scratch_path(spark, "silver")
-    P.silver(spark, sf_dir).write.mode("errorifexists").parquet(path)
-    return _silver_out(read_table(spark, path))
+    """Snapshot scan of the written silver table (the batch reader's view)."""
+    return _silver_out(P.silver_table(spark, sf_dir))
 
 
 @query("silver_count", with_base("SELECT CAST(count(*) AS BIGINT) AS n_records FROM silver"))
