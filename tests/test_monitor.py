@@ -56,3 +56,29 @@ def test_compaction_keeps_rows(spark, sf_small):
     path = compact(spark, src, root, 2)
     assert spark.read.parquet(path).count() == 1000
     assert len([f for f in spark.read.parquet(path).inputFiles()]) <= 2
+
+
+def test_newest_partitions_is_exact_for_top_k(spark):
+    from pyspark.sql import types as T
+
+    from clinsignal.sources.tables import newest_partitions
+
+    rows = (
+        [(f"a{i}", f"2024-01-01 0{i % 10}:00:00") for i in range(10)]  # 10 rows on day 1
+        + [("b0", "2024-01-02 01:00:00"), ("b1", "2024-01-02 02:00:00")]  # 2 rows on day 2
+        + [("c0", "2024-01-03 05:00:00")]  # 1 row on day 3
+        + [("n0", None)]  # undated
+    )
+    path = scratch_path(spark, "dated")
+    schema = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("ts", T.StringType())])
+    df = spark.createDataFrame(rows, schema).select("event_id", F.col("ts").cast("timestamp").alias("evaluated_at"))
+    df.withColumn("d", F.to_date("evaluated_at")).write.partitionBy("d").parquet(path)
+    table = spark.read.parquet(path)
+
+    def top(t, k):
+        return [r[0] for r in monitor.latest_first(t, limit=k).select("event_id").collect()]
+
+    for k in (1, 3, 4, 13, 14, 20):
+        assert top(newest_partitions(table, k, "d"), k) == top(table, k)
+    # 4 newest rows need days 3 and 2 and part of day 1 -> days 1..3 kept, undated dropped
+    assert newest_partitions(table, 4, "d").where(F.col("d").isNull()).count() == 0
