@@ -9,7 +9,7 @@ from clinsignal.functions.text import SSN_MASK, SSN_PATTERN, mask_ssn, normalize
 from clinsignal.functions.vocab import RXNORM_DEFAULT, RXNORM_RULES, SNOMED_DEFAULT, SNOMED_RULES, rxnorm_code, snomed_code
 from clinsignal.operators.enrich import standardize_by_table
 from clinsignal.operators.ingest import parse_payload
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import code_sql, lit, ts_text_sql, with_base
 from clinsignal.session import scratch_path

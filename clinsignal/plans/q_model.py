@@ -28,7 +28,7 @@ from clinsignal.operators.scoring import (
     train_gbt,
     triage,
 )
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import margin_sql, sigmoid_sql, test_side_sql, with_base
 from clinsignal.schemas import FEATURE_CONTRACT_V4, FEATURES

@@ -9,7 +9,7 @@ from clinsignal.functions.numeric import percent_text
 from clinsignal.functions.text import ts_text
 from clinsignal.operators import monitor
 from clinsignal.operators.scoring import triage
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import ts_text_sql, with_base
 from clinsignal.schemas import ALERTS_SCHEMA

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.plans.q_ingest import SILVER_COLS, SILVER_COLS_SQL
 from clinsignal.plans.q_monitor import alerts_out, alerts_out_sql  # also registers kpi_summary (oracle reused below)
 from clinsignal.plans.registry import ORACLES, query

@@ -1,7 +1,7 @@
 """DuckDB-dialect SQL for the shared derivations (the oracle side).
 
 Each oracle query is ``BASE_CTES`` followed by its own SELECT.  The CTEs
-mirror ``plans.pipeline`` step by step: clinical_raw -> silver -> gold ->
+mirror ``plans.layers`` step by step: clinical_raw -> silver -> gold ->
 feats (training frame) -> alerts.
 """
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clinsignal.cli import main
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
 from clinsignal.sources.tables import read_table_or_empty

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinsignal.operators.ingest import parse_events, parse_payload, sanitize
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 
 EDGE_PAYLOADS = [
     '{"event_id": "e1", "systolic_bp": 145, "diastolic_bp": 92}',

@@ -15,7 +15,7 @@ from clinsignal.operators.auc import roc_auc
 from clinsignal.operators.features import add_label, split
 from clinsignal.operators.ledger import ModelNotFound, load_model, record_run
 from clinsignal.operators.scoring import DEFAULT_SCORECARD, log_odds, score, train_gbt
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.schemas import FEATURES
 from clinsignal.session import scratch_path
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clinsignal.operators import monitor
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import current_version, read_snapshot, write_snapshot

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
-from clinsignal.plans import pipeline as P
+from clinsignal.plans import layers as P
 from clinsignal.plans.q_ingest import SILVER_COLS
 from clinsignal.session import scratch_path
 from clinsignal.sources.topics import read_events, write_time_ordered_files
