@@ -5,8 +5,9 @@
 2. That table is checkpointed to the shared folder: lineage is cut and it is
    not recomputed by the two uses below.
 3. Quantile boundaries of the distinct scores (a bounded list of at most
-   ``n_buckets - 1`` doubles) split it into score ranges; each range is one
-   window partition, so the running sum never runs in a single task.
+   ``n_buckets - 1`` doubles) split it into score ranges (``Bucketizer``: a
+   binary search per score); each range is one window partition, so the
+   running sum never runs in a single task.
 4. Negatives below each range come from a prefix sum over per-range totals
    (``n_buckets`` rows, broadcast).
 
@@ -15,6 +16,7 @@ AUC = sum over scores of pos * (negatives strictly below + neg / 2) / (P * N).
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,10 +48,16 @@ def roc_auc(df: DataFrame, score_col: str, label_col: str = "label", n_buckets:
     else:
         bounds = []
     if bounds:
-        bucket = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < F.col("score")))
+        # monotone range index by binary search over the bounds (JVM)
+        splits = [float("-inf"), *[float(b) for b in bounds], float("inf")]
+        keyed = (
+            Bucketizer(splits=splits, inputCol="score", outputCol="bucket_d", handleInvalid="keep")
+            .transform(counts)
+            .withColumn("bucket", F.col("bucket_d").cast("int"))
+            .drop("bucket_d")
+        )
     else:
-        bucket = F.lit(0)
-    keyed = counts.withColumn("bucket", bucket)
+        keyed = counts.withColumn("bucket", F.lit(0))
 
     per_bucket = keyed.groupBy("bucket").agg(F.sum("neg").alias("bucket_neg"))
     offsets = per_bucket.select(
