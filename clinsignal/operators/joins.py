@@ -10,9 +10,9 @@ side may be huge and skewed (one key can hold a third of all rows).
    once, exact size known);
 2. broadcasts it when it has at most ``max_broadcast_rows`` rows and an
    estimated ``max_broadcast_bytes`` -- the row side is then never shuffled;
-3. otherwise joins with a salt: each row side record gets one of ``salts``
-   buckets (hash of the row, deterministic), and the key table is replicated
-   once per bucket, so a hot key is spread over ``salts`` tasks.
+3. otherwise joins by shuffle, splitting only hot keys (``salted_join``):
+   a key with more than 1% of the rows is spread over ``salts`` tasks, and
+   only those keys' table rows are replicated.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from clinsignal.session import work_dir
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 DEFAULT_SALTS = 16
+HOT_FRACTION = 0.01  # a key holding more than 1% of the rows is split
 
 
 def estimated_size(table: DataFrame) -> tuple[int, int]:
@@ -55,11 +56,47 @@ def lookup_join(
     n_rows, n_bytes = estimated_size(table)
     if n_rows <= max_broadcast_rows and n_bytes <= max_broadcast_bytes:
         return rows.join(F.broadcast(table), keys, how)
-    salt = "__salt"
-    # every salt bucket holds a full replica of the key table, so the salt only
-    # spreads load and any value is correct; hash the atomic-typed columns
+    return salted_join(rows, table, keys, how, salts)
+
+
+def salted_join(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    salts: int = DEFAULT_SALTS,
+    hot_fraction: float = HOT_FRACTION,
+) -> DataFrame:
+    """Shuffle join that splits hot keys only.
+
+    Rows per key are counted once (partial aggregation); keys holding more
+    than ``hot_fraction`` of all rows are hot -- at most ``1 / hot_fraction``
+    of them, so that list is broadcast.  Hot keys get ``salts`` buckets on the
+    row side and a replica per bucket on the table side; every other key joins
+    once (bucket 0).  Each bucket of a hot key holds a full replica, so the
+    bucket choice only spreads load and never changes the result.
+    """
+    salt, hot_flag = "__salt", "__hot"
+    key_counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    total = key_counts.agg(F.sum("__n")).first()[0] or 0
+    hot = key_counts.where(F.col("__n") > F.lit(hot_fraction * total)).select(*keys, F.lit(True).alias(hot_flag))
+    # at most 1 / hot_fraction keys can hold more than hot_fraction of the rows
     atomic = [c for c, t in rows.dtypes if not t.startswith(("map", "array", "struct", "vector"))]
     spread = F.xxhash64(*atomic) if atomic else F.monotonically_increasing_id()
-    salted_rows = rows.withColumn(salt, F.pmod(spread, F.lit(salts)))
-    salted_table = table.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
+    # null keys never match, so they may take any bucket: spread them too
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    split = F.coalesce(F.col(hot_flag), F.lit(False)) | null_key
+    salted_rows = (
+        rows.join(F.broadcast(hot), keys, "left")
+        .withColumn(salt, F.when(split, F.pmod(spread, F.lit(salts))).otherwise(F.lit(0).cast("bigint")))
+        .drop(hot_flag)
+    )
+    replicas = F.when(
+        F.col(hot_flag), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    ).otherwise(F.array(F.lit(0).cast("bigint")))
+    salted_table = (
+        table.join(F.broadcast(hot), keys, "left").withColumn(salt, F.explode(replicas)).drop(hot_flag)
+    )
     return salted_rows.join(salted_table, [*keys, salt], how).drop(salt)
