@@ -3,13 +3,17 @@
 Two equivalent coders: the native CASE expressions of ``functions.vocab``
 (``standardize``), and a table-driven form for long vocabularies
 (``code_join`` / ``standardize_by_table``): distinct normalized texts
-(map-side pre-aggregated) are matched against a size-checked broadcast rule
-table, the best rule per text is kept with ``min_by(code, priority)``, and the
-result is joined back (``operators.joins.lookup_join``).
+(map-side pre-aggregated) are coded once each against a size-checked broadcast
+rule list (patterns compiled once per task, candidate rules found with an
+Aho-Corasick pass over their required words), and the result is joined back
+(``operators.joins.lookup_join``).
 """
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +24,7 @@ from clinsignal.functions.vocab import (
     RXNORM_RULES,
     SNOMED_DEFAULT,
     SNOMED_RULES,
-    java_pattern,
+    required_words,
     rxnorm_code,
     snomed_code,
 )
@@ -66,11 +70,47 @@ _RULE_TABLE_SCHEMA = T.StructType(
 
 
 def rules_frame(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
-    """Rule list as a (priority, pattern, code) table, Java-dialect patterns."""
-    rows = [(i, java_pattern(p), c) for i, (p, c) in enumerate(rules)]
+    """Rule list as a (priority, pattern, code) table."""
+    rows = [(i, p, c) for i, (p, c) in enumerate(rules)]
     return spark.createDataFrame(rows, _RULE_TABLE_SCHEMA)
 
 
+def first_match_codes(batches, rules_bc, key: str, out: str):
+    """mapInPandas kernel: first matching rule's code per distinct text (or None).
+
+    Patterns are compiled once per task.  An Aho-Corasick automaton over the
+    rules' required words finds, in one pass over a text, the rules that can
+    match; only those are regex-tested, in priority order.  Rules without
+    required words are always tested.
+    """
+    import re
+
+    import ahocorasick
+
+    rules = rules_bc.value  # [(pattern, code, required words or None)] in priority order
+    compiled = [re.compile(p) for p, _, _ in rules]
+    always, automaton = [], ahocorasick.Automaton()
+    by_word: dict[str, list[int]] = {}
+    for i, (_, _, words) in enumerate(rules):
+        if not words:
+            always.append(i)
+        for w in words or []:
+            by_word.setdefault(w, []).append(i)
+    for w, idx in by_word.items():
+        automaton.add_word(w, idx)
+    if by_word:
+        automaton.make_automaton()
+    for pdf in batches:
+        codes = []
+        for text in pdf[key]:
+            candidates = set(always)
+            if by_word:
+                for _, idx in automaton.iter(text):
+                    candidates.update(idx)
+            codes.append(next((rules[i][1] for i in sorted(candidates) if compiled[i].search(text)), None))
+        yield pdf.assign(**{out: codes})
+
+
 def code_join(
     df: DataFrame,
     text_col: str,
@@ -79,25 +119,34 @@ def code_join(
     default: str,
     rule_count: int | None = None,
 ) -> DataFrame:
-    """Table-driven coder, same result as ``code_expr``.
+    """Table-driven coder, same result as ``code_expr`` (first match wins).
 
-    ``rules`` has columns (priority, pattern, code).  Its row count is checked
-    before it is broadcast (pass ``rule_count`` when it is already known).
+    Distinct normalized texts (map-side pre-aggregated, so a hot text is one
+    row) are coded by ``first_match_codes`` with the rule list broadcast --
+    its row count is checked first -- and the per-text codes are joined back
+    with ``lookup_join``.
     """
+    spark = df.sparkSession
     n_rules = rule_count if rule_count is not None else rules.count()
     if n_rules > MAX_BROADCAST_RULES:
         raise ValueError(f"rule table has {n_rules} rows; above {MAX_BROADCAST_RULES} it is not broadcast")
-    key = f"__{out_col}_text"
+    ordered = [
+        (r["pattern"], r["code"], required_words(r["pattern"]))
+        for r in rules.orderBy("priority").limit(MAX_BROADCAST_RULES).collect()
+    ]
+    rules_bc = spark.sparkContext.broadcast(ordered)
+    key, code_col = f"__{out_col}_text", f"__{out_col}_code"
     keyed = df.withColumn(key, normalize_text(F.col(text_col)))
     texts = keyed.select(key).where(F.col(key).isNotNull()).distinct()
-    best = (
-        texts.join(F.broadcast(rules), F.expr(f"`{key}` RLIKE pattern"))
-        .groupBy(key)
-        .agg(F.min_by("code", "priority").alias(f"__{out_col}_code"))
-    )
-    # one row per distinct text: size-checked broadcast, else a salted join
+    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(code_col, T.StringType())])
+    best = texts.mapInPandas(lambda it: first_match_codes(it, rules_bc, key, code_col), schema)
     return (
         lookup_join(keyed, best, [key])
-        .withColumn(out_col, F.coalesce(F.col(f"__{out_col}_code"), F.lit(default)))
-        .drop(key, f"__{out_col}_code")
+        .withColumn(out_col, F.coalesce(F.col(code_col), F.lit(default)))
+        .drop(key, code_col)
     )
+
+
+# The batch kernel ships to executors by value (workers need pyahocorasick,
+# not this package).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
