@@ -22,6 +22,9 @@ RUNTIME_CONFS = {
     # a second start of a query on a live checkpoint must fail, not
     # silently stop the running one
     "spark.sql.streaming.stopActiveRunOnRestart": "false",
+    # texts can be long: Arrow batches to Python are bounded by rows and bytes
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
@@ -58,8 +61,9 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir).  Only when neither is set -- local tests -- a folder is created and
-    registered as the checkpoint dir.
+    dir).  Only a local master may go without: a folder is created for it and
+    registered as the checkpoint dir.  Elsewhere a machine-local folder would
+    be a different folder on every executor, so that raises.
     """
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
@@ -71,11 +75,37 @@ def work_dir(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         if current.isDefined():
             return current.get()
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         configured = tempfile.mkdtemp(prefix="clinsignal-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+_OWNED: list[str] = []  # scratch paths this process made and has not removed
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh, unique sub-path of the shared work folder."""
-    return f"{work_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique sub-path of the shared work folder, owned by this process."""
+    path = f"{work_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
+    _OWNED.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch paths made by this process (others are refused)."""
+    for path in paths:
+        if path not in _OWNED:
+            raise ValueError(f"{path} is not a scratch path of this process")
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _OWNED.remove(path)
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Remove every scratch path this process still owns; call when its results
+    are no longer read (jobs do so at their end).  Returns the number removed."""
+    paths = list(_OWNED)
+    drop_scratch(spark, *paths)
+    return len(paths)
