@@ -61,44 +61,84 @@ def salted(rows: DataFrame, keys: list[str], spread: Column, total: int, salt: s
 SPAN = "struct<start:int,end:int,match:string,left:string>"
 
 
-def match_spans(text: Column, pattern: str, maybe: Column | None = None, tail: bool = False) -> Column:
+STEP = 128
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, b: a + b)
+
+
+def running_sums(values: Column, short: bool = False) -> Column:
+    """Exclusive running sums of an array<int>, in linear time up to STEP ** 3 entries.
+
+    Sums of blocks, and of blocks of blocks, keep every single sum below STEP
+    terms.  ``short`` is the plain form for arrays of a few entries.
+    """
+
+    def plain(x):
+        return F.transform(x, lambda _, i: total(F.slice(x, F.lit(1), i)))
+
+    def block_sums(x):
+        blocks = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / STEP).cast("int"))
+        return F.transform(blocks, lambda b: total(F.slice(x, b * STEP + 1, F.lit(STEP))))
+
+    def within(x, starts):
+        def one(_, i):
+            block = F.floor(i / STEP).cast("int")
+            return F.get(starts, block) + total(F.slice(x, block * STEP + 1, i - block * STEP))
+
+        return F.transform(x, one)
+
+    if short:
+        return let(values, plain)
+
+    def three_levels(x):
+        def two_levels(s1):
+            return let(block_sums(s1), lambda s2: within(s1, plain(s2)))
+
+        return let(let(block_sums(x), two_levels), lambda starts: within(x, starts))
+
+    return let(values, three_levels)
+
+
+def match_spans(text: Column, pattern: str, maybe: Column | None = None, tail: bool = False, short: bool = False) -> Column:
     """All leftmost non-overlapping matches of a Java pattern, with positions.
 
     ``array<struct<start, end, match, left>>`` in text order; positions count
     code points from 0, end exclusive; ``left`` is the text between the
     previous match and this one.  Built from the matches and the pieces between
-    them, so it stays native; running sums are kept in blocks of 256 so that
-    a text with very many matches costs linear time in practice.  ``maybe`` is
-    a cheap necessary condition that saves the regex pass.  With ``tail`` a last
-    element without match holds the text after the last match.
+    them, so it stays native.  ``maybe`` is a cheap necessary condition that
+    saves the regex pass.  With ``tail`` a last element without match holds the
+    text after the last match.  ``short`` is for texts of a few matches.
     """
-    empty = F.expr(f"cast(array() as array<{SPAN}>)")
     pieces = F.zip_with(
         F.split(text, pattern, -1),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda left, match: F.struct(left.alias("left"), match.alias("match")),
-    )
-    zero = F.struct(
-        F.expr(f"cast(array() as array<array<{SPAN}>>)").alias("done"), empty.alias("cur"), F.lit(0).alias("pos")
+        lambda left, match: F.struct(left.alias("left"), match.alias("match"), F.length(left).alias("gap")),
     )
 
-    def step(acc, x):
-        start = acc["pos"] + F.length(x["left"])
-        end = start + F.coalesce(F.length(x["match"]), F.lit(0))
-        span = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["left"].alias("left"))
-        full = F.size(acc["cur"]) >= 256
-        grown = F.struct(
-            F.when(full, F.concat(acc["done"], F.array(acc["cur"]))).otherwise(acc["done"]).alias("done"),
-            F.when(full, F.array(span)).otherwise(F.concat(acc["cur"], F.array(span))).alias("cur"),
-            end.alias("pos"),
-        )
-        return grown if tail else F.when(x["match"].isNull(), acc).otherwise(grown)
-
-    found = F.aggregate(pieces, zero, step, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["cur"]))))
+    def placed(p):
+        sizes = F.transform(p, lambda x: x["gap"] + F.coalesce(F.length(x["match"]), F.lit(0)))
+
+        def span(x, before):
+            start = before + x["gap"]
+            end = start + F.coalesce(F.length(x["match"]), F.lit(0))
+            return F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), x["left"].alias("left"))
+
+        return F.zip_with(p, running_sums(sizes, short), span)
+
+    found = let(pieces, placed)
+    if not tail:
+        found = F.filter(found, lambda s: s["match"].isNotNull())
     hit = text.rlike(pattern)
     if maybe is not None:
         hit = maybe & hit
-    return F.when(hit, found).otherwise(empty)
+    return F.when(hit, found).otherwise(F.expr(f"cast(array() as array<{SPAN}>)"))
 
 
 def span_text(kind: str, span: Column) -> Column:

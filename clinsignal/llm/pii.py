@@ -134,7 +134,7 @@ def near_terms(found: Column) -> Column:
 
     def side(e, name, offset):
         return F.transform(
-            match_spans(e[name], TERM),
+            match_spans(e[name], TERM, short=True),
             lambda t: F.struct(
                 e["entity"].alias("entity"),
                 F.lower(t["match"]).alias("term"),

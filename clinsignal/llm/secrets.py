@@ -3,7 +3,8 @@
 Two first-order character Markov models are trained from labelled samples --
 random strings (digests of sampled ids, and the values the fixed patterns
 found in the sampled texts) and ordinary identifiers (the words of the same
-texts, as they are and upper-cased) -- and a candidate string is a secret when
+texts, as they are, upper-cased, and joined in pairs as CamelCase and
+snake_case) -- and a candidate string is a secret when
 its log-likelihood ratio per character and in total exceeds two thresholds.
 Training reads at most about ``sample_docs`` documents, chosen by hash; the
 trained table has one entry per character pair.  Every text is scanned whole,
@@ -33,7 +34,7 @@ HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}"
 ORDINARY = r"[A-Za-z0-9_]{4,}"
 
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 500
 MIN_PER_CHAR = 0.5  # nats per character
 MIN_TOTAL = 12.0  # nats in all
 SMOOTHING = 0.5
@@ -87,11 +88,20 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     digests = F.array(digest, mixed, F.upper(F.reverse(mixed)))
     plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("t", ASSIGN, " "), ACCESS, " "), HEX, " ")
     words = F.filter(F.regexp_extract_all(plain, F.lit(ORDINARY), F.lit(0)), lambda w: w.rlike("[A-Za-z]"))
-    ordinary = F.concat(words, F.transform(words, lambda w: F.upper(w)))
+    after = F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1)))
+    ordinary = F.concat(
+        "w",
+        F.transform("w", lambda w: F.upper(w)),
+        F.zip_with("w", after, lambda a, b: F.concat(F.initcap(a), F.initcap(F.coalesce(b, F.lit(""))))),
+        F.zip_with("w", after, lambda a, b: F.concat_ws("_", a, b)),
+    )
     # no more than 128 * 128 pairs of each come back
     counts = {
-        name: {r["pair"]: r["n"] for r in bigrams(sample.select(col.alias("s")), "s").collect()}
-        for name, col in (("random", F.concat(values, digests)), ("ordinary", ordinary))
+        name: {r["pair"]: r["n"] for r in bigrams(strings, "s").collect()}
+        for name, strings in (
+            ("random", sample.select(F.concat(values, digests).alias("s"))),
+            ("ordinary", sample.select(words.alias("w")).select(ordinary.alias("s"))),
+        )
     }
     return ratio_table(counts["random"], counts["ordinary"])
 
