@@ -9,8 +9,9 @@ an exact Jaccard similarity of at least 80 / 100 on the full sets.
 
 Copies (equal sets) are one node, named by their smallest id.  Within a band
 bucket no pairs are spelled out: in two rounds every node is compared with one
-centre of the bucket, drawn anew for each bucket and round, and the verified
-links are closed to components.  Only buckets that still hold several
+centre of the bucket -- first the member with the most bucket mates, which is
+the original where edited copies resemble it more than each other, then one
+drawn at random -- and the verified links are closed to components.  Only buckets that still hold several
 components go on to the last round, where members of different components are
 compared with each other, so no link that the bands offer is left out.  With
 ROWS = 6 and BANDS = 40 a pair of similarity 0.8 shares no band with
@@ -230,15 +231,15 @@ def size_fits(n1: Column, n2: Column, percent: int) -> Column:
     return 100 * F.least(n1, n2) >= percent * F.greatest(n1, n2)
 
 
-def star_pairs(members: DataFrame, labels: DataFrame | None, round_no: int, percent: int) -> DataFrame:
-    """Members of a bucket against its centre, where the components differ."""
+def star_pairs(members: DataFrame, labels: DataFrame | None, rank: Column, percent: int) -> DataFrame:
+    """Members of a bucket against its centre -- the least ``rank`` -- where the components differ."""
     labelled = members if labels is None else members.join(labels, "node", "left")
     comp = F.col("node") if labels is None else F.coalesce(F.col("comp"), F.col("node"))
     labelled = labelled.withColumn("comp", comp)
     centres, _ = store(
         labelled.groupBy("key")
         .agg(
-            F.min(F.struct(F.xxhash64("node", "key", F.lit(round_no)).alias("draw"), "node", "n", "comp")).alias("c"),
+            F.min(F.struct(rank.alias("rank"), "node", "n", "comp")).alias("c"),
             F.min("comp").alias("least"),
             F.max("comp").alias("most"),
         )
@@ -291,13 +292,15 @@ def near_groups(
         nodes.select("f1", "f2", F.col("node").alias("id")), ["f1", "f2", "id"], "left_semi"
     ).select(F.col("id").alias("node"), "n", F.explode("keys").alias("key"))
     entries, entries_path = store(first.distinct(), "bands")
-    crowded = entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
-    members, _ = store(entries.join(crowded, "key"), "members")
+    crowded, _ = store(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "crowded")
+    sharing, _ = store(entries.join(crowded, "key"), "sharing")
+    mates = sharing.groupBy("node").agg(F.sum("c").alias("mates"))
+    members, _ = store(sharing.drop("c").join(mates, "node"), "members")
     drop_scratch(docs.sparkSession, entries_path)
 
     verifier = Verifier(texts, nodes, width, percent)
     # round 1: every node against the centre it shares most bands with
-    counted = star_pairs(members, None, 0, percent).groupBy("u", "v").agg(F.count(F.lit(1)).alias("c"))
+    counted = star_pairs(members, None, -F.col("mates"), percent).groupBy("u", "v").agg(F.count(F.lit(1)).alias("c"))
     tried, _ = store(counted, "pairs")
     ends = tried.select(F.col("u").alias("node"), "u", "v", "c").union(tried.select(F.col("v").alias("node"), "u", "v", "c"))
     best = ends.groupBy("node").agg(F.max(F.struct("c", F.xxhash64("u", "v").alias("h"), "u", "v")).alias("p"))
@@ -305,7 +308,8 @@ def near_groups(
     links = verifier.links(seen)
     labels = components(links)
     # round 2: all centres, new ones, between components; round 3: whoever is still apart
-    for pairs in (lambda: star_pairs(members, labels, 1, percent), lambda: cross_pairs(members, labels, percent)):
+    draw = F.xxhash64("node", "key")
+    for pairs in (lambda: star_pairs(members, labels, draw, percent), lambda: cross_pairs(members, labels, percent)):
         fresh, _ = store(pairs().distinct().join(seen, ["u", "v"], "left_anti"), "pairs")
         links = links.unionByName(verifier.links(fresh))
         seen = seen.unionByName(fresh)
