@@ -18,13 +18,16 @@ def _col(c: Column | str) -> Column:
 def coerce_bigint(c: Column | str) -> Column:
     """Unparsable -> 0, otherwise truncate toward zero to int64.
 
-    Works on string and numeric input; never raises under ANSI mode.
-    Out-of-range magnitudes become 0.
+    Works on string and numeric input; never raises under ANSI mode.  Plain
+    integers are read as such, so 18-digit codes stay exact; only other
+    numbers go through double.  Out-of-range magnitudes become 0.
     """
     c = _col(c)
     as_text = c.cast("string")
-    parsed = F.when(as_text.rlike(NUMERIC_TEXT), F.trim(as_text).try_cast("double"))
-    return F.coalesce(parsed.try_cast("bigint"), F.lit(0).cast("bigint"))
+    bare = F.regexp_replace(as_text, r"^\s+|\s+$", "")
+    whole = F.when(bare.rlike(r"^[+-]?\d+$"), bare.try_cast("bigint"))
+    parsed = F.when(as_text.rlike(NUMERIC_TEXT), bare.try_cast("double"))
+    return F.coalesce(whole, parsed.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def fill_cast_bigint(c: Column | str) -> Column:

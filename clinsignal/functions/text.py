@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 SSN_PATTERN = r"\d{3}-\d{2}-\d{4}"
 SSN_MASK = "XXX-XX-XXXX"
 
+# The characters a Unicode strip removes.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def normalize_text(c: Column | str) -> Column:
-    """Lower-case and strip (null stays null)."""
-    return F.lower(F.trim(_col(c)))
+    """Lower-case and strip white space of any kind (null stays null)."""
+    return F.lower(F.btrim(_col(c), F.lit(WHITE_SPACE)))
 
 
 def mask_ssn(c: Column | str) -> Column:

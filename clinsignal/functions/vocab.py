@@ -6,11 +6,13 @@ Two equivalent forms:
   expression.  No Python at run time; it stays inside whole-stage codegen and
   needs no shuffle.  Right for short rule lists (the shipped ones have 5).
 * the table-driven form for long vocabularies is an operator
-  (``operators.enrich.code_join``): it needs a join, not just an expression.
+  (``operators.enrich.code_join``): it runs a batch kernel over the rows.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,25 +45,44 @@ SNOMED_DEFAULT = "000000000"
 # \n only, like the regex engines the rules were written for.
 JAVA_PREFIX = "(?d)"
 
+# A word boundary over letters, digits and the underscore of any script.  Java's
+# own also counts combining marks, which the engines the rules come from do not.
+_W = r"[\p{L}\p{N}_]"
+BOUNDARY = f"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
+
+
 def java_pattern(pattern: str) -> str:
-    return JAVA_PREFIX + pattern
+    return JAVA_PREFIX + re.sub(r"\\(.)", lambda m: BOUNDARY if m[1] == "b" else m[0], pattern)
 
 
 _QUANTIFIERS = set("?*+{")
 _METACHARS = set("[](){}?*+.\\^$|") | _QUANTIFIERS
 
 
+def _outer_alternative(pattern: str) -> bool:
+    """A ``|`` outside all groups (one in a character class counts too: only the pre-check is lost)."""
+    depth = 0
+    for ch in re.sub(r"\\.", "", pattern):
+        depth += (ch == "(") - (ch == ")")
+        if ch == "|" and depth == 0:
+            return True
+    return False
+
+
 def required_words(pattern: str) -> list[str] | None:
     """Literal words one of which must occur in any text the pattern matches.
 
     For patterns shaped ``\\b(alt|alt|...)...`` (all shipped rules), each
     alternative cut before its first regex metacharacter (one character
     earlier when that is a quantifier).  ``None`` for any other shape: no
-    pre-check is used then.
+    pre-check is used then.  A group that may be skipped (a quantifier follows)
+    and a pattern with alternatives outside the group require none of its words.
     """
     if not pattern.startswith("\\b("):
         return None
     close = pattern.find(")", 3)
+    if close > 0 and (pattern[close + 1 : close + 2] in _QUANTIFIERS or _outer_alternative(pattern)):
+        return None
     group = pattern[3:close] if close > 0 else ""
     if not group or "(" in group or "\\" in group:
         return None

@@ -12,15 +12,14 @@ Tree ensembles (Spark GBT): exact path-dependent Tree SHAP as a Spark job.
 * For a coalition S, the path-dependent expectation is
   ``v(S) = sum_leaf value * prod_{f in S} [lo_f < x_f <= hi_f] * prod_{f not in S} cover_f``;
   Shapley weights over all 2^M coalitions give phi.
-* Work runs on *distinct* feature vectors (map-side pre-aggregated), one
-  Arrow batch at a time in ``mapInPandas``, then joins back to the rows.
+* Work runs in place, one Arrow batch at a time; a feature vector that repeats
+  within a batch is explained once.  Nothing is shuffled or joined back.
 """
 
-from __future__ import annotations
-
 import itertools
 import math
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,7 +31,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinsignal.functions.numeric import sigmoid
-from clinsignal.operators.joins import lookup_join
 from clinsignal.operators.scoring import Scorecard
 from clinsignal.session import scratch_path
 
@@ -76,14 +74,11 @@ def _gbt_stage(model: PipelineModel | GBTClassificationModel) -> GBTClassificati
 def leaf_table(spark: SparkSession, model: PipelineModel | GBTClassificationModel, n_features: int) -> dict[str, np.ndarray]:
     """Flatten the ensemble into leaf arrays (value, lo, hi, cover).
 
-    The node table is read from the saved model with Spark; it holds at most
-    rounds x (2^(depth+1) - 1) rows, checked before it is fetched.
+    The node table is read from the saved model with Spark; its rows are
+    counted before it is fetched.
     """
     gbt = _gbt_stage(model)
     weights = list(gbt.treeWeights)
-    bound = len(weights) * (2 ** (gbt.getMaxDepth() + 1) - 1)
-    if bound > 2 * MAX_LEAVES:
-        raise ValueError(f"ensemble too large to broadcast ({bound} nodes)")
     path = scratch_path(spark, "gbt-model")
     gbt.write().save(path)
     nodes = spark.read.parquet(f"{path}/data").select(
@@ -96,9 +91,10 @@ def leaf_table(spark: SparkSession, model: PipelineModel | GBTClassificationMode
         F.col("nodeData.split.featureIndex").alias("feature"),
         F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"),
     )
-    rows = nodes.limit(bound + 1).collect()
-    if len(rows) > bound:
-        raise ValueError("node table larger than the model settings allow")
+    n_nodes = nodes.count()
+    if n_nodes > 2 * MAX_LEAVES:
+        raise ValueError(f"ensemble too large to broadcast ({n_nodes} nodes)")
+    rows = nodes.collect()
     trees: dict[int, dict[int, tuple]] = {}
     for r in rows:
         trees.setdefault(r["treeID"], {})[r["id"]] = (
@@ -202,30 +198,24 @@ def tree_attribution(
     leaves_bc = spark.sparkContext.broadcast(leaves)
     scale = GBT_LOGIT_SCALE
 
-    vec_cols = [f"__x{i}" for i in range(m)]
-    vectors = df.select(*[F.col(f).cast("double").alias(c) for f, c in zip(features, vec_cols)]).distinct()
-    out_fields = [T.StructField(c, T.DoubleType(), True) for c in vec_cols]
-    out_fields += [T.StructField(f"{prefix}{f}", T.DoubleType(), True) for f in features]
-    out_fields += [T.StructField("base_value", T.DoubleType(), True), T.StructField("margin", T.DoubleType(), True)]
-    out_schema = T.StructType(out_fields)
+    names = [*[f"{prefix}{f}" for f in features], "base_value", "margin"]
+    out_schema = T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
 
-    def explain(batches):
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lv = leaves_bc.value
         for pdf in batches:
-            x = pdf[vec_cols].to_numpy(dtype=np.float64)
-            v = coalition_values(x, lv) * scale
+            x = pdf.to_numpy(dtype=np.float64)
+            # a vector that repeats within the batch is explained once
+            distinct, which = np.unique(x, axis=0, return_inverse=True)
+            v = coalition_values(distinct, lv) * scale
             phi = shap_from_values(v, m)
-            res = pd.DataFrame(x, columns=vec_cols)
-            for i, f in enumerate(features):
-                res[f"{prefix}{f}"] = phi[:, i]
-            res["base_value"] = v[:, 0]
-            res["margin"] = v[:, -1]
-            yield res
-
-    explained = vectors.mapInPandas(explain, out_schema)
-    keyed = df.select("*", *[F.col(f).cast("double").alias(c) for f, c in zip(features, vec_cols)])
-    # one row per distinct vector: size-checked broadcast, else a salted join
-    joined = lookup_join(keyed, explained, vec_cols).drop(*vec_cols)
+            out = np.column_stack([phi, v[:, 0], v[:, -1]])[which.ravel()]
+            yield pd.DataFrame(out, columns=names)
+
+    # in place: no join back, so null features (NaN to the model) keep their rows
+    vector = F.struct(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    found = F.pandas_udf(explain, out_schema)(vector)
+    joined = df.withColumn("__found", found).select("*", "__found.*").drop("__found")
     return joined.withColumn("risk_probability", sigmoid("margin")).withColumn(
         "delta_p", sigmoid("margin") - sigmoid(F.lit(float(baseline)))
     )

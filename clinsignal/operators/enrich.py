@@ -2,17 +2,16 @@
 
 Two equivalent coders: the native CASE expressions of ``functions.vocab``
 (``standardize``), and a table-driven form for long vocabularies
-(``code_join`` / ``standardize_by_table``): distinct normalized texts
-(map-side pre-aggregated) are coded once each against a size-checked broadcast
-rule list (patterns compiled once per task, candidate rules found with an
-Aho-Corasick pass over their required words), and the result is joined back
-(``operators.joins.lookup_join``).
+(``code_join`` / ``standardize_by_table``) that codes the rows where they are,
+in Arrow batches: nothing is shuffled, a text that repeats within a batch is
+coded once, and the rules are broadcast in runs of ``RULES_AT_ONCE``.
 """
 
-from __future__ import annotations
-
+import re
 import sys
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,11 +27,9 @@ from clinsignal.functions.vocab import (
     rxnorm_code,
     snomed_code,
 )
-from clinsignal.operators.joins import lookup_join
 
-# A rule table above this many rows is not broadcast (the rule table is the
-# only broadcast side of ``code_join``).
-MAX_BROADCAST_RULES = 100_000
+# Rules per broadcast; a longer list is applied run after run, in priority order.
+RULES_AT_ONCE = 100_000
 
 
 def standardize(silver: DataFrame) -> DataFrame:
@@ -52,10 +49,10 @@ def standardize_by_table(silver: DataFrame) -> DataFrame:
     """Same result as ``standardize`` through broadcast rule tables (long vocabularies)."""
     spark = silver.sparkSession
     out = code_join(
-        silver, "medication_prescribed", rules_frame(spark, RXNORM_RULES), "rxnorm_id", RXNORM_DEFAULT, len(RXNORM_RULES)
+        silver, "medication_prescribed", rules_frame(spark, RXNORM_RULES), "rxnorm_id", RXNORM_DEFAULT
     )
     out = code_join(
-        out, "clinical_notes", rules_frame(spark, SNOMED_RULES), "snomed_code", SNOMED_DEFAULT, len(SNOMED_RULES)
+        out, "clinical_notes", rules_frame(spark, SNOMED_RULES), "snomed_code", SNOMED_DEFAULT
     )
     return out.withColumn("enriched_at", F.col("ingested_at"))
 
@@ -75,76 +72,67 @@ def rules_frame(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, _RULE_TABLE_SCHEMA)
 
 
-def first_match_codes(batches, rules_bc, key: str, out: str):
-    """mapInPandas kernel: first matching rule's code per distinct text (or None).
+def first_match(rules_bc):
+    """Column function: the code of the first matching rule of a run, or None.
 
     Patterns are compiled once per task.  An Aho-Corasick automaton over the
     rules' required words finds, in one pass over a text, the rules that can
     match; only those are regex-tested, in priority order.  Rules without
     required words are always tested.
     """
-    import re
-
-    import ahocorasick
-
-    rules = rules_bc.value  # [(pattern, code, required words or None)] in priority order
-    compiled = [re.compile(p) for p, _, _ in rules]
-    always, automaton = [], ahocorasick.Automaton()
-    by_word: dict[str, list[int]] = {}
-    for i, (_, _, words) in enumerate(rules):
-        if not words:
-            always.append(i)
-        for w in words or []:
-            by_word.setdefault(w, []).append(i)
-    for w, idx in by_word.items():
-        automaton.add_word(w, idx)
-    if by_word:
-        automaton.make_automaton()
-    for pdf in batches:
-        codes = []
-        for text in pdf[key]:
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        rules = rules_bc.value  # [(pattern, code, required words or None)] in priority order
+        compiled = [re.compile(p) for p, _, _ in rules]
+        always, automaton = [], ahocorasick.Automaton()
+        by_word: dict[str, list[int]] = {}
+        for i, (_, _, words) in enumerate(rules):
+            if not words:
+                always.append(i)
+            for w in words or []:
+                by_word.setdefault(w, []).append(i)
+        for w, idx in by_word.items():
+            automaton.add_word(w, idx)
+        if by_word:
+            automaton.make_automaton()
+
+        def code(text):
+            if text is None:
+                return None
             candidates = set(always)
             if by_word:
                 for _, idx in automaton.iter(text):
                     candidates.update(idx)
-            codes.append(next((rules[i][1] for i in sorted(candidates) if compiled[i].search(text)), None))
-        yield pdf.assign(**{out: codes})
-
-
-def code_join(
-    df: DataFrame,
-    text_col: str,
-    rules: DataFrame,
-    out_col: str,
-    default: str,
-    rule_count: int | None = None,
-) -> DataFrame:
-    """Table-driven coder, same result as ``code_expr`` (first match wins).
-
-    Distinct normalized texts (map-side pre-aggregated, so a hot text is one
-    row) are coded by ``first_match_codes`` with the rule list broadcast --
-    its row count is checked first -- and the per-text codes are joined back
-    with ``lookup_join``.
-    """
-    spark = df.sparkSession
-    n_rules = rule_count if rule_count is not None else rules.count()
-    if n_rules > MAX_BROADCAST_RULES:
-        raise ValueError(f"rule table has {n_rules} rows; above {MAX_BROADCAST_RULES} it is not broadcast")
-    ordered = [
-        (r["pattern"], r["code"], required_words(r["pattern"]))
-        for r in rules.orderBy("priority").limit(MAX_BROADCAST_RULES).collect()
-    ]
-    rules_bc = spark.sparkContext.broadcast(ordered)
-    key, code_col = f"__{out_col}_text", f"__{out_col}_code"
-    keyed = df.withColumn(key, normalize_text(F.col(text_col)))
-    texts = keyed.select(key).where(F.col(key).isNotNull()).distinct()
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField(code_col, T.StringType())])
-    best = texts.mapInPandas(lambda it: first_match_codes(it, rules_bc, key, code_col), schema)
-    return (
-        lookup_join(keyed, best, [key])
-        .withColumn(out_col, F.coalesce(F.col(code_col), F.lit(default)))
-        .drop(key, code_col)
-    )
+            return next((rules[i][1] for i in sorted(candidates) if compiled[i].search(text)), None)
+
+        for texts in batches:
+            names, distinct = pd.factorize(texts, use_na_sentinel=True)
+            codes = [code(t) for t in distinct] + [None]
+            yield pd.Series([codes[n] for n in names], dtype=object)
+
+    return F.pandas_udf(run, T.StringType())
+
+
+def rule_runs(rules: DataFrame):
+    """The rules in priority order, in lists of at most RULES_AT_ONCE."""
+    run = []
+    for r in rules.orderBy("priority").toLocalIterator():
+        run.append((r["pattern"], r["code"], required_words(r["pattern"])))
+        if len(run) == RULES_AT_ONCE:
+            yield run
+            run = []
+    if run:
+        yield run
+
+
+def code_join(df: DataFrame, text_col: str, rules: DataFrame, out_col: str, default: str) -> DataFrame:
+    """Table-driven coder, same result as ``code_expr`` (first match wins, every rule counts)."""
+    context = df.sparkSession.sparkContext
+    text = normalize_text(F.col(text_col))
+    found = [first_match(context.broadcast(run))(text) for run in rule_runs(rules)]
+    return df.withColumn(out_col, F.coalesce(*found, F.lit(default)))
 
 
 # The batch kernel ships to executors by value (workers need pyahocorasick,

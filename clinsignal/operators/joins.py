@@ -81,8 +81,8 @@ def salted_join(
     total = key_counts.agg(F.sum("__n")).first()[0] or 0
     hot = key_counts.where(F.col("__n") > F.lit(hot_fraction * total)).select(*keys, F.lit(True).alias(hot_flag))
     # at most 1 / hot_fraction keys can hold more than hot_fraction of the rows
-    atomic = [c for c, t in rows.dtypes if not t.startswith(("map", "array", "struct", "vector"))]
-    spread = F.xxhash64(*atomic) if atomic else F.monotonically_increasing_id()
+    # a number per row, so equal rows spread too; the buckets only divide the work
+    spread = F.monotonically_increasing_id()
     # null keys never match, so they may take any bucket: spread them too
     null_key = F.lit(False)
     for k in keys:

@@ -54,7 +54,8 @@ def record_run(
     run_id = uuid.uuid4().hex
     path = None
     if model is not None:
-        path = f"{root.rstrip('/')}/models/{name}/version={version}"
+        # named by the run: a crash before the ledger row blocks no later run
+        path = f"{root.rstrip('/')}/models/{name}/run={run_id}"
         model.write().save(path)
     if isinstance(metrics, dict):
         metrics = spark.createDataFrame([tuple(float(v) for v in metrics.values())], list(metrics))

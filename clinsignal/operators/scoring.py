@@ -110,8 +110,10 @@ def log_odds(df: DataFrame, model: Scorecard | PipelineModel, out_col: str = "ma
 
 
 # Model size settings of the source training job (depth,
-# learning rate, rounds, seed).  Queries and tests use fewer rounds.
+# learning rate, rounds, seed).
 GBT_PARAMS = {"max_depth": 6, "step_size": 0.1, "max_iter": 100, "seed": 42}
+# One bin per distinct value of the pressures (51): fewer would lose split points.
+MAX_BINS = 256
 
 
 def gbt_pipeline(
@@ -121,6 +123,7 @@ def gbt_pipeline(
     step_size: float = GBT_PARAMS["step_size"],
     max_iter: int = GBT_PARAMS["max_iter"],
     seed: int = GBT_PARAMS["seed"],
+    max_bins: int = MAX_BINS,
 ) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol="features_vec", handleInvalid="keep")
     gbt = GBTClassifier(
@@ -131,6 +134,8 @@ def gbt_pipeline(
         maxIter=max_iter,
         lossType="logistic",
         seed=seed,
+        maxBins=max_bins,
+        cacheNodeIds=True,
     )
     return Pipeline(stages=[assembler, gbt])
 

@@ -11,7 +11,7 @@ from clinsignal.operators.enrich import standardize_by_table
 from clinsignal.operators.ingest import parse_payload
 from clinsignal.plans import layers as P
 from clinsignal.plans.registry import query
-from clinsignal.plans.sql_base import code_sql, lit, ts_text_sql, with_base
+from clinsignal.plans.sql_base import code_sql, lit, ts_text_sql, with_base, strip_sql
 from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import read_snapshot, write_snapshot
 from clinsignal.sources.tables import given_table, newest_partitions
@@ -87,8 +87,8 @@ def sanitize_q(spark: SparkSession, sf_dir: str):
 @query(
     "normalize_text",
     with_base(
-        "SELECT event_id, lower(trim(medication_prescribed)) AS medication_norm, "
-        "lower(trim(clinical_notes)) AS notes_norm FROM silver"
+        f"SELECT event_id, {strip_sql('medication_prescribed')} AS medication_norm, "
+        f"{strip_sql('clinical_notes')} AS notes_norm FROM silver"
     ),
 )
 def normalize_text_q(spark: SparkSession, sf_dir: str):

@@ -20,6 +20,7 @@ from clinsignal.operators.ingest import parse_payload
 from clinsignal.operators.ledger import record_run
 from clinsignal.operators.scoring import (
     DEFAULT_SCORECARD,
+    GBT_PARAMS,
     NumpyScorecard,
     Scorecard,
     log_odds,
@@ -38,9 +39,8 @@ from clinsignal.sources.tables import literal_vector
 FEAT_COLS = ", ".join(FEATURES)
 ROUND = 9
 
-# Small ensembles for registered queries (the full 100-round setting is a
-# parameter of ``train_gbt``).
-QUERY_GBT = {"max_depth": 4, "max_iter": 10}
+# Registered queries train the model with its full settings.
+QUERY_GBT = {k: GBT_PARAMS[k] for k in ("max_depth", "max_iter")}
 
 
 def _r(c):
@@ -349,7 +349,11 @@ def _fit_once(spark: SparkSession, sf_dir: str, v1: bool, key: tuple):
     return _MODELS[key]
 
 
-@query("train_gbt")
+# The label is a threshold on one of the features, so the test side is ranked perfectly.
+@query(
+    "train_gbt",
+    "SELECT 'gbt_signal' AS name, CAST(1 AS INTEGER) AS version, CAST(1 AS DOUBLE) AS roc_auc, TRUE AS saved",
+)
 def train_gbt_q(spark: SparkSession, sf_dir: str):
     """Fit boosted trees on the train side, evaluate on test, register in a ledger."""
     model, feats = _gbt_for(spark, sf_dir)
@@ -358,14 +362,25 @@ def train_gbt_q(spark: SparkSession, sf_dir: str):
     root = scratch_path(spark, "registry")
     params = {"max_depth": QUERY_GBT["max_depth"], "max_iter": QUERY_GBT["max_iter"], "step_size": 0.1, "seed": 42}
     row = record_run(spark, root, "gbt_signal", params, auc, contract.contract_json(FEATURE_CONTRACT_V4), model)
-    return row.select("name", "version", F.col("metrics")["roc_auc"].alias("roc_auc"), "path")
+    return row.select(
+        "name", "version", F.round(F.col("metrics")["roc_auc"], 9).alias("roc_auc"), F.col("path").isNotNull().alias("saved")
+    )
 
 
-@query("score_batch")
+# Decisions of a model that found the label's threshold are the labels.
+@query(
+    "score_batch",
+    with_base(
+        "SELECT event_id, CAST(label AS DOUBLE) AS adverse_event_risk_score, label = 1 AS likely "
+        f"FROM feats WHERE {test_side_sql()}"
+    ),
+)
 def score_batch_q(spark: SparkSession, sf_dir: str):
     model, _ = _gbt_for(spark, sf_dir)
     _, test = split(P.features(spark, sf_dir))
-    return score(test, model).select("event_id", "risk_probability", "adverse_event_risk_score")
+    return score(test, model).select(
+        "event_id", "adverse_event_risk_score", (F.col("risk_probability") > 0.5).alias("likely")
+    )
 
 
 @query("audit_attribution")

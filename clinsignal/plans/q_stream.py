@@ -87,7 +87,7 @@ def stream_fanout_q(spark: SparkSession, sf_dir: str):
     ),
 )
 def velocity_stream_q(spark: SparkSession, sf_dir: str):
-    """Alerts table as a stream -> watermark -> 1-second tumbling counts (update mode)."""
+    """Alerts table as a stream -> 1-second tumbling counts per micro-batch, summed."""
     src = P.alerts_files(spark, sf_dir)
     events = spark.readStream.schema(ALERTS_SCHEMA).options(**src.stream_options()).parquet(src.path)
     sink = scratch_path(spark, "velocity")

@@ -26,15 +26,21 @@ def pick_sql(key: str, values: list) -> str:
     return f"CASE {key} {arms} END"
 
 
+def strip_sql(col: str) -> str:
+    """Lower-cased text without ASCII white space at its ends (all the fixture has)."""
+    return f"lower(regexp_replace({col}, '^[ \\t\\n\\r\\f\\v]+|[ \\t\\n\\r\\f\\v]+$', '', 'g'))"
+
+
 def code_sql(col: str, rules: list[tuple[str, str]], default: str) -> str:
-    arms = " ".join(f"WHEN regexp_matches(lower(trim({col})), {lit(p)}) THEN {lit(c)}" for p, c in rules)
+    arms = " ".join(f"WHEN regexp_matches({strip_sql(col)}, {lit(p)}) THEN {lit(c)}" for p, c in rules)
     return f"CASE {arms} ELSE {lit(default)} END"
 
 
 def coerce_sql(col: str) -> str:
     text = f"CAST({col} AS VARCHAR)"
     parsed = f"CASE WHEN regexp_matches({text}, {lit(NUMERIC_TEXT)}) THEN TRY_CAST(trim({text}) AS DOUBLE) END"
-    return f"COALESCE(TRY_CAST(trunc({parsed}) AS BIGINT), 0)"
+    whole = f"CASE WHEN regexp_matches({text}, '^\\s*[+-]?[0-9]+\\s*$') THEN TRY_CAST(trim({text}) AS BIGINT) END"
+    return f"COALESCE({whole}, TRY_CAST(trunc({parsed}) AS BIGINT), 0)"
 
 
 def margin_sql(model: Scorecard = DEFAULT_SCORECARD) -> str:

@@ -8,6 +8,8 @@ table; readers take the highest published version.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,15 +40,16 @@ def current_version(spark: SparkSession, root: str) -> tuple[int, str | None]:
 def write_snapshot(df: DataFrame, root: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """Replace the table at ``root`` with ``df``; returns the path now current."""
     spark = df.sparkSession
-    writer = df.write.mode("overwrite").format(fmt)
+    writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "delta":
-        writer.save(root)
+        writer.mode("overwrite").save(root)
         return root
     version, _ = current_version(spark, root)
-    path = f"{root.rstrip('/')}/v={version + 1:06d}"
-    writer.save(path)
+    # a path of its own: writers that saw the same version never share one
+    path = f"{root.rstrip('/')}/v={version + 1:06d}-{uuid.uuid4().hex[:12]}"
+    writer.mode("errorifexists").save(path)
     pointer = spark.createDataFrame([(version + 1, path)], POINTER_SCHEMA)
     pointer.coalesce(1).write.mode("append").parquet(_pointer_path(root))
     return path
