@@ -209,14 +209,14 @@ def _alive(sizes: np.ndarray) -> np.ndarray:
 def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
     """Payloads of blocks sorted by falling length."""
     sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((sizes[0], len(blocks)), np.int64)
+    ids = np.zeros((sizes[0], len(blocks)), np.int32)
     for i, b in enumerate(blocks):
         ids[: len(b), i] = b
     model, coder = Model(len(blocks)), Encoder(len(blocks), 8 + 2 * int(sizes[0]))
     for t, m in enumerate(_alive(sizes).tolist()):
         if m < len(model.base):
             model.shrink(m)
-        now = ids[t, :m]
+        now = ids[t, :m].astype(np.int64)
         two, single, f2, f1 = model.guess()
         hit2 = now == two
         hit1 = (now == single) & ~hit2
@@ -233,7 +233,7 @@ def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
 
 def _decode_lanes(payloads: list[bytes], sizes: np.ndarray) -> np.ndarray:
     """Ids (time, block) of blocks sorted by falling length."""
-    ids = np.zeros((int(sizes[0]), len(payloads)), np.int64)
+    ids = np.zeros((int(sizes[0]), len(payloads)), np.int32)
     model, coder = Model(len(payloads)), Decoder(payloads)
     for t, m in enumerate(_alive(sizes).tolist()):
         if m < len(model.base):
@@ -261,7 +261,7 @@ def _decode_lanes(payloads: list[bytes], sizes: np.ndarray) -> np.ndarray:
 
 def encode(ids: np.ndarray) -> bytes:
     """A stream of ids as blocks, one after the other."""
-    ids = np.asarray(ids, np.int64)
+    ids = np.asarray(ids)
     if len(ids) and (ids.min() < 0 or ids.max() >= MAX_ID):
         raise ValueError(f"ids must be in [0, {MAX_ID})")
     blocks = [ids[i : i + BLOCK] for i in range(0, len(ids), BLOCK)]

@@ -126,8 +126,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked, _ = store(possibly_repeated(hashed, hashed.count(), filter_bytes), "marked")
     through = marked.where(~F.col("maybe")).select("id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"))
     suspects = marked.where("maybe").select("id", "sha")
-    groups = suspects.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    # a group's row is small and a hot group's rows are split by AQE's skew join
+    # written first, so the join below is a plain one and AQE can split a hot group's rows
+    groups, _ = store(
+        suspects.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "copy-groups"
+    )
     grouped = suspects.join(groups, "sha").select("id", "sha", "keep_id", "group_size")
     return through.unionByName(grouped).select(
         F.col("id").alias(id_col),

@@ -89,7 +89,7 @@ def tokenise(texts: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     run = sizes[which]
     done = np.concatenate([[0], np.cumsum(run)])
     edge = np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
-    return gather(flat, starts[which], run), np.diff(done[edge])
+    return gather(flat, starts[which], run).astype(np.int32), np.diff(done[edge])
 
 
 _PIECES: dict[str, Pieces] = {}  # per Python worker
@@ -132,16 +132,30 @@ def writer(tokenizer_path: str):
 
     def write(batches):
         pieces = cached_pieces(tokenizer_path)
-        at = 0
+        shard, at, held, size = 0, 0, [], 0
+
+        def flush():
+            nonlocal at
+            ids = pa.concat_arrays([h[0] for h in held])
+            tokens = np.concatenate([h[1] for h in held])
+            n_ids = np.concatenate([h[2] for h in held])
+            edge = np.concatenate([[0], np.cumsum(n_ids)])
+            for a, b in segments(n_ids):
+                yield pack(shard, at, ids.slice(a, b - a), tokens[edge[a] : edge[b]], n_ids[a:b])
+                at += int(edge[b] - edge[a])
+
+        # batches are gathered to whole segments: more blocks are coded in step
         for batch in batches:
             if not batch.num_rows:
                 continue
             shard = batch.column(0)[0].as_py()
-            tokens, n_ids = tokenise(batch.column(2).cast(pa.string()), pieces)
-            edge = np.concatenate([[0], np.cumsum(n_ids)])
-            for a, b in segments(n_ids):
-                yield pack(shard, at, batch.column(1).slice(a, b - a), tokens[edge[a] : edge[b]], n_ids[a:b])
-                at += int(edge[b] - edge[a])
+            held.append((batch.column(1), *tokenise(batch.column(2).cast(pa.string()), pieces)))
+            size += len(held[-1][1])
+            if size >= SEGMENT_IDS:
+                yield from flush()
+                held, size = [], 0
+        if held:
+            yield from flush()
 
     return write
 
