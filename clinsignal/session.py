@@ -24,7 +24,7 @@ RUNTIME_CONFS = {
     "spark.sql.streaming.stopActiveRunOnRestart": "false",
     # texts can be long: Arrow batches to Python are bounded by rows and bytes
     "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
