@@ -55,11 +55,10 @@ def test_audit_ledger_is_a_top_k_over_the_newest_partitions(spark, qs):
     assert re.search(r"PartitionFilters: \[[^\]]*evaluated_date", plan)
 
 
-def test_rule_table_codes_join_back_by_broadcast(spark, qs):
-    # the coded distinct texts were checkpointed (the rule-table join ran
-    # there); being small, they are broadcast, so the rows are never shuffled
+def test_rule_table_codes_rows_in_place(spark, qs):
+    # the rule list is broadcast to a batch kernel: no join, no shuffle by text
     plan = _plan(qs["code_by_rule_table"](spark, SF))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert "Join" not in plan and "hashpartitioning" not in plan
     assert "CartesianProduct" not in plan
 
 
