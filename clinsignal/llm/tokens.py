@@ -7,9 +7,10 @@ concatenated token ids as independently reset, checksummed blocks of the
 context-mixing coder (``coder``).  A document is never split over segments; a
 segment holds about SEGMENT_IDS ids or one longer document.
 
-The tokenizer's rules never look across ASCII white space, so a task
-tokenises each distinct white-space separated piece once and puts texts
-together from the pieces' ids; pieces seen before are kept in a bounded table.
+The tokenizer's rules never look across ASCII white space nor from a letter to
+the comma or full stop after it, and lower-case what they read, so a task
+tokenises each distinct lower-cased piece once and puts texts together from the
+pieces' ids; pieces seen before are kept in a bounded table.
 
 Reading back decodes every block, checks it, and cuts the stream at the stored
 lengths.  A document's position in the whole corpus is its position in the
@@ -39,12 +40,17 @@ from clinsignal.llm.common import store
 
 END_ID = 2
 SEGMENT_IDS = 1 << 22
-KEPT_PIECES = 200_000  # pieces whose ids a Python worker keeps between batches
+KEPT_PIECES = 500_000  # pieces whose ids a Python worker keeps between batches
+JOINED = 64  # new pieces tokenised as one text
+MARK = "\0"
+# Latin letters whose lower case is one letter, and ASCII marks that start no contraction
+LETTERS = r"a-zA-ZÀ-ÖØ-öø-\x{12F}\x{131}-\x{24F}"
+PUNCTUATION = r"""!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"""
 TOKENIZER = "word_bpe_49k.json"
 
 
 class Pieces:
-    """Ids of white-space separated pieces, each tokenised once."""
+    """Ids of pieces, each tokenised once; the table of known pieces is bounded."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,17 +58,59 @@ class Pieces:
 
         self.path = path
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def ids(self, pieces: list[str]) -> list[np.ndarray]:
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Tokenise pieces, many in one call with a mark after each.
+
+        The mark is a code point that no other text contains bytes of, so its id
+        stands for nothing else; pieces that hold it are tokenised alone.
+        """
+        alone = new if self.mark is None else [p for p in new if MARK in p]
+        joint = [] if self.mark is None else [p for p in new if MARK not in p]
+        runs = [joint[i : i + JOINED] for i in range(0, len(joint), JOINED)]
+        flat, sizes = [self.flat], [self.sizes]
+        for ids in self._encode([f" {MARK} ".join([*run, ""]) for run in runs]):
+            ends = np.flatnonzero(ids == self.mark)
+            flat.append(ids[ids != self.mark])
+            sizes.append(np.diff(ends, prepend=-1) - 1)
+        for ids in self._encode(alone):
+            flat.append(ids)
+            sizes.append(np.array([len(ids)], np.int64))
+        for p in (*joint, *alone):
+            self.known[p] = len(self.known)
+        self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
+        if len(self.sizes) != len(self.known):
+            raise ValueError("the tokenizer does not keep the pieces apart")
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """Number of every piece; ids of number i are its run of ``flat``."""
         if len(self.known) > KEPT_PIECES:
-            self.known.clear()
+            self.clear()
         new = [p for p in pieces if p not in self.known]
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.known[p] = np.array(e.ids, np.int32)
-        return [self.known[p] for p in pieces]
+        if new:
+            self._learn(new)
+        return np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))
+
+
+def split_pieces(texts: pa.Array) -> pa.Array:
+    """Pieces of every text whose ids, one after the other, are those of the text.
+
+    White space always parts words, and so does the step from one of LETTERS to
+    one of PUNCTUATION; ASCII capitals are lower-cased by the tokenizer itself.
+    Texts that may hold a special token's name are only cut at white space.
+    """
+    plain = pc.replace_substring_regex(pc.ascii_lower(texts), f"([{LETTERS}])([{PUNCTUATION}])", r"\1 \2")
+    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -74,17 +122,15 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 def tokenise(texts: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all the texts with the end id after each, and the number of ids of each."""
-    parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    parts = split_pieces(pc.fill_null(texts, ""))
     counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = parts.flatten().dictionary_encode()
-    held = pieces.ids(coded.dictionary.to_pylist())
-    which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    numbers = pieces.numbers(coded.dictionary.to_pylist())
+    which = numbers[coded.indices.to_numpy(zero_copy_only=False)]
     # the end id is one more piece, put after the pieces of every text
-    held = held + [np.array([END_ID], np.int32)]
+    sizes, flat = np.append(pieces.sizes, 1), np.append(pieces.flat, np.int32(END_ID))
     ends = np.cumsum(counts)
-    which = np.insert(which, ends, len(held) - 1)
-    sizes = np.array([len(h) for h in held], np.int64)
-    flat = np.concatenate(held)
+    which = np.insert(which, ends, len(sizes) - 1)
     starts = np.cumsum(sizes) - sizes
     run = sizes[which]
     done = np.concatenate([[0], np.cumsum(run)])

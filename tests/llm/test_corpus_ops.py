@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -323,6 +325,19 @@ def test_token_files_against_the_library(spark, docs, doc_rows, edge):
     assert [g[:4] for g in got] == brute_tokens(list(enumerate(ODD)))
 
 
+def test_pieces_are_the_tokens_of_whole_texts():
+    """Every Latin letter before and after every ASCII mark, random mixes, names of special tokens."""
+    draw = random.Random(5)
+    parts = [*"aZé,.;:!?'\"<|>$()=\0\t\x1f\x85\xa0\u0301\u0338İſ中9", "'s", "'LL,", "<|startoftext|>", "<|STARTOFTEXT|>", "ΑΣ.", " "]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(20))) for _ in range(3000)]
+    texts += [chr(c) + "".join(m + chr(c) for m in map(chr, range(33, 127))) for c in range(1, 0x250)]
+    pieces = tokens.Pieces(queries.tokenizer_file())
+    for _ in range(2):  # learned, then known
+        got, sizes = tokens.tokenise(pa.array(texts), pieces)
+        for text, ids in zip(texts, np.split(got, np.cumsum(sizes)[:-1])):
+            assert ids.tolist() == [*pieces.tokenizer.encode(text, add_special_tokens=False).ids, tokens.END_ID], text
+
+
 def test_token_files_edges(spark, edge, empty):
     _, path = tokens.write_tokens(edge, queries.tokenizer_file())
     got = Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in tokens.read_tokens(spark, path).collect())
