@@ -13,7 +13,11 @@ centre of the bucket -- first the member with the most bucket mates, which is
 the original where edited copies resemble it more than each other, then one
 drawn at random -- and the verified links are closed to components.  Only buckets that still hold several
 components go on to the last round, where members of different components are
-compared with each other, so no link that the bands offer is left out.  With
+compared with each other, so no link that the bands offer is left out.  There
+each member carries a parity sketch of its set (every shingle flips one bit):
+the exclusive-or of two sketches has at most as many ones as the sets differ
+in, so a pair with more ones than a link allows is no link, for certain, and
+the join itself leaves it out; the others are compared on the full sets.  With
 ROWS = 6 and BANDS = 40 a pair of similarity 0.8 shares no band with
 probability 5e-6.
 
@@ -41,6 +45,7 @@ from clinsignal.session import drop_scratch
 ROWS = 6
 BANDS = 40
 PERCENT = 80
+SKETCH_WORDS = 16  # 64-bit words of a parity sketch
 SMALL_IDS = 1_000_000  # ids broadcast to pick texts for verification, 8 bytes each
 
 
@@ -116,8 +121,15 @@ def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
+def parity_sketch(shingles: np.ndarray, words: int = SKETCH_WORDS) -> np.ndarray:
+    """Bit b tells whether an odd number of the set's shingles fall on b."""
+    bits = (mix64(shingles) % np.uint64(64 * words)).astype(np.int64)
+    odd = (np.bincount(bits, minlength=64 * words) & 1).astype(np.uint8)
+    return np.packbits(odd).view("<i8")
+
+
 def signer(width: int, rows: int, bands: int):
-    """mapInArrow kernel: (id, text) -> id, n, fingerprint, band keys."""
+    """mapInArrow kernel: (id, text) -> id, n, fingerprint, band keys, parity sketch."""
 
     def sign(batches):
         for batch in batches:
@@ -133,8 +145,9 @@ def signer(width: int, rows: int, bands: int):
                     pa.array([a for a, _ in marks], pa.int64()),
                     pa.array([b for _, b in marks], pa.int64()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array([parity_sketch(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                names=["id", "n", "f1", "f2", "keys"],
+                names=["id", "n", "f1", "f2", "keys", "sketch"],
             )
 
     return sign
@@ -253,18 +266,33 @@ def star_pairs(members: DataFrame, labels: DataFrame | None, rank: Column, perce
     return pairs.select(F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v"))
 
 
-def cross_pairs(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Members of one bucket in different components."""
+def sketch_fits(a: Column, b: Column, n1: Column, n2: Column, percent: int) -> Column:
+    """False only for sets that differ in more shingles than a link allows."""
+    ones = sum((F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_WORDS)), F.lit(0))
+    return (100 + percent) * ones <= (100 - percent) * (n1 + n2)
+
+
+def cross_pairs(members: DataFrame, labels: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Members of one bucket in different components whose sketches allow a link."""
     labelled = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     mixed, _ = store(
         labelled.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least != most").select("key"),
         "mixed",
     )
-    left, _ = store(labelled.join(mixed, "key"), "mixed-members")
-    right = left.select("key", F.col("node").alias("v"), F.col("n").alias("m"), F.col("comp").alias("other"))
+    apart, _ = store(labelled.join(mixed, "key"), "mixed-members")
+    needed = sketches.join(apart.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    left, _ = store(apart.join(needed, "node"), "sketched-members")
+    right = left.select(
+        "key", F.col("node").alias("v"), F.col("n").alias("m"), F.col("comp").alias("other"), F.col("sketch").alias("sketch_v")
+    )
     return (
         left.join(right, "key")
-        .where((F.col("node") < F.col("v")) & (F.col("comp") != F.col("other")) & size_fits(F.col("n"), F.col("m"), percent))
+        .where(
+            (F.col("node") < F.col("v"))
+            & (F.col("comp") != F.col("other"))
+            & size_fits(F.col("n"), F.col("m"), percent)
+            & sketch_fits(F.col("sketch"), F.col("sketch_v"), F.col("n"), F.col("m"), percent)
+        )
         .select(F.col("node").alias("u"), "v")
     )
 
@@ -282,16 +310,18 @@ def near_groups(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = dict(texts.dtypes)["id"]
     signed, _ = store(
-        texts.mapInArrow(signer(width, rows, bands), f"id {id_type}, n bigint, f1 bigint, f2 bigint, keys array<bigint>"),
+        texts.mapInArrow(
+            signer(width, rows, bands), f"id {id_type}, n bigint, f1 bigint, f2 bigint, keys array<bigint>, sketch array<bigint>"
+        ),
         "signed",
     )
     usable = signed.where((F.col("n") > 0) & F.col("id").isNotNull())
     # copies collapse to one node; the aggregation combines before it shuffles
     nodes, _ = store(usable.groupBy("f1", "f2").agg(F.min("id").alias("node"), F.max("n").alias("n")), "nodes")
-    first = usable.join(
-        nodes.select("f1", "f2", F.col("node").alias("id")), ["f1", "f2", "id"], "left_semi"
-    ).select(F.col("id").alias("node"), "n", F.explode("keys").alias("key"))
-    entries, entries_path = store(first.distinct(), "bands")
+    first = usable.join(nodes.select("f1", "f2", F.col("node").alias("id")), ["f1", "f2", "id"], "left_semi")
+    sketches = first.select(F.col("id").alias("node"), "sketch")
+    keyed = first.select(F.col("id").alias("node"), "n", F.explode("keys").alias("key"))
+    entries, entries_path = store(keyed.distinct(), "bands")
     crowded, _ = store(entries.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "crowded")
     sharing, _ = store(entries.join(crowded, "key"), "sharing")
     mates = sharing.groupBy("node").agg(F.sum("c").alias("mates"))
@@ -309,7 +339,7 @@ def near_groups(
     labels = components(links)
     # round 2: all centres, new ones, between components; round 3: whoever is still apart
     draw = F.xxhash64("node", "key")
-    for pairs in (lambda: star_pairs(members, labels, draw, percent), lambda: cross_pairs(members, labels, percent)):
+    for pairs in (lambda: star_pairs(members, labels, draw, percent), lambda: cross_pairs(members, labels, sketches, percent)):
         fresh, _ = store(pairs().distinct().join(seen, ["u", "v"], "left_anti"), "pairs")
         links = links.unionByName(verifier.links(fresh))
         seen = seen.unionByName(fresh)

@@ -270,6 +270,18 @@ def test_signature_is_circulant_minhash():
         assert sig[k] == minhash.permute32(((sigma - k) % (1 << 32)).astype(np.uint32)).min()
 
 
+def test_parity_sketches_never_count_more_than_the_sets_differ_in():
+    rng = np.random.default_rng(4)
+    for n in (1, 5, 150, 4000):
+        pool = np.unique(rng.integers(0, 1 << 63, 2 * n).astype(np.uint64))
+        for share in (0.0, 0.1, 0.5):
+            a = pool[:n]
+            b = np.unique(np.concatenate([a[int(share * n) :], pool[n : n + int(share * n)]]))
+            ones = np.bitwise_count(minhash.parity_sketch(a) ^ minhash.parity_sketch(b)).sum()
+            assert ones <= len(np.setxor1d(a, b))
+    assert not minhash.parity_sketch(np.zeros(0, np.uint64)).any()
+
+
 # ------------------------------------------------------------------------ token files
 def test_coder_round_trips():
     rng = np.random.default_rng(1)
