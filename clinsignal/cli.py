@@ -16,10 +16,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from clinsignal.operators import contract, monitor
+from clinsignal.operators.attribution import tree_attribution
 from clinsignal.operators.auc import roc_auc
 from clinsignal.operators.enrich import standardize
 from clinsignal.operators.features import add_label, indicator_features, split, training_frame
-from clinsignal.operators.ledger import load_model, record_run
+from clinsignal.operators.ledger import load_serving, record_run
 from clinsignal.operators.scoring import GBT_PARAMS, log_odds, score, train_gbt, triage
 from clinsignal.schemas import ALERTS_SCHEMA, FEATURE_CONTRACT_V1
 from clinsignal.session import configure
@@ -29,6 +30,10 @@ from clinsignal.sources.topics import RAW_TOPIC, read_events
 from clinsignal.streaming import jobs
 
 
+# Spark's boosted trees have no intercept: their margin starts at log-odds 0.
+BASELINE_LOG_ODDS = 0.0
+
+
 def _session(app: str) -> SparkSession:
     return configure(SparkSession.builder.appName(app).getOrCreate())
 
@@ -86,35 +91,45 @@ def cmd_train(args) -> None:
     train, test = split(frame)
     params = {"max_depth": args.max_depth, "step_size": args.step_size, "max_iter": args.max_iter, "seed": GBT_PARAMS["seed"]}
     model = train_gbt(train, available, **params)
-    auc = roc_auc(log_odds(test, model), "margin", "label")
-    row = record_run(
-        spark, args.registry, args.name, params, auc, contract.contract_json(contract.infer_contract(frame, available)), model
-    )
+    metrics = roc_auc(log_odds(test, model), "margin", "label")
+    # the audited row: the first of the test side
+    audited = tree_attribution(test.orderBy("event_id").limit(1), model, available, baseline=BASELINE_LOG_ODDS).first()
+    if audited is not None:
+        metrics = metrics.withColumn("audit_delta_p", F.lit(audited["delta_p"]))
+        print(f"audit of {audited['event_id']}: delta P = {audited['delta_p'] * 100:.2f}%")
+    params |= {"explainer_type": "TreeSHAP", "baseline_expectation_phi0": BASELINE_LOG_ODDS}
+    signature = contract.signature_json(score(train, model), available)
+    row = record_run(spark, args.registry, args.name, params, metrics, signature, model)
     print(json.dumps(row.select("name", "version", "metrics", "path").first().asDict(), default=str))
 
 
 def cmd_score_stream(args) -> None:
     spark = _session("clinsignal-score")
-    model = load_model(spark, args.registry, args.name, args.version)
+    model, inputs = load_serving(spark, args.registry, args.name, args.version)
     mirror = None if args.mirror == "none" else args.mirror
-    q = jobs.start_fanout(_topic(spark, args), model, args.alerts, args.checkpoint, mirror, _trigger(args), not args.no_inline_codes)
+    inline = not args.no_inline_codes
+    q = jobs.start_fanout(
+        _topic(spark, args), model, args.alerts, args.checkpoint, mirror, _trigger(args), inline, args.format, inputs
+    )
     jobs.run_until_stopped(spark, [q])
 
 
 def cmd_triage(args) -> None:
     spark = _session("clinsignal-triage")
-    model = load_model(spark, args.registry, args.name, args.version)
+    model, inputs = load_serving(spark, args.registry, args.name, args.version)
     rows = None
     if args.vector:
         sys_bp, dia_bp, rx, sn = args.vector
         rows = [(float(sys_bp), float(dia_bp), int(rx), int(sn))]
     vector = literal_vector(spark, rows)
+    if inputs is not None:
+        vector = contract.enforce_inputs(vector, inputs)
     triage(score(vector, model), alerts_only=False).show(truncate=False)
 
 
 def cmd_report(args) -> None:
     spark = _session("clinsignal-report")
-    alerts = read_table_or_empty(spark, args.alerts, ALERTS_SCHEMA)
+    alerts = read_table_or_empty(spark, args.alerts, ALERTS_SCHEMA, args.format)
     dated = jobs.ALERTS_DATE in alerts.columns  # date-partitioned tables prune old partitions
     monitor.kpi_text(monitor.kpi_summary(alerts)).show(truncate=False)
     monitor.velocity_by_clock(alerts).show(args.rows, truncate=False)
@@ -172,6 +187,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--name", default="signal_detector")
     p.add_argument("--version", type=int)
     p.add_argument("--alerts", required=True)
+    p.add_argument("--format", default="parquet", help="table format of the alerts (delta commits every batch)")
     p.add_argument("--mirror", default="console", help="console, none, or a table path")
     p.add_argument("--no-inline-codes", action="store_true", help="score codes exactly as sent (missing -> 0)")
     p.set_defaults(fn=cmd_score_stream)
@@ -185,6 +201,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("report")
     p.add_argument("--alerts", required=True)
+    p.add_argument("--format", default="parquet")
     p.add_argument("--rows", type=int, default=20)
     p.set_defaults(fn=cmd_report)
     return ap

@@ -1,4 +1,4 @@
-"""Model input contracts: infer from data, profile, enforce at serve time."""
+"""Model contracts: infer from data, profile, store with a model, enforce at serve time."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from clinsignal.schemas import FEATURE_CONTRACT_V4, FEATURES
 
+OUTPUTS = ["risk_probability", "adverse_event_risk_score"]
+
 
 def infer_contract(df: DataFrame, features: list[str] = FEATURES) -> T.StructType:
     """The contract is the (driver-side) schema of the feature projection."""
@@ -50,6 +52,36 @@ def contract_profile(df: DataFrame, features: list[str] = FEATURES) -> DataFrame
     return stats.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
 
 
+def signature_json(scored: DataFrame, features: list[str], key: str = "event_id", examples: int = 3) -> str:
+    """Input schema, output schema and the input's first rows by ``key`` as JSON."""
+    first = scored.orderBy(key).limit(examples).select(*features)
+    return json.dumps(
+        {
+            "inputs": scored.select(*features).schema.jsonValue(),
+            "outputs": scored.select(*OUTPUTS).schema.jsonValue(),
+            "example": [json.loads(row) for row in first.toJSON().collect()],
+        },
+        sort_keys=True,
+    )
+
+
+def input_contract(text: str) -> T.StructType:
+    """The input half of a stored contract (a signature, or an input schema alone)."""
+    stored = json.loads(text)
+    return T.StructType.fromJson(stored.get("inputs", stored))
+
+
+def enforce_inputs(df: DataFrame, contract: T.StructType) -> DataFrame:
+    """All columns, those of the contract last, in its order and types.
+
+    Raises when one is missing or its type cannot be cast up; nulls are allowed,
+    the models take them.
+    """
+    others = [f for f in df.schema.fields if f.name not in contract.names]
+    wanted = T.StructType(others + [T.StructField(f.name, f.dataType, True) for f in contract.fields])
+    return df.select(*wanted.names).to(wanted)  # the selection raises where ``to`` would add nulls
+
+
 def enforce(df: DataFrame, contract: T.StructType = FEATURE_CONTRACT_V4) -> DataFrame:
-    """Reorder / project / up-cast to the contract; raises on incompatible types."""
-    return df.to(contract)
+    """Reorder / project / up-cast to the contract; raises on missing columns and incompatible types."""
+    return df.select(*contract.names).to(contract)

@@ -13,7 +13,9 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from clinsignal.operators.contract import input_contract
 from clinsignal.schemas import RUN_LEDGER_SCHEMA
 from clinsignal.sources.sinks import append
 from clinsignal.sources.tables import read_table_or_empty
@@ -75,12 +77,26 @@ def record_run(
     return read_ledger(spark, root).where((F.col("name") == name) & (F.col("version") == version))
 
 
-def load_model(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
-    """Resolve name (+ version, default latest) through the ledger and load it."""
+def _registered(spark: SparkSession, root: str, name: str, version: int | None):
+    """Path and contract of a registered version (default: the latest)."""
     runs = read_ledger(spark, root).where((F.col("name") == name) & F.col("path").isNotNull())
     if version is not None:
         runs = runs.where(F.col("version") == version)
-    row = runs.agg(F.max_by("path", "version").alias("path")).first()
-    if row is None or row["path"] is None:
+    row = runs.agg(F.max_by(F.struct("path", "contract"), "version").alias("m")).first()
+    if row is None or row["m"] is None:
         raise ModelNotFound(f"model {name} version {version or 'latest'} is not registered under {root}")
-    return PipelineModel.load(row["path"])
+    return row["m"]
+
+
+def load_model(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
+    """Resolve name (+ version, default latest) through the ledger and load it."""
+    return PipelineModel.load(_registered(spark, root, name, version)["path"])
+
+
+def load_serving(
+    spark: SparkSession, root: str, name: str, version: int | None = None
+) -> tuple[PipelineModel, StructType | None]:
+    """A registered model and the input contract stored with it."""
+    found = _registered(spark, root, name, version)
+    contract = input_contract(found["contract"]) if found["contract"] else None
+    return PipelineModel.load(found["path"]), contract

@@ -39,6 +39,13 @@ def topic_frame(clinical: DataFrame, topic: str = RAW_TOPIC, time_col: str = "ts
     )
 
 
+def write_topic(rows: DataFrame, fmt: str = "kafka", options: dict[str, str] | None = None, path: str | None = None) -> None:
+    """Append rows with key, value and topic to a topic: Kafka by its options
+    (``kafka.bootstrap.servers``), or files under ``path``."""
+    writer = rows.write.format(fmt).mode("append").options(**(options or {}))
+    writer.save(path) if path else writer.save()
+
+
 @dataclass(frozen=True)
 class FileTopic:
     """A file-backed topic: ``path`` holds ``n_slices`` time slices written in

@@ -12,9 +12,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from clinsignal.functions.numeric import coerce_bigint
 from clinsignal.functions.vocab import rxnorm_code, snomed_code
+from clinsignal.operators.contract import enforce_inputs
 from clinsignal.operators.enrich import standardize
 from clinsignal.operators.features import align_features
 from clinsignal.operators.ingest import parse_events, parse_payload, sanitize
@@ -87,12 +89,18 @@ def start_standardize(
 # -- scoring ----------------------------------------------------------------------
 
 
-def scored_stream(raw: DataFrame, model: Scorecard | PipelineModel, enrich_inline: bool = True) -> DataFrame:
+def scored_stream(
+    raw: DataFrame,
+    model: Scorecard | PipelineModel,
+    enrich_inline: bool = True,
+    contract: StructType | None = None,
+) -> DataFrame:
     """Topic rows -> payload -> codes -> aligned int64 features -> score -> stamp.
 
     With ``enrich_inline`` (default) codes missing from the payload are derived
     from its medication / notes text with the native coders; otherwise missing
-    codes become 0, as a payload-only consumer sees them.
+    codes become 0, as a payload-only consumer sees them.  With ``contract`` (of
+    a registered model) a frame that does not fit it raises before it is scored.
     """
     if enrich_inline:
         p = parse_payload(raw, schema=SCORING_PAYLOAD_SCHEMA)
@@ -105,6 +113,8 @@ def scored_stream(raw: DataFrame, model: Scorecard | PipelineModel, enrich_inlin
     else:
         p = parse_payload(raw, schema=INFERENCE_PAYLOAD_SCHEMA)
     aligned = align_features(p)
+    if contract is not None:
+        aligned = enforce_inputs(aligned, contract)
     return (
         score(aligned, model)
         .withColumn("evaluated_at", F.current_timestamp())
@@ -179,11 +189,13 @@ def start_fanout(
     mirror: str | None = "console",
     trigger: dict | None = None,
     enrich_inline: bool = True,
+    fmt: str = "parquet",
+    contract: StructType | None = None,
 ) -> StreamingQuery:
-    """One scoring query, two sinks (alerts table + mirror)."""
+    """One scoring query, two sinks (alerts table + mirror) in the table format ``fmt``."""
     writer = (
-        scored_stream(raw, model, enrich_inline)
-        .writeStream.foreachBatch(fanout_writer(alerts_path, mirror))
+        scored_stream(raw, model, enrich_inline, contract)
+        .writeStream.foreachBatch(fanout_writer(alerts_path, mirror, fmt=fmt))
         .option("checkpointLocation", checkpoint)
     )
     return _trigger(writer, trigger).start()

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import json
+
+import pytest
+from pyspark.errors import AnalysisException
+
 from clinsignal.cli import main
+from clinsignal.operators.contract import OUTPUTS, enforce_inputs
+from clinsignal.operators.ledger import load_serving, read_ledger
 from clinsignal.plans import layers as P
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
 from clinsignal.sources.tables import read_table_or_empty
-from clinsignal.sources.topics import write_time_ordered_files
+from clinsignal.sources.topics import write_time_ordered_files, write_topic
 
 
 def test_stages_end_to_end(spark, sf_small, capsys):
@@ -27,7 +34,32 @@ def test_stages_end_to_end(spark, sf_small, capsys):
     main(["score-stream", *src, "--checkpoint", scratch_path(spark, "cli-c2"), "--registry", registry,
           "--alerts", alerts, "--mirror", "none"])
     assert read_table_or_empty(spark, alerts, ALERTS_SCHEMA).count() == 1000
+    model, inputs = load_serving(spark, registry, "signal_detector")
+    run = read_ledger(spark, registry).where("name = 'signal_detector'").first()
+    stored = json.loads(run["contract"])
+    assert inputs.names == ["rxnorm_id", "snomed_code", "systolic_bp", "diastolic_bp"]
+    assert len(stored["example"]) == 3 and [f["name"] for f in stored["outputs"]["fields"]] == OUTPUTS
+    assert run["params"]["explainer_type"] == "TreeSHAP" and "audit_delta_p" in run["metrics"]
     main(["triage", "--registry", registry, "--vector", "145", "92", "1", "1"])
     main(["report", "--alerts", alerts])
     out = capsys.readouterr().out
     assert "records: 1000" in out and "1,000 records" in out and "Event Identifier" in out
+
+
+def test_inputs_are_aligned_to_the_contract_or_refused(spark):
+    contract = spark.range(0).selectExpr("id AS a", "double(id) AS b").schema
+    swapped = spark.createDataFrame([("x", 1.5, 7)], "key string, b float, a int")
+    aligned = enforce_inputs(swapped, contract)
+    assert aligned.columns == ["key", "a", "b"] and aligned.first() == ("x", 7, 1.5)
+    with pytest.raises(AnalysisException):
+        enforce_inputs(swapped.drop("a"), contract).collect()
+    with pytest.raises(AnalysisException):
+        enforce_inputs(swapped.withColumn("a", swapped["key"]), contract).collect()
+
+
+def test_topic_rows_written_are_read_back(spark, sf_small):
+    rows = P.raw_topic(spark, sf_small)
+    path = scratch_path(spark, "topic-out")
+    write_topic(rows, "parquet", path=path)
+    assert spark.read.parquet(path).select("key", "value").exceptAll(rows.select("key", "value")).count() == 0
+    assert spark.read.parquet(path).count() == rows.count()
