@@ -188,6 +188,31 @@ def sigmoid_margin_q(spark: SparkSession, sf_dir: str):
     return scored.select("event_id", _r("margin").alias("margin"), _r("risk_probability").alias("risk_probability"))
 
 
+@query(
+    "contract_serve",
+    with_base(
+        f"SELECT event_id, {FEAT_COLS}, round({sigmoid_sql(margin_sql())}, {ROUND}) AS risk_probability, "
+        f"CAST({sigmoid_sql(margin_sql())} > 0.5 AS DOUBLE) AS adverse_event_risk_score FROM feats"
+    ),
+)
+def contract_serve_q(spark: SparkSession, sf_dir: str):
+    """Rows in another order, with narrower types and an extra column, scored
+    after the contract read back from the ledger has put them right."""
+    root = scratch_path(spark, "registry")
+    run = record_run(
+        spark, root, "scorecard", {"intercept": DEFAULT_SCORECARD.intercept},
+        {"terms": len(DEFAULT_SCORECARD.terms)}, contract.contract_json(FEATURE_CONTRACT_V4),
+    ).first()
+    sent = P.features(spark, sf_dir).select(
+        "label", F.col("diastolic_bp").cast("int").alias("diastolic_bp"), "event_id",
+        F.col("systolic_bp").cast("int").alias("systolic_bp"), "snomed_code", "rxnorm_id",
+    )
+    served = contract.enforce_inputs(sent, contract.input_contract(run["contract"]))
+    return score(served, DEFAULT_SCORECARD).select(
+        "event_id", *FEATURES, _r("risk_probability").alias("risk_probability"), "adverse_event_risk_score"
+    )
+
+
 def _auc_ctes(source: str) -> str:
     """CTEs s (score, label) -> g (counts per distinct score) -> r (negatives below)."""
     return f"""
