@@ -1,23 +1,27 @@
 """Personal data: fixed patterns plus information-theoretic sanitisation.
 
 Protected entities are the values the patterns find (mail and IP addresses,
-card and phone numbers).  A term close to an entity can give it away even when
-the value itself is masked.  How strongly is estimated from the whole corpus:
-the point-wise mutual information of entity and term, as a share of the
+card and phone numbers).  A term of the same document can give an entity away
+even when the value itself is masked.  How strongly is estimated from the whole
+corpus: the point-wise mutual information of entity and term, as a share of the
 information the entity itself carries,
 
-    log(n(e,t) * N / (n(e) * n(t))) / log(N / n(e))
+    log(n(e,t) / (n(t) + SMOOTHING) * N / n(e)) / log(N / n(e))
 
-with n(e) occurrences of the entity, n(t) of the term, n(e,t) of the term
-within ``REACH`` characters of the entity, N terms in all.  It is 1 when the
-term occurs nowhere else.  Terms from ``GENERALISE`` on are generalised, from
-``REMOVE`` on removed, where at least ``MIN_SUPPORT`` joint occurrences back
-the estimate; only occurrences near that entity are touched, so texts without
-personal data stay as they are.
+with n(e) occurrences of the entity, n(t) of the term, n(e,t) of the term in
+documents that hold the entity, N terms in all.  It comes close to 1 when the
+term occurs in no other document; ``SMOOTHING`` lowers it the more, the fewer
+occurrences back it, so an entity seen once is judged like any other.  Terms
+from ``GENERALISE`` on are generalised, from ``REMOVE`` on removed, by the
+entity of the document they tell most about; texts without personal data stay
+as they are.  A term is a run of four letters or more (``TERM``).
 
-Native expressions only.  Term counts are partial aggregates over every text;
-entity-term pairs only exist inside one entity's reach, so their number is
-linear in the entities.  Joins on hot pairs are split by AQE's skew join.
+Native expressions only.  Term counts are partial aggregates over every text.
+Entities found in exactly the same documents are one group: they share n(e,t),
+and the share falls with n(e), so the group's rarest entity decides for it.
+All entities of no other document make one group, so pairs of group and term
+are linear in the documents but for entities that several documents share in
+different combinations.  Joins on hot pairs are split by AQE's skew join.
 
 Defined results: a null text counts as empty; repeated rows get the same
 spans each; terms overlapping a pattern span are left to it; null ids work
@@ -41,8 +45,11 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 TERM = r"\p{L}{4,}"
-REACH = 60  # code points on either side
-MIN_SUPPORT = 5
+MASK = "\uffff"  # a code point that is no character, in place of those of an address
+FREE_TERM = rf"(?<![\p{{L}}{MASK}])\p{{L}}{{4,}}+(?!{MASK})"  # whole words beside no masked address
+REACH = 1 << 30  # code points on either side of an entity: more than a text has, all of it counts
+MIN_SUPPORT = 1  # joint occurrences of a pair: all count
+SMOOTHING = 1.0
 GENERALISE = 0.80
 REMOVE = 0.95
 
@@ -89,103 +96,85 @@ def valid(kind: str, match: Column) -> Column:
 
 
 def entities(kind: str, spans: Column) -> Column:
-    """Valid spans as structs of kind, start, end, entity and the text on both sides.
-
-    The two sides end at the neighbouring match; a word cut by the reach is left out.
-    """
-
-    def one(s, i):
-        return F.when(
-            s[i]["match"].isNotNull() & valid(kind, s[i]["match"]),
-            F.struct(
-                F.lit(KINDS.index(kind)).alias("kind"),
-                s[i]["start"].alias("start"),
-                s[i]["end"].alias("end"),
-                F.lower(s[i]["match"]).alias("entity"),
-                F.when(
-                    F.length(s[i]["left"]) > REACH,
-                    F.regexp_replace(F.right(s[i]["left"], F.lit(REACH + 1)), r"^(?:\p{L}+|[^\p{L}])", ""),
-                )
-                .otherwise(s[i]["left"])
-                .alias("before"),
-                F.when(
-                    F.length(s[i + 1]["left"]) > REACH,
-                    F.regexp_replace(F.left(s[i + 1]["left"], F.lit(REACH + 1)), r"(?:\p{L}+|[^\p{L}])\z", ""),
-                )
-                .otherwise(s[i + 1]["left"])
-                .alias("after"),
-            ),
-        )
-
-    listed = F.transform(
-        F.array(spans),
-        lambda s: F.when(
-            F.size(s) > 1, F.transform(F.sequence(F.lit(0), F.size(s) - 2), lambda i: one(s, i))
+    """Valid spans as structs of kind, start, end and entity."""
+    found = F.filter(spans, lambda s: s["match"].isNotNull() & valid(kind, s["match"]))
+    return F.transform(
+        found,
+        lambda s: F.struct(
+            F.lit(KINDS.index(kind)).alias("kind"),
+            s["start"].alias("start"),
+            s["end"].alias("end"),
+            F.lower(s["match"]).alias("entity"),
         ),
-    )[0]
-    none = F.expr(
-        "cast(array() as array<struct<kind:int,start:int,end:int,entity:string,before:string,after:string>>)"
     )
-    return F.coalesce(F.filter(listed, lambda x: x.isNotNull()), none)
-
-
-def near_terms(found: Column) -> Column:
-    """(entity, term, start, end) of every term in reach of an entity."""
 
-    def side(e, name, offset):
-        return F.transform(
-            match_spans(e[name], TERM, short=True),
-            lambda t: F.struct(
-                e["entity"].alias("entity"),
-                F.lower(t["match"]).alias("term"),
-                (offset + t["start"]).alias("start"),
-                (offset + t["end"]).alias("end"),
-            ),
-        )
 
-    per = F.transform(
-        found,
-        lambda e: F.concat(side(e, "before", e["start"] - F.length(e["before"])), side(e, "after", e["end"])),
+def free_terms(text: Column, emails: Column) -> Column:
+    """(term, start, end) of every term that overlaps no pattern span: of all kinds, only addresses have letters."""
+    pieces = F.transform(
+        emails, lambda s: F.concat(s["left"], F.repeat(F.lit(MASK), F.coalesce(F.length(s["match"]), F.lit(0))))
+    )
+    masked = F.when(F.size(emails) > 0, F.array_join(pieces, "")).otherwise(text)
+    return F.transform(
+        match_spans(masked, FREE_TERM),
+        lambda t: F.struct(F.lower(t["match"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")),
     )
-    return F.array_distinct(F.flatten(per))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pattern pass: id, text hash, validated base spans and the terms near them."""
+    """Pattern pass: id, text hash, validated base spans and, where there are any, the document's terms."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     raw = docs.select(
         F.col(id_col).alias("id"),
-        F.xxhash64(text).alias("th"),
+        text.alias("t"),
         *[s.alias(k) for k, s in raw_spans(text).items()],
     )
-    found = raw.select("id", "th", F.concat(*[entities(k, F.col(k)) for k in KINDS]).alias("found"))
+    found = raw.select("id", "t", "email", F.concat(*[entities(k, F.col(k)) for k in KINDS]).alias("base"))
+    none = F.expr("cast(array() as array<struct<term:string,start:int,end:int>>)")
     return found.select(
         "id",
-        "th",
+        F.xxhash64("t").alias("th"),
         text_key(F.col("id")).alias("key"),
-        F.transform("found", lambda e: F.struct(e["kind"], e["start"], e["end"], e["entity"])).alias("base"),
-        F.filter(
-            near_terms(F.col("found")),
-            lambda t: ~F.exists("found", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
-        ).alias("near"),
+        "base",
+        F.when(F.size("base") > 0, free_terms(F.col("t"), F.col("email"))).otherwise(none).alias("words"),
     )
 
 
 def term_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Occurrences of every term of the corpus."""
-    words = F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(TERM), F.lit(0))
-    return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    words = F.regexp_extract_all(F.col(text_col), F.lit(TERM), F.lit(0))
+    return docs.select(F.explode(words).alias("w")).groupBy(F.lower("w").alias("term")).agg(F.count(F.lit(1)).alias("n_t"))
 
 
-def disclosures(scanned: DataFrame, terms: DataFrame, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """(entity, term, share): how much of an entity's information a term gives away."""
+def disclosures(scanned: DataFrame, terms: DataFrame, min_support: int = MIN_SUPPORT) -> tuple[DataFrame, DataFrame]:
+    """(group, term, share): how much of its rarest entity's information a term gives away; and each document's groups."""
     total = terms.agg(F.sum("n_t")).first()[0] or 0
-    joint = scanned.select(F.explode("near").alias("p")).groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_et"))
-    single = scanned.select(F.explode("base").alias("e")).groupBy("e.entity").agg(F.count(F.lit(1)).alias("n_e"))
-    counted = joint.where(F.col("n_et") >= min_support).join(terms, "term").join(single, "entity")
-    pmi = F.log(F.col("n_et") * F.lit(float(total)) / (F.col("n_e") * F.col("n_t")))
+    held = (
+        scanned.select("key", "th", F.explode("base").alias("e"))
+        .groupBy("key", "th", "e.entity")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    single = held.groupBy("entity").agg(
+        F.sum("n").alias("n_e"),
+        F.struct(
+            F.count(F.lit(1)).alias("docs"),
+            F.bit_xor(F.xxhash64("key", "th")).alias("h1"),
+            F.bit_xor(F.xxhash64(F.lit("second"), "th", "key")).alias("h2"),
+        ).alias("group"),
+    )
+    rarest = single.groupBy("group").agg(F.min("n_e").alias("n_e"))
+    groups, _ = store(held.join(single.select("entity", "group"), "entity").select("key", "th", "group").distinct(), "pii-groups")
+    words = (
+        scanned.select("key", "th", F.explode("words").alias("w"))
+        .groupBy("key", "th", "w.term")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    joint = groups.join(words, ["key", "th"]).groupBy("group", "term").agg(F.sum("n").alias("n_et"))
+    counted = joint.where(F.col("n_et") >= min_support).join(terms, "term").join(rarest, "group")
+    pmi = F.log(F.col("n_et") / (F.col("n_t") + F.lit(SMOOTHING)) * F.lit(float(total)) / F.col("n_e"))
     carried = F.log(F.lit(float(max(total, 1))) / F.col("n_e"))
-    return counted.where(carried > 0).select("entity", "term", (pmi / carried).alias("share"))
+    told = counted.where(carried > 0).select("group", "term", (pmi / carried).alias("share"))
+    return told, groups
 
 
 def detect(
@@ -199,22 +188,20 @@ def detect(
     """One row per document: id, text hash, base spans, and term spans with action."""
     scanned, _ = store(scan(docs, id_col, text_col), "pii-spans")
     terms, _ = store(term_counts(docs, text_col), "pii-terms")
-    told, _ = store(
-        disclosures(scanned, terms, min_support)
-        .where(F.col("share") >= generalise)
-        .select("entity", "term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")),
-        "pii-told",
-    )
-    # a repeated row finds its spans twice; the set keeps one of each
+    shares, groups = disclosures(scanned, terms, min_support)
+    told, _ = store(shares.where(F.col("share") >= generalise), "pii-told")
+    # the strongest action of a document's entities; a repeated row finds its spans twice, the set keeps one of each
+    actions = groups.join(told, "group").groupBy("key", "th", "term").agg(F.max("share").alias("share"))
     hits = (
-        scanned.select("key", "th", F.explode("near").alias("p"))
-        .select("key", "th", "p.entity", "p.term", "p.start", "p.end")
-        .join(told, ["entity", "term"])
+        scanned.select("key", "th", F.explode("words").alias("w"))
+        .select("key", "th", "w.term", "w.start", "w.end")
+        .join(actions, ["key", "th", "term"])
+        .withColumn("action", F.when(F.col("share") >= remove, "remove").otherwise("generalise"))
         .groupBy("key", "th")
         .agg(F.collect_set(F.struct("start", "end", "action")).alias("terms"))
     )
     none = F.expr("cast(array() as array<struct<start:int,end:int,action:string>>)")
-    return scanned.join(hits, ["key", "th"], "left").select(
+    return scanned.select("id", "key", "th", "base").join(hits, ["key", "th"], "left").select(
         F.col("id").alias(id_col), "th", "base", F.coalesce(F.array_sort("terms"), none).alias("terms")
     )
 

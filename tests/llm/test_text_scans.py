@@ -251,6 +251,39 @@ def test_disclosing_terms_against_brute_force(spark):
     assert clean[100] == rows[8][1] and clean[400] is None
 
 
+def test_terms_of_entities_seen_once(spark):
+    filler = [(100 + i, "patient visits hospital from town, wrote letters with rural friends") for i in range(100)]
+    far = "rural friends wrote letters " * 10  # far more than 60 code points
+    rows = [(1, f"Zebedee {far} mail zeb@clinic.org"), (2, "Zebedee? no"), (3, "+1 555 123 4567 Quixotia")] + filler
+    # one entity in two documents and one in one: the pair counts differ
+    rows += [(4, "Ottoline ten.a@x.org b@x.org"), (5, "ten.a@x.org Ottoline Barnaby")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r["doc_id"]: [tuple(t) for t in r["terms"]] for r in pii.detect(frame).collect()}
+    term = re.compile(r"[^\W\d_]{4,}")
+    n_t = Counter(t for _, text in rows for t in term.findall(text.lower()))
+    total = sum(n_t.values())
+    held = {d: {text[a:b].lower() for _, a, b in brute_pii(text)} for d, text in rows}
+    n_e = Counter(e for d, text in rows for _, a, b in brute_pii(text) for e in [text[a:b].lower()])
+    n_et = Counter((e, t) for d, text in rows for e in held[d] for t in term.findall(text.lower()))
+    for d, text in rows:
+        want = []
+        for m in term.finditer(text):
+            if any(a < m.end() and m.start() < b for _, a, b in brute_pii(text)):
+                continue
+            t = m[0].lower()
+            share = max(
+                (
+                    math.log(n_et[e, t] / (n_t[t] + pii.SMOOTHING) * total / n_e[e]) / math.log(total / n_e[e])
+                    for e in held[d]
+                ),
+                default=0,
+            )
+            if share >= pii.GENERALISE:
+                want.append((m.start(), m.end(), "remove" if share >= pii.REMOVE else "generalise"))
+        assert got[d] == want, d
+    assert (0, 7) in [t[:2] for t in got[1]] and len(got[3]) == 1 and len(got[5]) == 2 and not got[2]
+
+
 def test_personal_data_edges(edge, empty):
     assert pii.detect(empty).count() == 0
     assert pii.detect(edge).count() == len(edge_rows())
