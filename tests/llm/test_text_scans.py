@@ -284,6 +284,14 @@ def test_terms_of_entities_seen_once(spark):
     assert (0, 7) in [t[:2] for t in got[1]] and len(got[3]) == 1 and len(got[5]) == 2 and not got[2]
 
 
+def test_invalid_matches_do_not_cut_the_terms_of_a_card(spark):
+    rows = [(1, "Quixotia mente 97.51.17.173 ueadoos 12 in 1999 4111111111111111 room 204 Ottoline")]
+    rows += [(100 + i, "mente wrote letters with rural friends from town") for i in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string")
+    found = {r["doc_id"]: r["terms"] for r in pii.detect(frame).collect()}
+    assert [rows[0][1][t["start"] : t["end"]] for t in found[1]] == ["Quixotia", "ueadoos", "room", "Ottoline"]
+
+
 def test_personal_data_edges(edge, empty):
     assert pii.detect(empty).count() == 0
     assert pii.detect(edge).count() == len(edge_rows())
