@@ -90,6 +90,28 @@ def test_licences_edges(edge, empty, spark):
     assert found[2][0]["licence"] == "CC-BY-NC-4.0" and found[2][0]["dice"] == 1.0
 
 
+def test_licences_in_running_text_wrapped_lines_and_bodies(spark):
+    apache = 'Licensed under the Apache License,\nVersion 2.0 (the "License");\nyou may not use this file'
+    body = licences.BODIES["MIT"][0].split()
+    wrapped = "\n".join(" * " + " ".join(body[i : i + 9]) for i in range(0, len(body), 9))
+    rows = [
+        (1, "Intro\n\nReleased under the MIT License. See the LICENSE file for details."),
+        (2, "This project is licensed under the MIT License."),
+        (3, "x\n" + apache),
+        (4, "MIT\nCopyright (c) 2020 Somebody\n\n" + wrapped + "\nint main() {}"),
+        (5, licences.BODIES["BSD-3-Clause"][0].replace("documentation and or", "documentation or") + " thanks"),
+        (6, "// SPDX-License-Identifier: GPL-3.0-or-later"),
+        (7, licences.BODIES["GPL-2.0"][0] + "\n\n" + licences.BODIES["GPL-3.0"][0]),
+        (8, "released under the MIT licence of permission is hereby granted to any person " * 20),
+    ]
+    out = licences.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    found = {r["doc_id"]: [(h["line"], h["licence"]) for h in r["hits"]] for r in out}
+    assert found[1] == [(2, "MIT")] and found[2] == [(0, "MIT")] and found[3] == [(1, "Apache-2.0")]
+    assert found[4] == [(3, "MIT")] and found[5] == [(0, "BSD-3-Clause")] and found[6] == [(0, "GPL-3.0")]
+    assert found[7] == [(0, "GPL-2.0"), (2, "GPL-3.0")] and found[8] == []
+    assert {r["doc_id"]: r["hits"][0]["dice"] for r in out if r["doc_id"] < 5} == {1: 1.0, 2: 1.0, 3: 1.0, 4: 1.0}
+
+
 def test_size_bounds_are_exact():
     for a in range(1, 30):
         low, high = licences.size_bounds(a, 0.8)
