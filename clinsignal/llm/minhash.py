@@ -175,17 +175,23 @@ def setter(width: int):
 
 
 # --------------------------------------------------------------- components
-def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def components(links: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """(node, comp): smallest node reachable over the links (u, v).
 
     Each round takes the least label among the neighbours and then the label's
     own label, so chains shorten by half; tables are written every round.
+    Labels only fall, so the rounds end by themselves; with ``max_rounds``, labels
+    that have not settled by then are an error.
     """
     spark = links.sparkSession
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     both, both_path = store(both, "links")
     labels, path = store(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("comp")).withColumnRenamed("u", "node"), "labels")
-    for _ in range(max_rounds):
+    changed, rounds = 1, 0
+    while changed:
+        if rounds == max_rounds:
+            raise RuntimeError(f"components have not settled after {max_rounds} rounds")
+        rounds += 1
         near = (
             both.join(labels.withColumnRenamed("node", "v"), "v")
             .groupBy(F.col("u").alias("node"))
@@ -199,8 +205,6 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
         changed = moved.where(F.col("old") != F.col("comp")).limit(1).count()
         drop_scratch(spark, path)
         labels, path = moved.select("node", "comp"), new_path
-        if not changed:
-            break
     drop_scratch(spark, both_path)
     return labels
 

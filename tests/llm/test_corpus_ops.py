@@ -202,6 +202,13 @@ def shingles(text, width):
     return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)} or ({tuple(w)} if w else set())
 
 
+def test_components_that_have_not_settled_are_an_error(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(20)], "u bigint, v bigint")
+    with pytest.raises(RuntimeError, match="not settled"):
+        minhash.components(links, max_rounds=1)
+    assert {r["comp"] for r in minhash.components(links).collect()} == {0}
+
+
 def brute_components(rows, width=2):
     sets = {d: shingles(t, width) for d, t in rows}
     parent = {d: d for d in sets}
