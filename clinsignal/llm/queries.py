@@ -10,6 +10,7 @@ from clinsignal.llm import (
     exact_dedup,
     langid,
     licences,
+    manifest,
     minhash,
     mixing,
     pii,
@@ -129,6 +130,17 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), width=2)
 
 
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents, a tree per language; one row in seven is tampered with."""
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    docs = table(spark, sf_dir, "documents")
+    return manifest.manifest(docs, MANIFEST_FIELDS, "lang", altered={"n_chars": more}, where=tampered)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -142,6 +154,7 @@ QUERIES = {
         op8_pii,
         op9_tokens,
         op10_minhash,
+        op11_manifest,
     )
 }
 
@@ -213,3 +226,59 @@ def licence_oracle() -> str:
 
 
 ORACLES["op4_licences"] = licence_oracle()
+
+
+def manifest_oracle() -> str:
+    fields = " || ".join(
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in MANIFEST_FIELDS
+    )
+    altered = fields.replace("CAST(n_chars AS VARCHAR)", "CAST(CAST(n_chars AS HUGEINT) + 1 AS VARCHAR)")
+    step = "list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(c, b))"
+    codes = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ord(x) AS BIGINT))"
+    crc = f"xor(list_reduce({codes}, lambda c, b: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+    return f"""
+        WITH RECURSIVE leaves AS (
+            SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, sha256({fields}) AS leaf,
+                   CASE WHEN ({crc}) % 7 = 0 THEN sha256({altered}) ELSE sha256({fields}) END AS shown FROM documents),
+        low AS (
+            SELECT lang, 0 AS level, pos, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+            UNION ALL
+            SELECT lang, level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+            FROM low WHERE n > 1 GROUP BY lang, level, pos // 2, n),
+        tops AS (
+            SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos
+            FROM low WHERE n = 1),
+        high AS (
+            SELECT 0 AS level, pos, subroot AS digest, count(*) OVER () AS n FROM tops
+            UNION ALL
+            SELECT level + 1, pos // 2, sha256(string_agg(digest, '' ORDER BY pos)), (n + 1) // 2
+            FROM high WHERE n > 1 GROUP BY level, pos // 2, n),
+        low_steps AS (
+            SELECT l.lang, l.doc_id, list({{'side': (l.pos >> b.level) % 2, 'd': coalesce(s.digest, '')}} ORDER BY b.level) AS steps
+            FROM leaves l
+            JOIN (SELECT DISTINCT lang, level FROM low WHERE n > 1) b ON b.lang IS NOT DISTINCT FROM l.lang
+            LEFT JOIN low s ON s.lang IS NOT DISTINCT FROM l.lang AND s.level = b.level AND s.pos = xor(l.pos >> b.level, 1)
+            GROUP BY ALL),
+        high_steps AS (
+            SELECT t.lang, list({{'side': (t.pos >> b.level) % 2, 'd': coalesce(s.digest, '')}} ORDER BY b.level) AS steps
+            FROM tops t, (SELECT DISTINCT level FROM high WHERE n > 1) b
+            LEFT JOIN high s ON s.level = b.level AND s.pos = xor(t.pos >> b.level, 1)
+            GROUP BY ALL),
+        proofs AS (
+            SELECT l.doc_id, l.leaf, l.shown, t.subroot, r.digest AS root,
+                   list_concat(coalesce(a.steps, []), coalesce(h.steps, [])) AS steps
+            FROM leaves l JOIN tops t ON t.lang IS NOT DISTINCT FROM l.lang
+            LEFT JOIN low_steps a ON a.doc_id = l.doc_id
+            LEFT JOIN high_steps h ON h.lang IS NOT DISTINCT FROM l.lang
+            CROSS JOIN (SELECT digest FROM high WHERE n = 1) r),
+        folded AS (
+            SELECT *, list_reduce(list_transform(steps, lambda s: CAST(s.side AS VARCHAR) || s.d), lambda x, s:
+                       CASE WHEN s[1] = '1' THEN sha256(s[2:] || x) ELSE sha256(x || s[2:]) END, shown) AS folded_root
+            FROM proofs)
+        SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(steps, lambda s: s.d), '')) AS proof_sha256,
+               folded_root, folded_root = root AS verified
+        FROM folded
+    """
+
+
+ORACLES["op11_manifest"] = manifest_oracle()
