@@ -13,6 +13,7 @@ from clinsignal.llm import (
     manifest,
     minhash,
     mixing,
+    packing,
     pii,
     secrets,
     sharding,
@@ -141,6 +142,12 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(docs, MANIFEST_FIELDS, "lang", altered={"n_chars": more}, where=tampered)
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids in sequences of at most 4096."""
+    placed = packing.pack_sequences(table(spark, sf_dir, "documents"), tokenizer_file())
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -155,6 +162,7 @@ QUERIES = {
         op9_tokens,
         op10_minhash,
         op11_manifest,
+        op12_packing,
     )
 }
 
