@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinsignal.llm import (
+    alignment,
     decontaminate,
     exact_dedup,
     langid,
@@ -148,6 +149,12 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token groups and links of every document under two tokenizers."""
+    docs = table(spark, sf_dir, "documents")
+    return alignment.Alignment(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")).documents()
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -163,6 +170,7 @@ QUERIES = {
         op10_minhash,
         op11_manifest,
         op12_packing,
+        op13_alignment,
     )
 }
 
