@@ -50,8 +50,8 @@ from clinsignal.llm import coder, tokens
 from clinsignal.llm.common import store
 from clinsignal.llm.tokens import gather
 
-SEGMENT_PIECES = 1 << 20  # piece occurrences of a segment, or one longer document
-KEPT_PIECES = 500_000  # pieces that a Python worker keeps between batches
+SEGMENT_PIECES = 1 << 18  # piece occurrences of a segment, or one longer document
+KEPT_PIECES = 300_000  # pieces that a Python worker keeps between batches
 JOINED = 64  # new pieces tokenised as one text
 
 BLANK = "▁"
