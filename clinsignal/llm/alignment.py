@@ -18,10 +18,10 @@ piece is tokenised and aligned once; what is known is kept in a bounded table.
 (no piece joins a letter and a mark, holds a newline, or a blank after another
 character), else pieces are whole texts.
 
-A segment's documents are written as lists of piece numbers; a second pass joins
-them with the corpus-wide counts of the segment's pairs and sums per document.  The
-counts per A id and the best count per B id are vocabulary-length arrays, the only
-things that pass through the driver.
+A segment's documents are written as lists of piece numbers; a second pass gets the
+corpus-wide counts of the segment's pairs and sums per document.  Up to SHARED_PAIRS
+pairs are broadcast after they have been counted; more are joined to the segments.
+The counts per A id and the best count per B id are vocabulary-length arrays.
 
 Defined results: null and empty texts, and texts whose tokens do not give back a
 blank and the text (as those with U+2581), have no tokens: zeros and ''.  Rows with
@@ -50,8 +50,9 @@ from clinsignal.llm import coder, tokens
 from clinsignal.llm.common import store
 from clinsignal.llm.tokens import gather
 
-SEGMENT_PIECES = 1 << 18  # piece occurrences of a segment, or one longer document
-KEPT_PIECES = 300_000  # pieces that a Python worker keeps between batches
+SEGMENT_PIECES = 1 << 17  # piece occurrences of a segment, or one longer document
+SHARED_PAIRS = 1 << 20  # irregular pairs whose counts (16 MB) are broadcast; more are joined
+KEPT_PIECES = 250_000  # pieces that a Python worker keeps between batches
 JOINED = 64  # new pieces tokenised as one text
 
 BLANK = "▁"
@@ -276,8 +277,8 @@ def aligning(a_path: str, b_path: str):
         keep = np.repeat(~lost, counts)
         return out | {"groups_sha256": hashes, "n_pieces": np.where(lost, 0, counts), "pieces": numbers[keep].astype(np.int32)}
 
-    def segment(known: Aligner, part: int, at: int, ids: pa.Array, held: list[dict]) -> pa.RecordBatch:
-        pieces = np.concatenate([h["pieces"] for h in held])
+    def segment(known: Aligner, part: int, at: int, ids: pa.Array, docs: dict) -> pa.RecordBatch:
+        pieces = docs.pop("pieces")
         times = np.bincount(pieces, minlength=len(known.known))
         local = np.flatnonzero(times)
         renumbered = np.zeros(len(times), np.int32)
@@ -298,8 +299,8 @@ def aligning(a_path: str, b_path: str):
         columns = {
             "segment": pa.array([(part << 32) + at], pa.int64()),
             "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-            **{n: ints(np.concatenate([h[n] for h in held])) for n in PER_DOC if n != "groups_sha256"},
-            "groups_sha256": pa.array([[x for h in held for x in h["groups_sha256"]]], pa.list_(pa.string())),
+            **{n: ints(docs[n]) for n in PER_DOC if n != "groups_sha256"},
+            "groups_sha256": pa.array([docs["groups_sha256"]], pa.list_(pa.string())),
             "pieces": ints(pieces, pa.int32()),
             "piece_links": ints(sizes, pa.int32()),
             "links": ints(which, pa.int32()),
@@ -311,29 +312,40 @@ def aligning(a_path: str, b_path: str):
         return pa.RecordBatch.from_pydict(columns)
 
     def work(batches):
-        known, part, at = cached_aligner(a_path, b_path), 0, 0
-        ids, held, size = [], [], 0
+        known, at = cached_aligner(a_path, b_path), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = batch.column(0)[0].as_py()
             numbers, counts = known.pieces(batch.column(2).cast(pa.string()))
-            ids.append(batch.column(1))
-            held.append(summary(known, numbers, counts))
-            size += len(numbers)
-            if size >= SEGMENT_PIECES or known.full():
-                yield segment(known, part, at, pa.concat_arrays(ids), held)
-                at, ids, held, size = at + 1, [], [], 0
-                if known.full():  # numbers of pieces end with the segment
-                    known.clear()
-        if held:
-            yield segment(known, part, at, pa.concat_arrays(ids), held)
+            docs = summary(known, numbers, counts)
+            edge = np.concatenate([[0], np.cumsum(docs["n_pieces"])])
+            for a, b in document_runs(docs["n_pieces"].tolist()):
+                some = {n: docs[n][a:b] for n in PER_DOC} | {"pieces": docs["pieces"][edge[a] : edge[b]]}
+                yield segment(known, batch.column(0)[0].as_py(), at, batch.column(1).slice(a, b - a), some)
+                at += 1
+            if known.full():  # numbers of pieces end with the batch
+                known.clear()
 
     return work
 
 
-def judging(count_of: np.ndarray, best_of: np.ndarray, same: np.ndarray, n_b: int):
-    """mapInArrow kernel: segments with the corpus-wide counts of their pairs -> one row per document."""
+def document_runs(sizes: list[int]) -> list[tuple[int, int]]:
+    """Runs of documents of at most SEGMENT_PIECES pieces, or one longer document."""
+    out, first, held = [], 0, 0
+    for i, n in enumerate(sizes):
+        if i > first and held + n > SEGMENT_PIECES:
+            out.append((first, i))
+            first, held = i, 0
+        held += n
+    return [*out, (first, len(sizes))]
+
+
+def judging(count_of: np.ndarray, best_of: np.ndarray, same: np.ndarray, n_b: int, shared=None):
+    """mapInArrow kernel: segments with the corpus-wide counts of their pairs -> one row per document.
+
+    The counts come in each segment's ``totals``, or all of them as the broadcast
+    pair of arrays ``shared`` (pairs ascending, counts).
+    """
 
     def judge(batches: Iterable[pa.RecordBatch]):
         for batch in batches:
@@ -343,7 +355,12 @@ def judging(count_of: np.ndarray, best_of: np.ndarray, same: np.ndarray, n_b: in
                     return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
 
                 exact, pairs = values("exact"), values("pairs")
-                totals = values("totals") if len(pairs) else pairs
+                if shared is not None:
+                    known, counts = shared.value
+                    at = np.minimum(np.searchsorted(known, pairs), max(0, len(known) - 1))
+                    totals = counts[at][known[at] == pairs] if len(pairs) else pairs
+                else:
+                    totals = values("totals") if len(pairs) else pairs
                 if len(totals) != len(pairs):
                     raise ValueError("a pair of the segment has no count")
                 b = np.concatenate([same[exact], (pairs - len(same)) % n_b])
@@ -388,10 +405,10 @@ class Alignment:
             + [T.StructField(n, longs) for n in ("exact_counts", "pairs", "pair_counts")]
         )
         self.segments, _ = store(rows.mapInArrow(aligning(a_path, b_path), schema), "alignment")
-        # one row per segment and irregular pair: (pair, place in the segment, links there)
-        irregular = self.segments.select("segment", F.posexplode(F.arrays_zip("pairs", "pair_counts")).alias("place", "x"))
-        total = F.sum("x.pair_counts").over(W.partitionBy("x.pairs"))
-        self.totals, _ = store(irregular.select("segment", "place", F.col("x.pairs").alias("pair"), total.alias("total")), "alignment-pairs")
+        # one row per segment and irregular pair
+        found = self.segments.select("segment", F.posexplode(F.arrays_zip("pairs", "pair_counts")).alias("place", "x"))
+        self.places = found.select("segment", "place", F.col("x.pairs").alias("pair"), F.col("x.pair_counts").alias("n"))
+        self.totals, _ = store(self.places.groupBy("pair").agg(F.sum("n").alias("total")), "alignment-pairs")
         exact = self.segments.select(F.explode(F.arrays_zip("exact", "exact_counts")).alias("x"))
         #: at most one row per id of A
         self.exact = exact.groupBy(F.col("x.exact").alias("a")).agg(F.sum("x.exact_counts").alias("links"))
@@ -400,10 +417,9 @@ class Alignment:
     def irregular(self) -> DataFrame:
         """(a, b, links) of the pairs of irregular groups."""
         pair = F.col("pair") - self.tools.n_a
-        split = self.totals.groupBy("pair").agg(F.max("total").alias("links"))
-        return split.select(
-            F.floor(pair / self.tools.n_b).cast("bigint").alias("a"), F.pmod(pair, F.lit(self.tools.n_b)).alias("b"), "links"
-        )
+        b = F.pmod(pair, F.lit(self.tools.n_b)).cast("bigint")
+        a = ((pair - b) / self.tools.n_b).cast("bigint")
+        return self.totals.select(a.alias("a"), b.alias("b"), F.col("total").alias("links"))
 
     @property
     def pairs(self) -> DataFrame:
@@ -425,15 +441,21 @@ class Alignment:
         # at most one row per id of B
         for r in self.irregular.groupBy("b").agg(F.max("links").alias("links")).collect():
             best_of[r["b"]] = max(best_of[r["b"]], r["links"])
-        by_place = F.transform(F.array_sort(F.collect_list(F.struct("place", "total"))), lambda x: x["total"])
-        totals = self.totals.groupBy("segment").agg(by_place.alias("totals"))
         schema = T.StructType(
             [T.StructField("id", self.id_type)]
             + [T.StructField(n, T.LongType()) for n in (*PER_DOC[:3], "n_links", "n_best", "count_sum")]
             + [T.StructField("groups_sha256", T.StringType())]
         )
-        told = self.segments.drop("exact_counts", "pair_counts").join(totals, "segment", "left")
-        kernel = judging(count_of, best_of, same, self.tools.n_b)
+        told, shared = self.segments.drop("exact_counts", "pair_counts"), None
+        if self.totals.count() <= SHARED_PAIRS:
+            held = self.totals.orderBy("pair").toPandas()
+            shared = told.sparkSession.sparkContext.broadcast((held["pair"].to_numpy(np.int64), held["total"].to_numpy(np.int64)))
+        else:
+            # a pair has at most one row per segment, so none is hot
+            counted = self.places.drop("n").join(self.totals, "pair")
+            by_place = F.transform(F.array_sort(F.collect_list(F.struct("place", "total"))), lambda x: x["total"])
+            told = told.join(counted.groupBy("segment").agg(by_place.alias("totals")), "segment", "left")
+        kernel = judging(count_of, best_of, same, self.tools.n_b, shared)
         return told.mapInArrow(kernel, schema).withColumnRenamed("id", self.id_col)
 
 

@@ -93,7 +93,7 @@ def test_small_segments_and_forgotten_pieces(spark, tools, monkeypatch):
         for i in range(0, 300, 20)
     ]
     out = list(work(iter(batches)))
-    assert len(out) > 5
+    assert len(out) > 15
     count = Counter()
     for s in out:
         exact, pairs = s.column("exact")[0].as_py(), s.column("pairs")[0].as_py()
@@ -104,6 +104,14 @@ def test_small_segments_and_forgotten_pieces(spark, tools, monkeypatch):
     assert count == brute(tools, enumerate(texts))[1]
 
 
+def test_more_pairs_than_are_broadcast(spark, docs, tools, monkeypatch):
+    monkeypatch.setattr(alignment, "SHARED_PAIRS", 0)
+    some = docs.where("length(text) < 2000")
+    rows = [tuple(r) for r in some.select("doc_id", "text").collect()]
+    found = alignment.Alignment(some, *PATHS)
+    assert rows_of(found.documents()) == brute(tools, rows)[0]
+
+
 def test_repeated_rows_and_one_hot_text(spark, tools):
     rows = [(1, "the same words again and again")] * 3000 + [(None, "others \n\n here"), (2, "the same")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
