@@ -52,7 +52,7 @@ from clinsignal.llm.tokens import gather
 
 SEGMENT_PIECES = 1 << 17  # piece occurrences of a segment, or one longer document
 SHARED_PAIRS = 1 << 20  # irregular pairs whose counts (16 MB) are broadcast; more are joined
-KEPT_PIECES = 250_000  # pieces that a Python worker keeps between batches
+KEPT_PIECES = 200_000  # pieces that a Python worker keeps between the batches of a task
 JOINED = 64  # new pieces tokenised as one text
 
 BLANK = "▁"
@@ -325,6 +325,9 @@ def aligning(a_path: str, b_path: str):
                 at += 1
             if known.full():  # numbers of pieces end with the batch
                 known.clear()
+        # an idle worker keeps no pieces beside the next stage's memory
+        known.clear()
+        pa.default_memory_pool().release_unused()
 
     return work
 
