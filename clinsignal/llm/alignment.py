@@ -250,6 +250,7 @@ def cached_aligner(a_path: str, b_path: str) -> Aligner:
 
 
 PER_DOC = ["n_a", "n_b", "n_groups", "groups_sha256", "n_pieces"]
+PACKED = ["pieces", "piece_links", "links"]  # long lists of int32, kept as bytes
 
 
 def aligning(a_path: str, b_path: str):
@@ -301,9 +302,7 @@ def aligning(a_path: str, b_path: str):
             "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
             **{n: ints(docs[n]) for n in PER_DOC if n != "groups_sha256"},
             "groups_sha256": pa.array([docs["groups_sha256"]], pa.list_(pa.string())),
-            "pieces": ints(pieces, pa.int32()),
-            "piece_links": ints(sizes, pa.int32()),
-            "links": ints(which, pa.int32()),
+            **{n: pa.array([x.astype("<i4").tobytes()], pa.binary()) for n, x in zip(PACKED, (pieces, sizes, which))},
             "exact": ints(found, pa.int32()),
             "exact_counts": ints(vector[found]),
             "pairs": ints(distinct[n_exact:]),
@@ -369,10 +368,9 @@ def judging(count_of: np.ndarray, best_of: np.ndarray, same: np.ndarray, n_b: in
                 b = np.concatenate([same[exact], (pairs - len(same)) % n_b])
                 count = np.concatenate([count_of[exact], totals]).astype(np.int64)
                 best = count == best_of[b]
-                which, sizes = values("links"), values("piece_links")
+                pieces, sizes, which = (np.frombuffer(batch.column(n)[i].as_buffer(), "<i4") for n in PACKED)
                 edge = np.concatenate([[0], np.cumsum(sizes)])
-                pieces, n_pieces = values("pieces"), values("n_pieces")
-                doc_edge = np.concatenate([[0], np.cumsum(n_pieces)])
+                doc_edge = np.concatenate([[0], np.cumsum(values("n_pieces"))])
 
                 def per_doc(x):
                     per_piece = np.diff(np.concatenate([[0], np.cumsum(x[which])])[edge])
@@ -399,12 +397,13 @@ class Alignment:
         self.id_col, self.tools = id_col, Tokenizers(a_path, b_path)
         rows = docs.select(F.spark_partition_id().alias("part"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         self.id_type = rows.schema["id"].dataType
-        longs, ints = T.ArrayType(T.LongType()), T.ArrayType(T.IntegerType())
+        longs = T.ArrayType(T.LongType())
         schema = T.StructType(
             [T.StructField("segment", T.LongType()), T.StructField("ids", T.ArrayType(self.id_type))]
             + [T.StructField(n, longs) for n in PER_DOC if n != "groups_sha256"]
             + [T.StructField("groups_sha256", T.ArrayType(T.StringType()))]
-            + [T.StructField(n, ints) for n in ("pieces", "piece_links", "links", "exact")]
+            + [T.StructField(n, T.BinaryType()) for n in PACKED]
+            + [T.StructField("exact", T.ArrayType(T.IntegerType()))]
             + [T.StructField(n, longs) for n in ("exact_counts", "pairs", "pair_counts")]
         )
         self.segments, _ = store(rows.mapInArrow(aligning(a_path, b_path), schema), "alignment")
