@@ -3,40 +3,43 @@
 Linear scorecard: exact Shapley values are ``weight * (x - center)`` -- plain
 column expressions.
 
-Tree ensembles (Spark GBT): exact path-dependent Tree SHAP as a Spark job.
-
-* The model is flattened once into a leaf table (one row per leaf: folded
-  value = tree weight x leaf value, per-feature interval ``lo < x <= hi`` and
-  per-feature cover fraction).  Its size is bounded by the model settings
-  (rounds x 2^depth), checked, and broadcast.
-* For a coalition S, the path-dependent expectation is
-  ``v(S) = sum_leaf value * prod_{f in S} [lo_f < x_f <= hi_f] * prod_{f not in S} cover_f``;
-  Shapley weights over all 2^M coalitions give phi.
+Tree ensembles (Spark GBT, second-order trees, literal node tables): exact
+path-dependent Tree SHAP as a Spark job, in time leaves x depth^2 per vector.
+
+* A leaf is a game of its own among the distinct features on its path.  Feature
+  j contributes ``z_j`` (the cover shares of its splits, multiplied) while it is
+  unknown and ``o_j`` (1 if the vector takes all of its splits, else 0) once it is
+  known.  Extending a path by a feature multiplies the polynomial of coalition
+  sizes by ``z_j + o_j t``; unwinding divides one feature out again, and the
+  Shapley weights of the coefficients left give that feature's phi.
+* Leaves are worked through in blocks of LEAF_BLOCK, each with its own broadcast
+  of bounded size, whatever the number of trees; vectors in chunks of bounded memory.
 * Work runs in place, one Arrow batch at a time; a feature vector that repeats
   within a batch is explained once.  Nothing is shuffled or joined back.
 """
 
-import itertools
+from __future__ import annotations
+
 import math
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clinsignal.functions.numeric import sigmoid
+from clinsignal.operators import ensemble
+from clinsignal.operators.ensemble import TreeEnsemble, feature_struct, from_spark_gbt
 from clinsignal.operators.scoring import Scorecard
-from clinsignal.session import scratch_path
 
-# Log-odds of Spark's logistic GBT = 2 x the ensemble margin.
-GBT_LOGIT_SCALE = 2.0
-MAX_LEAVES = 1_000_000
+LEAF_BLOCK = 1 << 14  # leaves explained by one pass over a batch
+CHUNK_BYTES = 64 * 1024 * 1024  # working memory of one chunk of vectors
 
 
 # -- linear ------------------------------------------------------------------
@@ -62,165 +65,146 @@ def delta_p(margin_col: str = "margin", baseline: float = 0.0):
 # -- trees ---------------------------------------------------------------------
 
 
-def _gbt_stage(model: PipelineModel | GBTClassificationModel) -> GBTClassificationModel:
-    if isinstance(model, GBTClassificationModel):
-        return model
-    for stage in model.stages:
-        if isinstance(stage, GBTClassificationModel):
-            return stage
-    raise ValueError("model has no gradient-boosted tree stage")
+@dataclass
+class Leaves:
+    """Leaves with the distinct features of their paths, padded to one length.
 
+    A padded place has z = o = 1: a player who changes nothing, and so nobody's phi.
+    """
 
-def leaf_table(spark: SparkSession, model: PipelineModel | GBTClassificationModel, n_features: int) -> dict[str, np.ndarray]:
-    """Flatten the ensemble into leaf arrays (value, lo, hi, cover).
+    value: np.ndarray  # (leaves,)
+    feature: np.ndarray  # (leaves, places), -1: padding
+    low: np.ndarray  # low <= x < high on the path
+    high: np.ndarray
+    missing: np.ndarray  # a missing value takes this path
+    share: np.ndarray  # z
 
-    The node table is read from the saved model with Spark; its rows are
-    counted before it is fetched.
-    """
-    gbt = _gbt_stage(model)
-    weights = list(gbt.treeWeights)
-    path = scratch_path(spark, "gbt-model")
-    gbt.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select(
-        "treeID",
-        F.col("nodeData.id").alias("id"),
-        F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.rawCount").alias("count"),
-        F.col("nodeData.leftChild").alias("left"),
-        F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"),
-    )
-    n_nodes = nodes.count()
-    if n_nodes > 2 * MAX_LEAVES:
-        raise ValueError(f"ensemble too large to broadcast ({n_nodes} nodes)")
-    rows = nodes.collect()
-    trees: dict[int, dict[int, tuple]] = {}
-    for r in rows:
-        trees.setdefault(r["treeID"], {})[r["id"]] = (
-            r["prediction"], r["count"], r["left"], r["right"], r["feature"], r["threshold"]
-        )
-    values, los, his, covers = [], [], [], []
-    for tree_id in sorted(trees):
-        nodes_of = trees[tree_id]
-        w = weights[tree_id]
-        stack = [(0, np.full(n_features, -np.inf), np.full(n_features, np.inf), np.ones(n_features))]
+    def block(self, start: int, stop: int) -> Leaves:
+        return Leaves(*[a[start:stop] for a in vars(self).values()])
+
+
+def path_leaves(model: TreeEnsemble) -> Leaves:
+    """All leaves of the ensemble; covers must be positive."""
+    paths: list[tuple[float, dict[int, list]]] = []
+    for tree in model.trees:
+        stack = [(tree.root, {})]
         while stack:
-            node_id, lo, hi, cover = stack.pop()
-            pred, count, left, right, feat, thr = nodes_of[node_id]
-            if left < 0:
-                values.append(w * pred)
-                los.append(lo)
-                his.append(hi)
-                covers.append(cover)
+            at, path = stack.pop()
+            f = int(tree.feature[at])
+            if f < 0:
+                paths.append((float(tree.value[at]), path))
                 continue
-            for child, is_left in ((left, True), (right, False)):
-                c_lo, c_hi, c_cover = lo.copy(), hi.copy(), cover.copy()
-                if is_left:
-                    c_hi[feat] = min(c_hi[feat], thr)
-                else:
-                    c_lo[feat] = max(c_lo[feat], thr)
-                child_count = nodes_of[child][1]
-                c_cover[feat] *= (child_count / count) if count else 0.0
-                stack.append((child, c_lo, c_hi, c_cover))
-    return {
-        "value": np.asarray(values, dtype=np.float64),
-        "lo": np.asarray(los, dtype=np.float64),
-        "hi": np.asarray(his, dtype=np.float64),
-        "cover": np.asarray(covers, dtype=np.float64),
-    }
-
-
-def shapley_weights(m: int) -> list[tuple[int, tuple[int, ...], float]]:
-    """(feature, coalition without it, weight) for all coalitions."""
-    out = []
-    for i in range(m):
-        others = [j for j in range(m) if j != i]
-        for k in range(m):
-            w = math.factorial(k) * math.factorial(m - k - 1) / math.factorial(m)
-            for s in itertools.combinations(others, k):
-                out.append((i, s, w))
+            for child, goes_left in ((int(tree.left[at]), True), (int(tree.right[at]), False)):
+                low, high, missing, share = path.get(f, (-np.inf, np.inf, True, 1.0))
+                cover = tree.cover[tree.left[at]] + tree.cover[tree.right[at]]
+                if not tree.cover[child] > 0:
+                    raise ValueError("a node without cover has no expectation")
+                taken = tree.missing_left[at] == goes_left
+                bounds = (low, min(high, tree.threshold[at])) if goes_left else (max(low, tree.threshold[at]), high)
+                stack.append((child, {**path, f: (*bounds, missing and taken, share * tree.cover[child] / cover)}))
+    places = max([1, *[len(p) for _, p in paths]])
+    n = len(paths)
+    out = Leaves(
+        np.array([v for v, _ in paths]), np.full((n, places), -1), np.full((n, places), -np.inf), np.full((n, places), np.inf),
+        np.ones((n, places), bool), np.ones((n, places)),
+    )
+    for i, (_, path) in enumerate(paths):
+        for k, (f, (low, high, missing, share)) in enumerate(path.items()):
+            out.feature[i, k], out.low[i, k], out.high[i, k] = f, low, high
+            out.missing[i, k], out.share[i, k] = missing, share
     return out
 
 
-# Working memory per chunk of vectors: (chunk x leaves) float64 matrices.
-CHUNK_BYTES = 128 * 1024 * 1024
-
+def shapley_of_leaves(x: np.ndarray, leaves: Leaves) -> np.ndarray:
+    """(rows, features + 1): phi of every feature, then the expectation without any."""
+    n, m = x.shape
+    count, places = leaves.feature.shape
+    out = np.zeros((n, m + 1))
+    out[:, m] = (leaves.value * leaves.share.prod(axis=1)).sum()
+    weights = [math.factorial(k) * math.factorial(places - k - 1) / math.factorial(places) for k in range(places)]
+    column = [np.zeros((count, m)) for _ in range(places)]
+    for k in range(places):
+        used = np.flatnonzero(leaves.feature[:, k] >= 0)
+        column[k][used, leaves.feature[used, k]] = 1.0
+    step = max(1, int(CHUNK_BYTES // (8 * max(1, count) * (2 * places + 3))))
+    for start in range(0, n, step):
+        xb = x[start : start + step]
+        ones, extended = [], [np.ones((len(xb), count))]
+        for k in range(places):
+            v = xb[:, np.maximum(leaves.feature[:, k], 0)]
+            inside = (v >= leaves.low[:, k]) & (v < leaves.high[:, k]) | (np.isnan(v) & leaves.missing[:, k])
+            ones.append((inside | (leaves.feature[:, k] < 0)).astype(np.float64))
+            extended = extend(extended, leaves.share[:, k], ones[k])
+        for k in range(places):
+            z, o = leaves.share[:, k], ones[k]
+            total = sum(w * c for w, c in zip(weights, unwind(extended, z, o)))
+            out[start : start + step, :m] += ((o - z) * total * leaves.value) @ column[k]
+    return out
 
-def coalition_values(x: np.ndarray, leaves: dict[str, np.ndarray], chunk: int | None = None) -> np.ndarray:
-    """v(S) for every coalition S (bit mask) and row: shape (rows, 2^M).
 
-    Vectors are processed in chunks sized so that the (chunk x leaves)
-    intermediates stay near ``CHUNK_BYTES`` whatever the model size.
-    """
-    n, m = x.shape
-    value, lo, hi, cover = leaves["value"], leaves["lo"], leaves["hi"], leaves["cover"]
-    if chunk is None:
-        per_vector = max(1, lo.shape[0]) * (8 + m)  # one float64 factor + m booleans per leaf
-        chunk = int(max(1, min(4096, CHUNK_BYTES // per_vector)))
-    out = np.empty((n, 2**m), dtype=np.float64)
-    for start in range(0, n, chunk):
-        xb = x[start : start + chunk]
-        inside = (xb[:, None, :] > lo[None, :, :]) & (xb[:, None, :] <= hi[None, :, :])  # (b, L, m)
-        for mask in range(2**m):
-            factor = np.ones((xb.shape[0], lo.shape[0]), dtype=np.float64)
-            for f in range(m):
-                factor *= inside[:, :, f] if mask >> f & 1 else cover[None, :, f]
-            out[start : start + chunk, mask] = factor @ value
+def extend(path: list[np.ndarray], z: np.ndarray, o: np.ndarray) -> list[np.ndarray]:
+    """Coefficients by coalition size after one more feature: times (z + o t)."""
+    out = [z * c for c in path] + [o * path[-1]]
+    for k in range(1, len(path)):
+        out[k] += o * path[k - 1]
     return out
 
 
-def shap_from_values(v: np.ndarray, m: int) -> np.ndarray:
-    phi = np.zeros((v.shape[0], m), dtype=np.float64)
-    for i, s, w in shapley_weights(m):
-        mask = sum(1 << j for j in s)
-        phi[:, i] += w * (v[:, mask | (1 << i)] - v[:, mask])
-    return phi
+def unwind(path: list[np.ndarray], z: np.ndarray, o: np.ndarray) -> list[np.ndarray]:
+    """Coefficients without one feature: divided by (z + o t), from the top where o is 1."""
+    known, out = o > 0, [np.empty(0)] * (len(path) - 1)
+    carried = path[-1]
+    for k in reversed(range(len(path) - 1)):
+        out[k] = np.where(known, carried, path[k] / z)
+        carried = path[k] - z * out[k]
+    return out
 
 
 def tree_attribution(
     df: DataFrame,
-    model: PipelineModel | GBTClassificationModel,
+    model: PipelineModel | GBTClassificationModel | TreeEnsemble,
     features: list[str],
     prefix: str = "phi_",
     baseline: float = 0.0,
 ) -> DataFrame:
     """Rows of ``df`` + phi per feature (log-odds), base_value, margin, risk_probability, delta_p.
 
-    ``baseline`` is the log-odds the audit compares against (Spark GBT has no
-    intercept, so 0).
+    ``baseline`` is the log-odds the audit compares against (0 for models without
+    an intercept).
     """
     spark = df.sparkSession
-    m = len(features)
-    leaves = leaf_table(spark, model, m)
-    if leaves["value"].shape[0] > MAX_LEAVES:
-        raise ValueError("leaf table too large to broadcast")
-    leaves_bc = spark.sparkContext.broadcast(leaves)
-    scale = GBT_LOGIT_SCALE
-
-    names = [*[f"{prefix}{f}" for f in features], "base_value", "margin"]
-    out_schema = T.StructType([T.StructField(n, T.DoubleType(), True) for n in names])
-
-    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lv = leaves_bc.value
-        for pdf in batches:
-            x = pdf.to_numpy(dtype=np.float64)
-            # a vector that repeats within the batch is explained once
-            distinct, which = np.unique(x, axis=0, return_inverse=True)
-            v = coalition_values(distinct, lv) * scale
-            phi = shap_from_values(v, m)
-            out = np.column_stack([phi, v[:, 0], v[:, -1]])[which.ravel()]
-            yield pd.DataFrame(out, columns=names)
+    trees = model if isinstance(model, TreeEnsemble) else from_spark_gbt(spark, model, features)
+    leaves, m = path_leaves(trees), len(features)
+
+    def explainer(shipped):
+        def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            for pdf in batches:
+                # a vector that repeats within the batch is explained once
+                distinct, which = np.unique(pdf.to_numpy(dtype=np.float64), axis=0, return_inverse=True)
+                yield pd.Series(list(shapley_of_leaves(distinct, shipped.value)[which.ravel()]))
+
+        return F.pandas_udf(explain, "array<double>")
 
     # in place: no join back, so null features (NaN to the model) keep their rows
-    vector = F.struct(*[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
-    found = F.pandas_udf(explain, out_schema)(vector)
-    joined = df.withColumn("__found", found).select("*", "__found.*").drop("__found")
-    return joined.withColumn("risk_probability", sigmoid("margin")).withColumn(
+    found = None
+    for start in range(0, len(leaves.value), LEAF_BLOCK):
+        part = explainer(spark.sparkContext.broadcast(leaves.block(start, start + LEAF_BLOCK)))(feature_struct(features))
+        found = part if found is None else F.zip_with(found, part, lambda a, b: a + b)
+    if found is None:
+        found = F.array_repeat(F.lit(0.0), m + 1)
+    rows = df.withColumn("__found", found)
+    phis = {f"{prefix}{f}": F.col("__found")[i] for i, f in enumerate(features)}
+    base = F.col("__found")[m] + F.lit(trees.base)
+    rows = rows.withColumns({**phis, "base_value": base}).drop("__found")
+    total = F.col("base_value")
+    for name in phis:
+        total = total + F.col(name)
+    return rows.withColumn("margin", total).withColumn("risk_probability", sigmoid("margin")).withColumn(
         "delta_p", sigmoid("margin") - sigmoid(F.lit(float(baseline)))
     )
 
 
 # The batch kernels above are shipped to executors by value, so workers need
 # only numpy / pandas, not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+for _module in (sys.modules[__name__], ensemble):
+    cloudpickle.register_pickle_by_value(_module)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,17 +89,59 @@ def indicator_features(df: DataFrame) -> DataFrame:
     )
 
 
-def split_threshold(test_fraction: float = TEST_FRACTION) -> str:
-    """Hex prefix below which a key's hash lands on the test side."""
-    return format(int(test_fraction * 16**8), "08x")
+# The split orders rows by this many hex digits of a seeded hash, then by key.
+HASH_DIGITS = 15
+RANGE_BITS = 12  # a pass counts the rows of so many equal hash ranges, as a power of two
+FETCHED = 4096  # keys of one range that are ordered at the driver
 
 
-def test_side(key: Column | str = "event_id", seed: int = SPLIT_SEED, test_fraction: float = TEST_FRACTION) -> Column:
-    """Deterministic split: stable under repartitioning and retries."""
-    key = F.col(key) if isinstance(key, str) else key
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))) < F.lit(split_threshold(test_fraction))
+def split_hash(key: Column, seed: int) -> Column:
+    """60-bit number of a key; rows without a key share one."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10).cast("bigint")
+
+
+def split_bound(df: DataFrame, key: str, seed: int, share: float) -> tuple[int, str] | None:
+    """(hash, key) of the last row of the first ceil(share * n), found without sorting.
+
+    Each pass counts rows per hash range (map-side; at most 2^RANGE_BITS counts)
+    and goes on in the one range that holds the wanted row; the keys of the last,
+    small range are put in order.  Rows of one key are never parted, so more rows
+    than wanted are taken only if the key at the bound repeats.
+    """
+    rows = df.select(split_hash(F.col(key), seed).alias("h"), F.coalesce(F.col(key).cast("string"), F.lit("")).alias("k"))
+    low, width, wanted = 0, 16**HASH_DIGITS, None
+    while True:
+        step = max(1, width >> RANGE_BITS)
+        inside = rows.where((F.col("h") >= low) & (F.col("h") < low + width))
+        counts = inside.groupBy(F.shiftright(F.col("h") - low, step.bit_length() - 1).alias("r")).count().collect()
+        if wanted is None:
+            wanted = math.ceil(share * sum(r["count"] for r in counts))
+            if wanted == 0:
+                return None
+        for r in sorted(counts, key=lambda r: r["r"]):
+            if r["count"] >= wanted:
+                break
+            wanted -= r["count"]
+        low, width = low + r["r"] * step, step
+        if r["count"] <= FETCHED or width == 1:
+            break
+    last = rows.where((F.col("h") >= low) & (F.col("h") < low + width)).groupBy("h", "k").count().orderBy("h", "k")
+    for r in last.toLocalIterator():
+        wanted -= r["count"]
+        if wanted <= 0:
+            return r["h"], r["k"]
+    raise AssertionError("rows changed between passes")
 
 
 def split(df: DataFrame, key: str = "event_id", seed: int = SPLIT_SEED, test_fraction: float = TEST_FRACTION) -> tuple[DataFrame, DataFrame]:
-    flag = test_side(key, seed, test_fraction)
-    return df.where(~flag), df.where(flag)
+    """(train, test): exactly ceil(test_fraction * n) test rows for distinct keys.
+
+    Depends on seed and keys only: stable under repartitioning and retries.
+    """
+    bound = split_bound(df, key, seed, test_fraction)
+    if bound is None:
+        return df, df.where(F.lit(False))
+    h, k = split_hash(F.col(key), seed), F.coalesce(F.col(key).cast("string"), F.lit(""))
+    test = (h < bound[0]) | ((h == bound[0]) & (k <= bound[1]))
+    return df.where(~test), df.where(test)

@@ -2,7 +2,8 @@
 
 Each training run appends one row (params and metrics as maps, the input
 contract as JSON, the saved model path) to a ledger table.  A model version
-is resolved through the ledger; the model itself is a saved Spark ML pipeline.
+is resolved through the ledger; the model itself is a saved Spark ML pipeline or
+the node table of a tree ensemble.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from clinsignal.operators.contract import input_contract
+from clinsignal.operators.ensemble import TreeEnsemble
 from clinsignal.schemas import RUN_LEDGER_SCHEMA
-from clinsignal.sources.sinks import append
+from clinsignal.sources.sinks import append_alone, claim_number
 from clinsignal.sources.tables import read_table_or_empty
 
 
@@ -30,7 +32,7 @@ def ledger_path(root: str) -> str:
 
 
 def read_ledger(spark: SparkSession, root: str) -> DataFrame:
-    return read_table_or_empty(spark, ledger_path(root), RUN_LEDGER_SCHEMA)
+    return read_table_or_empty(spark, ledger_path(root), RUN_LEDGER_SCHEMA).select(*RUN_LEDGER_SCHEMA.names)
 
 
 def next_version(spark: SparkSession, root: str, name: str) -> int:
@@ -45,20 +47,24 @@ def record_run(
     params: dict[str, object],
     metrics: DataFrame | dict[str, float],
     contract: str | None = None,
-    model: PipelineModel | None = None,
+    model: PipelineModel | TreeEnsemble | None = None,
 ) -> DataFrame:
     """Append one run row; returns it as a one-row DataFrame.
 
     ``metrics`` may be a one-row DataFrame of numeric columns (computed on the
     cluster); it is turned into the metrics map without leaving Spark.
     """
-    version = next_version(spark, root, name)
     run_id = uuid.uuid4().hex
     path = None
     if model is not None:
         # named by the run: a crash before the ledger row blocks no later run
         path = f"{root.rstrip('/')}/models/{name}/run={run_id}"
-        model.write().save(path)
+        if isinstance(model, TreeEnsemble):
+            model.save(spark, path)
+        else:
+            model.write().save(path)
+    # two runs that saw the same latest version get numbers of their own
+    version = claim_number(spark, f"{root.rstrip('/')}/_claims/{name}", next_version(spark, root, name))
     if isinstance(metrics, dict):
         metrics = spark.createDataFrame([tuple(float(v) for v in metrics.values())], list(metrics))
     metric_map = F.create_map(*[x for c in metrics.columns for x in (F.lit(c), F.col(c).cast("double"))])
@@ -73,7 +79,7 @@ def record_run(
         F.lit(contract).cast("string").alias("contract"),
         F.lit(path).cast("string").alias("path"),
     ).to(RUN_LEDGER_SCHEMA)
-    append(row.coalesce(1), ledger_path(root))
+    append_alone(row, ledger_path(root))
     return read_ledger(spark, root).where((F.col("name") == name) & (F.col("version") == version))
 
 
@@ -88,15 +94,23 @@ def _registered(spark: SparkSession, root: str, name: str, version: int | None):
     return row["m"]
 
 
-def load_model(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
+def _load(spark: SparkSession, path: str) -> PipelineModel | TreeEnsemble:
+    """A saved model of either kind; a node table is told by its folders."""
+    spec = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/spec")
+    if spec.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(spec):
+        return TreeEnsemble.load(spark, path)
+    return PipelineModel.load(path)
+
+
+def load_model(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel | TreeEnsemble:
     """Resolve name (+ version, default latest) through the ledger and load it."""
-    return PipelineModel.load(_registered(spark, root, name, version)["path"])
+    return _load(spark, _registered(spark, root, name, version)["path"])
 
 
 def load_serving(
     spark: SparkSession, root: str, name: str, version: int | None = None
-) -> tuple[PipelineModel, StructType | None]:
+) -> tuple[PipelineModel | TreeEnsemble, StructType | None]:
     """A registered model and the input contract stored with it."""
     found = _registered(spark, root, name, version)
     contract = input_contract(found["contract"]) if found["contract"] else None
-    return PipelineModel.load(found["path"]), contract
+    return _load(spark, found["path"]), contract

@@ -3,6 +3,7 @@
 * ``Scorecard``: fixed linear log-odds model (weights, reference points,
   intercept).  Pure column expressions, so its scores, attributions and
   metrics are SQL-checkable.
+* ``TreeEnsemble``: second-order boosted trees or a literal node table.
 * Spark ML ``PipelineModel`` (assembler + gradient-boosted trees): trained
   distributedly, applied with ``transform`` -- JVM only, batch or stream.
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinsignal.functions.numeric import sigmoid
+from clinsignal.operators.ensemble import TreeEnsemble
 from clinsignal.schemas import FEATURES
 
 ALERT_THRESHOLD = 0.5
@@ -84,13 +86,18 @@ def decision(prob: Column, threshold: float = ALERT_THRESHOLD) -> Column:
     return F.when(prob > threshold, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def score(df: DataFrame, model: Scorecard | PipelineModel) -> DataFrame:
+def score(df: DataFrame, model: Scorecard | TreeEnsemble | PipelineModel) -> DataFrame:
     """Add ``risk_probability`` and the 0/1 ``adverse_event_risk_score``."""
     if isinstance(model, Scorecard):
         prob = sigmoid(model.margin())
         return df.withColumn("risk_probability", prob).withColumn(
             "adverse_event_risk_score", decision(F.col("risk_probability"))
         )
+    if isinstance(model, TreeEnsemble):
+        prob = sigmoid(model.margin(df.sparkSession))
+        return df.withColumn("risk_probability", prob).withColumn(
+            "adverse_event_risk_score", decision(F.col("risk_probability"))
+        )
     out = model.transform(df)
     prob = vector_to_array(F.col("probability"))[1]
     keep = [c for c in df.columns]
@@ -101,10 +108,12 @@ def score(df: DataFrame, model: Scorecard | PipelineModel) -> DataFrame:
     )
 
 
-def log_odds(df: DataFrame, model: Scorecard | PipelineModel, out_col: str = "margin") -> DataFrame:
+def log_odds(df: DataFrame, model: Scorecard | TreeEnsemble | PipelineModel, out_col: str = "margin") -> DataFrame:
     """Model margin in log-odds.  For logistic GBT it is 2 x rawPrediction[1]."""
     if isinstance(model, Scorecard):
         return df.withColumn(out_col, model.margin())
+    if isinstance(model, TreeEnsemble):
+        return df.withColumn(out_col, model.margin(df.sparkSession))
     out = model.transform(df)
     return out.select(*df.columns, (F.lit(2.0) * vector_to_array(F.col("rawPrediction"))[1]).alias(out_col))
 

@@ -17,7 +17,9 @@ from clinsignal.operators.features import (
     training_frame,
 )
 from clinsignal.operators.ingest import parse_payload
-from clinsignal.operators.ledger import record_run
+from clinsignal.operators.ensemble import Node, TreeEnsemble
+from clinsignal.operators.ledger import load_model, record_run
+from clinsignal.operators.newton import Settings, train_newton
 from clinsignal.operators.scoring import (
     DEFAULT_SCORECARD,
     GBT_PARAMS,
@@ -32,6 +34,7 @@ from clinsignal.operators.scoring import (
 from clinsignal.plans import layers as P
 from clinsignal.plans.registry import query
 from clinsignal.plans.sql_base import margin_sql, sigmoid_sql, test_side_sql, with_base
+from clinsignal.plans.sql_trees import applied_ctes, explained_ctes, newton_ctes
 from clinsignal.schemas import FEATURE_CONTRACT_V4, FEATURES
 from clinsignal.session import scratch_path
 from clinsignal.sources.tables import literal_vector
@@ -356,19 +359,10 @@ def score_python_model_q(spark: SparkSession, sf_dir: str):
 _MODELS: dict[tuple, object] = {}
 
 
-def _gbt_for(spark: SparkSession, sf_dir: str, v1: bool = False):
-    key = (spark.sparkContext.applicationId, sf_dir, v1)
+def _gbt_for(spark: SparkSession, sf_dir: str):
+    key = P.layer_key(spark, sf_dir, "gbt")
     with P.BUILD_LOCK:
-        return _fit_once(spark, sf_dir, v1, key)
-
-
-def _fit_once(spark: SparkSession, sf_dir: str, v1: bool, key: tuple):
-    if key not in _MODELS:
-        if v1:
-            frame = P.v1_features(spark, sf_dir)
-            feats = ["systolic_bp", "diastolic_bp", "rxnorm_17767_amlodipine", "snomed_709044004_kidney_injury"]
-            _MODELS[key] = (train_gbt(frame, feats, **QUERY_GBT), feats)
-        else:
+        if key not in _MODELS:
             train, _ = split(P.features(spark, sf_dir))
             _MODELS[key] = (train_gbt(train, FEATURES, **QUERY_GBT), FEATURES)
     return _MODELS[key]
@@ -408,9 +402,56 @@ def score_batch_q(spark: SparkSession, sf_dir: str):
     )
 
 
-@query("audit_attribution")
+# A fixed two-tree model (our own): a path that meets a feature twice, unequal
+# depths and covers; features are numbered as in FEATURES.
+_RX, _SNOMED, _SYS, _DIA = (FEATURES.index(f) for f in ("rxnorm_id", "snomed_code", "systolic_bp", "diastolic_bp"))
+LITERAL_TREES = TreeEnsemble(
+    [
+        Node(0, 1, _SYS, 140.5, 2, 3, cover=1000),
+        Node(0, 2, _DIA, 85.0, 4, 5, cover=620),
+        Node(0, 3, _SNOMED, 709044004.0, 6, 7, cover=380),
+        Node(0, 4, value=-0.9, cover=400),
+        Node(0, 5, value=-0.25, cover=220),
+        Node(0, 6, value=0.4, cover=300),
+        Node(0, 7, value=1.1, cover=80),
+        Node(1, 1, _RX, 17767.0, 2, 3, cover=1000),
+        Node(1, 2, _SYS, 120.0, 4, 5, cover=350),
+        Node(1, 3, value=0.15, cover=650),
+        Node(1, 4, value=-0.3, cover=100),
+        Node(1, 5, _SYS, 150.0, 6, 7, cover=250),
+        Node(1, 6, value=0.05, cover=200),
+        Node(1, 7, value=0.6, cover=50),
+    ],
+    FEATURES,
+    base=-0.125,
+)
+
+
+def _audit_sql() -> str:
+    phis = [f"phi_{i}" for i in range(len(FEATURES))]
+    named = ", ".join(f"round({p}, {ROUND}) AS phi_{f}" for p, f in zip(phis, FEATURES))
+    margin = f"(base_value + {' + '.join(phis)})"
+    source = f"SELECT event_id, {FEAT_COLS} FROM feats WHERE {test_side_sql()}"
+    return with_base(
+        explained_ctes(source, LITERAL_TREES)
+        + f" SELECT event_id, {named}, round(base_value, {ROUND}) AS base_value, round({margin}, {ROUND}) AS margin, "
+        f"round({sigmoid_sql(margin)}, {ROUND}) AS risk_probability, "
+        f"round({sigmoid_sql(margin)} - {sigmoid_sql('0.0')}, {ROUND}) AS delta_p FROM explained"
+    ).replace("WITH clinical_raw", "WITH RECURSIVE clinical_raw", 1)
+
+
+@query("audit_attribution", _audit_sql())
 def audit_attribution_q(spark: SparkSession, sf_dir: str):
-    """Exact path-dependent Tree SHAP + delta-P for every test row."""
+    """Exact path-dependent Tree SHAP + delta-P of the fixed two-tree model for every test row."""
+    _, test = split(P.features(spark, sf_dir))
+    told = attribution.tree_attribution(test, LITERAL_TREES, FEATURES)
+    numbers = [*[f"phi_{f}" for f in FEATURES], "base_value", "margin", "risk_probability", "delta_p"]
+    return told.select("event_id", *[_r(c).alias(c) for c in numbers])
+
+
+@query("audit_attribution_trained")
+def audit_attribution_trained_q(spark: SparkSession, sf_dir: str):
+    """Exact path-dependent Tree SHAP + delta-P of the trained model for every test row."""
     model, feats = _gbt_for(spark, sf_dir)
     _, test = split(P.features(spark, sf_dir))
     return attribution.tree_attribution(test, model, feats).select(
@@ -418,18 +459,99 @@ def audit_attribution_q(spark: SparkSession, sf_dir: str):
     )
 
 
-@query("score_literal")
+# -- second-order trees ------------------------------------------------------------
+
+# Without the pressure that defines the label, so that every level has real splits.
+NEWTON_FEATURES = ["rxnorm_id", "snomed_code", "diastolic_bp"]
+SHORT = Settings(max_depth=2, rounds=1)
+TRIAGE = Settings(max_depth=2, rounds=3)
+
+
+def _newton_nodes_sql() -> str:
+    source = f"SELECT event_id, {FEAT_COLS}, label FROM feats WHERE NOT {test_side_sql()}"
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(NEWTON_FEATURES)) + " END"
+    return with_base(
+        newton_ctes(source, NEWTON_FEATURES, SHORT)
+        + f" SELECT CAST(node AS INTEGER) AS node, {names} AS feature, threshold, round(gain, {ROUND}) AS gain, "
+        "CAST(NULL AS DOUBLE) AS value, cover FROM found UNION ALL "
+        f"SELECT CAST(node AS INTEGER), NULL, NULL, NULL, round(value, {ROUND}), cover FROM ended"
+    )
+
+
+@query("train_newton_trees", _newton_nodes_sql())
+def train_newton_trees_q(spark: SparkSession, sf_dir: str):
+    """One second-order round of depth 2 on the whole train side: splits, gains, leaf values."""
+    train, _ = split(P.features(spark, sf_dir))
+    nodes = train_newton(train, NEWTON_FEATURES, settings=SHORT).frame(spark)
+    names = F.array(*[F.lit(f) for f in NEWTON_FEATURES])
+    leaf = F.col("feature").isNull()
+    return nodes.select(
+        "node",
+        F.get(names, F.col("feature")).alias("feature"),
+        "threshold",
+        _r("gain").alias("gain"),
+        F.when(leaf, _r("value")).alias("value"),
+        "cover",
+    )
+
+
+@query(
+    "score_newton_trees",
+    with_base(
+        newton_ctes(f"SELECT event_id, {FEAT_COLS}, label FROM feats WHERE NOT {test_side_sql()}", NEWTON_FEATURES, TRIAGE)
+        + applied_ctes(f"SELECT * FROM feats WHERE {test_side_sql()}", NEWTON_FEATURES, TRIAGE)
+        + f" SELECT event_id, round(margin, {ROUND}) AS margin, round({sigmoid_sql('margin')}, {ROUND}) AS risk_probability, "
+        f"CAST({sigmoid_sql('margin')} > 0.5 AS DOUBLE) AS adverse_event_risk_score FROM scored"
+    ),
+)
+def score_newton_trees_q(spark: SparkSession, sf_dir: str):
+    """Probabilities of three second-order rounds for every test row."""
+    train, test = split(P.features(spark, sf_dir))
+    model = train_newton(train, NEWTON_FEATURES, settings=TRIAGE)
+    scored = score(log_odds(test, model), model)
+    return scored.select(
+        "event_id", _r("margin").alias("margin"), _r("risk_probability").alias("risk_probability"), "adverse_event_risk_score"
+    )
+
+
+_V1_SQL = (
+    "SELECT event_id, CAST(systolic_bp AS DOUBLE) AS systolic_bp, CAST(diastolic_bp AS DOUBLE) AS diastolic_bp, "
+    "CAST(rxnorm_id = '17767' AS INTEGER) AS rxnorm_17767_amlodipine, "
+    "CAST(snomed_code = '709044004' AS INTEGER) AS snomed_709044004_kidney_injury, "
+    "CAST(systolic_bp > 140 AS INTEGER) AS label FROM gold"
+)
+V1_FEATURES = ["systolic_bp", "diastolic_bp", "rxnorm_17767_amlodipine", "snomed_709044004_kidney_injury"]
+_LITERAL_SQL = (
+    "SELECT 'inline' AS event_id, CAST(145.0 AS DOUBLE) AS systolic_bp, CAST(92.0 AS DOUBLE) AS diastolic_bp, "
+    "1 AS rxnorm_17767_amlodipine, 1 AS snomed_709044004_kidney_injury, 0 AS label"
+)
+
+
+@query(
+    "score_literal",
+    with_base(
+        newton_ctes(_V1_SQL, V1_FEATURES, TRIAGE)
+        + applied_ctes(f"{_V1_SQL} UNION ALL {_LITERAL_SQL}", V1_FEATURES, TRIAGE)
+        + f" SELECT event_id, {', '.join(V1_FEATURES)}, round({sigmoid_sql('margin')}, {ROUND}) AS risk_probability, "
+        f"printf('%.2f%%', round({sigmoid_sql('margin')} * 100, 2)) AS risk_pct, "
+        f"CASE WHEN {sigmoid_sql('margin')} > 0.5 THEN 'ALERT' ELSE 'NORMAL' END AS status FROM scored"
+    ),
+)
 def score_literal_q(spark: SparkSession, sf_dir: str):
-    """Triage the inline v1 vector with a v1 model fitted on the whole table."""
-    model, _ = _gbt_for(spark, sf_dir, v1=True)
-    scored = score(literal_vector(spark), model)
+    """Triage of the whole v1 table and the inline vector by a registered model, loaded by version."""
+    frame = P.v1_features(spark, sf_dir)
+    root = scratch_path(spark, "registry")
+    for rounds in (1, TRIAGE.rounds):  # versions 1 and 2
+        settings = Settings(max_depth=TRIAGE.max_depth, rounds=rounds)
+        model = train_newton(frame, V1_FEATURES, settings=settings)
+        record_run(spark, root, "triage", {"rounds": rounds}, {"trees": len(model.trees)}, model=model)
+    inline = literal_vector(spark).withColumn("event_id", F.lit("inline"))
+    rows = frame.select("event_id", *V1_FEATURES).unionByName(inline.select("event_id", *V1_FEATURES))
+    scored = score(rows, load_model(spark, root, "triage", version=2))
     return triage(scored, alerts_only=False).select(
-        "systolic_bp",
-        "diastolic_bp",
-        "rxnorm_17767_amlodipine",
-        "snomed_709044004_kidney_injury",
-        "risk_probability",
+        "event_id",
+        *V1_FEATURES,
+        _r("risk_probability").alias("risk_probability"),
         percent_text(F.col("risk_probability") * 100, 2).alias("risk_pct"),
         "status",
     )
-

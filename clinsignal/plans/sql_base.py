@@ -10,7 +10,7 @@ from __future__ import annotations
 from clinsignal.functions.numeric import NUMERIC_TEXT
 from clinsignal.functions.text import SSN_MASK, SSN_PATTERN
 from clinsignal.functions.vocab import RXNORM_DEFAULT, RXNORM_RULES, SNOMED_DEFAULT, SNOMED_RULES
-from clinsignal.operators.features import LABEL_THRESHOLD, SPLIT_SEED, split_threshold
+from clinsignal.operators.features import HASH_DIGITS, LABEL_THRESHOLD, SPLIT_SEED, TEST_FRACTION
 from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard
 from clinsignal.sources.fixtures import MEDICATION_TEXTS, NOTE_TEXTS
 
@@ -69,8 +69,8 @@ def ts_text_sql(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
-def test_side_sql(key: str = "event_id", seed: int = SPLIT_SEED) -> str:
-    return f"(md5('{seed}:' || CAST({key} AS VARCHAR)) < '{split_threshold()}')"
+def test_side_sql(key: str = "event_id") -> str:
+    return f"({key} IN (SELECT event_id FROM test_ids))"
 
 
 BASE_CTES = f"""
@@ -112,6 +112,13 @@ feats AS (
     CAST(systolic_bp > {LABEL_THRESHOLD} AS INTEGER) AS label
   FROM gold
 ),
+test_ids AS (
+  SELECT event_id FROM (
+    SELECT event_id, count(*) OVER () AS n,
+      row_number() OVER (ORDER BY substr(md5('{SPLIT_SEED}:' || event_id), 1, {HASH_DIGITS}), event_id) AS place
+    FROM feats)
+  WHERE place <= ceil({TEST_FRACTION} * n)
+),
 alerts_base AS (
   SELECT event_id,
     COALESCE(CAST(systolic_bp AS BIGINT), 0) AS systolic_bp,
