@@ -45,14 +45,50 @@ SNOMED_DEFAULT = "000000000"
 # \n only, like the regex engines the rules were written for.
 JAVA_PREFIX = "(?d)"
 
-# A word boundary over letters, digits and the underscore of any script.  Java's
-# own also counts combining marks, which the engines the rules come from do not.
-_W = r"[\p{L}\p{N}_]"
+# The rules' classes as their engines read them, over all scripts: letters, numbers
+# and the underscore; decimal digits; white space with the separators and U+0085.
+# Java's own are ASCII-only, and its word boundary also counts combining marks.
+CLASSES = {"w": r"\p{L}\p{N}_", "d": r"\p{Nd}", "s": r"\s\x0B\x1C-\x1F\x85\p{Z}"}
+_W = f"[{CLASSES['w']}]"
 BOUNDARY = f"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
+NO_BOUNDARY = f"(?:(?<={_W})(?={_W})|(?<!{_W})(?!{_W}))"
+
+
+def _class(letter: str, inside: bool) -> str | None:
+    """A class escape in Java's words; ``inside`` brackets a plain one needs none of its own."""
+    members = CLASSES.get(letter.lower())
+    if members is None:
+        return None
+    if letter.isupper():
+        return f"[^{members}]"
+    return members if inside else f"[{members}]"
 
 
 def java_pattern(pattern: str) -> str:
-    return JAVA_PREFIX + re.sub(r"\\(.)", lambda m: BOUNDARY if m[1] == "b" else m[0], pattern)
+    """The rule for Java's engine, with the meaning it has in the engine it was written for."""
+    out, i, inside = [], 0, False
+    while i < len(pattern):
+        ch, following = pattern[i], pattern[i + 1 : i + 2]
+        if ch == "\\":
+            named = _class(following, inside)
+            if not inside and following in ("b", "B"):
+                named = BOUNDARY if following == "b" else NO_BOUNDARY
+            out.append(named or ch + following)
+            i += 2
+            continue
+        if not inside and ch == "[":
+            inside = True
+            head = re.match(r"\[\^?\]?", pattern[i:])[0]  # a bracket in first place is a member
+            out.append(head.replace("]", "\\]"))
+            i += len(head)
+            continue
+        if inside and ch == "]":
+            inside = False
+        elif inside and ch in "[&":  # plain members here, operators in Java
+            ch = "\\" + ch
+        out.append(ch)
+        i += 1
+    return JAVA_PREFIX + "".join(out)
 
 
 _QUANTIFIERS = set("?*+{")

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clinsignal.functions.numeric import NUMERIC_TEXT, coerce_bigint
 from clinsignal.schemas import FEATURE_CONTRACT_V4, FEATURES
 
 OUTPUTS = ["risk_probability", "adverse_event_risk_score"]
@@ -85,3 +87,74 @@ def enforce_inputs(df: DataFrame, contract: T.StructType) -> DataFrame:
 def enforce(df: DataFrame, contract: T.StructType = FEATURE_CONTRACT_V4) -> DataFrame:
     """Reorder / project / up-cast to the contract; raises on missing columns and incompatible types."""
     return df.select(*contract.names).to(contract)
+
+
+# -- row-level checks -----------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class FieldRule:
+    """What a row's text of a field must be: present, a whole number, in a range."""
+
+    name: str
+    low: int | None = None
+    high: int | None = None
+    required: bool = True
+
+
+# Physiologically possible pressures; codes may be missing (they are derived then).
+SERVING_RULES = (
+    FieldRule("systolic_bp", 40, 300),
+    FieldRule("diastolic_bp", 20, 200),
+    FieldRule("rxnorm_id", 0, required=False),
+    FieldRule("snomed_code", 0, required=False),
+)
+REASONS = ("missing", "not_a_number", "not_whole", "out_of_range")
+PAYLOAD = "payload"  # field name of a payload that is no JSON object
+VIOLATIONS = "array<struct<field:string,reason:string>>"
+
+
+def broken_rule(rule: FieldRule) -> Column:
+    """The first reason why a row's field breaks its rule; null if it does not."""
+    text = F.col(rule.name).cast("string")
+    number = F.regexp_replace(text, r"^\s+|\s+$", "").try_cast("decimal(38,9)")
+    whole = coerce_bigint(rule.name)
+    outside = F.lit(False)
+    if rule.low is not None:
+        outside = outside | (whole < rule.low)
+    if rule.high is not None:
+        outside = outside | (whole > rule.high)
+    missing = F.when(text.isNull(), F.lit("missing" if rule.required else None))
+    return (
+        missing.when(~text.rlike(NUMERIC_TEXT), F.lit("not_a_number"))
+        .when(number.isNull(), F.lit("out_of_range"))
+        .when(number != F.floor(number), F.lit("not_whole"))
+        .when(outside, F.lit("out_of_range"))
+    )
+
+
+def violations(rules: tuple[FieldRule, ...] = SERVING_RULES, malformed: Column | None = None) -> Column:
+    """All broken rules of a row, in the order of the rules; of a malformed payload only that."""
+    found = [F.struct(F.lit(r.name).alias("field"), broken_rule(r).alias("reason")) for r in rules]
+    broken = F.filter(F.array(*found), lambda v: v["reason"].isNotNull()).cast(VIOLATIONS)
+    if malformed is None:
+        return broken
+    alone = F.array(F.struct(F.lit(PAYLOAD).alias("field"), F.lit("malformed").alias("reason"))).cast(VIOLATIONS)
+    return F.when(malformed, alone).otherwise(broken)
+
+
+def observed(checked: DataFrame, name: str, rules: tuple[FieldRule, ...] = SERVING_RULES) -> DataFrame:
+    """The frame with its rows and broken rules counted as it is computed.
+
+    One metric per (field, reason), named ``field__reason``: a streaming query
+    reports them with the progress of each micro-batch, at no extra pass.
+    """
+    pairs = [(PAYLOAD, "malformed"), *[(r.name, reason) for r in rules for reason in REASONS]]
+
+    def times(field: str, reason: str) -> Column:
+        hit = F.exists("violations", lambda v: (v["field"] == field) & (v["reason"] == reason))
+        return F.count(F.when(hit, 1)).alias(f"{field}__{reason}")
+
+    broken = [times(f, r) for f, r in pairs]
+    rejected = F.count(F.when(F.size("violations") > 0, 1)).alias("n_rejected")
+    return checked.observe(name, F.count(F.lit(1)).alias("n_rows"), rejected, *broken)

@@ -29,20 +29,22 @@ from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard, score
 from clinsignal.schemas import ALERTS_SCHEMA, CODE_FEATURES, FEATURES
 from clinsignal.sources.fixtures import clinical_raw as derive_clinical_raw
 from clinsignal.session import scratch_path
+from clinsignal.sources import sinks
 from clinsignal.sources.sinks import write_snapshot
-from clinsignal.sources.tables import given_table
+from clinsignal.sources.tables import given_table, table_stamp
 from clinsignal.sources.topics import FileTopic, topic_frame, write_time_ordered_files
 from clinsignal.streaming import jobs
 
 RECORD_TS = "record_ts"
 
-# (application id, input dir, layer) -> path of the materialized layer
-_TABLES: dict[tuple[str, str, str], str] = {}
+# (application id, input dir, stamp of the input, layer) -> path of the materialized layer
+_TABLES: dict[tuple, str] = {}
 BUILD_LOCK = threading.RLock()  # concurrent queries build each layer once
 
 
-def _key(spark: SparkSession, sf_dir: str, layer: str) -> tuple[str, str, str]:
-    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), layer
+def layer_key(spark: SparkSession, sf_dir: str, layer: str) -> tuple:
+    """What a layer was made of: rows added to or replaced in the input make a new one."""
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), table_stamp(spark, sf_dir, "events"), layer
 
 
 def reset_tables() -> None:
@@ -89,13 +91,13 @@ def labelled_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOPIC_FILES = 4
 
 
-_TOPICS: dict[tuple[str, str, str], FileTopic] = {}
+_TOPICS: dict[tuple, FileTopic] = {}
 
 
 def topic_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     """The raw topic as time-ordered Kafka-shaped files, written once; every
     streaming consumer subscribes to it with its own checkpoint."""
-    key = _key(spark, sf_dir, "topic")
+    key = layer_key(spark, sf_dir, "topic")
     with BUILD_LOCK:
         if key not in _TOPICS:
             _TOPICS[key] = write_time_ordered_files(raw_topic(spark, sf_dir), scratch_path(spark, "topic"), TOPIC_FILES)
@@ -105,7 +107,7 @@ def topic_files(spark: SparkSession, sf_dir: str) -> FileTopic:
 def alerts_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     """The alerts table replayed as time-ordered files (the scoring sink's
     shape), written once for the monitoring streams."""
-    key = _key(spark, sf_dir, "alerts-files")
+    key = layer_key(spark, sf_dir, "alerts-files")
     with BUILD_LOCK:
         if key not in _TOPICS:
             _TOPICS[key] = write_time_ordered_files(
@@ -120,12 +122,12 @@ SILVER_DATE = jobs.SILVER_DATE
 def silver_table(spark: SparkSession, sf_dir: str, with_date: bool = False) -> DataFrame:
     """The silver layer as a table (written once, then scanned), partitioned by
     ingestion date; the partition column is returned only when asked for."""
-    key = _key(spark, sf_dir, "silver")
+    key = layer_key(spark, sf_dir, "silver")
     with BUILD_LOCK:
         if key not in _TABLES:
             path = scratch_path(spark, "silver")
             dated = silver(spark, sf_dir).withColumn(SILVER_DATE, F.to_date("ingested_at"))
-            dated.write.mode("errorifexists").partitionBy(SILVER_DATE).parquet(path)
+            sinks.write_by_date(dated, SILVER_DATE, path)
             _TABLES[key] = path
     table = spark.read.parquet(_TABLES[key])
     return table if with_date else table.drop(SILVER_DATE)
@@ -137,7 +139,7 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     The build publishes a versioned snapshot; its path is kept, so readers scan
     it directly without resolving the pointer table again.
     """
-    key = _key(spark, sf_dir, "gold")
+    key = layer_key(spark, sf_dir, "gold")
     with BUILD_LOCK:
         if key not in _TABLES:
             root = scratch_path(spark, "gold")
@@ -163,12 +165,12 @@ ALERTS_TABLE_SCHEMA = T.StructType(ALERTS_SCHEMA.fields + [T.StructField(ALERTS_
 def alerts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored alerts as a table (what the scoring job appends and reports read),
     partitioned by evaluation date so recent-window reports prune old partitions."""
-    key = _key(spark, sf_dir, "alerts")
+    key = layer_key(spark, sf_dir, "alerts")
     with BUILD_LOCK:
         if key not in _TABLES:
             path = scratch_path(spark, "alerts")
             dated = alerts(spark, sf_dir).withColumn(ALERTS_DATE, F.to_date("evaluated_at"))
-            dated.write.mode("errorifexists").partitionBy(ALERTS_DATE).parquet(path)
+            sinks.write_by_date(dated, ALERTS_DATE, path)
             _TABLES[key] = path
     return spark.read.schema(ALERTS_TABLE_SCHEMA).parquet(_TABLES[key])
 

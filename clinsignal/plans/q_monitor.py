@@ -15,7 +15,7 @@ from clinsignal.plans.sql_base import ts_text_sql, with_base
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
 from clinsignal.sources.sinks import append
-from clinsignal.sources.tables import read_table_or_empty
+from clinsignal.sources.tables import read_table_or_empty, union_drifted
 
 ROUND = 9
 ALERT_KEYS = ["event_id", "systolic_bp", "diastolic_bp", "rxnorm_id", "snomed_code", "adverse_event_risk_score"]
@@ -147,3 +147,26 @@ def union_slices_q(spark: SparkSession, sf_dir: str):
     append(a.where(~old | F.col("evaluated_at").isNull()), path)
     merged = spark.read.option("mergeSchema", "true").parquet(path)
     return alerts_out(merged)
+
+
+@query(
+    "union_drifted",
+    with_base(
+        "SELECT event_id, CAST(systolic_bp AS VARCHAR) AS systolic_bp, diastolic_bp, rxnorm_id, snomed_code, "
+        f"adverse_event_risk_score, CASE WHEN evaluated_at < TIMESTAMP '{SLICE_CUT}' THEN NULL "
+        f"ELSE round(risk_probability, {ROUND}) END AS risk_probability, "
+        f"{ts_text_sql('evaluated_at')} AS evaluated_at FROM alerts"
+    ),
+)
+def union_drifted_q(spark: SparkSession, sf_dir: str):
+    """Bag union of file slices whose column types changed: whole decisions became
+    doubles, a pressure was sent as text for a while."""
+    path = scratch_path(spark, "alerts-drifted")
+    a = P.alerts_table(spark, sf_dir)
+    t, cut = F.col("evaluated_at"), F.lit(SLICE_CUT).cast("timestamp")
+    later = cut + F.expr("INTERVAL 7 DAYS")
+    old = a.where(t < cut).drop("risk_probability")
+    append(old.withColumn("adverse_event_risk_score", F.col("adverse_event_risk_score").cast("int")), path)
+    append(a.where((t >= cut) & (t < later)).withColumn("systolic_bp", F.col("systolic_bp").cast("string")), path)
+    append(a.where((t >= later) | t.isNull()), path)
+    return alerts_out(union_drifted(spark, path))

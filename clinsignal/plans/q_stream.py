@@ -5,6 +5,8 @@ the outputs so that results are comparable with the batch SQL."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,10 @@ from clinsignal.plans.registry import ORACLES, query
 from clinsignal.plans.sql_base import with_base
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
-from clinsignal.sources.topics import read_events
+from clinsignal.sources.fixtures import faulty_payloads
+from clinsignal.sources.topics import read_events, write_time_ordered_files
 from clinsignal.streaming import jobs
+from clinsignal.streaming.progress import RunRecorder, read_progress
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -87,11 +91,11 @@ def stream_fanout_q(spark: SparkSession, sf_dir: str):
     ),
 )
 def velocity_stream_q(spark: SparkSession, sf_dir: str):
-    """Alerts table as a stream -> 1-second tumbling counts per micro-batch, summed."""
+    """Alerts as an unordered stream -> 1-second counts per micro-batch, merged by day."""
     src = P.alerts_files(spark, sf_dir)
     events = spark.readStream.schema(ALERTS_SCHEMA).options(**src.stream_options()).parquet(src.path)
     sink = scratch_path(spark, "velocity")
-    q = jobs.start_velocity(events, sink, scratch_path(spark, "ckpt-velocity"), trigger=AVAILABLE_NOW)
+    q = jobs.start_velocity(events, sink, scratch_path(spark, "ckpt-velocity"), trigger=AVAILABLE_NOW, merge_every=3)
     jobs.run_to_completion(q)
     counts = jobs.read_velocity(spark, sink)
     return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "message_count")
@@ -106,3 +110,111 @@ def kpi_stream_q(spark: SparkSession, sf_dir: str):
     sink = scratch_path(spark, "kpis")
     jobs.run_to_completion(jobs.start_kpis(events, sink, scratch_path(spark, "ckpt-kpis"), trigger=AVAILABLE_NOW))
     return jobs.read_kpis(spark, sink)
+
+
+@query("audit_ledger_stream", ORACLES["audit_ledger"])
+def audit_ledger_stream_q(spark: SparkSession, sf_dir: str):
+    """The newest evaluations, kept by the stream; the report reads k rows."""
+    src = P.alerts_files(spark, sf_dir)
+    events = spark.readStream.schema(ALERTS_SCHEMA).options(**src.stream_options()).parquet(src.path)
+    sink = scratch_path(spark, "latest")
+    jobs.run_to_completion(jobs.start_latest(events, sink, scratch_path(spark, "ckpt-latest"), trigger=AVAILABLE_NOW))
+    return jobs.read_latest(spark, sink)
+
+
+# The faulty feed in SQL (texts as sent), and the rules judged on them.
+_FAULTY_SQL = """
+, sent AS (
+  SELECT event_id, id, id % 97 = 0 AS cut,
+    CASE id % 19 WHEN 0 THEN NULL WHEN 1 THEN 'high' WHEN 2 THEN systolic_bp || '0' WHEN 3 THEN systolic_bp || '.5'
+      ELSE CAST(systolic_bp AS VARCHAR) END AS systolic_bp,
+    CASE id % 23 WHEN 0 THEN NULL WHEN 1 THEN '8O' WHEN 2 THEN '5' WHEN 3 THEN ' ' || diastolic_bp || '.0'
+      ELSE CAST(diastolic_bp AS VARCHAR) END AS diastolic_bp
+  FROM (SELECT *, CAST(substr(event_id, 5) AS BIGINT) AS id FROM clinical_raw)),
+judged AS (
+  SELECT event_id, field, CASE WHEN cut THEN 'malformed' WHEN text IS NULL THEN 'missing'
+      WHEN TRY_CAST(trim(text) AS DOUBLE) IS NULL THEN 'not_a_number'
+      WHEN TRY_CAST(trim(text) AS DOUBLE) <> floor(TRY_CAST(trim(text) AS DOUBLE)) THEN 'not_whole'
+      WHEN TRY_CAST(trim(text) AS DOUBLE) NOT BETWEEN low AND high THEN 'out_of_range' END AS reason
+  FROM (SELECT event_id, FALSE AS cut, 'systolic_bp' AS field, systolic_bp AS text, 40 AS low, 300 AS high FROM sent WHERE NOT cut
+    UNION ALL SELECT event_id, FALSE, 'diastolic_bp', diastolic_bp, 20, 200 FROM sent WHERE NOT cut
+    UNION ALL SELECT event_id, TRUE, 'payload', NULL, 0, 0 FROM sent WHERE cut))
+"""
+
+
+def _checked_run(spark: SparkSession, sf_dir: str):
+    """(alerts path, rejected path) of a checked scoring run over the faulty feed."""
+    raw = faulty_payloads(P.clinical_raw(spark, sf_dir))
+    topic = write_time_ordered_files(raw, scratch_path(spark, "topic-faulty"), 3)
+    stream = read_events(spark, fmt="parquet", options=topic.stream_options(), path=topic.path)
+    alerts, rejected = scratch_path(spark, "alerts-checked"), scratch_path(spark, "rejected")
+    q = jobs.start_checked_scoring(
+        stream, DEFAULT_SCORECARD, alerts, rejected, scratch_path(spark, "ckpt-checked"), trigger=AVAILABLE_NOW
+    )
+    jobs.run_to_completion(q)
+    return alerts, rejected
+
+
+@query(
+    "contract_violations",
+    with_base(
+        _FAULTY_SQL
+        + "SELECT field, reason, CAST(count(*) AS BIGINT) AS n_events FROM judged WHERE reason IS NOT NULL GROUP BY field, reason"
+    ),
+)
+def contract_violations_q(spark: SparkSession, sf_dir: str):
+    """Rows that a scoring stream rejects, counted by field and reason."""
+    _, rejected = _checked_run(spark, sf_dir)
+    broken = spark.read.parquet(rejected).select(F.explode("violations").alias("v"))
+    return broken.groupBy("v.field", "v.reason").agg(F.count(F.lit(1)).alias("n_events"))
+
+
+@query(
+    "score_checked",
+    with_base(
+        _FAULTY_SQL
+        + ", good AS (SELECT event_id FROM sent WHERE event_id NOT IN (SELECT event_id FROM judged WHERE reason IS NOT NULL)) "
+        + alerts_out_sql(with_time=False, tail="WHERE event_id IN (SELECT event_id FROM good)")
+    ),
+)
+def score_checked_q(spark: SparkSession, sf_dir: str):
+    """The rows of the same feed that keep the contract, scored."""
+    alerts, _ = _checked_run(spark, sf_dir)
+    return alerts_out(spark.read.schema(ALERTS_SCHEMA).parquet(alerts), with_time=False)
+
+
+# Instants at which the recorded run's micro-batches end.
+PROGRESS_CUTS = ["2024-01-08 00:00:00", "2024-01-15 00:00:00", "2024-01-22 12:00:00"]
+
+
+def _progress_sql() -> str:
+    batch = " + ".join(f"CAST(ts >= TIMESTAMP '{c}' AS INTEGER)" for c in PROGRESS_CUTS)
+    return with_base(
+        f", b AS (SELECT {batch} AS slice FROM clinical_raw), "
+        "n AS (SELECT slice, count(*) AS n FROM b GROUP BY slice) "
+        "SELECT 'batch' AS kind, CAST(row_number() OVER (ORDER BY slice) - 1 AS BIGINT) AS batch_id, "
+        "CAST(n AS BIGINT) AS n_rows, NULL AS cause FROM n UNION ALL "
+        "SELECT 'end', NULL, CAST(sum(n) AS BIGINT), 'drained' FROM n"
+    )
+
+
+@query("stream_progress", _progress_sql())
+def stream_progress_q(spark: SparkSession, sf_dir: str):
+    """The record of an ingest run: rows of every micro-batch, and how it ended."""
+    cuts = [int(datetime.fromisoformat(f"{c}+00:00").timestamp()) * 1_000_000 for c in PROGRESS_CUTS]
+    topic = write_time_ordered_files(P.raw_topic(spark, sf_dir), scratch_path(spark, "topic-cuts"), 0, bounds=cuts)
+    root = scratch_path(spark, "registry")
+    recorder = RunRecorder(spark, root).attach()
+    try:
+        q = jobs.start_ingest(
+            read_events(spark, fmt="parquet", options=topic.stream_options(), path=topic.path),
+            scratch_path(spark, "silver-recorded"),
+            scratch_path(spark, "ckpt-recorded"),
+            trigger=AVAILABLE_NOW,
+        )
+        jobs.run_to_completion(q)
+        recorder.wait_end(q)
+    finally:
+        recorder.detach()
+    mine = read_progress(spark, root).where(F.col("run_id") == str(q.runId))
+    return mine.where("kind = 'end' or n_rows > 0").select("kind", "batch_id", "n_rows", "cause")

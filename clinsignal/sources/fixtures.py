@@ -74,3 +74,31 @@ def clinical_raw(events: DataFrame) -> DataFrame:
         (F.lit(70) + (eid * 17) % 31).cast("int").alias("diastolic_bp"),
         F.col("ts").cast("timestamp").alias("ts"),
     )
+
+
+def faulty_payloads(clinical: DataFrame) -> DataFrame:
+    """Clinical events as JSON text with what a feed gets wrong: pressures that are
+    missing, words, impossible or no whole numbers, and payloads cut short."""
+    number = F.substring("event_id", 5, 20).cast("bigint")
+    systolic, diastolic = F.col("systolic_bp").cast("string"), F.col("diastolic_bp").cast("string")
+    rows = clinical.withColumns(
+        {
+            "systolic_bp": F.when(number % 19 == 0, F.lit(None).cast("string"))
+            .when(number % 19 == 1, F.lit("high"))
+            .when(number % 19 == 2, F.concat(systolic, F.lit("0")))
+            .when(number % 19 == 3, F.concat(systolic, F.lit(".5")))
+            .otherwise(systolic),
+            "diastolic_bp": F.when(number % 23 == 0, F.lit(None).cast("string"))
+            .when(number % 23 == 1, F.lit("8O"))
+            .when(number % 23 == 2, F.lit("5"))
+            .when(number % 23 == 3, F.concat(F.lit(" "), diastolic, F.lit(".0")))
+            .otherwise(diastolic),
+        }
+    )
+    fields = ["event_id", "systolic_bp", "diastolic_bp", "medication_prescribed", "clinical_notes"]
+    payload = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    cut = F.when(number % 97 == 0, F.substring(payload, 1, 24)).otherwise(payload)
+    return rows.select(
+        F.col("event_id").cast("binary").alias("key"), cut.cast("binary").alias("value"),
+        F.lit("raw-clinical-events").alias("topic"), F.col("ts").cast("timestamp").alias("timestamp"),
+    )

@@ -14,6 +14,14 @@ def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+def table_stamp(spark: SparkSession, sf_dir: str, name: str) -> tuple[int, int, int]:
+    """Bytes, files and time of last change of a provided table."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    held = fs.getContentSummary(path)
+    return held.getLength(), held.getFileCount(), fs.getFileStatus(path).getModificationTime()
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Make sure a scan feeds every core.
 
@@ -58,6 +66,71 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType, fm
         raise
 
 
+_WHOLE = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
+_TIMES = [T.DateType(), T.TimestampNTZType(), T.TimestampType()]
+
+
+def common_type(types: list[T.DataType]) -> T.DataType:
+    """The narrowest type that holds all: whole numbers widen, mixed numbers become
+    double, dates become timestamps, anything else becomes text."""
+    kinds = list(dict.fromkeys(t for t in types if not isinstance(t, T.NullType)))
+    if len(kinds) <= 1:
+        return kinds[0] if kinds else T.StringType()
+    for ladder in (_WHOLE, _TIMES):
+        if all(k in ladder for k in kinds):
+            return max(kinds, key=ladder.index)
+    if all(isinstance(k, T.NumericType) for k in kinds):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def schema_groups(spark: SparkSession, files: list[str], base: str) -> list[tuple[list[str], T.StructType]]:
+    """Groups of files whose column types agree, with the union of their columns.
+
+    Footers are read by Spark's own distributed schema merge.  Where it meets two
+    types of a column, the list is halved; files are listed by age, so those of one
+    version of a job lie together and a drift costs the logarithm of their number.
+    """
+    reader = spark.read.option("mergeSchema", "true").option("basePath", base)
+    try:
+        return [(files, reader.parquet(*files).schema)]
+    except Exception as exc:  # noqa: BLE001
+        if "CANNOT_MERGE" not in str(exc) or len(files) == 1:
+            raise
+    half = len(files) // 2
+    found = schema_groups(spark, files[:half], base) + schema_groups(spark, files[half:], base)
+    return [([f for some, s in found if s == schema for f in some], schema) for schema in _distinct([s for _, s in found])]
+
+
+def _distinct(schemas: list[T.StructType]) -> list[T.StructType]:
+    out: list[T.StructType] = []
+    for s in schemas:
+        if s not in out:
+            out.append(s)
+    return out
+
+
+def union_drifted(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a folder of parquet files whose columns and types changed over time.
+
+    Columns are matched by name (absent ones are null) and cast to their common
+    type; each group of files keeps its own scan, so pruning still reaches it.
+    """
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    files = [r["path"] for r in listed.load(path).select("path", "modificationTime").orderBy("modificationTime", "path").collect()]
+    if not files:
+        raise FileNotFoundError(f"no files under {path}")
+    groups = schema_groups(spark, files, path)
+    names = list(dict.fromkeys(n for _, schema in groups for n in schema.names))
+    kinds = {n: common_type([s[n].dataType for _, s in groups if n in s.names]) for n in names}
+    union = None
+    for some, schema in groups:
+        rows = spark.read.schema(schema).option("basePath", path).parquet(*some)
+        rows = rows.select(*[(F.col(n) if n in schema.names else F.lit(None)).cast(kinds[n]).alias(n) for n in names])
+        union = rows if union is None else union.unionByName(rows)
+    return union
+
+
 def literal_vector(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
     """Inline v1 feature rows (the ad hoc triage vector by default)."""
     # The triage sample vector.

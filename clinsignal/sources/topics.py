@@ -60,7 +60,9 @@ class FileTopic:
         return {"maxFilesPerTrigger": str(self.files_per_slice)}
 
 
-def write_time_ordered_files(rows: DataFrame, path: str, n_slices: int, time_col: str = "timestamp") -> FileTopic:
+def write_time_ordered_files(
+    rows: DataFrame, path: str, n_slices: int, time_col: str = "timestamp", bounds: list[int] | None = None
+) -> FileTopic:
     """Persist rows as ``n_slices`` time slices written one after another in
     time order (a file-backed topic for tests and replays).
 
@@ -69,20 +71,22 @@ def write_time_ordered_files(rows: DataFrame, path: str, n_slices: int, time_col
     slice is written as its share of the input partitions (no single-file
     funnel); rows are staged once in the shared folder and every slice is a
     filtered scan of that staging table.  Slice bounds are
-    ``n_slices - 1`` approximate quantiles (a bounded fetch).
+    ``n_slices - 1`` approximate quantiles (a bounded fetch), or ``bounds`` in
+    microseconds since 1970.
     """
     spark = rows.sparkSession
     staging = f"{path.rstrip('/')}-staging"
     rows.write.mode("errorifexists").parquet(staging)
     staged = spark.read.parquet(staging)
+    if bounds is not None:
+        n_slices = len(bounds) + 1
     files_per_slice = max(1, -(-staged.rdd.getNumPartitions() // n_slices))
     t = F.unix_micros(F.col(time_col).cast("timestamp"))
-    bounds: list[int] = []
-    if n_slices > 1:
+    if bounds is None and n_slices > 1:
         probs = [i / n_slices for i in range(1, n_slices)]
         row = staged.agg(F.percentile_approx(t, probs, 10_000).alias("b")).first()
         bounds = sorted(set(b for b in (row["b"] or []) if b is not None))
-    edges = [None, *bounds, None]
+    edges = [None, *(bounds or []), None]
     for lo, hi in zip(edges[:-1], edges[1:]):
         cond = F.lit(True)
         if lo is not None:

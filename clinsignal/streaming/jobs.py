@@ -12,16 +12,18 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from clinsignal.functions.numeric import coerce_bigint
 from clinsignal.functions.vocab import rxnorm_code, snomed_code
-from clinsignal.operators.contract import enforce_inputs
+from clinsignal.operators.contract import SERVING_RULES, enforce_inputs, observed, violations
 from clinsignal.operators.enrich import standardize
 from clinsignal.operators.features import align_features
 from clinsignal.operators.ingest import parse_events, parse_payload, sanitize
+from clinsignal.operators.monitor import AUDIT_ROWS, audit_ledger, latest_first
 from clinsignal.operators.scoring import Scorecard, score
 from clinsignal.schemas import ALERTS_SCHEMA, INFERENCE_PAYLOAD_SCHEMA, SCORING_PAYLOAD_SCHEMA
+from clinsignal.sources.sinks import batch_ids, drop_folders, folder_values
 
 ALERT_COLUMNS = [f.name for f in ALERTS_SCHEMA.fields]
 # date partition columns of the silver and alerts tables
@@ -201,6 +203,76 @@ def start_fanout(
     return _trigger(writer, trigger).start()
 
 
+CHECKED_PAYLOAD_SCHEMA = StructType(
+    [StructField(n, StringType()) for n in (*SCORING_PAYLOAD_SCHEMA.names, "_corrupt_record")]
+)
+CONTRACT_METRICS = "contract"
+
+
+def checked_payload(raw: DataFrame, rules=SERVING_RULES) -> DataFrame:
+    """Topic rows -> payload fields as text, and the rules that each row breaks."""
+    payload = F.col("value").cast("string")
+    data = F.from_json(payload, CHECKED_PAYLOAD_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    rows = raw.select(payload.alias("payload"), data.alias("data")).select("payload", "data.*")
+    malformed = F.col("payload").isNull() | F.col("_corrupt_record").isNotNull()
+    return observed(rows.withColumn("violations", violations(rules, malformed)).drop("_corrupt_record"), CONTRACT_METRICS, rules)
+
+
+def scored_payload(rows: DataFrame, model: Scorecard | PipelineModel) -> DataFrame:
+    """Rows that keep the contract -> codes -> int64 features -> score -> stamp."""
+    typed = rows.withColumns(
+        {
+            "systolic_bp": coerce_bigint("systolic_bp"),
+            "diastolic_bp": coerce_bigint("diastolic_bp"),
+            "rxnorm_id": F.when(F.col("rxnorm_id").isNull(), coerce_bigint(rxnorm_code("medication_prescribed"))).otherwise(
+                coerce_bigint("rxnorm_id")
+            ),
+            "snomed_code": F.when(F.col("snomed_code").isNull(), coerce_bigint(snomed_code("clinical_notes"))).otherwise(
+                coerce_bigint("snomed_code")
+            ),
+        }
+    )
+    return score(typed, model).withColumn("evaluated_at", F.current_timestamp()).select(*ALERT_COLUMNS)
+
+
+def start_checked_scoring(
+    raw: DataFrame,
+    model: Scorecard | PipelineModel,
+    alerts_path: str,
+    rejected_path: str,
+    checkpoint: str,
+    rules=SERVING_RULES,
+    trigger: dict | None = None,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Score the rows that keep the contract; write the others aside with their reasons.
+
+    Nothing is filled in or cast to 0: a row with a missing or odd field goes to the
+    rejected table as it came.  Both sinks replace only their own ``batch_id=``
+    folder, so a retried batch repeats itself; counts per field and reason come
+    with the query's progress (``observedMetrics``).
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good = batch.where(F.size("violations") == 0)
+            scored_payload(good, model).write.mode("overwrite").parquet(f"{alerts_path}/batch_id={batch_id}")
+            (
+                batch.where(F.size("violations") > 0)
+                .select("event_id", "payload", "violations", F.current_timestamp().alias("rejected_at"))
+                .write.mode("overwrite")
+                .parquet(f"{rejected_path}/batch_id={batch_id}")
+            )
+        finally:
+            batch.unpersist()
+
+    writer = checked_payload(raw, rules).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if query_name:
+        writer = writer.queryName(query_name)
+    return _trigger(writer, trigger).start()
+
+
 # -- throughput -------------------------------------------------------------------
 
 
@@ -213,6 +285,72 @@ def windowed_counts(events: DataFrame, ts_col: str = "evaluated_at", window: str
     )
 
 
+MERGE_EVERY = 16  # micro-batches whose counts are merged into the day files at once
+
+
+def _merged_upto(spark, sink_path: str) -> int:
+    """Number of the last micro-batch that the day files contain (-1: none)."""
+    done = batch_ids(spark, f"{sink_path}/merged")
+    return done[-1] if done else -1
+
+
+def merge_velocity(spark, sink_path: str) -> None:
+    """Fold the micro-batches' counts into one file per day.
+
+    Only the days that the waiting counts touch -- late rows may touch old ones --
+    are written anew, beside their former versions.  A folder under ``merged``
+    publishes the result; a merge that stops before it is done again.  What
+    neither this version nor a reader of the one before needs is dropped.
+    """
+    before = _merged_upto(spark, sink_path)
+    waiting = [b for b in batch_ids(spark, f"{sink_path}/recent") if b > before]
+    if not waiting:
+        return
+    recent, upto = _recent_counts(spark, sink_path, before), waiting[-1]
+    days = [str(r["day"]) for r in recent.select(F.to_date("window_start").alias("day")).distinct().collect()]
+    held = _day_counts(spark, sink_path, before, days)
+    merged = _summed(recent if held is None else recent.unionByName(held))
+    (
+        merged.withColumns({"day": F.to_date("window_start"), "upto": F.lit(upto).cast("bigint")})
+        .repartition("day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "upto")
+        .parquet(f"{sink_path}/days")
+    )
+    spark.range(1).write.mode("overwrite").parquet(f"{sink_path}/merged/batch_id={upto}")
+    useless = [f"recent/batch_id={b}" for b in batch_ids(spark, f"{sink_path}/recent") if b <= before]
+    useless += [f"merged/batch_id={b}" for b in batch_ids(spark, f"{sink_path}/merged") if b < before]
+    for day in days:
+        versions = batch_ids(spark, f"{sink_path}/days/day={day}", "upto")
+        needed = [v for v in versions if v <= before][-1:] + [upto]
+        useless += [f"days/day={day}/upto={v}" for v in versions if v not in needed]
+    drop_folders(spark, [f"{sink_path}/{u}" for u in useless])
+
+
+VELOCITY_SCHEMA = "window_start timestamp, window_end timestamp, message_count bigint"
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("window_start", "window_end").agg(F.sum("message_count").alias("message_count"))
+
+
+def _recent_counts(spark, sink_path: str, after: int) -> DataFrame:
+    """Counts of the micro-batches that no merge contains yet."""
+    parts = spark.read.schema(f"{VELOCITY_SCHEMA}, batch_id bigint").parquet(f"{sink_path}/recent")
+    return parts.where(F.col("batch_id") > after).drop("batch_id")
+
+
+def _day_counts(spark, sink_path: str, upto: int, days: list[str] | None = None) -> DataFrame | None:
+    """Counts as published by merge ``upto``: one folder a day, its newest up to that merge."""
+    base, paths = f"{sink_path}/days", []
+    for day in folder_values(spark, base, "day"):
+        if days is None or day in days:
+            versions = [v for v in batch_ids(spark, f"{base}/day={day}", "upto") if v <= upto]
+            paths += [f"{base}/day={day}/upto={v}" for v in versions[-1:]]
+    return spark.read.schema(VELOCITY_SCHEMA).parquet(*paths) if paths else None
+
+
 def start_velocity(
     events: DataFrame,
     sink_path: str,
@@ -220,20 +358,27 @@ def start_velocity(
     ts_col: str = "evaluated_at",
     window: str = "1 second",
     trigger: dict | None = None,
+    merge_every: int = MERGE_EVERY,
 ) -> StreamingQuery:
-    """Counts per window of each micro-batch, in its own ``batch_id=`` partition
-    (idempotent on retry).  No state and no watermark: a row that comes late
-    adds to its window's sum whenever it comes, so none is lost."""
+    """Counts per event-time window, whatever the order of the rows.
+
+    A micro-batch writes its own counts to its own ``batch_id=`` folder (idempotent
+    on retry); every ``merge_every`` batches they are folded into one file per day.
+    There is no state to grow and no watermark to fall behind: a late row adds to
+    its window's sum when it comes.  A report reads the day files of its days and
+    at most ``merge_every`` small ones.
+    """
+    spark = events.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
             windowed_counts(batch, ts_col, window)
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .coalesce(1)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(sink_path)
+            .parquet(f"{sink_path}/recent/batch_id={batch_id}")
         )
+        if (batch_id + 1) % merge_every == 0:
+            merge_velocity(spark, sink_path)
 
     writer = (
         events.select(ts_col)
@@ -243,10 +388,57 @@ def start_velocity(
     return _trigger(writer, trigger).start()
 
 
-def read_velocity(spark, sink_path: str) -> DataFrame:
-    """Count per window: the sum over the micro-batches."""
-    parts = spark.read.parquet(sink_path)
-    return parts.groupBy("window_start", "window_end").agg(F.sum("message_count").alias("message_count"))
+def read_velocity(spark, sink_path: str, days: tuple | None = None) -> DataFrame:
+    """Count per window, of all history or of the days from ``days[0]`` to ``days[1]``."""
+    upto = _merged_upto(spark, sink_path)
+    parts = _recent_counts(spark, sink_path, upto)
+    wanted = None
+    if days is not None:
+        wanted = [d for d in folder_values(spark, f"{sink_path}/days", "day") if str(days[0]) <= d <= str(days[1])]
+        parts = parts.where(F.to_date("window_start").between(F.lit(str(days[0])).cast("date"), F.lit(str(days[1])).cast("date")))
+    merged = _day_counts(spark, sink_path, upto, wanted)
+    return _summed(parts if merged is None else parts.unionByName(merged))
+
+
+# -- newest evaluations -----------------------------------------------------------
+
+
+def start_latest(
+    alerts: DataFrame,
+    sink_path: str,
+    checkpoint: str,
+    rows: int = AUDIT_ROWS,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the newest ``rows`` evaluations of the alerts stream.
+
+    The top-k of a union is the top-k of the parts' top-ks: each micro-batch
+    merges its own (one row set of k per task) with that of the batch before and
+    writes the k rows to its ``batch_id=`` folder.  A retried batch finds the same
+    predecessor, so it writes the same rows; older folders are dropped.
+    """
+    spark, columns = alerts.sparkSession, [f.name for f in ALERTS_SCHEMA.fields]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        earlier = [b for b in batch_ids(spark, sink_path) if b < batch_id]
+        newest = latest_first(batch.select(*columns), limit=rows)
+        if earlier:
+            held = spark.read.schema(ALERTS_SCHEMA).parquet(f"{sink_path}/batch_id={earlier[-1]}")
+            newest = latest_first(held.unionByName(newest), limit=rows)
+        newest.coalesce(1).write.mode("overwrite").parquet(f"{sink_path}/batch_id={batch_id}")
+        # the batch before stays: a reader may be in it, and a retry needs it
+        drop_folders(spark, [f"{sink_path}/batch_id={b}" for b in earlier[:-1]])
+
+    writer = alerts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
+def read_latest(spark, sink_path: str, rows: int = AUDIT_ROWS) -> DataFrame:
+    """Audit ledger from the stream's newest top-k; reads that one file only."""
+    done = batch_ids(spark, sink_path)
+    if not done:
+        return audit_ledger(spark.createDataFrame([], ALERTS_SCHEMA), rows)
+    return audit_ledger(spark.read.schema(ALERTS_SCHEMA).parquet(f"{sink_path}/batch_id={done[-1]}"), rows)
 
 
 def start_kpis(
