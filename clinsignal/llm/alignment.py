@@ -51,8 +51,9 @@ from clinsignal.llm.common import store
 from clinsignal.llm.tokens import gather
 
 SEGMENT_PIECES = 1 << 17  # piece occurrences of a segment, or one longer document
+SLICE_BYTES = 1 << 21  # text that a task cuts into pieces at once
 SHARED_PAIRS = 1 << 20  # irregular pairs whose counts (16 MB) are broadcast; more are joined
-KEPT_PIECES = 200_000  # pieces that a Python worker keeps between the batches of a task
+KEPT_PIECES = 120_000  # pieces that a Python worker keeps between the batches of a task
 JOINED = 64  # new pieces tokenised as one text
 
 BLANK = "▁"
@@ -312,9 +313,7 @@ def aligning(a_path: str, b_path: str):
 
     def work(batches):
         known, at = cached_aligner(a_path, b_path), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (part for whole in batches for part in byte_slices(whole)):
             numbers, counts = known.pieces(batch.column(2).cast(pa.string()))
             docs = summary(known, numbers, counts)
             edge = np.concatenate([[0], np.cumsum(docs["n_pieces"])])
@@ -331,6 +330,14 @@ def aligning(a_path: str, b_path: str):
     return work
 
 
+def byte_slices(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+    """Runs of rows of at most about SLICE_BYTES of text, or one longer row."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+    group = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows]])
+    return [batch.slice(a, b - a) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()) if b > a]
+
+
 def document_runs(sizes: list[int]) -> list[tuple[int, int]]:
     """Runs of documents of at most SEGMENT_PIECES pieces, or one longer document."""
     out, first, held = [], 0, 0
