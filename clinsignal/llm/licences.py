@@ -14,10 +14,16 @@ From the threshold on a line or window is a hit; of overlapping hits the best
 stays (then the one with more shared bigrams, then the first).  A hit is placed
 at its first word's line.
 
-Either score needs a certain number of the template's bigrams in the text: a
-text without them for any template is dropped after one set intersection, so
+A hit must also have the bigrams that tell its licence from its neighbours:
+versions, and the words in which two licences' notices differ.  Without one of
+them nothing is reported, so a notice with a restriction or version that no
+template has never passes for one without.
+
+Either score needs a certain number of the template's bigrams in the text.  A
+text without any of a few words that these cannot do without is not looked at
+further; one without enough bigrams is dropped after one set intersection, so
 only texts close to a licence are searched.  Pure expressions, no shuffle; the
-templates are a short fixed list in the plan.
+templates are a fixed list in the plan.
 
 Defined results: a null text has no lines; lines of fewer than two words have
 no bigrams and match nothing; of equal hits the first template name wins;
@@ -28,6 +34,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,20 +43,39 @@ from clinsignal.llm.common import let, running_sums
 
 THRESHOLD = 0.8
 
-# SPDX id -> short notices in common use
+# SPDX id or expression -> short notices in common use; families follow below
 TEMPLATES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0"],
+    "Apache-2.0 OR MIT": [
+        "Licensed under either of Apache License, Version 2.0 or MIT license at your option",
+        "Licensed under either of the Apache License, Version 2.0 or the MIT license",
+        "Licensed under the MIT license or the Apache License, Version 2.0",
+    ],
+    "BSD-2-Clause": ["Released under the 2-Clause BSD License", "Licensed under the BSD 2-Clause License"],
     "BSD-3-Clause": ["Released under the 3-Clause BSD License", "Licensed under the BSD 3-Clause License"],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0"],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0"],
     "CC0-1.0": ["Released under CC0 1.0 Universal", "This work is dedicated to the public domain under CC0 1.0"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3"],
-    "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3"],
     "MIT": ["Released under the MIT License", "Licensed under the MIT License"],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0"],
 }
+# Words of the Creative Commons elements, the regions in the full
+# names of the versions, and the versions of the GNU licences.
+CC_WORDS = {"BY": "Attribution", "NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
+CC_KINDS = ["BY", "BY-NC", "BY-NC-ND", "BY-NC-SA", "BY-ND", "BY-SA"]
+CC_VERSIONS = {"3.0": "Unported", "4.0": "International"}
+GNU = {"AGPL": ("Affero General", ["3"]), "GPL": ("General", ["2", "3"]), "LGPL": ("Lesser General", ["2.1", "3"])}
+
+for _kind in CC_KINDS:
+    for _version, _region in CC_VERSIONS.items():
+        _name = "-".join(CC_WORDS[w] for w in _kind.split("-"))
+        TEMPLATES[f"CC-{_kind}-{_version}"] = [
+            f"Licensed under CC {_kind} {_version}",
+            f"This work is licensed under a Creative Commons {_name} {_version} {_region} License",
+        ]
+for _short, (_name, _versions) in GNU.items():
+    for _version in _versions:
+        TEMPLATES[f"{_short}-{_version if '.' in _version else _version + '.0'}"] = [
+            f"This work is licensed under the GNU {_name} Public License, version {_version}"
+        ]
 
 # SPDX id -> whole licence bodies and file headers, without marks
 BODIES = {
@@ -161,15 +187,65 @@ def all_templates() -> dict[str, list[str]]:
     return {n: [*TEMPLATES.get(n, []), f"SPDX-License-Identifier: {n}", *BODIES.get(n, [])] for n in names}
 
 
+NOTICE = 20  # bigrams of a template up to which its numbers must all be there
+CLOSE = 6  # templates of two licences that differ in at most so many bigrams must differ in all
+
+
 def template_bigrams(templates: dict[str, list[str]]) -> list[dict]:
+    """Name, bigrams, number of word pairs, and the bigrams that a hit must have (``must``).
+
+    A template must not stand for its neighbours: what tells it from a template of
+    another licence that is alike but for a few words, and the numbers of a short
+    notice, have to be there in full, or nothing is reported.
+    """
     out = []
     for name in sorted(templates):
         for text in templates[name]:
             words = re.sub(r"[^A-Za-z0-9]+", " ", text).lower().split()
             out.append({"name": name, "grams": sorted({f"{a} {b}" for a, b in zip(words, words[1:])}), "raw": len(words) - 1})
+    for t in out:
+        mine, must = set(t["grams"]), set()
+        if len(mine) <= NOTICE:
+            must |= {g for g in mine if any(w.isdigit() for w in g.split())}
+        for u in out:
+            own, theirs = mine - set(u["grams"]), set(u["grams"]) - mine
+            if u["name"] != t["name"] and len(own) <= CLOSE and len(theirs) <= CLOSE and 2 * len(own) < len(mine):
+                must |= own
+        t["must"] = sorted(must)
     return out
 
 
+#: Words too frequent in any text to tell that a licence may follow
+FREQUENT = ["above", "after", "other", "their", "there", "these", "under", "which", "without"]
+
+
+def anchors(known: list[dict], least: list[int]) -> tuple[list[str], list[str]]:
+    """(words, bigrams): a text without any of them has no hit.
+
+    Greedy over longer words: the one that spares most of the bigrams still in the
+    way, until those without a chosen word are fewer than ``least`` for every
+    template.  A template that longer words cannot cover gives one of the bigrams
+    that its hits must have.
+    """
+    words: list[str] = []
+    grams: list[str] = []
+
+    def free(t):
+        return [g for g in t["grams"] if not set(g.split()) & set(words)]
+
+    for t, n in zip(known, least):
+        usable = [w for g in t["grams"] for w in g.split() if len(w) > 4 and w not in FREQUENT]
+        if sum(not set(g.split()) & set(usable) for g in t["grams"]) >= n:
+            if not t["must"]:
+                raise ValueError(f"a template of {t['name']} has no word to look for")
+            grams.append(max(t["must"], key=lambda g: (len(g), g)))
+    covered = [(t, n) for t, n in zip(known, least) if not set(grams) & set(t["must"])]
+    while left := [free(t) for t, n in covered if len(free(t)) >= n]:
+        gain = Counter(w for gs in left for g in gs for w in set(g.split()) if len(w) > 4 and w not in FREQUENT)
+        words.append(min(gain, key=lambda w: (-gain[w] * len(w), w)))
+    return words, sorted(set(grams))
+
+
 def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     """Set sizes b for which 2 * min(a, b) / (a + b) can reach the threshold."""
     low = next(b for b in range(1, size + 1) if 2 * b >= threshold * (size + b))
@@ -215,16 +291,14 @@ def windows(t: Column, grams: Column, threshold: float) -> Column:
 
             def to_end(q):
                 first, last = F.get(near, F.lit(0))["at"], F.get(near, q)["at"]
-                return let(
-                    F.size(F.array_distinct(F.slice(ids, F.lit(1), q + 1))),
-                    lambda shared: candidate(
-                        t,
-                        F.lit(2.0) * shared / (t["a"] + F.greatest(t["a"], shared + (last - first - q))),
-                        shared,
-                        first,
-                        last + 2,
-                    ),
-                )
+
+                def judged(have):
+                    shared = F.size(have)
+                    score = F.lit(2.0) * shared / (t["a"] + F.greatest(t["a"], shared + (last - first - q)))
+                    whole = F.size(F.array_intersect(t["must_ids"], have)) == F.size(t["must_ids"])
+                    return F.when(whole, candidate(t, score, shared, first, last + 2))
+
+                return let(F.array_distinct(F.slice(ids, F.lit(1), q + 1)), judged)
 
             return F.when(
                 F.size(F.array_distinct(ids)) >= t["most"],
@@ -263,10 +337,13 @@ def scan(
         a = len(t["grams"])
         shared = [s for s in range(1, a + 1) if 2 * s >= threshold * (a + max(s, low)) - 1e-9]
         most = next(s for s in range(1, a + 1) if 2 * s >= threshold * 2 * a - 1e-9)
-        rows.append(t | {"a": a, "low": low, "high": high, "least": shared[0], "most": most, "span": t["raw"] * 3 // 2})
+        ids = [t["grams"].index(g) + 1 for g in t["must"]]
+        rows.append(
+            t | {"a": a, "low": low, "high": high, "least": shared[0], "most": most, "span": t["raw"] * 3 // 2, "must_ids": ids}
+        )
     shapes = F.from_json(
         F.lit(json.dumps(rows)),
-        "array<struct<name:string,grams:array<string>,a:int,low:int,high:int,least:int,most:int,span:int>>",
+        "array<struct<name:string,grams:array<string>,a:int,low:int,high:int,least:int,most:int,span:int,must:array<string>,must_ids:array<int>>>",
     )
     every = F.from_json(F.lit(json.dumps(sorted({g for t in known for g in t["grams"]}))), "array<string>")
     fewest = min(r["least"] for r in rows)
@@ -274,7 +351,12 @@ def scan(
     def of_lines(live, lines):
         def one(l):
             def scored(grams):
-                fits = F.filter(live, lambda t: (F.size(grams) >= t["low"]) & (F.size(grams) <= t["high"]))
+                fits = F.filter(
+                    live,
+                    lambda t: (F.size(grams) >= t["low"])
+                    & (F.size(grams) <= t["high"])
+                    & (F.size(F.array_intersect(t["must"], grams)) == F.size(t["must"])),
+                )
                 return F.transform(
                     fits,
                     lambda t: let(
@@ -332,5 +414,15 @@ def scan(
 
         return let(bigrams(words_of(text, "[ \n]+")), in_grams)
 
-    text = F.lower(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[^A-Za-z0-9\n]+", " "))
-    return docs.select(F.col(id_col).alias("_id"), let(text, found).alias("hits")).withColumnRenamed("_id", id_col)
+    raw = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.lower(F.regexp_replace(raw, r"[^A-Za-z0-9\n]+", " "))
+    folded = F.lower(raw)
+    words, grams = anchors(known, [r["least"] for r in rows])
+    maybe = F.lit(False)
+    for word in words:
+        maybe = maybe | folded.contains(word)
+    if grams:
+        apart = "|".join(g.replace(" ", "[^a-z0-9]+") for g in grams)
+        maybe = maybe | folded.rlike(f"(?<![a-z0-9])(?:{apart})(?![a-z0-9])")
+    hits = F.when(maybe, let(text, found)).otherwise(F.expr(NO_HITS))
+    return docs.select(F.col(id_col).alias("_id"), hits.alias("hits")).withColumnRenamed("_id", id_col)

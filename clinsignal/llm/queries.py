@@ -213,10 +213,11 @@ ORACLES = {
 def licence_oracle() -> str:
     known = licences.template_bigrams(licences.TEMPLATES)
     rows = ", ".join(
-        "('{}', [{}])".format(t["name"], ", ".join("'{}'".format(g) for g in t["grams"])) for t in known
+        "('{}', [{}], CAST([{}] AS VARCHAR[]))".format(t["name"], *(", ".join(f"'{g}'" for g in t[c]) for c in ("grams", "must")))
+        for t in known
     )
     return f"""
-        WITH templates AS (SELECT * FROM (VALUES {rows}) AS t(licence, grams)),
+        WITH templates AS (SELECT * FROM (VALUES {rows}) AS t(licence, grams, must)),
         lines AS (
             SELECT doc_id, i - 1 AS line, list_filter(string_split(l[i], ' '), lambda x: x <> '') AS w FROM (
                 SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM (
@@ -224,10 +225,10 @@ def licence_oracle() -> str:
                     FROM documents))),
         grams AS (
             SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g
-            FROM lines WHERE len(w) BETWEEN 2 AND 40),
+            FROM lines WHERE len(w) > 1),
         scored AS (
             SELECT doc_id, line, licence, 2.0 * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
-            FROM grams, templates WHERE list_has_any(g, grams)),
+            FROM grams, templates WHERE list_has_any(g, grams) AND list_has_all(g, must)),
         best AS (
             SELECT doc_id, line, max(dice) AS dice, arg_min(licence, (-dice, licence)) AS licence
             FROM scored WHERE dice >= {licences.THRESHOLD} GROUP BY doc_id, line),

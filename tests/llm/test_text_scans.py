@@ -325,3 +325,59 @@ def test_personal_data_edges(edge, empty):
 def test_query_returns_every_document(spark, name):
     out = queries.QUERIES[name](spark, SMALL)
     assert out.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+
+
+# ------------------------------------------------------- licences and their neighbours
+CC_LONG = {"BY": "Attribution", "NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
+
+
+def named(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    out = {r["doc_id"]: [h["licence"] for h in r["hits"]] for r in licences.scan(frame).collect()}
+    return [out[i] for i in range(len(texts))]
+
+
+def test_every_neighbour_gets_its_own_name(spark):
+    want = {}
+    for kind in ("BY", "BY-NC", "BY-NC-ND", "BY-NC-SA", "BY-ND", "BY-SA"):
+        name = "-".join(CC_LONG[w] for w in kind.split("-"))
+        want[f"This work is licensed under a Creative Commons {name} 4.0 International License."] = f"CC-{kind}-4.0"
+        want[f"All pictures here: licensed under CC {kind} 4.0, see below"] = f"CC-{kind}-4.0"
+        want[f"This work is licensed under a Creative Commons\n{name} 3.0 Unported License."] = f"CC-{kind}-3.0"
+        want[f"// SPDX-License-Identifier: CC-{kind}-4.0"] = f"CC-{kind}-4.0"
+    for short, long, version in [("AGPL", "Affero General", "3"), ("GPL", "General", "2"), ("GPL", "General", "3"), ("LGPL", "Lesser General", "2.1"), ("LGPL", "Lesser General", "3")]:
+        full = f"{short}-{version if '.' in version else version + '.0'}"
+        want[f"This work is licensed under the GNU {long} Public License, version {version}."] = full
+        want[licences.BODIES[full][0]] = full
+    want["Licensed under either of Apache License, Version 2.0 or MIT license at your option."] = "Apache-2.0 OR MIT"
+    want["Licensed under the MIT license or the Apache License, Version 2.0"] = "Apache-2.0 OR MIT"
+    want[licences.BODIES["BSD-2-Clause"][0]] = "BSD-2-Clause"
+    want[licences.BODIES["BSD-3-Clause"][0]] = "BSD-3-Clause"
+    want["Released under the 2-Clause BSD License"] = "BSD-2-Clause"
+    for (text, name), got in zip(want.items(), named(spark, list(want))):
+        assert got == [name], (text, got)
+
+
+def test_unknown_versions_and_restrictions_have_no_name(spark):
+    texts = [
+        "This work is licensed under a Creative Commons Attribution 2.5 International License.",
+        "This work is licensed under a Creative Commons Attribution-Sampling 4.0 International License.",
+        "This work is licensed under the GNU General Public License, version 1",
+        "This work is licensed under the GNU Lesser General Public License, version 2.0",
+        "Licensed under CC BY-XY 4.0",
+        "Licensed under the Apache License, Version 1.1",
+    ]
+    assert named(spark, texts) == [[]] * len(texts)
+
+
+def test_no_hit_without_an_anchor():
+    known = licences.template_bigrams(licences.all_templates())
+    least = []
+    for t in known:
+        a, low = len(t["grams"]), licences.size_bounds(len(t["grams"]), 0.8)[0]
+        least.append(next(s for s in range(1, a + 1) if 2 * s >= 0.8 * (a + max(s, low)) - 1e-9))
+    anchor_words, grams = licences.anchors(known, least)
+    assert not set(anchor_words) & set(licences.FREQUENT)
+    for t, n in zip(known, least):
+        spared = [g for g in t["grams"] if not set(g.split()) & set(anchor_words)]
+        assert len(spared) < n or set(grams) & set(t["must"])
