@@ -23,7 +23,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinsignal.llm.common import match_spans, span_text
+from clinsignal.llm.common import let, match_spans, span_text
 
 # The patterns every scan reports, in the order of their kinds.
 # (?i) folds ASCII letters only.
@@ -31,7 +31,8 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ASSIGN_MIN = 6
 ACCESS = r"AKIA[A-Z0-9]{16,}"  # 20 characters or more
 HEX = r"[0-9a-f]{24,}"
-CANDIDATE = r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}"
+# runs end at an equals sign, but for the padding of base64
+CANDIDATE = r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}={0,2}"
 ORDINARY = r"[A-Za-z0-9_]{4,}"
 
 SAMPLE_DOCS = 500
@@ -91,6 +92,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     after = F.slice("w", F.lit(2), F.greatest(F.size("w"), F.lit(1)))
     ordinary = F.concat(
         "w",
+        F.zip_with("w", after, lambda a, b: F.concat_ws("/", a, b)),
         F.transform("w", lambda w: F.upper(w)),
         F.zip_with("w", after, lambda a, b: F.concat(F.initcap(a), F.initcap(F.coalesce(b, F.lit(""))))),
         F.zip_with("w", after, lambda a, b: F.concat_ws("_", a, b)),
@@ -135,6 +137,27 @@ def log_ratio(string: Column, ratios: Column) -> Column:
     )
 
 
+HALVINGS = 31  # of an array's indices
+
+
+def overlaps(spans: Column, s: Column) -> Column:
+    """Does a span meet one of an array of disjoint spans in text order?  By halving:
+    the first of them that ends after the span's start is the only one to look at."""
+
+    def halve(x, _):
+        middle = F.shiftright(x["low"] + x["high"], 1)
+        past = F.get(spans, middle)["end"] <= s["start"]
+        moved = F.when(past, F.struct((middle + 1).alias("low"), x["high"].alias("high"))).otherwise(
+            F.struct(x["low"].alias("low"), middle.alias("high"))
+        )
+        return F.when(x["low"] < x["high"], moved).otherwise(x)
+
+    ends = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+    steps = F.sequence(F.lit(1), F.least(F.lit(HALVINGS), F.ceil(F.log2(F.size(spans) + 1.0)).cast("int") + 1))
+    first = F.aggregate(steps, ends, halve, lambda x: x["low"])
+    return F.when(F.size(spans) > 0, F.coalesce(F.get(spans, first)["start"] < s["end"], F.lit(False))).otherwise(F.lit(False))
+
+
 def scan(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -155,15 +178,19 @@ def scan(
             lambda s: s["match"].rlike("[A-Za-z]"),
         ).alias("candidates"),
     )
-    known = F.concat("assign", "access", "hex")
 
     def is_random(s):
-        score = log_ratio(s["match"], table)
-        return (score >= min_total) & (score >= min_per_char * F.length(s["match"]))
+        # words joined by slashes are a path unless they mix cases and digits
+        mixed = s["match"].rlike("[a-z]") & s["match"].rlike("[A-Z]") & s["match"].rlike("[0-9]")
+        return F.when(s["match"].contains("/") & ~mixed, F.lit(False)).otherwise(
+            let(
+                log_ratio(s["match"], table),
+                lambda score: (score >= min_total) & (score >= min_per_char * F.length(s["match"])),
+            )
+        )
 
     clear = F.filter(
-        "candidates",
-        lambda s: ~F.exists(known, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
+        "candidates", lambda s: ~(overlaps(F.col("assign"), s) | overlaps(F.col("access"), s) | overlaps(F.col("hex"), s))
     )
     return base.select(
         F.col("_id").alias(id_col), "assign", "access", "hex", F.filter(clear, is_random).alias("random")
