@@ -2,7 +2,7 @@
 
 Stages: ingest (topic -> silver stream), standardize (silver -> gold
 snapshot), inspect-silver, train (gold -> registered model), score-stream
-(topic -> alerts + mirror), triage (score one vector), report (alerts KPIs,
+(topic -> alerts + mirror, or alerts + rejected rows), triage (score one vector), report (alerts KPIs,
 throughput, audit ledger).  The session comes from the environment
 (``spark-submit`` / cluster defaults); only runtime confs are set here.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from clinsignal.operators.auc import roc_auc
 from clinsignal.operators.enrich import standardize
 from clinsignal.operators.features import add_label, indicator_features, split, training_frame
 from clinsignal.operators.ledger import load_serving, record_run
+from clinsignal.operators.newton import Settings, train_newton
 from clinsignal.operators.scoring import GBT_PARAMS, log_odds, score, train_gbt, triage
 from clinsignal.schemas import ALERTS_SCHEMA, FEATURE_CONTRACT_V1
 from clinsignal.session import configure
@@ -28,6 +30,7 @@ from clinsignal.sources.sinks import read_snapshot, write_snapshot
 from clinsignal.sources.tables import literal_vector, read_table, read_table_or_empty
 from clinsignal.sources.topics import RAW_TOPIC, read_events
 from clinsignal.streaming import jobs
+from clinsignal.streaming.progress import RunRecorder
 
 
 # Spark's boosted trees have no intercept: their margin starts at log-odds 0.
@@ -49,10 +52,25 @@ def _trigger(args) -> dict | None:
     return {"availableNow": True} if args.available_now else None
 
 
+@contextmanager
+def _recorded(spark: SparkSession, root: str | None):
+    """Write the progress and the end of the streams run inside to ``root``, if given."""
+    if root is None:
+        yield
+        return
+    recorder = RunRecorder(spark, root).attach()
+    try:
+        yield
+    finally:
+        recorder.settle()
+        recorder.detach()
+
+
 def cmd_ingest(args) -> None:
     spark = _session("clinsignal-ingest")
-    q = jobs.start_ingest(_topic(spark, args), args.silver, args.checkpoint, args.format, _trigger(args))
-    jobs.run_until_stopped(spark, [q])
+    with _recorded(spark, args.progress):
+        q = jobs.start_ingest(_topic(spark, args), args.silver, args.checkpoint, args.format, _trigger(args), "ingest")
+        jobs.run_until_stopped(spark, [q])
 
 
 def cmd_standardize(args) -> None:
@@ -90,7 +108,12 @@ def cmd_train(args) -> None:
         frame, available = training_frame(gold)
     train, test = split(frame)
     params = {"max_depth": args.max_depth, "step_size": args.step_size, "max_iter": args.max_iter, "seed": GBT_PARAMS["seed"]}
-    model = train_gbt(train, available, **params)
+    if args.booster == "newton":
+        settings = Settings(max_depth=args.max_depth, rate=args.step_size, rounds=args.max_iter)
+        model = train_newton(train, available, settings=settings)
+    else:
+        model = train_gbt(train, available, **params)
+    params["booster"] = args.booster
     metrics = roc_auc(log_odds(test, model), "margin", "label")
     # the audited row: the first of the test side
     audited = tree_attribution(test.orderBy("event_id").limit(1), model, available, baseline=BASELINE_LOG_ODDS).first()
@@ -108,10 +131,16 @@ def cmd_score_stream(args) -> None:
     model, inputs = load_serving(spark, args.registry, args.name, args.version)
     mirror = None if args.mirror == "none" else args.mirror
     inline = not args.no_inline_codes
-    q = jobs.start_fanout(
-        _topic(spark, args), model, args.alerts, args.checkpoint, mirror, _trigger(args), inline, args.format, inputs
-    )
-    jobs.run_until_stopped(spark, [q])
+    with _recorded(spark, args.progress):
+        if args.rejected:
+            q = jobs.start_checked_scoring(
+                _topic(spark, args), model, args.alerts, args.rejected, args.checkpoint, trigger=_trigger(args), query_name="score"
+            )
+        else:
+            q = jobs.start_fanout(
+                _topic(spark, args), model, args.alerts, args.checkpoint, mirror, _trigger(args), inline, args.format, inputs
+            )
+        jobs.run_until_stopped(spark, [q])
 
 
 def cmd_triage(args) -> None:
@@ -145,6 +174,7 @@ def _topic_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--max-files", type=int, default=1)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--available-now", action="store_true", help="drain what is there, then stop")
+    p.add_argument("--progress", help="folder for the run record: every micro-batch and how the run ended")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -178,6 +208,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-depth", type=int, default=GBT_PARAMS["max_depth"])
     p.add_argument("--step-size", type=float, default=GBT_PARAMS["step_size"])
     p.add_argument("--max-iter", type=int, default=GBT_PARAMS["max_iter"])
+    p.add_argument("--booster", choices=["gbt", "newton"], default="gbt", help="first-order (Spark ML) or second-order trees")
     p.add_argument("--contract", choices=["v4", "v1"], default="v4", help="v4: 4 int64 features; v1: BPs + code indicators")
     p.set_defaults(fn=cmd_train)
 
@@ -189,6 +220,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--alerts", required=True)
     p.add_argument("--format", default="parquet", help="table format of the alerts (delta commits every batch)")
     p.add_argument("--mirror", default="console", help="console, none, or a table path")
+    p.add_argument("--rejected", help="table for rows that break the field rules; without it odd fields are scored as 0")
     p.add_argument("--no-inline-codes", action="store_true", help="score codes exactly as sent (missing -> 0)")
     p.set_defaults(fn=cmd_score_stream)
 

@@ -26,13 +26,14 @@ from clinsignal.operators.enrich import standardize
 from clinsignal.operators.features import add_label, indicator_features, training_frame
 from clinsignal.operators.ingest import parse_events, sanitize
 from clinsignal.operators.scoring import DEFAULT_SCORECARD, Scorecard, score
+from clinsignal.plans.topic_files import FileTopic, write_time_ordered_files
 from clinsignal.schemas import ALERTS_SCHEMA, CODE_FEATURES, FEATURES
 from clinsignal.sources.fixtures import clinical_raw as derive_clinical_raw
 from clinsignal.session import scratch_path
 from clinsignal.sources import sinks
 from clinsignal.sources.sinks import write_snapshot
 from clinsignal.sources.tables import given_table, table_stamp
-from clinsignal.sources.topics import FileTopic, topic_frame, write_time_ordered_files
+from clinsignal.sources.topics import topic_frame
 from clinsignal.streaming import jobs
 
 RECORD_TS = "record_ts"
@@ -88,7 +89,13 @@ def labelled_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-TOPIC_FILES = 4
+TOPIC_SLICES = 4  # micro-batches of a small topic
+SLICE_BYTES = 64 << 20  # input bytes of one micro-batch of a larger one
+
+
+def topic_slices(spark: SparkSession, sf_dir: str) -> int:
+    """Micro-batches of the topic: their number grows with the input, not their size."""
+    return max(TOPIC_SLICES, -(-table_stamp(spark, sf_dir, "events")[0] // SLICE_BYTES))
 
 
 _TOPICS: dict[tuple, FileTopic] = {}
@@ -100,7 +107,9 @@ def topic_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     key = layer_key(spark, sf_dir, "topic")
     with BUILD_LOCK:
         if key not in _TOPICS:
-            _TOPICS[key] = write_time_ordered_files(raw_topic(spark, sf_dir), scratch_path(spark, "topic"), TOPIC_FILES)
+            _TOPICS[key] = write_time_ordered_files(
+                raw_topic(spark, sf_dir), scratch_path(spark, "topic"), topic_slices(spark, sf_dir)
+            )
     return _TOPICS[key]
 
 
@@ -111,7 +120,7 @@ def alerts_files(spark: SparkSession, sf_dir: str) -> FileTopic:
     with BUILD_LOCK:
         if key not in _TOPICS:
             _TOPICS[key] = write_time_ordered_files(
-                alerts_table(spark, sf_dir), scratch_path(spark, "alerts-files"), TOPIC_FILES, "evaluated_at"
+                alerts_table(spark, sf_dir), scratch_path(spark, "alerts-files"), topic_slices(spark, sf_dir), "evaluated_at"
             )
     return _TOPICS[key]
 

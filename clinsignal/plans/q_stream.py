@@ -10,16 +10,22 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from clinsignal.operators.features import split
+from clinsignal.operators.ledger import load_model, record_run
+from clinsignal.operators.newton import train_newton
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
 from clinsignal.plans import layers as P
 from clinsignal.plans.q_ingest import SILVER_COLS, SILVER_COLS_SQL
+from clinsignal.plans.q_model import NEWTON_FEATURES, TRIAGE
 from clinsignal.plans.q_monitor import alerts_out, alerts_out_sql  # also registers kpi_summary (oracle reused below)
 from clinsignal.plans.registry import ORACLES, query
-from clinsignal.plans.sql_base import with_base
-from clinsignal.schemas import ALERTS_SCHEMA
+from clinsignal.plans.sql_base import sigmoid_sql, test_side_sql, with_base
+from clinsignal.plans.sql_trees import applied_ctes, newton_ctes
+from clinsignal.plans.topic_files import write_time_ordered_files
+from clinsignal.schemas import ALERTS_SCHEMA, FEATURES
 from clinsignal.session import scratch_path
 from clinsignal.sources.fixtures import faulty_payloads
-from clinsignal.sources.topics import read_events, write_time_ordered_files
+from clinsignal.sources.topics import read_events
 from clinsignal.streaming import jobs
 from clinsignal.streaming.progress import RunRecorder, read_progress
 
@@ -218,3 +224,26 @@ def stream_progress_q(spark: SparkSession, sf_dir: str):
         recorder.detach()
     mine = read_progress(spark, root).where(F.col("run_id") == str(q.runId))
     return mine.where("kind = 'end' or n_rows > 0").select("kind", "batch_id", "n_rows", "cause")
+
+
+@query(
+    "stream_score_trees",
+    with_base(
+        newton_ctes(f"SELECT event_id, {', '.join(FEATURES)}, label FROM feats WHERE NOT {test_side_sql()}", NEWTON_FEATURES, TRIAGE)
+        + applied_ctes("SELECT event_id, systolic_bp, diastolic_bp, rxnorm_id, snomed_code FROM alerts", NEWTON_FEATURES, TRIAGE)
+        + ", tree_alerts AS (SELECT event_id, systolic_bp, diastolic_bp, rxnorm_id, snomed_code, "
+        f"CAST({sigmoid_sql('margin')} > 0.5 AS DOUBLE) AS adverse_event_risk_score, {sigmoid_sql('margin')} AS risk_probability FROM scored) "
+        + alerts_out_sql("tree_alerts", with_time=False)
+    ),
+)
+def stream_score_trees_q(spark: SparkSession, sf_dir: str):
+    """The scoring stream with a trained tree model, loaded from the registry."""
+    train, _ = split(P.features(spark, sf_dir))
+    root = scratch_path(spark, "registry")
+    record_run(spark, root, "trees", {"rounds": TRIAGE.rounds}, {"depth": TRIAGE.max_depth}, model=train_newton(train, NEWTON_FEATURES, settings=TRIAGE))
+    sink = scratch_path(spark, "alerts-trees")
+    q = jobs.start_scoring(
+        _raw_stream(spark, sf_dir), load_model(spark, root, "trees", 1), sink, scratch_path(spark, "ckpt-trees"), trigger=AVAILABLE_NOW
+    )
+    jobs.run_to_completion(q)
+    return alerts_out(spark.read.schema(ALERTS_SCHEMA).parquet(sink), with_time=False)

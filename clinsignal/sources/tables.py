@@ -46,7 +46,7 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
 
 def _is_missing_path(exc: Exception) -> bool:
     text = str(exc)
-    return "PATH_NOT_FOUND" in text or "Path does not exist" in text or "UNABLE_TO_INFER_SCHEMA" in text
+    return "PATH_NOT_FOUND" in text or "Path does not exist" in text or "UNABLE_TO_INFER_SCHEMA" in text or "DELTA_TABLE_NOT_FOUND" in text
 
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
@@ -57,7 +57,9 @@ def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType, fm
     Only "path not found" is mapped to empty; other errors propagate.
     """
     try:
-        df = spark.read.format(fmt).schema(schema).load(path)
+        reader = spark.read.format(fmt)
+        # a Delta table has its own schema and refuses another
+        df = (reader if fmt == "delta" else reader.schema(schema)).load(path)
         df.schema  # noqa: B018 - resolves the relation, raising for a missing path
         return df
     except Exception as exc:  # noqa: BLE001

@@ -65,6 +65,14 @@ class RunRecorder(StreamingQueryListener):
         self.flush()
         return seen
 
+    def settle(self, timeout_s: float = 60.0) -> bool:
+        """Wait until the end of every run that was seen to start is recorded."""
+        with self.lock:
+            started = list(self.names)
+        seen = [self._end_of(run_id).wait(timeout_s) for run_id in started]
+        self.flush()
+        return all(seen)
+
     def _end_of(self, run_id: str) -> threading.Event:
         with self.lock:
             return self.ended.setdefault(run_id, threading.Event())

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from clinsignal.operators import contract, monitor
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
 from clinsignal.plans import layers as P
+from clinsignal.plans.topic_files import write_time_ordered_files
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
 from clinsignal.sources import sinks
 from clinsignal.sources.fixtures import faulty_payloads
 from clinsignal.sources.tables import common_type, union_drifted
-from clinsignal.sources.topics import read_events, write_time_ordered_files
+from clinsignal.sources.topics import read_events
 from clinsignal.streaming import jobs
 from clinsignal.streaming.progress import RunRecorder, read_progress
 
@@ -180,6 +181,41 @@ def test_stop_and_failure_are_recorded(spark, sf_small):
     assert [r["cause"] for r in ends] == ["failed"] and "sink is gone" in ends[0]["error"]
 
 
+def test_running_until_one_query_fails_stops_the_others(spark, sf_small):
+    """K9: the failure of any query surfaces, and nothing is left running."""
+    topic = write_time_ordered_files(P.raw_topic(spark, sf_small), scratch_path(spark, "topic-k9"), 2)
+
+    def stream():
+        return read_events(spark, fmt="parquet", options=topic.stream_options(), path=topic.path)
+
+    def broken(batch, batch_id):
+        raise ValueError("no more")
+
+    good = jobs.start_ingest(stream(), scratch_path(spark, "s-k9"), scratch_path(spark, "c-k9"), trigger={"processingTime": "1 second"})
+    bad = stream().writeStream.foreachBatch(broken).option("checkpointLocation", scratch_path(spark, "c-k9b")).start()
+    with pytest.raises(Exception, match="no more"):
+        jobs.run_until_stopped(spark, [good, bad])
+    assert not good.isActive and not bad.isActive
+
+
+# ------------------------------------------------------------------------ layers
+def test_layers_follow_their_input(spark, sf_small, tmp_path):
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    events.limit(10).coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    assert P.silver_table(spark, str(tmp_path)).count() == 10
+    events.limit(5).coalesce(1).write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert P.silver_table(spark, str(tmp_path)).count() == 15
+    assert P.gold_table(spark, str(tmp_path)).count() == 15
+
+
+def test_date_tables_have_a_file_a_day(spark, sf_small):
+    path = scratch_path(spark, "by-date")
+    dated = P.alerts(spark, sf_small).withColumn("d", F.to_date("evaluated_at")).repartition(16)
+    sinks.write_by_date(dated, "d", path)
+    days = spark.read.parquet(path).select("d").distinct().count()
+    assert len(spark.read.parquet(path).inputFiles()) == days > 20
+
+
 # -------------------------------------------------------------------- drifting files
 def test_union_of_drifted_files(spark):
     path = scratch_path(spark, "drift")

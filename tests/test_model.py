@@ -159,26 +159,6 @@ def test_ledger_versions_and_load(spark, small_gbt):
         load_model(spark, root, "absent")
 
 
-@pytest.mark.parametrize("max_rows", [10**6, 0])
-def test_lookup_join_broadcast_and_salted_paths_agree(spark, max_rows):
-    """A key holds a third of the rows; both join paths give every row its value."""
-    from clinsignal.operators.joins import lookup_join
-
-    # one hot key holding a third of the rows
-    rows = spark.range(3000).select((F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50)).alias("k"), "id")
-    table = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    out = lookup_join(rows, table, ["k"], max_broadcast_rows=max_rows, salts=4)
-    assert out.count() == 3000
-    assert out.where(F.col("v") != F.col("k") * 10).count() == 0
-
-
-def test_lookup_join_size_estimate(spark):
-    from clinsignal.operators.joins import estimated_size
-
-    t = spark.createDataFrame([("abc", 1), ("de", 2)], "k string, v long")
-    assert estimated_size(t) == (2, 2 * 8 + 5)
-
-
 class _ProbaModel:
     """A foreign-style model object with predict_proba (as sklearn / boosters have)."""
 

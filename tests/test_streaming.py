@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
 from clinsignal.plans import layers as P
 from clinsignal.plans.q_ingest import SILVER_COLS
+from clinsignal.plans.topic_files import write_time_ordered_files
 from clinsignal.session import scratch_path
-from clinsignal.sources.topics import read_events, write_time_ordered_files
+from clinsignal.sources.topics import read_events
 from clinsignal.streaming import jobs
 
 NOW = {"availableNow": True}
