@@ -36,7 +36,7 @@ def census(plan: str) -> dict[str, object]:
         "single_partition": len(re.findall(r"Exchange SinglePartition", plan)),
         "broadcasts": len(re.findall(r"BroadcastExchange", plan)),
         "joins": sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", plan))),
-        "python": sorted(set(re.findall(r"(BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas)", plan))),
+        "python": sorted(set(re.findall(r"(BatchEvalPython|ArrowEvalPython|MapInArrow|MapInPandas|FlatMapGroupsInArrow|FlatMapGroupsInPandas)", plan))),
         "top_k": "TakeOrderedAndProject" in plan,
         "scans": scans,
     }
