@@ -177,18 +177,3 @@ def test_python_model_path_matches_native_scorecard(spark, sf_small):
     assert gap < 1e-12
     proba = score_python_model(f, _ProbaModel())
     assert proba.where((F.col("risk_probability") > 0.5) != (F.col("systolic_bp") > 140)).count() == 0
-
-
-def test_salted_join_splits_only_hot_keys(spark):
-    from clinsignal.operators.joins import salted_join
-
-    # key 7 holds a third of the rows; some keys are null
-    rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 101 == 0, F.lit(None)).otherwise(F.col("id") % 50).alias("k"),
-        "id",
-    )
-    table = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    out = salted_join(rows, table, ["k"], salts=4)
-    assert out.count() == 3000
-    assert out.where(F.col("k").isNotNull() & (F.col("v") != F.col("k") * 10)).count() == 0
-    assert out.where(F.col("k").isNull() & F.col("v").isNotNull()).count() == 0
