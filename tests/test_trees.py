@@ -14,7 +14,7 @@ from clinsignal.operators import attribution
 from clinsignal.operators.ensemble import Node, TreeEnsemble, from_spark_gbt
 from clinsignal.operators.ledger import load_model, load_serving, record_run
 from clinsignal.operators.newton import Settings, bin_floors, train_newton
-from clinsignal.operators.scoring import log_odds, score, train_gbt
+from clinsignal.operators.scoring import gbt_pipeline, log_odds, score, train_gbt
 from clinsignal.session import scratch_path
 
 COLS = ["a", "b", "c"]
@@ -132,6 +132,22 @@ def test_spark_trees_keep_their_margins_as_node_table(spark):
     assert np.allclose(trees.margins(np.array([r[:3] for r in rows])), [r["margin"] for r in rows], atol=1e-9)
 
 
+def test_equal_rows_train_as_one_weighted_row(spark):
+    """Boosting passes over value combinations, not over rows, and finds the same trees."""
+    df = spark.createDataFrame(made_rows(missing=0), "a double, b double, c double, label int")
+    many = df.crossJoin(spark.range(5)).drop("id")
+    found = train_gbt(many, COLS, max_depth=3, max_iter=4)
+    root = scratch_path(spark, "gbt-equal")
+    found.stages[-1].write().save(root)
+    passed = spark.read.parquet(f"{root}/data").agg(F.max("nodeData.rawCount")).first()[0]
+    assert passed == df.distinct().count() < many.count() / 5
+    roots = [n.cover for n in from_spark_gbt(spark, found, COLS).nodes if n.node == 0]
+    assert roots == [many.count()] * 4
+    plain = gbt_pipeline(COLS, max_depth=3, max_iter=4).fit(many.withColumn("label", F.col("label").cast("double")))
+    a, b = (np.array([r[0] for r in log_odds(df.orderBy("a", "b", "c"), m).select("margin").collect()]) for m in (found, plain))
+    assert np.allclose(a, b, atol=1e-9)
+
+
 # ------------------------------------------------------------------- attribution
 def expectation(tree, at, x, known):
     """Path-dependent expectation by recursion over one tree."""
