@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
 from clinsignal.plans import layers as P
+from clinsignal.plans import topic_files
 from clinsignal.plans.q_ingest import SILVER_COLS
 from clinsignal.plans.topic_files import write_time_ordered_files
 from clinsignal.session import scratch_path
@@ -21,6 +22,32 @@ def topic(spark, sf_small):
     return write_time_ordered_files(P.raw_topic(spark, sf_small), scratch_path(spark, "topic-test"), 3)
 
 
+def test_topic_slices_grow_in_files(spark, sf_small, monkeypatch):
+    """The files of a slice follow its bytes, with equal shares of its rows."""
+    monkeypatch.setattr(topic_files, "FILE_BYTES", 2048, raising=False)
+    rows = P.raw_topic(spark, sf_small).repartition(2)
+    topic = write_time_ordered_files(rows, scratch_path(spark, "topic-files"), 5)
+    written = spark.read.parquet(topic.path).withColumn("file", F.input_file_name())
+    files = written.groupBy("file").agg(F.count("*").alias("n")).collect()
+    assert len(files) == topic.n_slices * topic.files_per_slice and topic.n_slices == 5
+    assert topic.files_per_slice >= 4
+    assert max(f["n"] for f in files) <= 2 * 1000 / len(files)
+    assert written.drop("file").exceptAll(rows).count() == 0 and written.count() == 1000
+
+
+def test_topic_with_small_and_undated_slices(spark):
+    """Slices of a few rows have as many files as the others; empty ones are left out."""
+    times = F.when(F.col("id") % 10 > 0, F.timestamp_seconds(F.when(F.col("id") < 995, F.lit(50)).otherwise(F.lit(250))))
+    rows = spark.range(0, 1000, 1, 8).select("id", times.alias("timestamp"))
+    bounds = [100_000_000, 200_000_000, 300_000_000]
+    topic = write_time_ordered_files(rows, scratch_path(spark, "topic-odd"), 0, bounds=bounds)
+    batches = []
+    stream = spark.readStream.schema(rows.schema).options(**topic.stream_options()).parquet(topic.path)
+    sink = stream.writeStream.foreachBatch(lambda batch, _: batches.append(batch.agg(F.count("*"), F.count("timestamp")).first()))
+    jobs.run_to_completion(sink.option("checkpointLocation", scratch_path(spark, "ckpt-odd")).trigger(**NOW).start())
+    assert [tuple(b) for b in batches] == [(995, 895), (5, 5)]
+
+
 def _stream(spark, topic):
     return read_events(spark, fmt="parquet", options=topic.stream_options(), path=topic.path)
 
