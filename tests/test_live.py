@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from clinsignal.operators import contract, monitor
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
 from clinsignal.plans import layers as P
+from clinsignal.plans.q_stream import _checked_run
 from clinsignal.plans.topic_files import write_time_ordered_files
 from clinsignal.schemas import ALERTS_SCHEMA
 from clinsignal.session import scratch_path
@@ -146,6 +147,13 @@ def test_checked_stream_rejects_scores_and_observes(spark, sf_small):
     assert bad.where("payload is null").count() == 1
 
 
+def test_checked_run_has_more_micro_batches_for_more_input(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(P, "SLICE_BYTES", P.table_stamp(spark, sf_small, "events")[0] // 6)
+    alerts, rejected = _checked_run(spark, sf_small)
+    assert len(sinks.batch_ids(spark, alerts)) == len(sinks.batch_ids(spark, rejected)) >= 6
+    assert spark.read.schema(ALERTS_SCHEMA).parquet(alerts).count() + spark.read.parquet(rejected).count() == 1000
+
+
 # ---------------------------------------------------------------------- run records
 def test_stop_and_failure_are_recorded(spark, sf_small):
     topic = write_time_ordered_files(P.raw_topic(spark, sf_small), scratch_path(spark, "topic-r"), 3)
