@@ -5,11 +5,14 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from clinsignal.functions.vocab import rxnorm_code, snomed_code
+from clinsignal.operators.ingest import parse_payload
 from clinsignal.operators.scoring import DEFAULT_SCORECARD
 from clinsignal.plans import layers as P
 from clinsignal.plans import topic_files
 from clinsignal.plans.q_ingest import SILVER_COLS
 from clinsignal.plans.topic_files import write_time_ordered_files
+from clinsignal.schemas import SCORING_PAYLOAD_SCHEMA
 from clinsignal.session import scratch_path
 from clinsignal.sources.topics import read_events
 from clinsignal.streaming import jobs
@@ -86,6 +89,20 @@ def test_scoring_matches_batch_alerts(spark, sf_small, topic):
     assert stream_rows.exceptAll(batch_rows).count() == 0 and batch_rows.exceptAll(stream_rows).count() == 0
 
 
+def test_scoring_runs_each_coder_once(spark, sf_small):
+    """The alerts need a code several times; its rules stand in the plan once."""
+    raw = P.raw_topic(spark, sf_small)
+    payload = parse_payload(raw, schema=SCORING_PAYLOAD_SCHEMA)
+    coded = payload.select(rxnorm_code("medication_prescribed").alias("rx"), snomed_code("clinical_notes").alias("sn"))
+
+    def rules(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("(?d)")
+
+    once = rules(coded)
+    assert once > 5 and rules(jobs.scored_stream(raw, DEFAULT_SCORECARD)) == once
+    assert rules(jobs.scored_payload(jobs.checked_payload(raw), DEFAULT_SCORECARD)) == once
+
+
 def test_second_start_on_live_checkpoint_is_refused(spark, topic):
     ckpt = scratch_path(spark, "ckpt-live")
     first = jobs.start_ingest(_stream(spark, topic), scratch_path(spark, "live"), ckpt, trigger={"processingTime": "1 second"})
