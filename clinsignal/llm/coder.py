@@ -12,14 +12,19 @@ Model of one id, given the two ids before it:
 * order 1: the same for the previous id alone;
 * order 0: an adaptive distribution over 32 classes of ids (sizes grow with the
   id; ids of one class share its probability evenly), mixed with one kept for
-  each class of the previous id, the more the better that one has done lately.
+  each group of classes of the previous id, the more the more that one has seen.
 
 The chances that the order-2 id, else the order-1 id is right are learned for
-every pair of confidences and drive the first range-coder decision; if neither
-is right, the second one codes the class and the place inside the class.
+every pair of confidences.  They and the class shares make one range-coder
+decision; the place inside a class, whose ids are equally likely, follows as
+plain bits in a second stream.
+
+The model learns ``CHUNK`` ids at a time, and its shares are worked out anew at
+the ids in ``REFRESH``, so the costly part of learning runs over many ids at once.
 
 Coder: 64-bit carry-less range coder that emits 32-bit words.  Block layout:
-``ids (u32) | payload words (u32) | crc32 of the ids as u32 LE (u32) | payload``.
+``ids (u32) | payload words (u32) | crc32 of the ids as u32 LE (u32) | payload``;
+the payload is ``words of the decisions (u32) | these words | plain bits``.
 All numbers are little-endian.
 """
 
@@ -31,28 +36,48 @@ import numpy as np
 
 BLOCK = 2048
 LANES = 2048  # blocks coded in step; bounds the memory of the model tables
+CHUNK = 16  # ids of a block that the model learns together
+# ids of a block after which the shares are worked out anew: often at first
+REFRESH = frozenset((16, 32, 48, 64, 96, 128, 192, 256, 320, 384, 512, 640, 768, *range(1024, BLOCK, 256)))
 CLASS_BITS = np.repeat([6, 8, 10, 13], 8)  # 32 classes: 8 of 64 ids, of 256, of 1024, of 8192
 CLASS_BASE = np.concatenate([[0], np.cumsum(1 << CLASS_BITS)]).astype(np.int64)
 MAX_ID = int(CLASS_BASE[-1])  # ids must be below
 CLASSES = len(CLASS_BITS)
 CLASS_OF = np.repeat(np.arange(CLASSES), 1 << CLASS_BITS)
 WIDEST = int(CLASS_BITS.max())
+U16, U32, U64 = np.uint16, np.uint32, np.uint64
+
+# an item is an id with its class: id * 32 + class
+ITEM_OF = ((np.arange(MAX_ID) << 5) | CLASS_OF).astype(U32)
+ITEM_BASE = ((CLASS_BASE[:-1] << 5) | np.arange(CLASSES)).astype(U32)
+# plain bits of a class; entry CLASSES is that of an id guessed right: none
+WIDTH = np.append(CLASS_BITS, 0).astype(np.int64)
+WIDTH_MASK = ((1 << WIDTH) - 1).astype(U32)
+
+SLOT_BITS = 9  # hash slots of order 2 and of order 1, per block
+SLOTS = 1 << SLOT_BITS
+STATES = 16  # pairs of confidences
+CONTEXTS = 8  # groups of four classes of the previous id
+
+BITS1, TOTAL = 15, 1 << 15  # the chances, and the class shares of the rest, are shares of TOTAL
+BITS = 2 * BITS1
+PRIOR = np.array([[1], [1], [6]], np.float32)  # order 2 right, order 1 right, neither
+MIX = np.float32(16)  # order 0 weighs as much as so many ids seen after the context
+
+
+def _const(value: int, kind: type) -> np.ndarray:
+    """A constant of the inner loops (an array of no dimensions is the quickest form)."""
+    return np.array(value, kind)
 
-SLOTS = 1 << 11  # hash slots of order 2 and of order 1, per block
-BITS1, TOTAL = 15, 1 << 15  # probabilities and class distributions are shares of TOTAL
-BITS2 = BITS1 + WIDEST  # the second decision also tells the place in the class
-RATE, CHANCE_RATE = 5, 4
-U64 = np.uint64
-LOW32, TOP, FULL = U64(0xFFFFFFFF), U64(1 << 32), U64(0xFFFFFFFFFFFFFFFF)
 
-# a class distribution is its cumulative table; seeing class c pulls it towards
-# all mass on c but FLOOR for every other one.  Averages of tables that rise by at
-# least 1 rise by at least 1, so every class keeps a share.
-FLOOR = 4
-_ABOVE = np.arange(CLASSES)[None, :] > np.arange(CLASSES)[:, None]
-TARGETS = (_ABOVE * (TOTAL - FLOOR * CLASSES) + np.arange(CLASSES)[None, :] * FLOOR).astype(np.int16)
-START = (np.arange(CLASSES) * (TOTAL // CLASSES)).astype(np.int16)
-LEAST, MOST = 64, TOTAL - 64  # bounds of a learned chance
+HASH1, HASH2, HASH_SHIFT = _const(0x9E3779B1, U32), _const(0x85EBCA77, U32), _const(32 - SLOT_BITS, U32)
+CLASS_MASK, CONTEXT_MASK, ONE, TWO, FOUR = (_const(x, U32) for x in (CLASSES - 1, CLASSES - 4, 1, 2, 4))
+# a slot is item * 16 + confidence (0 to 3), times 4 for order 2
+ITEM_SHIFT, SURE2, SURE1 = _const(4, U32), _const(12, U32), _const(3, U32)
+ID_SHIFT, HALF, LOW16, SHIFT1, TOTAL32 = _const(5, U32), _const(16, U32), _const(0xFFFF, U32), _const(BITS1, U32), _const(TOTAL, U32)
+START_MASK, WIDE, BITS64, ONE64 = _const(TOTAL - 1, U16), _const(32, U64), _const(BITS, U64), _const(1, U64)
+LOW32, TOP, FULL = _const(0xFFFFFFFF, U64), _const(1 << 32, U64), U64(0xFFFFFFFFFFFFFFFF)
+BY_EIGHT, LAST_BYTE, BYTE_SHIFT, BIT_MASK, PER_ROW = _const(0x01010101, U32), _const(24, U32), _const(3, np.int64), _const(7, np.int64), _const(CLASSES, np.int64)
 
 
 class Damaged(ValueError):
@@ -63,78 +88,80 @@ class Model:
     """State of ``n`` blocks coded in step (tables are flat: block * slots + slot)."""
 
     def __init__(self, n: int):
-        self.pair = np.zeros(n * SLOTS, np.int32)  # id * 8 + confidence
-        self.one = np.zeros(n * SLOTS, np.int32)
-        self.chance = np.full((2, n * 64), TOTAL // 8, np.int32)
-        self.zero = np.tile(START, (n, 1))
-        self.after = np.tile(START, (n * (CLASSES + 1), 1))
-        self.lead = np.zeros(n, np.int16)
-        self.last = np.zeros(n, np.int64)
-        self.before = np.zeros(n, np.int64)
-        self.last_class = np.full(n, CLASSES)
-        self.shrink(n)
-
-    def shrink(self, n: int) -> None:
-        """Go on with the first n blocks."""
-        for name in ("zero", "lead", "last", "before", "last_class"):
-            setattr(self, name, getattr(self, name)[:n])
-        lane = np.arange(n)
-        self.base, self.base_state, self.base_class = lane * SLOTS, lane * 64, lane * (CLASSES + 1)
-        self.base_cum = lane * CLASSES
-
-    def guess(self):
-        """Candidates of order 2 and 1, and the shares of the first decision."""
-        one = self.last * 0x9E3779B1
-        self.at2 = self.base + (((one + self.before * 0x85EBCA77) >> 9) & (SLOTS - 1))
-        self.at1 = self.base + ((one >> 9) & (SLOTS - 1))
-        self.two, self.single = self.pair.take(self.at2), self.one.take(self.at1)
-        self.state = self.base_state + ((self.two & 7) * 8 + (self.single & 7))
-        self.p2, self.p1 = self.chance[0].take(self.state), self.chance[1].take(self.state)
-        return self.two >> 3, self.single >> 3, self.p2, 1 + (((TOTAL - 2 - self.p2) * self.p1) >> BITS1)
-
-    def classes(self):
-        """Cumulative class shares: order 0 and its order-1 refinement, mixed."""
-        self.at_class = self.base_class + self.last_class
-        self.row = self.after.take(self.at_class, axis=0)
-        self.gap = self.zero - self.row
-        shift = ((self.lead >> 5) + 1).clip(0, 3)
-        return self.row + (self.gap >> shift[:, None])
-
-    def learn(self, ids, hit2, hit1, classes):
-        """Update with the ids seen; hit1 only counts where hit2 is false."""
-        self.chance[0][self.state] = self.p2 + ((np.where(hit2, MOST, LEAST) - self.p2) >> CHANCE_RATE)
-        p1 = self.p1 + ((np.where(hit1, MOST, LEAST) - self.p1) >> CHANCE_RATE)
-        self.chance[1][self.state] = np.where(hit2, self.p1, p1)
-        fresh = (ids * 8 + 1).astype(np.int32)
-        for table, at, held in ((self.pair, self.at2, self.two), (self.one, self.at1, self.single)):
-            sure = held & 7
-            same = (held >> 3) == ids
-            kept = held - sure + np.where(same, np.minimum(sure + 1, 7), sure >> 1)
-            table[at] = np.where(same | (sure > 1), kept, fresh)
-        # does the previous id's class tell more?  compare the shares of this class
-        last = classes == CLASSES - 1
-        at = self.base_cum + classes
-        gap = self.gap.ravel()
-        wider = np.where(last, 0, gap.take(at + 1, mode="clip")) < gap.take(at)
-        self.lead += np.where(wider, (127 - self.lead) >> 4, -((self.lead + 128) >> 4)).astype(np.int16)
-        target = TARGETS.take(classes, axis=0)
-        self.zero += (target - self.zero) >> RATE
-        self.after[self.at_class] = self.row + ((target - self.row) >> RATE)
-        self.before, self.last, self.last_class = self.last, ids, classes
-
-
-def first_choice(f2, f1, hit2, hit1):
-    """Start and size of a first decision: order 2, order 1, neither."""
-    start = np.where(hit2, 0, np.where(hit1, f2, f2 + f1))
-    return start, np.where(hit2, f2, np.where(hit1, f1, TOTAL - f2 - f1))
-
-
-def class_share(cum, base, classes):
-    """Start and size of a class in the mixed distribution."""
-    flat, at = cum.ravel(), base + classes
-    start = flat.take(at).astype(np.int64)
-    end = np.where(classes == CLASSES - 1, TOTAL, flat.take(at + 1, mode="clip").astype(np.int64))
-    return start, end - start
+        self.lane = np.arange(n)
+        self.base, self.base_state, self.n = self.lane * SLOTS, self.lane * STATES, _const(n, np.int64)
+        self.pair, self.one = np.zeros(n * SLOTS, U32), np.zeros(n * SLOTS, U32)
+        self.seen = np.repeat(PRIOR, n * STATES, axis=1)
+        self.counts = np.zeros((CONTEXTS, n, CLASSES), np.float32)
+        # ends of the classes; the entry before a row is TOTAL, which & (TOTAL - 1) makes its start 0
+        self.edges = np.full(1 + self.counts.size, TOTAL, U16)
+        self.rows = self.edges[1:].reshape(CONTEXTS * n, CLASSES)
+        self.events, self.met = [], []
+        self.refresh()
+
+    def guess(self, before, last, base, base_state):
+        """Slots and contents of order 2 and 1, state, and the shares of order 2 and of both."""
+        one = last * HASH1
+        at2 = base + ((one + before * HASH2) >> HASH_SHIFT)
+        at1 = base + (one >> HASH_SHIFT)
+        two, single = self.pair.take(at2), self.one.take(at1)
+        state = base_state + ((two & SURE2) | (single & SURE1))
+        share = self.shares.take(state)
+        return at2, at1, two, single, state, share >> HALF, share & LOW16
+
+    def row(self, last, lane):
+        """Row of class shares after this item."""
+        return lane + self.n * ((last & CONTEXT_MASK) >> TWO)
+
+    def class_share(self, at):
+        """Start and size of the class at row * CLASSES + class."""
+        start = self.edges.take(at) & START_MASK
+        return start, self.edges[1:].take(at, mode="clip") - start
+
+    def learn(self, item, at2, at1, two, single, state, hit2, hit, at_class):
+        """Update with the items of a chunk in order of time; of equal slots the last one stays."""
+        fresh = item << ITEM_SHIFT
+        for table, at, held, sure, step in ((self.pair, at2, two, SURE2, FOUR), (self.one, at1, single, SURE1, ONE)):
+            now = np.where((held & sure) > step, held - step, fresh + step)
+            right = ((held >> ITEM_SHIFT) == item).nonzero()[0]
+            was = held[right]
+            now[right] = np.where((was & sure) < sure, was + step, was)
+            table[at] = now
+        wrong = (~hit).astype(np.int64) + ~hit2  # 0: order 2 was right, 1: order 1, 2: neither
+        self.events.append(wrong * self.seen.shape[1] + state)
+        self.met.append(at_class)
+
+    def refresh(self):
+        """Work out all shares from what was seen so far."""
+        if self.events:
+            self.seen += np.bincount(np.concatenate(self.events), minlength=self.seen.size).reshape(self.seen.shape)
+            self.counts += np.bincount(np.concatenate(self.met), minlength=self.counts.size).reshape(self.counts.shape)
+            self.events, self.met = [], []
+        # every choice keeps a share of at least 1
+        part = np.float32(TOTAL - 3) / self.seen.sum(axis=0)
+        two, one = ((seen * part).astype(U32) + ONE for seen in self.seen[:2])
+        self.shares = (two << HALF) | (two + one)
+        zero = self.counts.sum(axis=0) + np.float32(0.5)
+        zero *= MIX / zero.sum(axis=1, keepdims=True)
+        for counts, ends in zip(self.counts, self.rows.reshape(self.counts.shape)):
+            scale = np.float32(TOTAL - CLASSES) / (counts.sum(axis=1, keepdims=True) + MIX)
+            mixed = counts + zero
+            mixed *= scale
+            # one running sum over all rows; what a row began with is taken off, 65536 being 0
+            sizes = mixed.astype(U16)
+            sizes += U16(1)
+            sums = sizes.ravel().cumsum(dtype=U16).reshape(sizes.shape)
+            np.subtract(sums, sums[:, :1] - sizes[:, :1], out=ends)
+            ends[:, -1] = TOTAL
+
+
+def choice(right, hit2, f2, f12, lower, rest, start, size):
+    """Start and size of a decision of 2 ** BITS: a class in the rest, or where ``right``, order 2 or 1."""
+    start, size = rest * start + lower, rest * size
+    two, f2 = hit2[right], f2[right]
+    start[right] = np.where(two, 0, f2) << SHIFT1
+    size[right] = np.where(two, f2, f12[right] - f2) << SHIFT1
+    return start.astype(U64), size.astype(U64)
 
 
 def _renormalise(low, rng):
@@ -143,120 +170,165 @@ def _renormalise(low, rng):
     A range across a word boundary is first cut back to the boundary, so the
     upper word of low is final.
     """
-    at = np.flatnonzero(rng < TOP)
-    lo, span = low.take(at), rng.take(at)
-    cross = ((lo ^ (lo + span - U64(1))) >> U64(32)) != 0
-    span = np.where(cross, TOP - (lo & LOW32), span)
-    low[at], rng[at] = lo << U64(32), span << U64(32)
+    at = (rng < TOP).nonzero()[0]
+    lo, span = low[at], rng[at]
+    cross = ((lo ^ (lo + span - ONE64)) >> WIDE) != 0
+    if cross.any():
+        np.copyto(span, TOP - (lo & LOW32), where=cross)
+    low[at], rng[at] = lo << WIDE, span << WIDE
     return at, lo
 
 
 class Encoder:
-    def __init__(self, n: int, words: int):
+    """Decisions and plain bits of ``n`` blocks, each to words of its own."""
+
+    def __init__(self, n: int, steps: int):
         self.low, self.range = np.zeros(n, U64), np.full(n, FULL, U64)
-        self.out, self.used = np.zeros((n, words), np.uint32), np.zeros(n, np.int64)
-
-    def code(self, m, start, size, bits):
-        """Narrow the first ``m`` blocks to [start, start + size) of 2 ** bits."""
-        low, rng = self.low[:m], self.range[:m]
-        r = rng >> U64(bits)
-        low += start.astype(U64) * r
-        np.multiply(r, size.astype(U64), out=rng)
-        at, lo = _renormalise(low, rng)
-        self.out[at, self.used[at]] = lo >> U64(32)
-        self.used[at] += 1
+        self.words, self.used = np.zeros((n, steps + 2), U32), np.zeros(n, np.int64)
+        self.held, self.fill = np.zeros(n, U64), np.zeros(n, U64)
+        self.plain, self.put = np.zeros((n, steps * WIDEST // 32 + 1), U32), np.zeros(n, np.int64)
+
+    def code(self, start, size):
+        """Narrow the blocks to [start, start + size) of 2 ** BITS."""
+        r = self.range >> BITS64
+        self.low += start * r
+        np.multiply(r, size, out=self.range)
+        at, lo = _renormalise(self.low, self.range)
+        used = self.used[at]
+        self.words[at, used] = lo >> WIDE
+        self.used[at] = used + 1
+
+    def append(self, value, width):
+        """Add ``width`` plain bits."""
+        self.held |= value << self.fill
+        self.fill += width
+        at = (self.fill >= WIDE).nonzero()[0]
+        held, put = self.held[at], self.put[at]
+        self.plain[at, put] = held & LOW32
+        self.held[at], self.put[at] = held >> WIDE, put + 1
+        self.fill[at] -= WIDE
 
     def finish(self, lane: int) -> bytes:
-        for word in (self.low[lane] >> U64(32), self.low[lane] & LOW32):
-            self.out[lane, self.used[lane]] = word
-            self.used[lane] += 1
-        return self.out[lane, : self.used[lane]].astype("<u4").tobytes()
+        used, put = int(self.used[lane]), int(self.put[lane])
+        low = int(self.low[lane])
+        end = [low >> 32, low & 0xFFFFFFFF]
+        rest = [int(self.held[lane])] if self.fill[lane] else []
+        parts = ([used + 2], self.words[lane, :used], end, self.plain[lane, :put], rest)
+        return b"".join(np.asarray(p, "<u4").tobytes() for p in parts)
 
 
 class Decoder:
-    def __init__(self, payloads: list[bytes]):
-        n, width = len(payloads), max(len(p) for p in payloads) // 4 + 4
-        self.words = np.zeros((n, width), np.uint32)
+    def __init__(self, payloads: list[bytes], steps: int):
+        # a damaged block may read on: there are words for any number of steps
+        n, width = len(payloads), steps * WIDEST // 8 + 8
+        self.words, plain = np.zeros((n, steps + 3), U32), np.zeros((n, width), np.uint8)
         for i, p in enumerate(payloads):
-            self.words[i, : len(p) // 4] = np.frombuffer(p, "<u4")
-        self.used = np.full(n, 2)
-        self.range = np.full(n, FULL, U64)
+            all_words = np.frombuffer(p, "<u4")
+            first = 1 + int(all_words[0]) if len(all_words) else 0
+            coded, rest = all_words[1:first][: steps + 3], p[4 * first :][:width]
+            self.words[i, : len(coded)] = coded
+            plain[i, : len(rest)] = np.frombuffer(rest, np.uint8)
+        # the four bytes from every byte on, so that a value is read at once
+        self.plain = np.ndarray((n, width - 3), "<u4", plain, strides=(width, 1)).astype(U32).ravel()
+        self.at_word, self.at_bit = np.arange(n) * (steps + 3) + 2, np.arange(n) * (width - 3) * 8
+        self.range, self.low = np.full(n, FULL, U64), np.zeros(n, U64)
         # how far the code lies above low
         self.above = (self.words[:, 0].astype(U64) << U64(32)) | self.words[:, 1].astype(U64)
-        self.low = np.zeros(n, U64)
-
-    def target(self, m, bits):
-        self.r = self.range[:m] >> U64(bits)
-        return np.minimum(self.above[:m] // self.r, U64((1 << bits) - 1)).astype(np.int64)
-
-    def take(self, m, start, size):
-        low, rng, above = self.low[:m], self.range[:m], self.above[:m]
-        step = start.astype(U64) * self.r
-        low += step
-        above -= step
-        np.multiply(self.r, size.astype(U64), out=rng)
-        at, _ = _renormalise(low, rng)
-        word = self.words[at, np.minimum(self.used[at], self.words.shape[1] - 1)].astype(U64)
-        self.used[at] += 1
-        above[at] = (above[at] << U64(32)) | word
-
-
-def _alive(sizes: np.ndarray) -> np.ndarray:
-    """Number of blocks longer than t, for every t (sizes fall)."""
-    return np.searchsorted(-sizes, -np.arange(int(sizes[0])), "left")
+        self.words = self.words.ravel()
+
+    def target(self):
+        """Where the code lies, out of 2 ** BITS (beyond them in a damaged block only)."""
+        self.r = self.range >> BITS64
+        return (self.above // self.r).astype(U32)
+
+    def take(self, start, size):
+        step = start * self.r
+        self.low += step
+        self.above -= step
+        np.multiply(self.r, size, out=self.range)
+        at, _ = _renormalise(self.low, self.range)
+        word = self.at_word[at]
+        self.above[at] = (self.above[at] << WIDE) | self.words[word]
+        self.at_word[at] = word + 1
+
+    def read(self, classes):
+        """The plain bits of each class."""
+        value = (self.plain.take(self.at_bit >> BYTE_SHIFT) >> (self.at_bit & BIT_MASK).astype(U32)) & WIDTH_MASK.take(classes)
+        self.at_bit += WIDTH.take(classes)
+        return value
 
 
 def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
-    """Payloads of blocks sorted by falling length."""
-    sizes = np.array([len(b) for b in blocks])
-    ids = np.zeros((sizes[0], len(blocks)), np.int32)
-    for i, b in enumerate(blocks):
-        ids[: len(b), i] = b
-    model, coder = Model(len(blocks)), Encoder(len(blocks), 8 + 2 * int(sizes[0]))
-    for t, m in enumerate(_alive(sizes).tolist()):
-        if m < len(model.base):
-            model.shrink(m)
-        now = ids[t, :m].astype(np.int64)
-        two, single, f2, f1 = model.guess()
-        hit2 = now == two
-        hit1 = (now == single) & ~hit2
-        coder.code(m, *first_choice(f2, f1, hit2, hit1), BITS1)
-        classes = CLASS_OF.take(now)
-        start, size = class_share(model.classes(), model.base_cum, classes)
-        spare = WIDEST - CLASS_BITS.take(classes)
-        start = (start << WIDEST) + (now - CLASS_BASE.take(classes)) * (size << spare)
-        hit = hit2 | hit1
-        coder.code(m, np.where(hit, 0, start), np.where(hit, 1 << BITS2, size << spare), BITS2)
-        model.learn(now, hit2, hit1, classes)
-    return [coder.finish(i) for i in range(len(blocks))]
-
-
-def _decode_lanes(payloads: list[bytes], sizes: np.ndarray) -> np.ndarray:
-    """Ids (time, block) of blocks sorted by falling length."""
-    ids = np.zeros((int(sizes[0]), len(payloads)), np.int32)
-    model, coder = Model(len(payloads)), Decoder(payloads)
-    for t, m in enumerate(_alive(sizes).tolist()):
-        if m < len(model.base):
-            model.shrink(m)
-        two, single, f2, f1 = model.guess()
-        found = coder.target(m, BITS1)
-        hit2 = found < f2
-        hit1 = (found < f2 + f1) & ~hit2
-        coder.take(m, *first_choice(f2, f1, hit2, hit1))
-        hit = hit2 | hit1
-        cum = model.classes()
-        found = coder.target(m, BITS2)
-        classes = (cum <= (found >> WIDEST).astype(np.int16)[:, None]).sum(axis=1, dtype=np.int16).astype(np.int64) - 1
-        start, size = class_share(cum, model.base_cum, classes)
-        each = size << (WIDEST - CLASS_BITS.take(classes))
-        place = (found - (start << WIDEST)) // each
-        coder.take(m, np.where(hit, 0, (start << WIDEST) + place * each), np.where(hit, 1 << BITS2, each))
-        now = np.where(hit, np.where(hit2, two, single), CLASS_BASE.take(classes) + place)
-        # a damaged block may decode to ids outside the range; its checksum tells
-        now = np.clip(now, 0, MAX_ID - 1)
-        ids[t, :m] = now
-        model.learn(now, hit2, hit1, CLASS_OF.take(now))
-    return ids
+    """Payloads of blocks; only the last one may be shorter."""
+    n, steps, short = len(blocks), len(blocks[0]), len(blocks[-1])
+    items = np.zeros((steps + 2, n), U32)  # two items of id 0 come first
+    for i in range(0, n, 64):  # some at a time: rows are written in runs
+        part = np.zeros((min(64, n - i), steps), U32)
+        for row, b in zip(part, blocks[i : i + 64]):
+            row[: len(b)] = ITEM_OF.take(b)
+        items[2:, i : i + 64] = part.T
+    model, coder, last = Model(n), Encoder(n, steps), b""
+    lane, base, base_state = (np.tile(x, CHUNK) for x in (model.lane, model.base, model.base_state))
+    flat = items.ravel()
+    for t in range(0, steps, CHUNK):
+        if t in REFRESH:
+            model.refresh()
+        m = n * min(CHUNK, steps - t)
+        before, prev, item = (flat[n * (t + i) : n * (t + i) + m] for i in range(3))
+        at2, at1, two, single, state, f2, f12 = model.guess(before, prev, base[:m], base_state[:m])
+        hit2 = (two >> ITEM_SHIFT) == item
+        hit = ((single >> ITEM_SHIFT) == item) | hit2
+        right = hit.nonzero()[0]
+        classes = (item & CLASS_MASK).astype(np.int64)
+        at_class = model.row(prev, lane[:m]) * PER_ROW + classes
+        start, size = choice(right, hit2, f2, f12, f12 << SHIFT1, TOTAL32 - f12, *model.class_share(at_class))
+        place = (item - ITEM_BASE.take(classes)) >> ID_SHIFT
+        place[right], classes[right] = 0, CLASSES
+        steps_of = (start, size, place.astype(U64), WIDTH.take(classes).view(U64))
+        for k, (a, b, c, d) in enumerate(zip(*(x.reshape(-1, n) for x in steps_of)), t + 1):
+            coder.code(a, b)
+            coder.append(c, d)
+            if k == short:
+                last = coder.finish(n - 1)
+        model.learn(item, at2, at1, two, single, state, hit2, hit, at_class)
+    return [*(coder.finish(i) for i in range(n - 1)), last]
+
+
+def _decode_lanes(payloads: list[bytes], steps: int) -> np.ndarray:
+    """Ids (time, block); a block that is shorter ends in ids without meaning."""
+    n = len(payloads)
+    items = np.zeros((steps + 2, n), U32)
+    model, coder = Model(n), Decoder(payloads, steps)
+    for t in range(0, steps, CHUNK):
+        if t in REFRESH:
+            model.refresh()
+        kept = []
+        for k in range(t, min(t + CHUNK, steps)):
+            prev, item = items[k + 1], items[k + 2]
+            at2, at1, two, single, state, f2, f12 = guess = model.guess(items[k], prev, model.base, model.base_state)
+            found = coder.target()
+            upper = found >> SHIFT1
+            hit2, hit = upper < f2, upper < f12
+            right = hit.nonzero()[0]
+            # the class: how many end at or before the place found in the rest; without meaning if order 2 or 1 is right
+            lower, rest = f12 << SHIFT1, TOTAL32 - f12
+            inside = ((found - lower) // rest).astype(U16) & START_MASK
+            row = model.row(prev, model.lane)
+            below = model.rows.take(row, axis=0) <= inside[:, None]
+            # bytes of 0 or 1, counted by eights; the four counts are added up in a word
+            eights = np.bitwise_count(below.view(U64)).view(U32)[:, 0]
+            classes = ((eights * BY_EIGHT) >> LAST_BYTE).astype(np.int64)
+            classes[right] = 0
+            row *= PER_ROW
+            coder.take(*choice(right, hit2, f2, f12, lower, rest, *model.class_share(row + classes)))
+            item[:] = ITEM_BASE.take(classes, mode="clip")
+            classes[right] = CLASSES
+            item += coder.read(classes) << ID_SHIFT
+            item[right] = np.where(hit2[right], two[right], single[right]) >> ITEM_SHIFT
+            # learned is the class of the id itself, however it was coded
+            kept.append((*guess[:5], hit2, hit, row + (item & CLASS_MASK)))
+        model.learn(items[t + 2 : k + 3].ravel(), *map(np.concatenate, zip(*kept)))
+    return items[2:] >> ID_SHIFT
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -297,7 +369,7 @@ def decode(data: bytes) -> np.ndarray:
         sizes = np.array([n for n, _, _ in part])
         if (np.diff(sizes) > 0).any():
             raise Damaged("only the last block may be shorter")
-        ids = _decode_lanes([p for _, _, p in part], sizes)
+        ids = _decode_lanes([p for _, _, p in part], int(sizes[0]))
         for k, (n, crc, _) in enumerate(part):
             block = ids[:n, k].astype("<u4")
             if zlib.crc32(block.tobytes()) != crc:

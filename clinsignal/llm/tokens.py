@@ -10,7 +10,9 @@ segment holds about SEGMENT_IDS ids or one longer document.
 The tokenizer's rules never look across ASCII white space nor from a letter to
 the comma or full stop after it, and lower-case what they read, so a task
 tokenises each distinct lower-cased piece once and puts texts together from the
-pieces' ids; pieces seen before are kept in a bounded table.
+pieces' ids; pieces seen before are kept in a bounded table, the half that most
+batches held when it is full.  Words of Latin-1 letters go to the tokenizer's
+model without the rules that come before it, which leave them as they are.
 
 Reading back decodes every block, checks it, and cuts the stream at the stored
 lengths.  A document's position in the whole corpus is its position in the
@@ -23,9 +25,12 @@ an empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import sys
 import zlib
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +46,13 @@ from clinsignal.llm.common import store
 END_ID = 2
 SEGMENT_IDS = 1 << 22
 KEPT_PIECES = 500_000  # pieces whose ids a Python worker keeps between batches
-JOINED = 64  # new pieces tokenised as one text
+JOINED, WORDS = 64, 1024  # new pieces, and new words, tokenised as one text
 MARK = "\0"
 # Latin letters whose lower case is one letter, and ASCII marks that start no contraction
 LETTERS = r"a-zA-ZÀ-ÖØ-öø-\x{12F}\x{131}-\x{24F}"
 PUNCTUATION = r"""!"#$%&()*+,\-./:;=?@\[\\\]^_`{}~"""
+# a lower-cased piece of these letters is one word to the tokenizer, and stays as it is
+WORD = re.compile("[a-zß-öø-ÿ]+").fullmatch
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -60,46 +67,84 @@ class Pieces:
         self.tokenizer = Tokenizer.from_file(path)
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        self._words(Tokenizer)
         self.clear()
 
+    def _words(self, kind) -> None:
+        """The same model for runs of WORD letters: the rules before it leave those whole and as they are.
+
+        Its last token of a word has a name of its own, so words are told apart without marks.
+        """
+        rules = json.loads(self.tokenizer.to_str())
+        end = rules["model"].get("end_of_word_suffix")
+        self.words = None
+        if end:
+            steps = [{"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+            rules |= {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": steps}, "added_tokens": []}
+            self.words = kind.from_str(json.dumps(rules))
+            vocab = rules["model"]["vocab"]
+            self.last = np.zeros(max(vocab.values()) + 1, bool)
+            self.last[[i for name, i in vocab.items() if name.endswith(end)]] = True
+
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.met = np.zeros(0, np.int64)  # batches that held the piece
+
+    def _forget(self) -> None:
+        """Keep the half of the table that most batches held."""
+        kept = np.sort(np.argsort(-self.met, kind="stable")[: KEPT_PIECES // 2])
+        pieces = list(self.known)  # numbered as they were put in
+        starts = np.cumsum(self.sizes) - self.sizes
+        self.known = {pieces[i]: n for n, i in enumerate(kept.tolist())}
+        self.flat = gather(self.flat, starts[kept], self.sizes[kept])
+        # what was met long ago counts less and less
+        self.sizes, self.met = self.sizes[kept], self.met[kept] >> 1
+
+    @staticmethod
+    def _encode(tokenizer, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        """Tokenise pieces, many in one call with a mark after each.
+        """Tokenise pieces, many in one call; words as such, others with a mark after each.
 
         The mark is a code point that no other text contains bytes of, so its id
         stands for nothing else; pieces that hold it are tokenised alone.
         """
-        alone = new if self.mark is None else [p for p in new if MARK in p]
-        joint = [] if self.mark is None else [p for p in new if MARK not in p]
-        runs = [joint[i : i + JOINED] for i in range(0, len(joint), JOINED)]
+        plain = [p for p in new if WORD(p)] if self.words is not None else []
+        rest = [p for p in new if not WORD(p)] if self.words is not None else new
+        alone = rest if self.mark is None else [p for p in rest if MARK in p]
+        joint = [] if self.mark is None else [p for p in rest if MARK not in p]
         flat, sizes = [self.flat], [self.sizes]
-        for ids in self._encode([f" {MARK} ".join([*run, ""]) for run in runs]):
+        for ids in self._encode(self.words, [" ".join(plain[i : i + WORDS]) for i in range(0, len(plain), WORDS)]):
+            flat.append(ids)
+            sizes.append(np.diff(np.flatnonzero(self.last[ids]), prepend=-1))
+        runs = [joint[i : i + JOINED] for i in range(0, len(joint), JOINED)]
+        for ids in self._encode(self.tokenizer, [f" {MARK} ".join([*run, ""]) for run in runs]):
             ends = np.flatnonzero(ids == self.mark)
             flat.append(ids[ids != self.mark])
             sizes.append(np.diff(ends, prepend=-1) - 1)
-        for ids in self._encode(alone):
+        for ids in self._encode(self.tokenizer, alone):
             flat.append(ids)
             sizes.append(np.array([len(ids)], np.int64))
-        for p in (*joint, *alone):
-            self.known[p] = len(self.known)
+        self.known.update(zip((*plain, *joint, *alone), count(len(self.known))))
         self.flat, self.sizes = np.concatenate(flat), np.concatenate(sizes)
-        if len(self.sizes) != len(self.known):
+        self.met = np.append(self.met, np.zeros(len(new), np.int64))
+        if len(self.sizes) != len(self.known) or self.sizes.sum() != len(self.flat):
             raise ValueError("the tokenizer does not keep the pieces apart")
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
-        """Number of every piece; ids of number i are its run of ``flat``."""
+        """Number of every (distinct) piece; ids of number i are its run of ``flat``."""
         if len(self.known) > KEPT_PIECES:
-            self.clear()
-        new = [p for p in pieces if p not in self.known]
-        if new:
-            self._learn(new)
-        return np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))
+            self._forget()
+        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            texts = [pieces[i] for i in new.tolist()]
+            self._learn(texts)
+            found[new] = [self.known[p] for p in texts]
+        self.met[found] += 1
+        return found
 
 
 def split_pieces(texts: pa.Array) -> pa.Array:
@@ -117,7 +162,8 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarra
     """The runs flat[start : start + size], one after the other."""
     total = int(sizes.sum())
     shift = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    return flat[np.arange(total) + shift]
+    shift += np.arange(total)
+    return flat.take(shift)
 
 
 def tokenise(texts: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
@@ -125,7 +171,7 @@ def tokenise(texts: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     parts = split_pieces(pc.fill_null(texts, ""))
     counts = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = parts.flatten().dictionary_encode()
-    numbers = pieces.numbers(coded.dictionary.to_pylist())
+    numbers = pieces.numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
     which = numbers[coded.indices.to_numpy(zero_copy_only=False)]
     # the end id is one more piece, put after the pieces of every text
     sizes, flat = np.append(pieces.sizes, 1), np.append(pieces.flat, np.int32(END_ID))
