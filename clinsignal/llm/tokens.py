@@ -45,7 +45,7 @@ from clinsignal.llm.common import store
 
 END_ID = 2
 SEGMENT_IDS = 1 << 22
-KEPT_PIECES = 500_000  # pieces whose ids a Python worker keeps between batches
+KEPT_PIECES = 400_000  # pieces whose ids a Python worker keeps between batches
 JOINED, WORDS = 64, 1024  # new pieces, and new words, tokenised as one text
 MARK = "\0"
 # Latin letters whose lower case is one letter, and ASCII marks that start no contraction
@@ -155,7 +155,8 @@ def split_pieces(texts: pa.Array) -> pa.Array:
     Texts that may hold a special token's name are only cut at white space.
     """
     plain = pc.replace_substring_regex(pc.ascii_lower(texts), f"([{LETTERS}])([{PUNCTUATION}])", r"\1 \2")
-    return pc.ascii_split_whitespace(pc.if_else(pc.match_substring(texts, "<|"), texts, plain))
+    named = pc.match_substring(texts, "<|")
+    return pc.ascii_split_whitespace(pc.if_else(named, texts, plain) if pc.any(named).as_py() else plain)
 
 
 def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -184,13 +185,13 @@ def tokenise(texts: pa.Array, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return gather(flat, starts[which], run).astype(np.int32), np.diff(done[edge])
 
 
-_PIECES: dict[str, Pieces] = {}  # per Python worker
-
-
 def cached_pieces(path: str) -> Pieces:
-    if path not in _PIECES:
-        _PIECES[path] = Pieces(path)
-    return _PIECES[path]
+    """The table of this Python worker: this module goes to the tasks by value and begins
+    anew with each of them, so the table is kept where it outlives the task."""
+    kept = sys.__dict__.setdefault("_clinsignal_pieces", {})
+    if path not in kept:
+        kept[path] = Pieces(path)
+    return kept[path]
 
 
 def segments(n_ids: np.ndarray) -> list[tuple[int, int]]:
@@ -224,15 +225,20 @@ def writer(tokenizer_path: str):
 
     def write(batches):
         pieces = cached_pieces(tokenizer_path)
-        shard, at, held, size = 0, 0, [], 0
+        shard, at, held = 0, 0, []
 
-        def flush():
-            nonlocal at
+        def flush(last: bool):
+            """Write whole segments; what does not fill one is held, unless it is the last."""
+            nonlocal at, held
             ids = pa.concat_arrays([h[0] for h in held])
             tokens = np.concatenate([h[1] for h in held])
             n_ids = np.concatenate([h[2] for h in held])
+            held = []
             edge = np.concatenate([[0], np.cumsum(n_ids)])
             for a, b in segments(n_ids):
+                if b == len(n_ids) and not last:
+                    held = [(ids.slice(a), tokens[edge[a] :].copy(), n_ids[a:])]
+                    return
                 yield pack(shard, at, ids.slice(a, b - a), tokens[edge[a] : edge[b]], n_ids[a:b])
                 at += int(edge[b] - edge[a])
 
@@ -242,12 +248,10 @@ def writer(tokenizer_path: str):
                 continue
             shard = batch.column(0)[0].as_py()
             held.append((batch.column(1), *tokenise(batch.column(2).cast(pa.string()), pieces)))
-            size += len(held[-1][1])
-            if size >= SEGMENT_IDS:
-                yield from flush()
-                held, size = [], 0
+            if sum(len(h[1]) for h in held) > SEGMENT_IDS:
+                yield from flush(False)
         if held:
-            yield from flush()
+            yield from flush(True)
 
     return write
 

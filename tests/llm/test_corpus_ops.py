@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -368,6 +369,57 @@ def test_token_files_edges(spark, edge, empty):
     assert tokens.read_tokens(spark, path).count() == 0
 
 
+def test_coder_learns_a_chunk_at_a_time(monkeypatch):
+    calls, learn = [], coder.Model.learn
+    monkeypatch.setattr(coder.Model, "learn", lambda *a: (calls.append(1), learn(*a))[1])
+    ids = np.random.default_rng(3).zipf(1.3, 3 * coder.BLOCK + 100) % 49_408
+    data = coder.encode(ids)
+    assert len(calls) <= coder.BLOCK // 16
+    assert (coder.decode(data) == ids).all() and len(calls) <= 2 * coder.BLOCK // 16
+
+
+def test_known_pieces_outlive_a_task(spark):
+    """Tasks get the module by value, but a worker's tasks share one table: it grows from task to task."""
+    cached, path = tokens.cached_pieces, queries.tokenizer_file()
+
+    def sizes(batches):
+        for batch in batches:
+            table = cached(path)
+            table.numbers([f"piece{x}" for x in batch.column(0).to_pylist()])
+            yield pa.RecordBatch.from_pydict({"pid": [os.getpid()], "size": [len(table.known)]})
+
+    rows = spark.range(0, 40, 1, 40).mapInArrow(sizes, "pid bigint, size bigint").collect()
+    assert len({(r["pid"], r["size"]) for r in rows}) == len(rows) == 40
+
+
+def test_a_full_table_keeps_the_pieces_of_most_batches(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 100)
+    pieces, new = tokens.Pieces(queries.tokenizer_file()), []
+    learn = pieces._learn
+    monkeypatch.setattr(pieces, "_learn", lambda texts: (new.extend(texts), learn(texts))[1])
+    common = [f"{a}{b}" for a in "abcdé" for b in "fghij"]
+    for i in range(20):
+        batch = common + [f"{c}x{i}" for c in "klmnopq"]
+        found = pieces.numbers(batch)
+        starts = np.cumsum(pieces.sizes) - pieces.sizes
+        for text, n in zip(batch, found.tolist()):
+            want = pieces.tokenizer.encode(text, add_special_tokens=False).ids
+            assert pieces.flat[starts[n] : starts[n] + pieces.sizes[n]].tolist() == want
+    assert sum(p in common for p in new) == len(common) and len(pieces.known) <= 110
+
+
+def test_segments_are_filled_across_batches(monkeypatch):
+    monkeypatch.setattr(tokens, "SEGMENT_IDS", 50)
+    texts = ["a b c d e f g h i"] * 17  # ten ids each
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([3] * len(t), pa.int32()), pa.array(range(len(t))), pa.array(t)], names=["shard", "id", "text"])
+        for t in (texts[i : i + 3] for i in range(0, 17, 3))
+    ]
+    out = list(tokens.writer(queries.tokenizer_file())(iter(batches)))
+    assert [b["n_ids"][0].as_py() for b in out] == [50, 50, 50, 20]
+    assert [b["at"][0].as_py() for b in out] == [0, 50, 100, 150]
+
+
 # -------------------------------------------------------------------------- pipeline
 def test_pipeline_stages(spark, sf_oracle, docs, edge):
     names = [n for n, _ in corpus_pipeline.STAGES]
